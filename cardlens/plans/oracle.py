@@ -118,3 +118,66 @@ def with_stage(stage: str, body: str, extra: list[str] | None = None) -> str:
 
 def round6(col: str, alias: str | None = None) -> str:
     return f"{half_away(col, 6)} AS {alias or col}"
+
+
+def _q(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else repr(v)
+
+
+def check_sql(i: int, chk, table: str, table_columns: list[str]) -> str:
+    """One report row of ``operators.quality.run_checks`` in SQL."""
+    a = chk.args
+    col = "CAST(NULL AS VARCHAR)" if chk.column is None else f"'{chk.column}'"
+    head = f"SELECT {i} AS check_id, '{chk.kind}' AS \"check\", {col} AS \"column\", "
+    tail = f", '{chk.severity}' AS severity"
+    c = chk.column
+    if chk.kind == "columns_superset":
+        missing = [x for x in a["columns"] if x not in table_columns]
+        return (head + f"CAST({len(a['columns'])} AS BIGINT) AS evaluated, "
+                f"CAST({len(missing)} AS BIGINT) AS unexpected, CAST(NULL AS DOUBLE) AS observed, "
+                f"{'TRUE' if not missing else 'FALSE'} AS success" + tail)
+    if chk.kind == "row_count_between":
+        conds = ["TRUE"]
+        if a.get("min") is not None:
+            conds.append(f"COUNT(*) >= {a['min']}")
+        if a.get("max") is not None:
+            conds.append(f"COUNT(*) <= {a['max']}")
+        return (head + "COUNT(*) AS evaluated, CAST(NULL AS BIGINT) AS unexpected, "
+                f"CAST(COUNT(*) AS DOUBLE) AS observed, ({' AND '.join(conds)}) AS success"
+                + tail + f" FROM {table}")
+    if chk.kind == "mean_between":
+        return (head + f"COUNT({c}) AS evaluated, CAST(NULL AS BIGINT) AS unexpected, "
+                f"{half_away(f'AVG({c})', 6)} AS observed, "
+                f"COALESCE(AVG({c}) >= {a['min']} AND AVG({c}) <= {a['max']}, FALSE) AS success"
+                + tail + f" FROM {table}")
+    if chk.kind == "unique":
+        return (head + "CAST(COALESCE(SUM(n), 0) AS BIGINT) AS evaluated, "
+                "CAST(COUNT_IF(n > 1) AS BIGINT) AS unexpected, CAST(NULL AS DOUBLE) AS observed, "
+                "COUNT_IF(n > 1) = 0 AS success" + tail
+                + f" FROM (SELECT {c}, COUNT(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY {c})")
+    if chk.kind == "not_null":
+        ev, bad = "COUNT(*)", f"COUNT_IF({c} IS NULL)"
+    elif chk.kind == "in_set":
+        ev, bad = f"COUNT({c})", f"COUNT_IF(NOT ({c} IN ({', '.join(_q(v) for v in a['values'])})))"
+    elif chk.kind == "not_in_set":
+        ev, bad = f"COUNT({c})", f"COUNT_IF({c} IN ({', '.join(_q(v) for v in a['values'])}))"
+    elif chk.kind == "between":
+        conds = []
+        if a.get("min") is not None:
+            conds.append(f"{c} {'<=' if a.get('strict_min') else '<'} {a['min']}")
+        if a.get("max") is not None:
+            conds.append(f"{c} {'>=' if a.get('strict_max') else '>'} {a['max']}")
+        ev, bad = f"COUNT({c})", f"COUNT_IF({c} IS NOT NULL AND ({' OR '.join(conds) or 'FALSE'}))"
+    else:
+        raise ValueError(chk.kind)
+    return (head + f"CAST({ev} AS BIGINT) AS evaluated, CAST({bad} AS BIGINT) AS unexpected, "
+            f"CAST(NULL AS DOUBLE) AS observed, {bad} = 0 AS success" + tail + f" FROM {table}")
+
+
+def checks_sql(checks, table: str, table_columns: list[str], extra: str = "") -> str:
+    """UNION ALL of the report rows of ``checks`` on ``table``."""
+    parts = []
+    for i, chk in enumerate(checks, start=1):
+        body = check_sql(i, chk, table, table_columns)
+        parts.append(f"SELECT *{extra} FROM ({body})")
+    return "\nUNION ALL\n".join(parts)
