@@ -162,8 +162,32 @@ def logistic_pipeline(features: list[str], stats: ScalerStats, C: float, max_ite
     return Pipeline(stages=[scaler_transformer(stats), assembler(scaled), lr])
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Class and probability of class 1 per row (M6)."""
+def linear_margin(model: PipelineModel, features: list[str], stats: ScalerStats) -> Column:
+    """``intercept + sum_i w_i * (x_i - mean_i) / std_i`` as one column expression."""
+    lr = model.stages[-1]
+    margin = F.lit(float(lr.intercept))
+    for c, w in zip(features, lr.coefficients.toArray()):
+        scaled = (F.col(c) - F.lit(float(stats.mean[c] or 0.0))) / F.lit(float(stats.std[c] or 1.0))
+        margin = margin + F.lit(float(w)) * scaled
+    return margin
+
+
+def predict(model: PipelineModel, df: DataFrame, features: list[str], stats: ScalerStats,
+            keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
+    """Class and probability of class 1 per row (M6).
+
+    Scored with a plain expression of the fitted coefficients, the same
+    numbers ``model.transform`` computes (``1 / (1 + exp(-margin))``, class
+    1 above the threshold).  The expression stays in whole-stage codegen and
+    ships no model object to the executors.
+    """
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-linear_margin(model, features, stats)))
+    return df.select(*(keep or []), (p > F.lit(threshold)).cast("int").alias("prediction"),
+                     p.alias("probability"))
+
+
+def predict_with_pipeline(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The same through ``model.transform`` (vector UDFs), for a loaded pipeline."""
     out = model.transform(df)
     return out.select(*(keep or []), F.col("prediction").cast("int").alias("prediction"),
                       vector_to_array("probability")[1].alias("probability"))
@@ -253,6 +277,7 @@ class RunResult:
     metrics: dict
     model: PipelineModel
     features: list
+    stats: ScalerStats | None = None
 
 
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], run_name: str,
@@ -267,14 +292,14 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
         train = add_weights(train, class_weights(train, label), label, "__w")
         weight_col = "__w"
     model = logistic_pipeline(features, stats, C, max_iter, n_train, weight_col, label).fit(train)
-    scored = predict(model, test, keep=[label])
+    scored = predict(model, test, features, stats, keep=[label])
     m = classification_metrics(scored, label).first().asDict()
     auc = roc_auc(scored, label).first()["roc_auc"]
     metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
     metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
     params = {"model": "LogisticRegression", "C": C, "max_iter": max_iter,
               "class_weight": class_weight, "features_count": len(features), "train_size": n_train}
-    return RunResult(run_name, params, metrics, model, features)
+    return RunResult(run_name, params, metrics, model, features, stats)
 
 
 def runs_frame(spark: SparkSession, runs: list[RunResult]) -> DataFrame:

@@ -29,6 +29,8 @@ def quantile_bucket(df: DataFrame, column: str, buckets: int, rel_error: float =
     ``approxQuantile`` is a distributed sketch; only the ``buckets - 1`` cut
     points reach the driver.  Equal values always share a bucket.
     """
+    if buckets <= 1:
+        return F.lit(0)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(v for v in df.approxQuantile(column, probs, rel_error) if v is not None))
     if not cuts:

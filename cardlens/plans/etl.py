@@ -58,3 +58,112 @@ def staging_from_events(spark: SparkSession, sf_dir: str,
                         identity_unique: bool | None = None) -> DataFrame:
     tx, idn = load_sources(spark, sf_dir)
     return transform(tx, idn, identity_unique=identity_unique)
+
+
+# ---------------------------------------------------------------------------
+# Whole stages, as the reference's jobs run them.  Each writes its output
+# below ``root`` (a shared folder) and returns a small metrics dict.
+# ---------------------------------------------------------------------------
+
+def extract(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
+            sample_size: int | None = None) -> dict:
+    """CSV -> raw Parquet for both sources, with guards and summaries."""
+    from ..operators.profiles import identity_summary, transaction_summary
+    from ..schemas import RAW_IDENTITY_SCHEMA, RAW_TRANSACTION_SCHEMA
+    from ..sources.files import ingest_csv
+    from ..sources.guards import require_paths
+
+    require_paths(spark, {"transactions": tx_csv, "identity": identity_csv}, "extract")
+    tx, c_tx = ingest_csv(spark, tx_csv, f"{root}/raw_transactions", RAW_TRANSACTION_SCHEMA,
+                          limit=sample_size)
+    idn, c_id = ingest_csv(spark, identity_csv, f"{root}/raw_identity", RAW_IDENTITY_SCHEMA,
+                           bool_columns=[], limit=sample_size)
+    tx_stats = transaction_summary(tx).first().asDict()
+    id_stats = identity_summary(idn).first().asDict()
+    return {"transactions_rows": c_tx["rows"], "transactions_malformed": c_tx["malformed"],
+            "identity_rows": c_id["rows"], "fraud_count": tx_stats["fraud_count"],
+            "fraud_rate_pct": tx_stats["fraud_rate_pct"], "identity_unique": id_stats["unique_tx"]}
+
+
+def run_transform(spark: SparkSession, root: str) -> dict:
+    """raw Parquet -> 71-column staging Parquet, rows counted on the write."""
+    from ..sources.guards import require_paths
+    from ..sources.sinks import write_parquet
+
+    raw_tx, raw_id = f"{root}/raw_transactions", f"{root}/raw_identity"
+    require_paths(spark, {"raw_transactions": raw_tx, "raw_identity": raw_id}, "transform")
+    info = write_parquet(transform(spark.read.parquet(raw_tx), spark.read.parquet(raw_id)),
+                         f"{root}/staging_fraud")
+    return {"feature_rows": info["rows"], "parquet_path": info["path"]}
+
+
+def validate(spark: SparkSession, root: str, **suite_args) -> dict:
+    """16 checks on the staging table; raises ``QualityGateError`` on failure."""
+    from ..operators.quality import gate, run_checks, staging_suite, summarize
+    from ..schemas import QUALITY_COLUMNS
+    from ..sources.files import read_parquet
+
+    staged = read_parquet(spark, f"{root}/staging_fraud", QUALITY_COLUMNS)
+    report = run_checks(staged, staging_suite(**suite_args)).persist()
+    summary = summarize(report).first().asDict()
+    gate(report)
+    report.unpersist()
+    return summary
+
+
+def load(spark: SparkSession, root: str, table: str = "staging_fraud",
+         table_path: str | None = None, fmt: str = "parquet", **soft_args) -> dict:
+    """Staging Parquet -> catalog table, read-back profile and soft checks."""
+    from ..operators.profiles import load_readback
+    from ..operators.quality import run_checks, soft_load_checks
+    from ..sources.sinks import warehouse_load
+
+    loaded = warehouse_load(spark, f"{root}/staging_fraud", table, path=table_path, fmt=fmt).first()
+    t = spark.table(table)
+    readback = load_readback(t).first().asDict()
+    warnings = [r.asDict() for r in run_checks(t, soft_load_checks(**soft_args))
+                .where("NOT success").collect()]
+    return {"rows": loaded["rows"], "columns": loaded["columns"], **readback, "warnings": warnings}
+
+
+def build_marts(spark: SparkSession, source: DataFrame, root: str) -> dict:
+    """stg_fraud view + fraud_summary / fraud_hourly tables + 17 schema tests."""
+    from ..operators import marts as MT
+    from ..operators import quality as QC
+    from ..sources.sinks import replace_table
+
+    stg = MT.stg_fraud(source)
+    stg.createOrReplaceTempView("stg_fraud")
+    s = replace_table(MT.fraud_summary(stg, ordered=False), "fraud_summary", path=f"{root}/fraud_summary")
+    h = replace_table(MT.fraud_hourly(stg, ordered=False), "fraud_hourly", path=f"{root}/fraud_hourly")
+    tests = QC.schema_tests({
+        "staging_fraud": (source, QC.SOURCE_TESTS), "stg_fraud": (stg, QC.STG_TESTS),
+        "fraud_summary": (spark.table("fraud_summary"), QC.SUMMARY_TESTS),
+        "fraud_hourly": (spark.table("fraud_hourly"), QC.HOURLY_TESTS)})
+    failed = [r.asDict() for r in tests.where("NOT success").collect()]
+    return {"fraud_summary_rows": s["rows"], "fraud_hourly_rows": h["rows"], "failed_tests": failed}
+
+
+def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool = False) -> dict:
+    """Three logistic-regression runs on the staging table, logged to a runs table."""
+    from ..operators import model as ML
+    from ..schemas import LABEL, MODEL_FEATURES
+    from ..sources.sinks import write_csv, write_parquet
+
+    staged = spark.read.parquet(f"{root}/staging_fraud")
+    present, missing = ML.select_features(staged, MODEL_FEATURES)
+    df = ML.stratified_split(ML.fill_features(staged.select("TransactionID", LABEL, *present), present),
+                             exact=exact_split)
+    train = df.where("split = 'train'").persist()
+    test = df.where("split = 'test'")
+    n_train = train.count()
+    stats = ML.fit_scaler(train, present)
+    runs = []
+    for name, cfg in (configs or ML.DEFAULT_CONFIGS):
+        r = ML.train_and_evaluate(train, test, present, name, n_train=n_train, stats=stats, **cfg)
+        ML.save_model(r.model, f"{root}/models/{name}")
+        write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{name}")
+        runs.append(r)
+    train.unpersist()
+    write_parquet(ML.runs_frame(spark, runs), f"{root}/runs", mode="append")
+    return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs}}

@@ -816,8 +816,8 @@ def q_logistic_fit(spark, sf):
 
 @register("predict")
 def q_predict(spark, sf):
-    runs, test, _ = _experiments(spark, sf)
-    return ML.predict(runs[1].model, test, keep=[KEY, "isFraud"])
+    runs, test, present = _experiments(spark, sf)
+    return ML.predict(runs[1].model, test, present, runs[1].stats, keep=[KEY, "isFraud"])
 
 
 @register("feature_importance")

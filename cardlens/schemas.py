@@ -125,3 +125,10 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
+
+
+# Typed transaction schema of ingested (Parquet) tables: flags are BOOLEAN.
+TRANSACTION_SCHEMA = T.StructType([
+    T.StructField(f.name, T.BooleanType(), True) if f.name in M_BOOL_COLS else f
+    for f in RAW_TRANSACTION_SCHEMA.fields
+])
