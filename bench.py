@@ -27,7 +27,7 @@ from cardlens.operators import quality as QC  # noqa: E402
 from cardlens.plans.etl import transform  # noqa: E402
 from cardlens.plans.stages import model_frame, split_parts, stages  # noqa: E402
 from cardlens.schemas import RAW_IDENTITY_SCHEMA, RAW_TRANSACTION_SCHEMA  # noqa: E402
-from cardlens.session import build_session, scratch_path  # noqa: E402
+from cardlens.session import build_session, ensure_parallelism, scratch_path  # noqa: E402
 from cardlens.sources import files as FS  # noqa: E402
 from cardlens.sources import sinks as SK  # noqa: E402
 
@@ -92,7 +92,7 @@ def main() -> None:
     def models():
         df, present = model_frame(s.__class__(**{**s.__dict__, "staging": staged}))
         train, test = split_parts(df)
-        train = train.persist()
+        train = ensure_parallelism(train).persist()
         n = train.count()
         stats = ML.fit_scaler(train, present)
         out = {}

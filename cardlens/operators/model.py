@@ -231,7 +231,7 @@ def classification_metrics(scored: DataFrame, label: str = LABEL,
 
 
 def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability",
-            digits: int = 4, buckets: int | None = None) -> DataFrame:
+            digits: int = 4, buckets: int | None = None, unit_interval: bool = False) -> DataFrame:
     """Exact area under the ROC curve, ties counted one half.
 
     Rows are first reduced to one row per distinct score (partial
@@ -243,8 +243,11 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability",
         F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) != 1).alias("__neg"))
     if buckets is None:
         buckets = 4 * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    below = running_sum(g, ["__s"], "__neg", "__neg_below",
-                        bucket=quantile_bucket(g, "__s", buckets), inclusive=False)
+    # A score known to lie in [0, 1] (a probability) is bucketed directly;
+    # any other score by quantile cut points (one sketch pass).
+    bucket = (fraction_bucket(F.col("__s"), buckets) if unit_interval
+              else quantile_bucket(g, "__s", buckets))
+    below = running_sum(g, ["__s"], "__neg", "__neg_below", bucket=bucket, inclusive=False)
     agg = below.agg(
         F.sum(F.col("__pos").cast("double") * (F.col("__neg_below") + F.col("__neg") * F.lit(0.5))).alias("__num"),
         F.sum("__pos").cast("long").alias("n_pos"), F.sum("__neg").cast("long").alias("n_neg"))
@@ -292,9 +295,12 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
         train = add_weights(train, class_weights(train, label), label, "__w")
         weight_col = "__w"
     model = logistic_pipeline(features, stats, C, max_iter, n_train, weight_col, label).fit(train)
-    scored = predict(model, test, features, stats, keep=[label])
+    # Three narrow columns per test row, read by four small jobs (metrics,
+    # quantile sketch, AUC totals and rows): keep them for those jobs only.
+    scored = predict(model, test, features, stats, keep=[label]).persist()
     m = classification_metrics(scored, label).first().asDict()
-    auc = roc_auc(scored, label).first()["roc_auc"]
+    auc = roc_auc(scored, label, unit_interval=True).first()["roc_auc"]
+    scored.unpersist()
     metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
     metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
     params = {"model": "LogisticRegression", "C": C, "max_iter": max_iter,

@@ -19,8 +19,9 @@ _B = "__bucket"
 
 
 def fraction_bucket(fraction: Column, buckets: int) -> Column:
-    """Bucket of a number in [0, 1): ``floor(fraction * buckets)``."""
-    return F.least(F.floor(fraction * F.lit(float(buckets))), F.lit(buckets - 1)).cast("int")
+    """Bucket of a number in [0, 1]: ``floor(fraction * buckets)``, 1.0 in the last one."""
+    b = F.floor(fraction * F.lit(float(buckets)))
+    return F.greatest(F.least(b, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
 def quantile_bucket(df: DataFrame, column: str, buckets: int, rel_error: float = 0.001) -> Column:

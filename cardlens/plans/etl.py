@@ -14,6 +14,7 @@ from ..operators.clean import clean
 from ..operators.features import card_aggregates, engineer_features
 from ..operators.merge import merge_identity
 from ..schemas import AMOUNT, CARD, KEY, LABEL, NUMERIC_SENTINEL
+from ..session import ensure_parallelism
 from ..sources.adapter import load_sources
 
 
@@ -154,7 +155,7 @@ def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool
     present, missing = ML.select_features(staged, MODEL_FEATURES)
     df = ML.stratified_split(ML.fill_features(staged.select("TransactionID", LABEL, *present), present),
                              exact=exact_split)
-    train = df.where("split = 'train'").persist()
+    train = ensure_parallelism(df.where("split = 'train'")).persist()
     test = df.where("split = 'test'")
     n_train = train.count()
     stats = ML.fit_scaler(train, present)

@@ -27,7 +27,7 @@ from ..operators.merge import join_coverage, schema_listing
 from ..schemas import (CLEAN_COLUMNS, KEY, M_COLS, MODEL_FEATURES, NUMERIC_FILL,
                        QUALITY_COLUMNS, RAW_TRANSACTION_SCHEMA, STAGING_COLUMNS, STG_RENAMES,
                        STRING_FILL)
-from ..session import scratch_path
+from ..session import ensure_parallelism, scratch_path
 from ..sources import files as FS
 from ..sources import guards as GD
 from ..sources import sinks as SK
@@ -798,7 +798,7 @@ def _experiments(spark, sf):
     if memo not in _RUNS:
         df, present = model_frame(stages(spark, sf))
         train, test = split_parts(df)
-        train = train.persist()
+        train = ensure_parallelism(train).persist()
         n_train = train.count()
         stats = ML.fit_scaler(train, present)
         runs = [ML.train_and_evaluate(train, test, present, name, n_train=n_train, stats=stats, **cfg)

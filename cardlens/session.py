@@ -93,3 +93,16 @@ def local_path(path: str) -> str:
 
 __all__ = ["build_session", "checkpoint_root", "scratch_path", "shuffle_partitions_for",
            "path_size", "local_path", "DEFAULT_CONF"]
+
+
+def ensure_parallelism(df, minimum: int | None = None):
+    """Spread a source over at least ``minimum`` tasks (default: the
+    session's default parallelism).
+
+    A small input stored as one file or row group is read by one task and
+    everything up to the first shuffle would run there.  Large inputs have
+    far more splits than cores, so for them this is a no-op and adds no
+    shuffle.  Checking the split count plans the scan but runs no job.
+    """
+    n = minimum or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

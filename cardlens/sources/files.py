@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CORRUPT_COLUMN, KEY, M_BOOL_COLS, with_corrupt_column
+from ..session import ensure_parallelism
 
 
 def _parse_every_column(spark: SparkSession) -> None:
@@ -54,7 +55,7 @@ def ingest_csv(spark: SparkSession, src: str, dest: str, schema: T.StructType,
     gathered by an ``Observation`` on the write itself (no second pass).
     ``limit`` keeps the first ``limit`` rows by ``order_by`` (S2).
     """
-    raw = read_csv(spark, src, schema)
+    raw = ensure_parallelism(read_csv(spark, src, schema))
     obs_in = Observation("csv_in")
     raw = raw.observe(obs_in, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("malformed"))
     good = to_boolean(drop_malformed(raw), bool_columns)

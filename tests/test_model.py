@@ -68,6 +68,10 @@ def test_roc_auc_matches_pairwise_count(spark):
     for buckets in (1, 3, 17):
         got = ML.roc_auc(df, score="s", buckets=buckets).first()
         assert got["roc_auc"] == want and got["n_pos"] == len(pos)
+    # the same through unit-interval buckets, on a monotone map of the score
+    from pyspark.sql import functions as F
+    p = df.withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("s"))))
+    assert ML.roc_auc(p, score="p", buckets=9, unit_interval=True).first()["roc_auc"] == want
 
 
 def test_exact_split_counts_and_determinism(spark):
