@@ -286,8 +286,10 @@ class RunResult:
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], run_name: str,
                        C: float, max_iter: int, class_weight: str | None = None,
                        n_train: int | None = None, stats: ScalerStats | None = None,
-                       label: str = LABEL) -> RunResult:
-    """Fit on ``train``, score ``test``, return metrics and the model (M5-M8)."""
+                       label: str = LABEL, extra_params: dict | None = None) -> RunResult:
+    """Fit on ``train``, score ``test``, return metrics and the model (M5-M8).
+
+    ``extra_params`` (sizes, class prior) are logged with the run."""
     n_train = n_train if n_train is not None else train.count()
     stats = stats or fit_scaler(train, features)
     weight_col = None
@@ -304,10 +306,20 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
     metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
     metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
     params = {"model": "LogisticRegression", "C": C, "max_iter": max_iter,
-              "class_weight": class_weight, "features_count": len(features), "train_size": n_train}
+              "class_weight": class_weight, "features_count": len(features), "train_size": n_train,
+              **(extra_params or {})}
     return RunResult(run_name, params, metrics, model, features, stats)
 
 
+def split_profile(train: DataFrame, test: DataFrame, label: str = LABEL) -> dict:
+    """Training size, test size and training class prior (4 dp): one
+    aggregate per part (A19)."""
+    tr = train.agg(F.count(F.lit(1)).alias("n"),
+                   ratio(F.sum(label), F.count(label), digits=4, scale=1.0).alias("prior")).first()
+    return {"train_size": int(tr["n"]), "test_size": int(test.count()),
+            "fraud_rate_train": float(tr["prior"]) if tr["prior"] is not None else None}
+
+
 def runs_frame(spark: SparkSession, runs: list[RunResult]) -> DataFrame:
     """One row per run: name, params (text map) and metrics (double map)."""
     rows = [(r.run_name, {k: str(v) for k, v in r.params.items()}, r.metrics) for r in runs]

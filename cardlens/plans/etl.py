@@ -157,11 +157,12 @@ def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool
                              exact=exact_split)
     train = ensure_parallelism(df.where("split = 'train'")).persist()
     test = df.where("split = 'test'")
-    n_train = train.count()
+    prof = ML.split_profile(train, test)
     stats = ML.fit_scaler(train, present)
     runs = []
     for name, cfg in (configs or ML.DEFAULT_CONFIGS):
-        r = ML.train_and_evaluate(train, test, present, name, n_train=n_train, stats=stats, **cfg)
+        r = ML.train_and_evaluate(train, test, present, name, n_train=prof["train_size"], stats=stats,
+                                  extra_params=prof, **cfg)
         ML.save_model(r.model, f"{root}/models/{name}")
         write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{name}")
         runs.append(r)

@@ -799,9 +799,10 @@ def _experiments(spark, sf):
         df, present = model_frame(stages(spark, sf))
         train, test = split_parts(df)
         train = ensure_parallelism(train).persist()
-        n_train = train.count()
+        prof = ML.split_profile(train, test)
         stats = ML.fit_scaler(train, present)
-        runs = [ML.train_and_evaluate(train, test, present, name, n_train=n_train, stats=stats, **cfg)
+        runs = [ML.train_and_evaluate(train, test, present, name, n_train=prof["train_size"], stats=stats,
+                                      extra_params=prof, **cfg)
                 for name, cfg in ML.DEFAULT_CONFIGS]
         train.unpersist()
         _RUNS[memo] = (runs, test, present)

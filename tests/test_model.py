@@ -113,3 +113,23 @@ def test_class_weights_sum_to_n(spark):
     w = {r["isFraud"]: r for r in ML.class_weights(df).collect()}
     assert abs(w[0]["weight"] * w[0]["n"] + w[1]["weight"] * w[1]["n"] - len(y)) < 1e-9
     assert F is not None
+
+
+def test_expression_scoring_equals_pipeline_transform(spark, tmp_path):
+    df, _X, _y = _data(spark)
+    feats = ["a", "b"]
+    stats = ML.fit_scaler(df, feats)
+    model = ML.logistic_pipeline(feats, stats, 1.0, 100, df.count()).fit(df)
+    loaded = ML.load_model(ML.save_model(model, str(tmp_path / "m")))
+    a = {r["TransactionID"]: r for r in ML.predict(model, df, feats, stats, keep=["TransactionID"]).collect()}
+    b = {r["TransactionID"]: r for r in ML.predict_with_pipeline(loaded, df, keep=["TransactionID"]).collect()}
+    assert all(a[k]["prediction"] == b[k]["prediction"] for k in a)
+    assert max(abs(a[k]["probability"] - b[k]["probability"]) for k in a) < 1e-12
+
+
+def test_split_profile(spark):
+    df, _X, y = _data(spark)
+    s = ML.stratified_split(df)
+    prof = ML.split_profile(s.where("split = 'train'"), s.where("split = 'test'"))
+    assert prof["train_size"] + prof["test_size"] == len(y)
+    assert 0 < prof["fraud_rate_train"] < 1
