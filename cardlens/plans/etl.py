@@ -67,8 +67,13 @@ def staging_from_events(spark: SparkSession, sf_dir: str,
 # ---------------------------------------------------------------------------
 
 def extract(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
-            sample_size: int | None = None) -> dict:
-    """CSV -> raw Parquet for both sources, with guards and summaries."""
+            sample_size: int | None = None, buckets: int | None = None) -> dict:
+    """CSV -> raw Parquet for both sources, with guards and summaries.
+
+    ``buckets``: store both raw tables as catalog tables ``raw_transactions``
+    / ``raw_identity`` bucketed by TransactionID, so that ``run_transform``
+    merges them without shuffling either side.
+    """
     from ..operators.profiles import identity_summary, transaction_summary
     from ..schemas import RAW_IDENTITY_SCHEMA, RAW_TRANSACTION_SCHEMA
     from ..sources.files import ingest_csv
@@ -76,9 +81,11 @@ def extract(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
 
     require_paths(spark, {"transactions": tx_csv, "identity": identity_csv}, "extract")
     tx, c_tx = ingest_csv(spark, tx_csv, f"{root}/raw_transactions", RAW_TRANSACTION_SCHEMA,
-                          limit=sample_size)
+                          limit=sample_size, table="raw_transactions" if buckets else None,
+                          buckets=buckets)
     idn, c_id = ingest_csv(spark, identity_csv, f"{root}/raw_identity", RAW_IDENTITY_SCHEMA,
-                           bool_columns=[], limit=sample_size)
+                           bool_columns=[], limit=sample_size,
+                           table="raw_identity" if buckets else None, buckets=buckets)
     tx_stats = transaction_summary(tx).first().asDict()
     id_stats = identity_summary(idn).first().asDict()
     return {"transactions_rows": c_tx["rows"], "transactions_malformed": c_tx["malformed"],
@@ -93,8 +100,12 @@ def run_transform(spark: SparkSession, root: str) -> dict:
 
     raw_tx, raw_id = f"{root}/raw_transactions", f"{root}/raw_identity"
     require_paths(spark, {"raw_transactions": raw_tx, "raw_identity": raw_id}, "transform")
-    info = write_parquet(transform(spark.read.parquet(raw_tx), spark.read.parquet(raw_id)),
-                         f"{root}/staging_fraud")
+    # Bucketed catalog tables (see ``extract(buckets=...)``) keep their
+    # bucketing only when read through the catalog.
+    bucketed = spark.catalog.tableExists("raw_transactions") and spark.catalog.tableExists("raw_identity")
+    tx = spark.table("raw_transactions") if bucketed else spark.read.parquet(raw_tx)
+    idn = spark.table("raw_identity") if bucketed else spark.read.parquet(raw_id)
+    info = write_parquet(transform(tx, idn), f"{root}/staging_fraud")
     return {"feature_rows": info["rows"], "parquet_path": info["path"]}
 
 

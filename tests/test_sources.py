@@ -70,3 +70,25 @@ def test_sinks_report_rows_and_replace_is_idempotent(spark):
     assert spark.read.option("header", True).csv(csv).count() == 10
     loaded = SK.warehouse_load(spark, info["path"], "t_loaded", path=scratch_path(spark, "wh")).first()
     assert (loaded["rows"], loaded["columns"]) == (10, 1)
+
+
+def test_bucketed_sources_merge_without_shuffle(spark):
+    from cardlens.operators.merge import merge_identity
+    from tests.conftest import BASE_ROWS, make_identity, make_tx
+    tx_csv, id_csv = scratch_path(spark, "b-tx"), scratch_path(spark, "b-id")
+    make_tx(spark, BASE_ROWS).write.option("header", True).csv(tx_csv)
+    make_identity(spark).write.option("header", True).csv(id_csv)
+    ident_schema = T.StructType([f for f in RAW_IDENTITY_SCHEMA.fields if f.name != "id_01"])
+    tx, _ = FS.ingest_csv(spark, tx_csv, scratch_path(spark, "b-tx-t"), RAW_TRANSACTION_SCHEMA,
+                          table="b_raw_tx", buckets=4)
+    idn, _ = FS.ingest_csv(spark, id_csv, scratch_path(spark, "b-id-t"), ident_schema,
+                           bool_columns=[], table="b_raw_id", buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_identity(tx, idn)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert merged.count() == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
