@@ -56,3 +56,30 @@ def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
     assert len(df.columns) == 71 and df.count() == 1000
+
+
+def test_merge_runs_once_when_identity_ids_are_unique(spark):
+    """With broadcasts off (the 100 TB case) the pre-join statistics form
+    needs 2 sort-merge joins and 4 hash exchanges; the post-join form 3 and 6."""
+    import re
+    from cardlens.plans.etl import transform
+    from cardlens.sources.adapter import load_sources
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        tx, idn = load_sources(spark, SF_SMALL)
+        counts = {}
+        for uniq in (True, False):
+            df = transform(tx, idn, identity_unique=uniq)
+            df.write.format("noop").mode("overwrite").save()
+            plan = executed(df)
+            counts[uniq] = (plan.count("SortMergeJoin"), len(re.findall(r"Exchange hashpartitioning", plan)))
+        assert counts == {True: (2, 4), False: (3, 6)}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
