@@ -4,8 +4,8 @@
 The per-card statistics are a ``groupBy`` (partial + final hash aggregate)
 followed by a left join, not a window over ``card1``: a window would send
 every row of a hot card, and the whole wide row, to one task, whereas the
-aggregate ships one partial row per card per map task and the join's
-skewed partitions are split by AQE.
+aggregate ships one partial row per card per map task, and the join back
+spreads the rows of hot cards over several tasks (``operators.skew``).
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.rounding import cents_avg, half_away, ratio
 from ..functions.scalar import (is_large, is_night, is_weekend, log_amount, tx_day,
                                 tx_day_of_week, tx_hour, zscore)
-from ..schemas import AMOUNT, CARD, LABEL, NUMERIC_SENTINEL, TIME
+from ..schemas import AMOUNT, CARD, KEY, LABEL, NUMERIC_SENTINEL, TIME
+from .skew import DEFAULT_HOT_ROWS, salted_left_join
 
 CARD_AGG_COLUMNS = ["card1_tx_count", "card1_avg_amt", "card1_max_amt", "card1_std_amt",
                     "card1_fraud_count"]
@@ -45,19 +46,20 @@ def time_features(dt: str = TIME) -> list:
 
 
 def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
-                      card: str = CARD, amount: str = AMOUNT, dt: str = TIME,
-                      broadcast_aggregates: bool = False) -> DataFrame:
+                      card: str = CARD, amount: str = AMOUNT, dt: str = TIME, key: str = KEY,
+                      broadcast_aggregates: bool = False,
+                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Cleaned rows + 13 features.
 
     ``aggregates`` defaults to ``card_aggregates(cleaned)``.  Pass one
     computed from a narrower input to avoid evaluating the upstream join
-    twice (see ``plans.etl.transform``).  ``broadcast_aggregates`` forces a
-    broadcast; by default AQE broadcasts the aggregate only when its measured
-    size is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    twice (see ``plans.etl.transform``).  The join back to the rows splits
+    cards with more than ``hot_rows`` rows over several tasks
+    (``operators.skew``); AQE still turns it into a broadcast when the
+    aggregate is measured small.  ``broadcast_aggregates`` forces a
+    broadcast instead.
     """
     agg = card_aggregates(cleaned, card, amount) if aggregates is None else aggregates
-    if broadcast_aggregates:
-        agg = F.broadcast(agg)
     # Row features first (one projection), then the join on card1.
     hour, dow = tx_hour(dt), tx_day_of_week(dt)
     rows = cleaned.select(
@@ -66,15 +68,18 @@ def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
         is_night(hour).alias("is_night_tx"), is_weekend(dow).alias("is_weekend"),
         is_large(amount).alias("is_large_tx"), log_amount(amount).alias("log_TransactionAmt"),
     )
-    joined = rows.alias("c").join(agg.alias("a"), on=card, how="left")
+    if broadcast_aggregates:
+        joined = rows.join(F.broadcast(agg), on=card, how="left")
+    else:
+        joined = salted_left_join(rows, agg, card, "card1_tx_count", key, hot_rows)
     return joined.select(
         *[F.col(c) for c in rows.columns],
-        F.coalesce(F.col("a.card1_tx_count"), F.lit(0).cast("long")).alias("card1_tx_count"),
-        F.coalesce(F.col("a.card1_avg_amt"), F.lit(-999.0)).alias("card1_avg_amt"),
-        F.coalesce(F.col("a.card1_max_amt"), F.lit(-999.0)).alias("card1_max_amt"),
-        F.coalesce(F.col("a.card1_std_amt"), F.lit(-999.0)).alias("card1_std_amt"),
-        F.coalesce(F.col("a.card1_fraud_count"), F.lit(0).cast("long")).alias("card1_fraud_count"),
-        zscore(F.col(amount), F.col("a.card1_avg_amt"), F.col("a.card1_std_amt"))
+        F.coalesce(F.col("card1_tx_count"), F.lit(0).cast("long")).alias("card1_tx_count"),
+        F.coalesce(F.col("card1_avg_amt"), F.lit(-999.0)).alias("card1_avg_amt"),
+        F.coalesce(F.col("card1_max_amt"), F.lit(-999.0)).alias("card1_max_amt"),
+        F.coalesce(F.col("card1_std_amt"), F.lit(-999.0)).alias("card1_std_amt"),
+        F.coalesce(F.col("card1_fraud_count"), F.lit(0).cast("long")).alias("card1_fraud_count"),
+        zscore(F.col(amount), F.col("card1_avg_amt"), F.col("card1_std_amt"))
         .alias("amt_deviation_from_card_mean"),
     )
 

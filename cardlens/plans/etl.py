@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean
 from ..operators.features import card_aggregates, engineer_features
+from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.merge import merge_identity
 from ..schemas import AMOUNT, CARD, KEY, LABEL, NUMERIC_SENTINEL
-from ..session import ensure_parallelism
+from ..session import checkpoint_root, ensure_parallelism
 from ..sources.adapter import load_sources
 
 
@@ -38,21 +39,42 @@ def card_inputs(transactions: DataFrame) -> DataFrame:
         F.col(LABEL))
 
 
-def transform(transactions: DataFrame, identity: DataFrame,
-              identity_unique: bool | None = None) -> DataFrame:
-    """merge -> clean -> features, as one lazy plan (the 71-column staging table).
-
-    Per-card statistics are defined over the merged rows.  When identity ids
-    are unique the merge cannot change per-card counts, so the statistics are
-    taken from the transactions directly and the left join is evaluated once
-    instead of twice.  ``identity_unique=None`` checks it with one small
-    aggregation over the identity key; pass True/False when known.
+def card_statistics(transactions: DataFrame, cleaned: DataFrame, identity: DataFrame,
+                    identity_unique: bool | None = None, materialize: bool = True) -> DataFrame:
+    """Per-card statistics (A5) for ``transform``.
+
+    They are defined over the merged rows.  When identity ids are unique the
+    merge cannot change per-card counts, so they are taken from the
+    transactions directly and the left join is evaluated once instead of
+    twice; ``identity_unique=None`` checks it with one small aggregation over
+    the identity key.
+
+    The table has one row per card and is read twice downstream (the hot-card
+    list and the lookup of the salted join), so by default it is computed
+    once and checkpointed to the shared checkpoint folder; that also cuts the
+    lineage of the feature plan.
     """
-    cleaned = clean(merge_identity(transactions, identity))
     if identity_unique is None:
         identity_unique = identity_ids_unique(identity)
-    aggregates = card_aggregates(card_inputs(transactions) if identity_unique else cleaned)
-    return engineer_features(cleaned, aggregates)
+    stats = card_aggregates(card_inputs(transactions) if identity_unique else cleaned)
+    if materialize:
+        checkpoint_root(stats.sparkSession)
+        stats = stats.checkpoint(eager=True)
+    return stats
+
+
+def transform(transactions: DataFrame, identity: DataFrame,
+              identity_unique: bool | None = None, materialize_statistics: bool = True,
+              hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """merge -> clean -> features: the 71-column staging table.
+
+    Lazy apart from the per-card statistics (see ``card_statistics``).
+    Cards with more than ``hot_rows`` rows are spread over several tasks in
+    the join back to the rows.
+    """
+    cleaned = clean(merge_identity(transactions, identity))
+    stats = card_statistics(transactions, cleaned, identity, identity_unique, materialize_statistics)
+    return engineer_features(cleaned, stats, hot_rows=hot_rows)
 
 
 def staging_from_events(spark: SparkSession, sf_dir: str,

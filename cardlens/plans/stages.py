@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import half_away
 from ..operators.clean import clean
-from ..operators.features import card_aggregates, engineer_features
+from ..operators.features import engineer_features
 from ..operators.marts import stg_fraud
 from ..operators.merge import merge_identity
 from ..operators.model import fill_features, select_features, stratified_split
 from ..schemas import LABEL, MODEL_FEATURES
 from ..sources.adapter import load_sources
-from .etl import card_inputs, identity_ids_unique
+from .etl import card_statistics, identity_ids_unique
 
-_UNIQUE: dict[tuple[str, str], bool] = {}
+_STATS: dict[tuple[str, str], DataFrame] = {}
 
 
 @dataclass
@@ -38,9 +38,11 @@ def stages(spark: SparkSession, sf_dir: str) -> Stages:
     merged = merge_identity(tx, idn)
     cleaned = clean(merged)
     memo = (spark.sparkContext.applicationId, sf_dir)
-    if memo not in _UNIQUE:
-        _UNIQUE[memo] = identity_ids_unique(idn)
-    agg = card_aggregates(card_inputs(tx) if _UNIQUE[memo] else cleaned)
+    if memo not in _STATS:
+        # One uniqueness check and one checkpointed statistics table per
+        # session and folder, shared by all registered queries.
+        _STATS[memo] = card_statistics(tx, cleaned, idn, identity_unique=identity_ids_unique(idn))
+    agg = _STATS[memo]
     staging = engineer_features(cleaned, agg)
     return Stages(spark, sf_dir, tx, idn, merged, cleaned, agg, staging, stg_fraud(staging))
 

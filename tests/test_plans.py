@@ -27,9 +27,16 @@ def test_no_python_udf_in_plans(spark):
 
 def test_feature_plan_uses_aggregate_not_card_window(spark):
     import re
+    from cardlens.operators.clean import clean
+    from cardlens.operators.merge import merge_identity
+    from cardlens.plans.etl import card_statistics
+    from cardlens.sources.adapter import load_sources
     plan = executed(registry.QUERIES["features"](spark, SF_SMALL))
     assert not re.search(r"\bWindow \[", plan)          # no window operator ('Windows' is a literal)
-    assert "HashAggregate" in plan and "partial_stddev_samp" in plan
+    tx, idn = load_sources(spark, SF_SMALL)
+    stats = card_statistics(tx, clean(merge_identity(tx, idn)), idn, True, materialize=False)
+    stats_plan = executed(stats)
+    assert "HashAggregate" in stats_plan and "partial_stddev_samp" in stats_plan
 
 
 def test_point_filter_reaches_the_scan(spark):
@@ -59,10 +66,13 @@ def test_entry_smoke(spark):
 
 
 def test_merge_runs_once_when_identity_ids_are_unique(spark):
-    """With broadcasts off (the 100 TB case) the pre-join statistics form
-    needs 2 sort-merge joins and 4 hash exchanges; the post-join form 3 and 6."""
+    """With broadcasts off (the 100 TB case): per-card statistics skip the
+    merge when identity ids are unique, and the feature plan itself needs
+    2 sort-merge joins and 4 hash exchanges (the statistics are checkpointed)."""
     import re
-    from cardlens.plans.etl import transform
+    from cardlens.operators.clean import clean
+    from cardlens.operators.merge import merge_identity
+    from cardlens.plans.etl import card_statistics, transform
     from cardlens.sources.adapter import load_sources
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
@@ -70,16 +80,43 @@ def test_merge_runs_once_when_identity_ids_are_unique(spark):
         spark.conf.set(k, "-1")
     try:
         tx, idn = load_sources(spark, SF_SMALL)
-        counts = {}
-        for uniq in (True, False):
-            df = transform(tx, idn, identity_unique=uniq)
-            df.write.format("noop").mode("overwrite").save()
-            plan = executed(df)
-            counts[uniq] = (plan.count("SortMergeJoin"), len(re.findall(r"Exchange hashpartitioning", plan)))
-        assert counts == {True: (2, 4), False: (3, 6)}
+        cleaned = clean(merge_identity(tx, idn))
+        joins = {u: optimized(card_statistics(tx, cleaned, idn, u, materialize=False)).count("Join ")
+                 for u in (True, False)}
+        assert joins == {True: 0, False: 1}
+        df = transform(tx, idn, identity_unique=True)
+        df.write.format("noop").mode("overwrite").save()
+        plan = executed(df)
+        assert plan.count("SortMergeJoin") == 2
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 4
+        assert "HashAggregate" not in plan
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_card_is_spread_and_result_unchanged(spark):
+    """One card holds a third of the rows: the salted join splits it, and the
+    features equal those of a plain broadcast join."""
+    from pyspark.sql import functions as F
+    from cardlens.operators.clean import clean
+    from cardlens.operators.features import card_aggregates, engineer_features
+    from cardlens.operators.merge import merge_identity
+    from cardlens.operators.skew import hot_keys
+    from cardlens.sources.adapter import load_sources
+    tx, idn = load_sources(spark, SF_SMALL)
+    tx = tx.withColumn("card1", F.when(F.col("TransactionID") % 3 == 0, F.lit(7)).otherwise(F.col("card1")))
+    c = clean(merge_identity(tx, idn))
+    stats = card_aggregates(c)
+    import math
+    n = {r["card1"]: r["card1_tx_count"] for r in stats.collect()}
+    assert n[7] * 3 >= 1000 - n.get(-999, 0)               # the hot card holds a third
+    hot = {r["card1"]: r["__salts"] for r in hot_keys(stats, "card1", "card1_tx_count", 50).collect()}
+    assert hot == {k: math.ceil(v / 50) for k, v in n.items() if v > 50}
+    assert hot[7] >= 7
+    salted = engineer_features(c, stats, hot_rows=50)
+    plain = engineer_features(c, stats, broadcast_aggregates=True)
+    assert sorted(salted.collect()) == sorted(plain.collect())
