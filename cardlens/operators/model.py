@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.rounding import half_away, ratio
 from ..schemas import KEY, LABEL, MODEL_FEATURES, NUMERIC_SENTINEL
-from .ranking import fraction_bucket, quantile_bucket, running_sum
+from .ranking import bucket_count, fraction_bucket, running_sum, with_quantile_bucket
 
 # ---------------------------------------------------------------------------
 # Feature matrix
@@ -75,8 +75,7 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY,
     quota = counts.select(label, F.floor(F.col("__n") * F.lit(test_fraction) + F.lit(0.5)).alias("__quota"))
     if buckets is None:
         # About a million rows per bucket; the bucket totals stay a small table.
-        n = counts.agg(F.max("__n")).first()[0] or 0
-        buckets = int(min(65536, max(16, -(-n // 1_000_000))))
+        buckets = bucket_count(counts.agg(F.max("__n")).first()[0] or 0)
     base = df.withColumn("__u", u).withColumn("__one", F.lit(1))
     ranked = running_sum(base, ["__u", key], "__one", "__rank",
                          bucket=fraction_bucket(F.col("__u"), buckets), by=[label])
@@ -239,15 +238,21 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability",
     distributed running sum over quantile buckets of the score.  No
     single-task sort.
     """
-    g = scored.groupBy(F.col(score).alias("__s")).agg(
+    g = scored.groupBy(F.col(score).cast("double").alias("__s")).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) != 1).alias("__neg"))
     if buckets is None:
-        buckets = 4 * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # A score known to lie in [0, 1] (a probability) is bucketed directly;
-    # any other score by quantile cut points (one sketch pass).
-    bucket = (fraction_bucket(F.col("__s"), buckets) if unit_interval
-              else quantile_bucket(g, "__s", buckets))
-    below = running_sum(g, ["__s"], "__neg", "__neg_below", bucket=bucket, inclusive=False)
+        # About a million distinct scores per bucket (one count of the
+        # grouped scores); never fewer than the shuffle partitions.
+        floor = 4 * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = bucket_count(g.count(), minimum=floor)
+    # Quantile ranges balance the buckets whatever the score's distribution
+    # (model probabilities crowd into a narrow range); ``unit_interval``
+    # uses fixed-width ranges of [0, 1] instead and skips the sketch.
+    if unit_interval:
+        g = g.withColumn("__b", fraction_bucket(F.col("__s"), buckets))
+    else:
+        g = with_quantile_bucket(g, "__s", "__b", buckets)
+    below = running_sum(g, ["__s"], "__neg", "__neg_below", bucket="__b", inclusive=False)
     agg = below.agg(
         F.sum(F.col("__pos").cast("double") * (F.col("__neg_below") + F.col("__neg") * F.lit(0.5))).alias("__num"),
         F.sum("__pos").cast("long").alias("n_pos"), F.sum("__neg").cast("long").alias("n_neg"))
@@ -301,7 +306,7 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
     # quantile sketch, AUC totals and rows): keep them for those jobs only.
     scored = predict(model, test, features, stats, keep=[label]).persist()
     m = classification_metrics(scored, label).first().asDict()
-    auc = roc_auc(scored, label, unit_interval=True).first()["roc_auc"]
+    auc = roc_auc(scored, label).first()["roc_auc"]
     scored.unpersist()
     metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
     metrics["roc_auc"] = float(auc) if auc is not None else float("nan")

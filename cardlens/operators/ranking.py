@@ -3,7 +3,7 @@
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row to one task.
 Here each row carries a *bucket*: a deterministic column that is
 non-decreasing in the sort order (a hash fraction scaled to the bucket
-count, or the number of quantile cut points below a score).  Each bucket is
+count, or the approximate-quantile range of a score).  Each bucket is
 one window partition; the per-bucket totals (one row per bucket and group,
 so bounded by the bucket count, not by the data) give every bucket its
 offset.  The bucket is a pure function of the row, so the two branches of
@@ -24,32 +24,42 @@ def fraction_bucket(fraction: Column, buckets: int) -> Column:
     return F.greatest(F.least(b, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
-def quantile_bucket(df: DataFrame, column: str, buckets: int, rel_error: float = 0.001) -> Column:
-    """Bucket of ``column`` by approximate quantile cut points.
-
-    ``approxQuantile`` is a distributed sketch; only the ``buckets - 1`` cut
-    points reach the driver.  Equal values always share a bucket.
+def with_quantile_bucket(df: DataFrame, column: str, out: str, buckets: int,
+                         rel_error: float | None = None) -> DataFrame:
+    """Add ``out``: the bucket of ``column`` among ``buckets`` approximate
+    quantile ranges (``QuantileDiscretizer``: a distributed sketch, only the
+    cut points reach the driver; then a binary search per row).  Equal values
+    always share a bucket, and buckets are non-decreasing in ``column``.
     """
     if buckets <= 1:
-        return F.lit(0)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(v for v in df.approxQuantile(column, probs, rel_error) if v is not None))
-    if not cuts:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(c)) for c in cuts])
-    return F.size(F.filter(arr, lambda cut: cut < F.col(column)))
+        return df.withColumn(out, F.lit(0))
+    from pyspark.ml.feature import QuantileDiscretizer
+    rel = rel_error if rel_error is not None else min(0.001, 0.1 / buckets)
+    qd = QuantileDiscretizer(numBuckets=buckets, inputCol=column, outputCol=out,
+                             relativeError=rel, handleInvalid="keep")
+    return qd.fit(df).transform(df).withColumn(out, F.col(out).cast("int"))
+
+
+def bucket_count(rows: int, rows_per_bucket: int = 1_000_000, minimum: int = 16,
+                 maximum: int = 100_000) -> int:
+    """Buckets so that each holds about ``rows_per_bucket`` rows."""
+    return int(min(maximum, max(minimum, -(-rows // rows_per_bucket))))
 
 
-def running_sum(df: DataFrame, order_cols: list[str], value: str, out: str, bucket: Column,
-                by: list[str] | None = None, inclusive: bool = True) -> DataFrame:
+def running_sum(df: DataFrame, order_cols: list[str], value: str, out: str,
+                bucket: Column | str, by: list[str] | None = None,
+                inclusive: bool = True) -> DataFrame:
     """Add ``out`` = sum of ``value`` over the rows before (and, with
     ``inclusive``, including) each row in ``order_cols`` order, per ``by`` group.
 
-    ``bucket`` must be non-decreasing in ``order_cols`` within a group, and
-    ``order_cols`` must be a total order (end with a unique key).
+    ``bucket`` (a column expression, or the name of an existing column) must
+    be non-decreasing in ``order_cols`` within a group, and ``order_cols`` must
+    be a total order (end with a unique key).
     """
     by = by or []
-    rows = df.withColumn(_B, bucket)
+    rows = df.withColumn(_B, F.col(bucket) if isinstance(bucket, str) else bucket)
+    if isinstance(bucket, str) and bucket != _B:
+        rows = rows.drop(bucket)
     totals = rows.groupBy(*(by + [_B])).agg(F.sum(value).alias("__bucket_total"))
     w_tot = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(_B)
     offsets = totals.select(*by, _B, F.coalesce(F.sum("__bucket_total").over(
