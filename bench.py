@@ -93,13 +93,9 @@ def main() -> None:
         df, present = model_frame(s.__class__(**{**s.__dict__, "staging": staged}))
         train, test = split_parts(df)
         train = ensure_parallelism(train).persist()
-        n = train.count()
-        stats = ML.fit_scaler(train, present)
-        out = {}
-        for name, cfg in ML.DEFAULT_CONFIGS:
-            out[name] = ML.train_and_evaluate(train, test, present, name, n_train=n, stats=stats, **cfg).metrics
+        runs = ML.run_experiments(train, test, present, extra_params=ML.split_profile(train, test))
         train.unpersist()
-        return out
+        return {r.run_name: r.metrics for r in runs}
     metrics = timed("model_3_runs", models)
 
     total = round(sum(times.values()), 3)

@@ -306,7 +306,10 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
     # quantile sketch, AUC totals and rows): keep them for those jobs only.
     scored = predict(model, test, features, stats, keep=[label]).persist()
     m = classification_metrics(scored, label).first().asDict()
-    auc = roc_auc(scored, label).first()["roc_auc"]
+    n_test = (extra_params or {}).get("test_size")
+    floor = 4 * int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    auc = roc_auc(scored, label, buckets=bucket_count(n_test, minimum=floor) if n_test else None
+                  ).first()["roc_auc"]
     scored.unpersist()
     metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
     metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
@@ -316,6 +319,32 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
     return RunResult(run_name, params, metrics, model, features, stats)
 
 
+def run_experiments(train: DataFrame, test: DataFrame, features: list[str], configs=None,
+                    stats: ScalerStats | None = None, extra_params: dict | None = None,
+                    parallelism: int = 3, label: str = LABEL) -> list[RunResult]:
+    """Fit and evaluate every configuration; results in configuration order.
+
+    The runs share the (persisted) training rows and are independent, so up
+    to ``parallelism`` of them are submitted at once from driver threads:
+    each run is a chain of small jobs, and concurrent runs keep the
+    executors busy instead of waiting on one another's job latency.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    configs = configs or DEFAULT_CONFIGS
+    extra = extra_params or {}
+    n_train = extra.get("train_size")
+    stats = stats or fit_scaler(train, features)
+
+    def one(item):
+        name, cfg = item
+        return train_and_evaluate(train, test, features, name, n_train=n_train, stats=stats,
+                                  label=label, extra_params=extra, **cfg)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(configs)))) as pool:
+        return list(pool.map(one, configs))
+
+
 def split_profile(train: DataFrame, test: DataFrame, label: str = LABEL) -> dict:
     """Training size, test size and training class prior (4 dp): one
     aggregate per part (A19)."""

@@ -191,14 +191,10 @@ def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool
     train = ensure_parallelism(df.where("split = 'train'")).persist()
     test = df.where("split = 'test'")
     prof = ML.split_profile(train, test)
-    stats = ML.fit_scaler(train, present)
-    runs = []
-    for name, cfg in (configs or ML.DEFAULT_CONFIGS):
-        r = ML.train_and_evaluate(train, test, present, name, n_train=prof["train_size"], stats=stats,
-                                  extra_params=prof, **cfg)
-        ML.save_model(r.model, f"{root}/models/{name}")
-        write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{name}")
-        runs.append(r)
+    runs = ML.run_experiments(train, test, present, configs, extra_params=prof)
+    for r in runs:
+        ML.save_model(r.model, f"{root}/models/{r.run_name}")
+        write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{r.run_name}")
     train.unpersist()
     write_parquet(ML.runs_frame(spark, runs), f"{root}/runs", mode="append")
     return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs}}

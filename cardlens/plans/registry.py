@@ -800,10 +800,7 @@ def _experiments(spark, sf):
         train, test = split_parts(df)
         train = ensure_parallelism(train).persist()
         prof = ML.split_profile(train, test)
-        stats = ML.fit_scaler(train, present)
-        runs = [ML.train_and_evaluate(train, test, present, name, n_train=prof["train_size"], stats=stats,
-                                      extra_params=prof, **cfg)
-                for name, cfg in ML.DEFAULT_CONFIGS]
+        runs = ML.run_experiments(train, test, present, extra_params=prof)
         train.unpersist()
         _RUNS[memo] = (runs, test, present)
     return _RUNS[memo]
