@@ -75,14 +75,21 @@ def flag_sums(flags: list[str], names: list[str]) -> list:
     return [F.sum(f).cast("long").alias(n) for f, n in zip(flags, names)]
 
 
-def share_of_total(df: DataFrame, column: str, alias: str, digits: int = 2) -> DataFrame:
+def share_of_total(df: DataFrame, column: str, alias: str, digits: int = 2,
+                   bounded: bool = True) -> DataFrame:
     """``ROUND(x * 100.0 / SUM(x) OVER (), digits)`` over an aggregated frame.
 
-    The empty ``OVER ()`` gathers the frame in one partition, which is safe
-    only for an aggregate with a bounded number of groups (``fraud_hourly``
-    has at most 24 x 2).  NULL when the total is 0.
+    ``bounded=True``: the empty ``OVER ()`` gathers the frame in one
+    partition, which is right for an aggregate with a bounded number of
+    groups (``fraud_hourly`` has at most 24 x 2).  ``bounded=False``: the
+    total is one global aggregate (partial sums per task) whose single value
+    becomes a literal, so a frame of any size stays distributed.  NULL when
+    the total is 0.
     """
-    total = F.sum(column).over(Window.partitionBy())
+    if bounded:
+        total = F.sum(column).over(Window.partitionBy())
+    else:
+        total = F.lit(df.agg(F.sum(column)).first()[0])
     return df.withColumn(alias, ratio(F.col(column), total, digits=digits))
 
 

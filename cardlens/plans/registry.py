@@ -782,10 +782,18 @@ def q_roc_auc(spark, sf):
     return ML.roc_auc(stages(spark, sf).staging, score="TransactionAmt")
 
 
-@register("feature_vector")
+_VECTOR_SQL = "\nUNION ALL\n".join(
+    f"SELECT TransactionID, {i} AS position, {O.half_away(f'CAST({c} AS DOUBLE)', 6)} AS value FROM staging"
+    for i, c in enumerate(MODEL_FEATURES))
+
+
+@register("feature_vector", O.with_stage("staging", _VECTOR_SQL))
 def q_feature_vector(spark, sf):
+    # The assembled matrix in coordinate form: one row per (transaction, position).
     df, present = model_frame(stages(spark, sf))
-    return ML.assembler(present).transform(df).select(KEY, vector_to_array("features").alias("features"))
+    vec = ML.assembler(present).transform(df)
+    return (vec.select(KEY, F.posexplode(vector_to_array("features")).alias("position", "value"))
+            .withColumn("value", half_away("value", 6)))
 
 
 # Fitted experiments are kept per (application, folder) so that several keys

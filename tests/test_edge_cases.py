@@ -77,3 +77,11 @@ def test_staging_drops_sentinel_amount_but_marts_keep_sentinel_card(spark):
     assert stg.where(F.col("transaction_id") == 1).count() == 0
     s = fraud_summary(stg, min_transactions=1)
     assert s.where("card1 = -999").count() == 1
+
+
+def test_share_of_total_bounded_and_unbounded_agree(spark):
+    from cardlens.operators.marts import share_of_total
+    df = spark.createDataFrame([(i, i * 3) for i in range(50)], "g INT, n BIGINT")
+    a = share_of_total(df, "n", "pct").orderBy("g").collect()
+    b = share_of_total(df, "n", "pct", bounded=False).orderBy("g").collect()
+    assert a == b and abs(sum(r["pct"] for r in a) - 100) < 0.5
