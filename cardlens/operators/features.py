@@ -71,7 +71,10 @@ def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
     if broadcast_aggregates:
         joined = rows.join(F.broadcast(agg), on=card, how="left")
     else:
-        joined = salted_left_join(rows, agg, card, "card1_tx_count", key, hot_rows)
+        # The sentinel card is excluded from the statistics: its rows never
+        # match and are spread too.
+        joined = salted_left_join(rows, agg, card, "card1_tx_count", key, hot_rows,
+                                  never_match=[NUMERIC_SENTINEL])
     return joined.select(
         *[F.col(c) for c in rows.columns],
         F.coalesce(F.col("card1_tx_count"), F.lit(0).cast("long")).alias("card1_tx_count"),

@@ -11,9 +11,10 @@ keys are found without sampling:
   ``ceil(rows / hot_rows)`` salts.  Since the counts add up to the row
   total N, ``hot`` has at most ``N / hot_rows`` rows: a broadcast whose size
   is bounded by construction.
-* a row of a hot key gets salt ``pmod(xxhash64(row id), salts)``; any other
-  row gets salt 0.  The salt is a pure function of the row, so a retried task
-  sends every row to the same place.
+* a row of a hot key gets salt ``pmod(xxhash64(row id), salts)``; a row
+  whose key cannot match (NULL, or a known sentinel) gets one of ``spread``
+  salts; any other row gets salt 0.  The salt is a pure function of the
+  row, so a retried task sends every row to the same place.
 * the lookup row of a hot key is repeated once per salt (``explode`` of
   ``sequence``), other lookup rows once with salt 0.
 
@@ -38,16 +39,26 @@ def hot_keys(lookup: DataFrame, key: str, count_col: str, hot_rows: int) -> Data
 
 
 def salted_left_join(rows: DataFrame, lookup: DataFrame, key: str, count_col: str,
-                     row_id: str, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                     row_id: str, hot_rows: int = DEFAULT_HOT_ROWS,
+                     never_match: list | tuple = (), spread: int = 1024) -> DataFrame:
     """``rows LEFT JOIN lookup USING (key)`` with hot keys spread over salts.
 
     ``count_col`` is the lookup's per-key row count, ``row_id`` a column
-    that tells rows apart (the transaction id).
+    that tells rows apart (the transaction id).  Rows whose key is NULL or
+    one of ``never_match`` (values known to be absent from the lookup, such
+    as a sentinel) cannot find a partner, so any salt is right for them:
+    they are spread over ``spread`` salts, since such a group may be the
+    largest of all and the lookup cannot count it.
     """
     hot = F.broadcast(hot_keys(lookup, key, count_col, hot_rows))
+    h = F.xxhash64(F.col(row_id))
+    unmatched = F.col(key).isNull()
+    if never_match:
+        unmatched = unmatched | F.col(key).isin(*never_match)
     salted_rows = (rows.join(hot, on=key, how="left")
-                   .withColumn(_SALT, F.when(F.col(_SALTS).isNull(), F.lit(0))
-                               .otherwise(F.pmod(F.xxhash64(F.col(row_id)), F.col(_SALTS)).cast("int")))
+                   .withColumn(_SALT, F.when(unmatched, F.pmod(h, F.lit(spread)).cast("int"))
+                               .when(F.col(_SALTS).isNull(), F.lit(0))
+                               .otherwise(F.pmod(h, F.col(_SALTS)).cast("int")))
                    .drop(_SALTS))
     salted_lookup = (lookup.join(hot, on=key, how="left")
                      .withColumn(_SALT, F.explode(F.sequence(

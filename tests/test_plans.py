@@ -120,3 +120,24 @@ def test_hot_card_is_spread_and_result_unchanged(spark):
     salted = engineer_features(c, stats, hot_rows=50)
     plain = engineer_features(c, stats, broadcast_aggregates=True)
     assert sorted(salted.collect()) == sorted(plain.collect())
+
+
+def test_missing_cards_are_spread_too(spark):
+    """A third of the rows lack a card (sentinel -999 after cleaning): they
+    can match nothing, get many salts, and the result equals the plain join."""
+    from pyspark.sql import functions as F
+    from cardlens.operators.clean import clean
+    from cardlens.operators.features import card_aggregates, engineer_features
+    from cardlens.operators.merge import merge_identity
+    from cardlens.operators.skew import salted_left_join
+    from cardlens.sources.adapter import load_sources
+    tx, idn = load_sources(spark, SF_SMALL)
+    tx = tx.withColumn("card1", F.when(F.col("TransactionID") % 3 == 0, F.lit(None)).otherwise(F.col("card1")))
+    c = clean(merge_identity(tx, idn))
+    stats = card_aggregates(c)
+    salted = engineer_features(c, stats)
+    plain = engineer_features(c, stats, broadcast_aggregates=True)
+    assert sorted(salted.collect()) == sorted(plain.collect())
+    probe = salted_left_join(c.select("TransactionID", "card1").withColumn("__probe", F.col("card1")),
+                             stats, "card1", "card1_tx_count", "TransactionID", never_match=[-999])
+    assert probe.where("card1 = -999").count() == c.where("card1 = -999").count()
