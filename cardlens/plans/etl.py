@@ -115,8 +115,12 @@ def extract(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
             "fraud_rate_pct": tx_stats["fraud_rate_pct"], "identity_unique": id_stats["unique_tx"]}
 
 
-def run_transform(spark: SparkSession, root: str) -> dict:
-    """raw Parquet -> 71-column staging Parquet, rows counted on the write."""
+def run_transform(spark: SparkSession, root: str, partition_by: list[str] | None = None) -> dict:
+    """raw Parquet -> 71-column staging Parquet, rows counted on the write.
+
+    ``partition_by=["tx_day"]`` lays the table out by day, so that later
+    reads filtered on the day skip whole folders (partition pruning).
+    """
     from ..sources.guards import require_paths
     from ..sources.sinks import write_parquet
 
@@ -127,7 +131,7 @@ def run_transform(spark: SparkSession, root: str) -> dict:
     bucketed = spark.catalog.tableExists("raw_transactions") and spark.catalog.tableExists("raw_identity")
     tx = spark.table("raw_transactions") if bucketed else spark.read.parquet(raw_tx)
     idn = spark.table("raw_identity") if bucketed else spark.read.parquet(raw_id)
-    info = write_parquet(transform(tx, idn), f"{root}/staging_fraud")
+    info = write_parquet(transform(tx, idn), f"{root}/staging_fraud", partition_by=partition_by)
     return {"feature_rows": info["rows"], "parquet_path": info["path"]}
 
 
