@@ -15,7 +15,7 @@ from ..operators.features import card_aggregates, engineer_features
 from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.merge import merge_identity
 from ..schemas import AMOUNT, CARD, KEY, LABEL, NUMERIC_SENTINEL
-from ..session import checkpoint_root, ensure_parallelism
+from ..session import ensure_parallelism, scratch_path
 from ..sources.adapter import load_sources
 
 
@@ -51,15 +51,18 @@ def card_statistics(transactions: DataFrame, cleaned: DataFrame, identity: DataF
 
     The table has one row per card and is read twice downstream (the hot-card
     list and the lookup of the salted join), so by default it is computed
-    once and checkpointed to the shared checkpoint folder; that also cuts the
-    lineage of the feature plan.
+    once and written as Parquet below the shared checkpoint folder; that
+    cuts the lineage of the feature plan, survives executor loss, and gives
+    the optimizer the table's real size for its broadcast decision.
     """
     if identity_unique is None:
         identity_unique = identity_ids_unique(identity)
     stats = card_aggregates(card_inputs(transactions) if identity_unique else cleaned)
     if materialize:
-        checkpoint_root(stats.sparkSession)
-        stats = stats.checkpoint(eager=True)
+        spark = stats.sparkSession
+        path = scratch_path(spark, "card-statistics")
+        stats.write.mode("overwrite").parquet(path)
+        stats = spark.read.parquet(path)
     return stats
 
 
