@@ -118,20 +118,20 @@ def extract(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
             "fraud_rate_pct": tx_stats["fraud_rate_pct"], "identity_unique": id_stats["unique_tx"]}
 
 
-def run_transform(spark: SparkSession, root: str, partition_by: list[str] | None = None) -> dict:
+def run_transform(spark: SparkSession, root: str, partition_by: list[str] | None = None,
+                  bucketed: bool = False) -> dict:
     """raw Parquet -> 71-column staging Parquet, rows counted on the write.
 
     ``partition_by=["tx_day"]`` lays the table out by day, so that later
     reads filtered on the day skip whole folders (partition pruning).
+    ``bucketed=True`` reads the bucketed catalog tables written by
+    ``extract(buckets=...)``; bucketing is only known through the catalog.
     """
     from ..sources.guards import require_paths
     from ..sources.sinks import write_parquet
 
     raw_tx, raw_id = f"{root}/raw_transactions", f"{root}/raw_identity"
     require_paths(spark, {"raw_transactions": raw_tx, "raw_identity": raw_id}, "transform")
-    # Bucketed catalog tables (see ``extract(buckets=...)``) keep their
-    # bucketing only when read through the catalog.
-    bucketed = spark.catalog.tableExists("raw_transactions") and spark.catalog.tableExists("raw_identity")
     tx = spark.table("raw_transactions") if bucketed else spark.read.parquet(raw_tx)
     idn = spark.table("raw_identity") if bucketed else spark.read.parquet(raw_id)
     info = write_parquet(transform(tx, idn), f"{root}/staging_fraud", partition_by=partition_by)
@@ -205,3 +205,22 @@ def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool
     train.unpersist()
     write_parquet(ML.runs_frame(spark, runs), f"{root}/runs", mode="append")
     return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs}}
+
+
+def run_pipeline(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
+                 sample_size: int | None = None, buckets: int | None = None,
+                 suite_args: dict | None = None, soft_args: dict | None = None,
+                 train_models: bool = True) -> dict:
+    """All stages in order, each writing below ``root``; returns their metrics.
+
+    A failed quality gate stops the run before anything is loaded, like the
+    hard failure of the validation stage it replaces.
+    """
+    out = {"extract": extract(spark, tx_csv, identity_csv, root, sample_size, buckets)}
+    out["transform"] = run_transform(spark, root, bucketed=bool(buckets))
+    out["validate"] = validate(spark, root, **(suite_args or {}))
+    out["load"] = load(spark, root, table_path=f"{root}/warehouse/staging_fraud", **(soft_args or {}))
+    out["marts"] = build_marts(spark, spark.read.parquet(f"{root}/staging_fraud"), root)
+    if train_models:
+        out["experiments"] = experiments(spark, root)
+    return out

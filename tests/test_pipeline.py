@@ -49,3 +49,14 @@ def test_stages_end_to_end(spark, csv_inputs):
     runs = spark.read.parquet(f"{root}/runs")
     assert runs.count() == 3
     assert spark.read.option("header", True).csv(f"{root}/feature_analysis/baseline_C1.0").count() == 22
+
+
+def test_command_line_runs_the_pipeline(spark, csv_inputs, capsys):
+    import json
+    from cardlens.__main__ import main
+    root = scratch_path(spark, "pipeline-cli")
+    main(["--transactions", csv_inputs[0], "--identity", csv_inputs[1], "--root", root,
+          "--min-rows", "1", "--max-rows", "10000", "--no-models", "--buckets", "4"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["transform"]["feature_rows"] == 1000
+    assert out["marts"]["failed_tests"] == []
