@@ -115,7 +115,7 @@ def extract(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
     id_stats = identity_summary(idn).first().asDict()
     return {"transactions_rows": c_tx["rows"], "transactions_malformed": c_tx["malformed"],
             "identity_rows": c_id["rows"], "fraud_count": tx_stats["fraud_count"],
-            "fraud_rate_pct": tx_stats["fraud_rate_pct"], "identity_unique": id_stats["unique_tx"]}
+            "fraud_rate_pct": tx_stats["fraud_rate_pct"], "identity_distinct_ids": id_stats["unique_tx"]}
 
 
 def run_transform(spark: SparkSession, root: str, partition_by: list[str] | None = None,
@@ -225,7 +225,7 @@ def run_pipeline(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
     # known; equal counts mean unique ids (NULL ids make them differ, which
     # only selects the slower, always-correct form).
     out["transform"] = run_transform(spark, root, bucketed=bool(buckets),
-                                     identity_unique=ex["identity_rows"] == ex["identity_unique"])
+                                     identity_unique=ex["identity_rows"] == ex["identity_distinct_ids"])
     out["validate"] = validate(spark, root, **(suite_args or {}))
     out["load"] = load(spark, root, table_path=f"{root}/warehouse/staging_fraud", **(soft_args or {}))
     out["marts"] = build_marts(spark, spark.read.parquet(f"{root}/staging_fraud"), root)

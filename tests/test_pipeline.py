@@ -24,7 +24,7 @@ def test_stages_end_to_end(spark, csv_inputs):
     root = scratch_path(spark, "pipeline")
     ex = etl.extract(spark, *csv_inputs, root)
     assert ex["transactions_rows"] == 1000 and ex["transactions_malformed"] == 0
-    assert ex["identity_rows"] == 250 and ex["identity_unique"] == 250
+    assert ex["identity_rows"] == 250 and ex["identity_distinct_ids"] == 250
 
     tr = etl.run_transform(spark, root)
     assert tr["feature_rows"] == 1000
