@@ -104,6 +104,20 @@ def add_weights(df: DataFrame, weights: DataFrame, label: str = LABEL, out: str
     return df.join(F.broadcast(weights.select(label, F.col("weight").alias(out))), on=label, how="left")
 
 
+def weight_values(weights: DataFrame, label: str = LABEL) -> dict:
+    """{class: weight}; one row per class reaches the driver."""
+    return {r[label]: float(r["weight"]) for r in weights.collect()}
+
+
+def weight_expression(values: dict, label: str = LABEL) -> Column:
+    """The per-class weight as a CASE expression (no join)."""
+    expr = None
+    for cls, w in sorted(values.items()):
+        expr = (F.when(F.col(label) == F.lit(cls), F.lit(w)) if expr is None
+                else expr.when(F.col(label) == F.lit(cls), F.lit(w)))
+    return expr.otherwise(F.lit(None).cast("double"))
+
+
 @dataclass
 class ScalerStats:
     mean: dict
@@ -291,7 +305,8 @@ class RunResult:
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], run_name: str,
                        C: float, max_iter: int, class_weight: str | None = None,
                        n_train: int | None = None, stats: ScalerStats | None = None,
-                       label: str = LABEL, extra_params: dict | None = None) -> RunResult:
+                       label: str = LABEL, extra_params: dict | None = None,
+                       weights: dict | None = None) -> RunResult:
     """Fit on ``train``, score ``test``, return metrics and the model (M5-M8).
 
     ``extra_params`` (sizes, class prior) are logged with the run."""
@@ -299,7 +314,8 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
     stats = stats or fit_scaler(train, features)
     weight_col = None
     if class_weight == "balanced":
-        train = add_weights(train, class_weights(train, label), label, "__w")
+        values = weights or weight_values(class_weights(train, label), label)
+        train = train.withColumn("__w", weight_expression(values, label))
         weight_col = "__w"
     model = logistic_pipeline(features, stats, C, max_iter, n_train, weight_col, label).fit(train)
     # Three narrow columns per test row, read by four small jobs (metrics,
@@ -335,11 +351,13 @@ def run_experiments(train: DataFrame, test: DataFrame, features: list[str], conf
     extra = extra_params or {}
     n_train = extra.get("train_size")
     stats = stats or fit_scaler(train, features)
+    weights = (weight_values(class_weights(train, label), label)
+               if any(cfg.get("class_weight") == "balanced" for _n, cfg in configs) else None)
 
     def one(item):
         name, cfg = item
         return train_and_evaluate(train, test, features, name, n_train=n_train, stats=stats,
-                                  label=label, extra_params=extra, **cfg)
+                                  label=label, extra_params=extra, weights=weights, **cfg)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(configs)))) as pool:
         return list(pool.map(one, configs))
