@@ -92,9 +92,7 @@ def main() -> None:
     def models():
         df, present = model_frame(s.__class__(**{**s.__dict__, "staging": staged}))
         train, test = split_parts(df)
-        train = ensure_parallelism(train).persist()
-        runs = ML.run_experiments(train, test, present, extra_params=ML.split_profile(train, test))
-        train.unpersist()
+        runs = ML.run_experiments(ensure_parallelism(train), test, present)
         return {r.run_name: r.metrics for r in runs}
     metrics = timed("model_3_runs", models)
 

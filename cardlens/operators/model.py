@@ -9,6 +9,7 @@ aggregate over the scored test rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -335,29 +336,56 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
     return RunResult(run_name, params, metrics, model, features, stats)
 
 
+def training_statistics(train: DataFrame, features: list[str], label: str = LABEL
+                        ) -> tuple[ScalerStats, dict, dict]:
+    """One aggregate pass over the training rows: feature means and
+    population deviations (scaler), ``balanced`` weights of the two classes,
+    and the size and class prior (4 dp) logged with each run (A19).
+    The label is 0/1."""
+    row = train.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos"),
+                    *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(features)],
+                    *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(features)]).first()
+    stats = ScalerStats({c: row[f"m_{i}"] for i, c in enumerate(features)},
+                        {c: row[f"s_{i}"] for i, c in enumerate(features)})
+    n, pos = int(row["n"]), int(row["pos"] or 0)
+    weights = {1: n / (2 * pos), 0: n / (2 * (n - pos))} if 0 < pos < n else {}
+    prior = math.floor(pos * 10000.0 / n + 0.5) / 10000.0 if n else None
+    return stats, weights, {"train_size": n, "fraud_rate_train": prior}
+
+
+# Concurrent fits each hold their own cached instance blocks; run them side
+# by side only while those copies are small.
+CONCURRENT_FIT_BUDGET_BYTES = 8 * 1024 ** 3
+
+
 def run_experiments(train: DataFrame, test: DataFrame, features: list[str], configs=None,
-                    stats: ScalerStats | None = None, extra_params: dict | None = None,
-                    parallelism: int = 3, label: str = LABEL) -> list[RunResult]:
+                    parallelism: int | None = None, label: str = LABEL,
+                    extra_params: dict | None = None) -> list[RunResult]:
     """Fit and evaluate every configuration; results in configuration order.
 
-    The runs share the (persisted) training rows and are independent, so up
-    to ``parallelism`` of them are submitted at once from driver threads:
-    each run is a chain of small jobs, and concurrent runs keep the
-    executors busy instead of waiting on one another's job latency.
+    Spark's logistic regression caches its own blocks of training instances
+    for the iterations, so the training rows are not cached here (that would
+    be a second copy); the scaler, class weights and sizes come from one
+    aggregate pass.  Runs are independent; when the instance blocks of all
+    runs together stay under ``CONCURRENT_FIT_BUDGET_BYTES`` they are
+    submitted at once from driver threads (each run is a chain of small
+    jobs, and concurrent runs keep the executors busy), otherwise one after
+    the other so only one block cache exists at a time.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     configs = configs or DEFAULT_CONFIGS
-    extra = extra_params or {}
-    n_train = extra.get("train_size")
-    stats = stats or fit_scaler(train, features)
-    weights = (weight_values(class_weights(train, label), label)
-               if any(cfg.get("class_weight") == "balanced" for _n, cfg in configs) else None)
+    stats, weights, profile = training_statistics(train, features, label)
+    extra = {**profile, "test_size": int(test.count()), **(extra_params or {})}
+    if parallelism is None:
+        block_bytes = extra["train_size"] * (len(features) + 2) * 8
+        parallelism = len(configs) if block_bytes * len(configs) <= CONCURRENT_FIT_BUDGET_BYTES else 1
 
     def one(item):
         name, cfg = item
-        return train_and_evaluate(train, test, features, name, n_train=n_train, stats=stats,
-                                  label=label, extra_params=extra, weights=weights, **cfg)
+        return train_and_evaluate(train, test, features, name, n_train=extra["train_size"],
+                                  stats=stats, label=label, extra_params=extra,
+                                  weights=weights or None, **cfg)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(configs)))) as pool:
         return list(pool.map(one, configs))

@@ -198,14 +198,12 @@ def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool
     present, missing = ML.select_features(staged, MODEL_FEATURES)
     df = ML.stratified_split(ML.fill_features(staged.select("TransactionID", LABEL, *present), present),
                              exact=exact_split)
-    train = ensure_parallelism(df.where("split = 'train'")).persist()
+    train = ensure_parallelism(df.where("split = 'train'"))
     test = df.where("split = 'test'")
-    prof = ML.split_profile(train, test)
-    runs = ML.run_experiments(train, test, present, configs, extra_params=prof)
+    runs = ML.run_experiments(train, test, present, configs)
     for r in runs:
         ML.save_model(r.model, f"{root}/models/{r.run_name}")
         write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{r.run_name}")
-    train.unpersist()
     write_parquet(ML.runs_frame(spark, runs), f"{root}/runs", mode="append")
     return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs}}
 

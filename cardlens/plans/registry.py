@@ -806,10 +806,7 @@ def _experiments(spark, sf):
     if memo not in _RUNS:
         df, present = model_frame(stages(spark, sf))
         train, test = split_parts(df)
-        train = ensure_parallelism(train).persist()
-        prof = ML.split_profile(train, test)
-        runs = ML.run_experiments(train, test, present, extra_params=prof)
-        train.unpersist()
+        runs = ML.run_experiments(ensure_parallelism(train), test, present)
         _RUNS[memo] = (runs, test, present)
     return _RUNS[memo]
 
