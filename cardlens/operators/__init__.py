@@ -1 +1,2 @@
-"""cardlens package."""
+"""DataFrame -> DataFrame operators: merge, clean, features, skew-safe
+joins, profiles, marts, data quality, ranking and modelling."""

@@ -1 +1 @@
-"""cardlens package."""
+"""The row-level transform applied to an incoming file stream."""
