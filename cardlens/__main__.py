@@ -1,4 +1,4 @@
-"""Run the whole pipeline from the command line.
+"""Run all stages from the command line.
 
     python -m cardlens --transactions tx.csv --identity id.csv --root s3a://bucket/fraud
 """
@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from .plans.etl import run_pipeline
+from .plans.etl import run_all_stages
 from .session import build_session
 
 
@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName("cardlens").getOrCreate()
-    result = run_pipeline(spark, a.transactions, a.identity, a.root, a.sample_size, a.buckets,
+    result = run_all_stages(spark, a.transactions, a.identity, a.root, a.sample_size, a.buckets,
                           suite_args={"min_rows": a.min_rows, "max_rows": a.max_rows},
                           soft_args={"min_rows": a.min_rows}, train_models=not a.no_models)
     print(json.dumps(result, default=str))

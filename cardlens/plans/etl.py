@@ -208,7 +208,7 @@ def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool
     return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs}}
 
 
-def run_pipeline(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
+def run_all_stages(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
                  sample_size: int | None = None, buckets: int | None = None,
                  suite_args: dict | None = None, soft_args: dict | None = None,
                  train_models: bool = True) -> dict:

@@ -1,4 +1,4 @@
-"""The whole pipeline through the stage functions, from CSV files."""
+"""All stages through the stage functions, from CSV files."""
 
 from __future__ import annotations
 
@@ -14,14 +14,14 @@ from tests.conftest import SF_SMALL
 @pytest.fixture()
 def csv_inputs(spark):
     tx, idn = load_sources(spark, SF_SMALL)
-    tx_csv, id_csv = scratch_path(spark, "pipe-tx-csv"), scratch_path(spark, "pipe-id-csv")
+    tx_csv, id_csv = scratch_path(spark, "stages-tx-csv"), scratch_path(spark, "stages-id-csv")
     tx.write.option("header", True).csv(tx_csv)
     idn.write.option("header", True).csv(id_csv)
     return tx_csv, id_csv
 
 
 def test_stages_end_to_end(spark, csv_inputs):
-    root = scratch_path(spark, "pipeline")
+    root = scratch_path(spark, "stages")
     ex = etl.extract(spark, *csv_inputs, root)
     assert ex["transactions_rows"] == 1000 and ex["transactions_malformed"] == 0
     assert ex["identity_rows"] == 250 and ex["identity_distinct_ids"] == 250
@@ -51,10 +51,10 @@ def test_stages_end_to_end(spark, csv_inputs):
     assert spark.read.option("header", True).csv(f"{root}/feature_analysis/baseline_C1.0").count() == 22
 
 
-def test_command_line_runs_the_pipeline(spark, csv_inputs, capsys):
+def test_command_line_runs_all_stages(spark, csv_inputs, capsys):
     import json
     from cardlens.__main__ import main
-    root = scratch_path(spark, "pipeline-cli")
+    root = scratch_path(spark, "stages-cli")
     main(["--transactions", csv_inputs[0], "--identity", csv_inputs[1], "--root", root,
           "--min-rows", "1", "--max-rows", "10000", "--no-models", "--buckets", "4"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
