@@ -364,9 +364,9 @@ def run_experiments(train: DataFrame, test: DataFrame, features: list[str], conf
     """Fit and evaluate every configuration; results in configuration order.
 
     Spark's logistic regression caches its own blocks of training instances
-    for the iterations, so the training rows are not cached here (that would
-    be a second copy); the scaler, class weights and sizes come from one
-    aggregate pass.  Runs are independent; when the instance blocks of all
+    for the iterations, so large training rows are not cached here (that
+    would be a second copy); the scaler, class weights and sizes come from
+    one aggregate pass.  Runs are independent; when the instance blocks of all
     runs together stay under ``CONCURRENT_FIT_BUDGET_BYTES`` they are
     submitted at once from driver threads (each run is a chain of small
     jobs, and concurrent runs keep the executors busy), otherwise one after
@@ -377,18 +377,27 @@ def run_experiments(train: DataFrame, test: DataFrame, features: list[str], conf
     configs = configs or DEFAULT_CONFIGS
     stats, weights, profile = training_statistics(train, features, label)
     extra = {**profile, "test_size": int(test.count()), **(extra_params or {})}
+    block_bytes = extra["train_size"] * (len(features) + 2) * 8
+    small = block_bytes * len(configs) <= CONCURRENT_FIT_BUDGET_BYTES
     if parallelism is None:
-        block_bytes = extra["train_size"] * (len(features) + 2) * 8
-        parallelism = len(configs) if block_bytes * len(configs) <= CONCURRENT_FIT_BUDGET_BYTES else 1
+        parallelism = len(configs) if small else 1
+    # Small training sets are also kept for the runs (the extra copy is
+    # cheap and saves re-reading the source once per fit); large ones are
+    # left to the solver's own block cache.
+    rows = train.persist() if small else train
 
     def one(item):
         name, cfg = item
-        return train_and_evaluate(train, test, features, name, n_train=extra["train_size"],
+        return train_and_evaluate(rows, test, features, name, n_train=extra["train_size"],
                                   stats=stats, label=label, extra_params=extra,
                                   weights=weights or None, **cfg)
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(configs)))) as pool:
-        return list(pool.map(one, configs))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(configs)))) as pool:
+            return list(pool.map(one, configs))
+    finally:
+        if small:
+            rows.unpersist()
 
 
 def split_profile(train: DataFrame, test: DataFrame, label: str = LABEL) -> dict:
