@@ -35,8 +35,10 @@ from cardlens.sources import sinks as SK  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    # BENCH_EVENT_LOG=<folder> keeps Spark's event log for stage/task times.
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g"},
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG") or None)
     times: dict[str, float] = {}
 
     def timed(name, fn):

@@ -30,10 +30,16 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "cardlens", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "cardlens", extra: dict | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A session with ``DEFAULT_CONF``.  ``event_log_dir`` writes Spark's
+    event log there (stage and task times, read offline; no UI is started)."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if event_log_dir:
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = event_log_dir
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -141,3 +141,19 @@ def test_missing_cards_are_spread_too(spark):
     probe = salted_left_join(c.select("TransactionID", "card1").withColumn("__probe", F.col("card1")),
                              stats, "card1", "card1_tx_count", "TransactionID", never_match=[-999])
     assert probe.where("card1 = -999").count() == c.where("card1 = -999").count()
+
+
+def test_ensure_parallelism_only_spreads_small_inputs(spark):
+    from cardlens.session import ensure_parallelism
+    n = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    many = spark.range(0, 100, 1, n * 2)
+    assert ensure_parallelism(one).rdd.getNumPartitions() == n
+    assert ensure_parallelism(many) is many
+
+
+def test_bucket_count_grows_with_rows():
+    from cardlens.operators.ranking import bucket_count
+    assert bucket_count(10) == 16
+    assert bucket_count(10 ** 9) == 1000
+    assert bucket_count(10 ** 13) == 100_000
