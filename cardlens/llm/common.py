@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import path_size, scratch_path
 
 #: Bytes of text that a task turns into Python objects at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -198,6 +198,42 @@ def shingle_sets(column: pa.Array, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return sorted_sets(mix64(acc), rows, len(counts))
 
 
-__all__ = ["ship_package", "read_table", "materialize", "discard", "tasks_for", "input_bytes", "binary_list", "slices",
+class IntTable:
+    """int64 keys (not negative) -> int32 values, looked up in bulk.
+
+    Open addressing with linear probing; of equal keys the first one counts."""
+
+    MISSING = np.int32(2**31 - 1)
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(8, int(len(keys) * 4).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(self.mask + 1, -1, np.int64)
+        self.values = np.full(self.mask + 1, self.MISSING, np.int32)
+        for key, value, slot in zip(keys.tolist(), values.tolist(), self.slot(keys).tolist()):
+            while self.keys[slot] not in (-1, key):
+                slot = (slot + 1) & self.mask
+            if self.keys[slot] == -1:
+                self.keys[slot], self.values[slot] = key, value
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Value of each key; MISSING where there is none."""
+        slot = self.slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.values[slot], self.MISSING)
+        open_ = np.flatnonzero((held != keys) & (held != -1))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.mask
+            held = self.keys[slot[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.values[slot[open_[hit]]]
+            open_ = open_[~hit & (held != -1)]
+        return out
+
+
+__all__ = ["IntTable", "ship_package", "read_table", "materialize", "discard", "tasks_for", "input_bytes", "binary_list", "slices",
            "arrow_map", "ragged", "mix64", "split_words", "word_hashes",
            "sorted_sets", "shingle_sets"]

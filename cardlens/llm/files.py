@@ -26,7 +26,7 @@ def new_file(folder: str, stem: str, suffix: str):
     fs, base = file_system(folder)
     fs.create_dir(base, recursive=True)
     name = f"{stem}-{uuid.uuid4().hex[:12]}{suffix}"
-    with fs.open_output_stream(f"{base}/_{name}") as out:
+    with fs.open_output_stream(f"{base}/_{name}", compression=None) as out:
         yield out, f"{folder}/{name}"
     fs.move(f"{base}/_{name}", f"{base}/{name}")
 

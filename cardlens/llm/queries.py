@@ -16,6 +16,44 @@ def vocabulary(name: str) -> str:
 
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
+
+def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import op1
+    return op1(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
+
+
+def op2_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import op2
+    return op2(read_table(spark, sf_dir, "conversations"), vocabulary(BYTE_RANKS))
+
+
+def op4_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import build_lexicon, digests, encode
+    docs, path = read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE)
+    return digests(encode(docs, path, build_lexicon(docs, path)), path)
+
+
+def op5_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import op5
+    return op5(spark, read_table(spark, sf_dir, "pages"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import op6
+    return op6(read_table(spark, sf_dir, "documents"))
+
+
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linerules import assess
+    return assess(read_table(spark, sf_dir, "documents"))
+
+
+def op8_segment_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import op8
+    return op8(read_table(spark, sf_dir, "documents"), vocabulary(PIECES))
 
 
 def op9_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +69,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: shipped(f) for f in (op9_bit_packing,)
+    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}

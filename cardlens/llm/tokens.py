@@ -54,7 +54,7 @@ class ChunkEncoder:
     numbers, a word a run of ids.  New words are resolved together at the end
     of a call by ``resolve``; the tables start anew past ``limit`` chunks."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 250_000):
         self.tokenizer, self.pattern = load(path)
         self.model = self.tokenizer.model
         self.alphabet = dict(enumerate(byte_alphabet()))
@@ -75,7 +75,6 @@ class ChunkEncoder:
                 return k
 
         words = self.words = Words()
-        letters, split = str.isalpha, self.pattern.findall
         lens, flat = self.new_lens, self.new_words
 
         class Chunks(dict):
@@ -85,23 +84,25 @@ class ChunkEncoder:
                     lens.append(1)
                     flat.append(words[chunk.lower().decode()])
                     return k
-                text = chunk.decode("utf-8")
-                if not PLAIN.fullmatch(text) or "<|" in text:
-                    parts = (chunk,)
-                else:
-                    text = text.lower()
-                    if letters(text):
-                        parts = (text,)
-                    elif letters(text[:-1]) and text[-1] in ".,":
-                        parts = (text[:-1], text[-1])
-                    else:
-                        parts = split(text)
+                parts = encoder.parts(chunk)
                 lens.append(len(parts))
                 flat.extend([words[p] for p in parts])
                 return k
 
         self.chunks = Chunks()
 
+    def parts(self, chunk: bytes):
+        """The lower-cased words (str) of a plain chunk, or the odd chunk itself (bytes)."""
+        text = chunk.decode("utf-8")
+        if not PLAIN.fullmatch(text) or "<|" in text:
+            return (chunk,)
+        text = text.lower()
+        if text.isalpha():
+            return (text,)
+        if text[:-1].isalpha() and text[-1] in ".,":
+            return text[:-1], text[-1]
+        return self.pattern.findall(text)
+
     def picks(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Chunk numbers of all texts, chunks per text."""
         if len(self.chunks) > self.limit:
