@@ -161,41 +161,40 @@ def word_hashes(words: list[bytes], seed: int = 7) -> np.ndarray:
     return np.fromiter((digest(w, seed) for w in words), np.uint64, len(words))
 
 
-def sorted_sets(values: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``values`` of each row, sorted: (values, end of each row)."""
-    order = np.lexsort((values, rows))
-    v, r = values[order], rows[order]
-    new = np.ones(len(v), bool)
-    new[1:] = (v[1:] != v[:-1]) | (r[1:] != r[:-1])
-    return v[new], np.cumsum(np.bincount(r[new], minlength=n_rows))
-
-
-def shingle_sets(column: pa.Array, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``n``-word shingles of each text as sorted 64-bit hashes:
-    (hashes of all rows, end of each row).
-
-    A-Z are lower-cased; words as in ``split_words``.  With fewer than ``n``
-    words the whole sequence is one shingle; without words the set is empty."""
+def shingle_hashes(column: pa.Array, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all ``n``-word shingles, repeats kept, and their number
+    by text.  A-Z are lower-cased; words as in ``split_words``.  With fewer
+    than ``n`` words the whole sequence is one shingle; without words there
+    is none."""
     counts, number, distinct = split_words(column, lower=True)
     h = word_hashes(distinct)[number] if len(number) else np.empty(0, np.uint64)
-    ends = np.cumsum(counts)
-    mult = np.uint64(0x9E3779B97F4A7C15)
-    total = np.maximum(counts - n + 1, 0)
-    starts = ragged(ends - counts, total)
-    acc = np.zeros(len(starts), np.uint64)
+    size = np.minimum(counts, n)  # words per shingle of each text
+    total = np.where(counts > 0, counts - size + 1, 0)
+    at = ragged(np.cumsum(counts) - counts, total)
+    size = np.repeat(size, total)
+    acc, mult = size.astype(np.uint64), np.uint64(0x9E3779B97F4A7C15)
+    all_long = bool(len(size)) and int(size.min()) == n
     for j in range(n):
-        acc = acc * mult + h[starts + j]
-    rows = np.repeat(np.arange(len(counts)), total)
-    short = np.flatnonzero((counts > 0) & (counts < n))
-    if len(short):
-        extra = []
-        for r in short:
-            x = np.uint64(counts[r])
-            for w in h[ends[r] - counts[r]:ends[r]]:
-                x = x * mult + w
-            extra.append(x)
-        acc, rows = np.concatenate((acc, np.array(extra, np.uint64))), np.concatenate((rows, short))
-    return sorted_sets(mix64(acc), rows, len(counts))
+        if all_long:
+            acc = acc * mult + h[at + j]
+        else:
+            more = size > j
+            acc[more] = acc[more] * mult + h[at[more] + j]
+    return mix64(acc), total
+
+
+def shingle_sets(column: pa.Array, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text as sorted 64-bit hashes: (hashes of all
+    texts, number by text)."""
+    v, total = shingle_hashes(column, n)
+    ends = np.cumsum(total)
+    for a, b in zip((ends - total).tolist(), ends.tolist()):
+        v[a:b].sort()
+    new = np.ones(len(v), bool)
+    new[1:] = v[1:] != v[:-1]
+    new[(ends - total)[total > 0]] = True
+    kept = np.concatenate(([0], np.cumsum(new)))
+    return v[new], np.diff(kept[np.concatenate(([0], ends))])
 
 
 class IntTable:
@@ -236,4 +235,4 @@ class IntTable:
 
 __all__ = ["IntTable", "ship_package", "read_table", "materialize", "discard", "tasks_for", "input_bytes", "binary_list", "slices",
            "arrow_map", "ragged", "mix64", "split_words", "word_hashes",
-           "sorted_sets", "shingle_sets"]
+           "shingle_hashes", "shingle_sets"]

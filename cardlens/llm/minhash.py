@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitpack import range_cuts
-from .common import (arrow_map, input_bytes, materialize, mix64, ragged, shingle_sets, slices, split_words,
-                     tasks_for, word_hashes)
+from .common import (arrow_map, input_bytes, materialize, mix64, shingle_hashes, shingle_sets, slices,
+                     tasks_for)
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -43,25 +43,6 @@ def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     return seeds[:n] | np.uint64(1), seeds[n:]
 
 
-def shingles(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles (repeats kept) and their number by text."""
-    counts, number, distinct = split_words(column, lower=True)
-    h = word_hashes(distinct)[number] if len(number) else np.empty(0, np.uint64)
-    first = np.cumsum(counts) - counts
-    size = np.minimum(counts, n)  # words per shingle of each text
-    total = np.where(counts > 0, counts - size + 1, 0)
-    at = ragged(first, total)
-    size = np.repeat(size, total)
-    acc = size.astype(np.uint64)
-    for j in range(n):
-        more = size > j
-        if more.all():
-            acc = acc * np.uint64(0x9E3779B97F4A7C15) + h[at + j]
-        else:
-            acc[more] = acc[more] * np.uint64(0x9E3779B97F4A7C15) + h[at[more] + j]
-    return mix64(acc), total
-
-
 def signatures(hashes: np.ndarray, counts: np.ndarray, n: int = PERMUTATIONS, block: int = 1 << 15) -> np.ndarray:
     """Minima by text and permutation, cut to 16 bits; texts without shingles
     have 0 everywhere, minima never do."""
@@ -88,7 +69,7 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, n: int = PERMUTATIONS, bl
 
 
 def text_signatures(column: pa.Array) -> np.ndarray:
-    return signatures(*shingles(column))
+    return signatures(*shingle_hashes(column, SHINGLE))
 
 
 def hex_strings(sigs: np.ndarray) -> list[str]:
@@ -189,14 +170,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, rows_per_band: int
     def sign(batch: pa.RecordBatch) -> dict:
         column = batch.column("text")
         sigs = text_signatures(column)
-        sets, ends = shingle_sets(column)
+        sets, sizes = shingle_sets(column, SHINGLE)
+        ends = np.cumsum(sizes)
         keys = np.zeros((len(sigs), bands), np.uint64)
         for j in range(rows_per_band):
             keys = mix64(keys ^ sigs[:, j:bands * rows_per_band:rows_per_band].astype(np.uint64))
-        starts = np.concatenate(([0], ends[:-1]))
-        return {"doc_id": batch.column("doc_id"), "n": np.diff(ends, prepend=0),
+        return {"doc_id": batch.column("doc_id"), "n": sizes,
                 "set_key": [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest()
-                            for a, b in zip(starts, ends)],
+                            for a, b in zip(ends - sizes, ends)],
                 "bands": list(keys.view(np.int64))}
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).where("doc_id is not null")
@@ -214,10 +195,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, rows_per_band: int
             .join(rows.select(F.col("doc_id").alias("other_id"), F.col("text").alias("text_b")), "other_id"))
 
     def verify(batch: pa.RecordBatch) -> dict:
-        (a, ends_a), (b, ends_b) = shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b"))
+        sets = [np.split(v, np.cumsum(n)[:-1]) for v, n in
+                (shingle_sets(batch.column(c), SHINGLE) for c in ("text_a", "text_b"))]
         out = []
-        for k in range(len(ends_a)):
-            x, y = a[ends_a[k - 1] if k else 0:ends_a[k]], b[ends_b[k - 1] if k else 0:ends_b[k]]
+        for x, y in zip(*sets):
             both = len(np.intersect1d(x, y, assume_unique=True))
             out.append(both / (len(x) + len(y) - both))
         return {"doc_id": batch.column("doc_id"), "other_id": batch.column("other_id"), "jaccard": out}

@@ -61,6 +61,11 @@ def op9_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9(spark, read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+def op10_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import op10
+    return op10(read_table(spark, sf_dir, "documents"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -69,7 +74,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing)
+    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees)
 }
 
 ORACLE_SQL: dict[str, str] = {}
