@@ -111,6 +111,28 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dic
     return df.mapInArrow(run, schema)
 
 
+def arrow_extend(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], extra: str, column: str) -> DataFrame:
+    """All columns of ``df`` and those that ``fn`` makes of each batch; names
+    of ``extra`` replace columns that have them already."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+    added = _parse_datatype_string(extra)
+    names = {f.name.lower() for f in added}
+    kept = df.select(*[f"`{f.name}`" for f in df.schema if f.name.lower() not in names])
+    schema = StructType(list(kept.schema) + list(added))
+    types = to_arrow_schema(added)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, column):
+                got = fn(part)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *(pa.array(got[f.name], type=f.type) for f in types)],
+                    [*part.schema.names, *types.names])
+
+    return kept.mapInArrow(run, schema)
+
+
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Indices ``starts[0]..+lens[0], starts[1]..+lens[1], ...`` in one array."""
     total = int(lens.sum())
@@ -234,5 +256,5 @@ class IntTable:
 
 
 __all__ = ["IntTable", "ship_package", "read_table", "materialize", "discard", "tasks_for", "input_bytes", "binary_list", "slices",
-           "arrow_map", "ragged", "mix64", "split_words", "word_hashes",
+           "arrow_map", "arrow_extend", "ragged", "mix64", "split_words", "word_hashes",
            "shingle_hashes", "shingle_sets"]

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IntTable, arrow_map, materialize, split_words
+from .common import IntTable, arrow_extend, arrow_map, materialize, split_words
 
 LETTERS = regex.compile(r"\p{L}+")
 START = "▁"
@@ -242,26 +242,31 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
 
 
 def predict(docs: DataFrame, model: Model, path: str, text: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score): the most probable language and its
-    posterior probability."""
+    """``docs`` with ``lang_pred`` and ``score``: the most probable language
+    and its posterior probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
         m = shared.value
         counts, number, words, flat, per_chunk = doc_words(batch.column(text))
-        has_letter = sums((per_chunk[number] > 0).astype(float)[:, None], counts)[:, 0] > 0
         if not m.langs or not words:
-            return {"doc_id": batch.column("doc_id"), "lang_pred": ["und"] * len(counts), "score": [0.0] * len(counts)}
+            return {"lang_pred": ["und"] * len(counts), "score": [0.0] * len(counts)}
+        has_letter = sums((per_chunk[number] > 0).astype(float)[:, None], counts)[:, 0] > 0
         chunk = sums(log_likelihood(words, path, m.pieces)[flat], per_chunk)
         total = sums(chunk[number], counts) + m.prior
         best = total.argmax(axis=1)
         score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-        return {"doc_id": batch.column("doc_id"),
-                "lang_pred": [m.langs[k] if ok else "und" for k, ok in zip(best, has_letter)],
+        return {"lang_pred": [m.langs[k] if ok else "und" for k, ok in zip(best, has_letter)],
                 "score": np.where(has_letter, score, 0.0)}
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), text), run,
-                     "doc_id long, lang_pred string, score double", text)
+    return arrow_extend(docs, run, "lang_pred string, score double", text)
+
+
+def identified(docs: DataFrame, path: str, min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language is told with at least ``min_score``."""
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    told = (F.col("lang_pred") != "und") & (F.col("score") >= min_score)
+    return predict(own, train(docs, path), path).where(told).select("row.*")
 
 
 def is_held_out():
@@ -270,5 +275,7 @@ def is_held_out():
 
 
 def op8(docs: DataFrame, path: str) -> DataFrame:
-    model = train(docs.where(~is_held_out()), path)
-    return predict(docs, model, path).select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", "lang")
+    model = train(rows.where(~is_held_out()), path)
+    return predict(rows.select("doc_id", "text"), model, path).select(
+        "doc_id", is_held_out().alias("held_out"), "lang_pred", "score")

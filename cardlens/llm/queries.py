@@ -30,6 +30,11 @@ def op2_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2(read_table(spark, sf_dir, "conversations"), vocabulary(BYTE_RANKS))
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .cotrain import op3
+    return op3(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import build_lexicon, digests, encode
     docs, path = read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE)
@@ -74,7 +79,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees)
+    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op3_cotraining, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees)
 }
 
 ORACLE_SQL: dict[str, str] = {}
