@@ -2,12 +2,12 @@
 
 The *text* view sees the words of a document, their shapes and how varied they
 are; the *metadata* view sees lang, source, length and layout.  Each view is a
-naive Bayes model over the presence of features: evidence counts are summed in
-Spark and the features whose class difference is significant are kept.  Every
-round both views are calibrated on a fold of labelled rows that training never
-sees, score a pool of unlabelled documents, and what one view is confident
-about becomes a pseudo-label for the other.  At the end the calibrated views
-are combined (logistic stacking on the same fold) and score all documents.
+logistic regression over the presence of features whose shares in the classes
+differ significantly (counted and fitted in Spark).  Every round both views
+are calibrated on a fold of labelled rows that training never sees, score a
+pool of unlabelled documents, and what one view is confident about becomes a
+pseudo-label for the other.  At the end the calibrated views are combined
+(logistic stacking on the same fold) and score all documents.
 
 A labelled row is acceptable if its quality is 1 and it isn't toxic; rows with
 a null doc_id or quality are ignored, a null toxic counts as 0, and a document
@@ -28,6 +28,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,7 +105,7 @@ def features_of(view: str, batch: pa.RecordBatch):
 
 @dataclass
 class View:
-    """Log-odds of features and the calibration of their sum."""
+    """Weights of features and the calibration of their sum."""
 
     weights: dict[str, float] = field(default_factory=dict)
     a: float = 0.0
@@ -183,37 +185,49 @@ def training_table(docs: DataFrame, labels: DataFrame, max_labelled: int, pool:
                        "cotrain-features")
 
 
-def fit_view(table: DataFrame, view: str, given: dict[int, int], min_z: float, size: int) -> View:
-    """Naive Bayes over the rows whose ids are in ``given`` (id -> class)."""
-    shared = table.sparkSession.sparkContext.broadcast(given)
-    total = np.bincount(list(given.values()), minlength=2).astype(float)
-    if min(total) == 0:
-        return View()
+def select_features(table: DataFrame, view: str, total: dict[int, int], min_z: float, size: int) -> list[str]:
+    """The features whose share differs most between the classes."""
 
     def run(batches):
         n: tuple = (Counter(), Counter())
         for batch in batches:
-            for doc, features in zip(batch.column("doc_id").to_pylist(), batch.column(view).to_pylist()):
-                if (y := shared.value.get(doc)) is not None:
-                    n[y].update(features)
+            for y, features in zip(batch.column("label").to_pylist(), batch.column(view).to_pylist()):
+                n[int(y)].update(features)
         names = list({**n[0], **n[1]})
         yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()),
                                           "n0": pa.array([n[0][f] for f in names], pa.int64()),
                                           "n1": pa.array([n[1][f] for f in names], pa.int64())})
 
-    n0, n1 = F.col("n0"), F.col("n1")
-    p = (n0 + n1) / F.lit(total.sum())
+    n0, n1, rows = F.col("n0"), F.col("n1"), float(total[0] + total[1])
+    p = (n0 + n1) / F.lit(rows)
     z = (n1 / total[1] - n0 / total[0]) / F.sqrt(p * (1 - p) * (1 / total[0] + 1 / total[1]))
-    top = (table.select("doc_id", view).mapInArrow(run, "feature string, n0 long, n1 long")
+    top = (table.select("label", view).mapInArrow(run, "feature string, n0 long, n1 long")
            .groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-           .where(n0 + n1 < total.sum()).withColumn("z", F.abs(z)).where(F.col("z") >= min_z)
+           .where(n0 + n1 < rows).withColumn("z", F.abs(z)).where(F.col("z") >= min_z)
            .orderBy(F.desc("z"), "feature").limit(size).collect())
-    return View({r.feature: float(np.log((r.n1 + 0.5) / (total[1] + 1)) - np.log((r.n0 + 0.5) / (total[0] + 1)))
-                 for r in top})
+    return [r.feature for r in top]
+
+
+def fit_view(table: DataFrame, view: str, given: dict[int, int], min_z: float, size: int, ridge: float) -> View:
+    """Logistic regression over the presence of the selected features, on the
+    rows whose ids are in ``given`` (id -> class; as many as the bounds allow)."""
+    spark = table.sparkSession
+    total = Counter(given.values())
+    if len(total) < 2:
+        return View()
+    known = spark.createDataFrame([(i, float(y)) for i, y in given.items()], "doc_id long, label double")
+    rows = table.select("doc_id", view).join(F.broadcast(known), "doc_id")
+    names = select_features(rows, view, total, min_z, size)
+    if not names:
+        return View()
+    vectors = CountVectorizerModel.from_vocabulary(names, inputCol=view, outputCol="features").setBinary(True)
+    fitted = LogisticRegression(maxIter=40, regParam=ridge, standardization=False).fit(
+        vectors.transform(rows).select("label", "features").coalesce(8))
+    return View(dict(zip(names, fitted.coefficients.toArray().tolist())))
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, max_labelled: int = 12_000, pool: int = 8_000,
-          confidence: float = 0.98, min_z: float = 4.0, size: int = 20_000) -> Model | None:
+          confidence: float = 0.98, min_z: float = 4.0, size: int = 4_000, ridge: float = 1e-4) -> Model | None:
     table = training_table(docs, labels, max_labelled, pool)
     known = {r.doc_id: r.y for r in table.where("y is not null").select("doc_id", "y").collect()}
     fold = {i for i in known if (i * 2654435761) % 2**32 % 3 == 0}  # calibration rows
@@ -221,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, max_labelled: int
         return None
     given = {v: {i: y for i, y in known.items() if i not in fold} for v in VIEWS}
     for step in range(rounds):
-        model = Model(*(fit_view(table, v, given[v], min_z, size) for v in VIEWS), np.zeros(3))
+        model = Model(*(fit_view(table, v, given[v], min_z, size, ridge) for v in VIEWS), np.zeros(3))
         shared = table.sparkSession.sparkContext.broadcast(model)
 
         def run(batch: pa.RecordBatch) -> dict:
