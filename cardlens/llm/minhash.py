@@ -93,9 +93,11 @@ def with_successor(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
     cuts = [float(c) for c in range_cuts(rows, "doc_id", parts)]
     order = F.coalesce(F.col("doc_id"), F.lit(-2**63)).cast("double")
-    split = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="__at", outputCol="__part")
 
     def placed(df: DataFrame) -> DataFrame:
+        if not cuts:
+            return df.withColumn("part", F.lit(0))
+        split = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="__at", outputCol="__part")
         return split.transform(df.withColumn("__at", order)).withColumn("part", F.col("__part").cast("int"))
 
     # one row per range: its greatest id, and the range that needs it
