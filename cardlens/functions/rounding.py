@@ -5,11 +5,13 @@
 gives 1.0.  The reports of this library are compared across engines, so every
 rounded measure is built from the same IEEE operations:
 
-* ``half_away(x, d)``: ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``
+* ``half_away(x, d)``: ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``; NaN and
+  values too large to have decimals pass unchanged.
 * ``ratio(num, den, d, scale)``: the rounded value of ``num * scale / den``
   with one division, from integer sums (rates and shares).
-* ``cents_avg`` / ``cents_sum``: money measures summed in whole cents, so the
-  result does not depend on the order in which partitions are added.
+* ``money_avg`` / ``money_sum``: amounts are summed as exact decimals of six
+  places and rounded once, at the end, so the result neither depends on the
+  order in which partitions are added nor loses fractions of a cent.
 
 All are plain column expressions and stay inside whole-stage codegen.
 """
@@ -24,13 +26,17 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Doubles from here on are whole numbers.
+_WHOLE = float(2 ** 52)
+
+
 def half_away(x, digits: int) -> Column:
     """Round half away from zero at ``digits`` decimals; -0.0 becomes 0.0."""
-    x = _col(x)
+    x = _col(x).cast("double")
     p = float(10 ** digits)
-    pos = F.floor(x * F.lit(p) + F.lit(0.5)) / F.lit(p)
-    neg = -F.floor(-x * F.lit(p) + F.lit(0.5)) / F.lit(p)
-    return F.when(x < 0, neg).otherwise(pos) + F.lit(0.0)
+    scaled = F.abs(x) * F.lit(p)
+    rounded = F.signum(x) * (F.floor(scaled + F.lit(0.5)) / F.lit(p))
+    return F.when(F.isnan(x) | (scaled >= F.lit(_WHOLE)), x).otherwise(rounded) + F.lit(0.0)
 
 
 def ratio(num, den, digits: int = 2, scale: float = 100.0) -> Column:
@@ -40,20 +46,41 @@ def ratio(num, den, digits: int = 2, scale: float = 100.0) -> Column:
     return half_away(q, 0) / F.lit(float(10 ** digits)) + F.lit(0.0)
 
 
-def cents(amount) -> Column:
-    """Amount in whole cents as a long."""
-    return F.round(_col(amount) * F.lit(100.0)).cast("long")
+#: Amounts this large (and infinite ones) are summed as doubles.
+_LARGE = 1e21
+
+
+def _micros(amount) -> Column:
+    """Sum of the amounts in millionths, exact (aggregate)."""
+    x = _col(amount).cast("double")
+    return F.sum(F.when(~F.isnan(x) & (F.abs(x) < F.lit(_LARGE)), x).cast("decimal(28,6)")) * F.lit(1_000_000)
+
+
+def _plain(amount) -> Column:
+    """True when a NaN or very large amount forbids the exact sum (aggregate)."""
+    x = _col(amount).cast("double")
+    return F.coalesce(F.bool_or(F.isnan(x) | (F.abs(x) >= F.lit(_LARGE))), F.lit(False))
 
 
-def cents_sum(amount) -> Column:
-    """``round(sum(amount), 2)`` computed exactly in cents (aggregate)."""
-    return F.sum(cents(amount)) / F.lit(100.0)
+def _cents(micros: Column, unit: Column) -> Column:
+    """``micros / unit`` in whole cents, half away from zero, as money."""
+    micros = micros.cast("decimal(38,0)")
+    half = (unit * F.lit(5_000)).cast("decimal(38,0)")
+    step = (unit * F.lit(10_000)).cast("decimal(38,0)")
+    top = F.abs(micros) + half
+    whole = (top - top % step) / step  # divides evenly, so the quotient is exact
+    return F.signum(micros.cast("double")) * whole.cast("double") / F.lit(100.0) + F.lit(0.0)
 
 
-def cents_avg(amount) -> Column:
-    """``round(avg(amount), 2)`` computed exactly in cents (aggregate)."""
-    return ratio(F.sum(cents(amount)), F.count(_col(amount)), digits=2, scale=0.01)
+def money_sum(amount) -> Column:
+    """``round(sum(amount), 2)``, exact to the sixth decimal (aggregate); NaN
+    if an amount is NaN."""
+    return F.when(_plain(amount), half_away(F.sum(_col(amount).cast("double")), 2)).otherwise(
+        _cents(_micros(amount), F.lit(1)))
 
 
-def round2(x) -> Column:
-    return half_away(x, 2)
+def money_avg(amount) -> Column:
+    """``round(avg(amount), 2)``, exact to the sixth decimal (aggregate)."""
+    n = F.count(_col(amount))
+    return F.when(_plain(amount), half_away(F.avg(_col(amount).cast("double")), 2)).when(
+        n > 0, _cents(_micros(amount), n))

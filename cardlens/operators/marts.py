@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rounding import cents_avg, cents_sum, half_away, ratio
+from ..functions.rounding import money_avg, money_sum, half_away, ratio
 from ..schemas import AMOUNT, NUMERIC_SENTINEL, STG_RENAMES
 
 
@@ -55,8 +55,8 @@ def fraud_summary(stg: DataFrame, min_transactions: int = 5, ordered: bool = Tru
                 fraud_rate_pct().alias("fraud_rate_pct"),
                 half_away(F.min(amt), 2).alias("min_amount"),
                 half_away(F.max(amt), 2).alias("max_amount"),
-                cents_avg(amt).alias("avg_amount"),
-                cents_sum(amt).alias("total_amount"),
+                money_avg(amt).alias("avg_amount"),
+                money_sum(amt).alias("total_amount"),
                 *flag_sums(["is_night_tx", "is_weekend", "is_large_tx", "has_identity"],
                            ["night_transactions", "weekend_transactions",
                             "large_transactions", "transactions_with_identity"]),
@@ -100,8 +100,8 @@ def fraud_hourly(stg: DataFrame, ordered: bool = True) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("total_transactions"),
                 F.sum("is_fraud").cast("long").alias("fraud_transactions"),
                 fraud_rate_pct().alias("fraud_rate_pct"),
-                cents_avg(amt).alias("avg_amount"),
-                cents_sum(F.when(F.col("is_fraud") == 1, amt).otherwise(F.lit(0.0)))
+                money_avg(amt).alias("avg_amount"),
+                money_sum(F.when(F.col("is_fraud") == 1, amt).otherwise(F.lit(0.0)))
                 .alias("fraud_total_amount")))
     out = share_of_total(agg, "total_transactions", "pct_of_daily_volume")
     out = share_of_total(out, "fraud_transactions", "pct_of_daily_fraud")

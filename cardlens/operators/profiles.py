@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rounding import cents_avg, half_away, ratio
+from ..functions.rounding import money_avg, half_away, ratio
 from ..schemas import AMOUNT, CARD, KEY, LABEL, NUMERIC_SENTINEL
 
 
@@ -27,7 +27,7 @@ def transaction_summary(tx: DataFrame, key: str = KEY, amount: str = AMOUNT,
         distinct_count(key, exact_distinct).alias("unique_tx"),
         half_away(F.min(amount), 2).alias("min_amount"),
         half_away(F.max(amount), 2).alias("max_amount"),
-        cents_avg(amount).alias("avg_amount"),
+        money_avg(amount).alias("avg_amount"),
         F.sum(label).cast("long").alias("fraud_count"),
         ratio(F.sum(label), F.count(label)).alias("fraud_rate_pct"),
         (F.count(F.lit(1)) - F.count(amount)).alias("missing_amounts"),
@@ -49,7 +49,7 @@ def load_readback(table: DataFrame, amount: str = AMOUNT, label: str = LABEL,
         ratio(F.sum(label), F.count(label)).alias("fraud_rate_pct"),
         half_away(F.min(amount), 2).alias("min_amount"),
         half_away(F.max(amount), 2).alias("max_amount"),
-        cents_avg(amount).alias("avg_amount"),
+        money_avg(amount).alias("avg_amount"),
         F.count_if(F.col(amount) == F.lit(NUMERIC_SENTINEL)).alias("missing_amounts"),
         distinct_count(card, exact_distinct).alias("unique_cards"),
     )
@@ -60,7 +60,7 @@ def rate_by_division(df: DataFrame, label: str, amount: str) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum(label).cast("long").alias("fraud_count"),
-        cents_avg(amount).alias("avg_amount"),
+        money_avg(amount).alias("avg_amount"),
         ratio(F.sum(label), F.count(F.lit(1)), digits=1).alias("fraud_rate_pct"),
     )
 

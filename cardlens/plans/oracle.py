@@ -28,16 +28,17 @@ def ratio(num: str, den: str, digits: int = 2, scale: float = 100.0) -> str:
     return f"({half_away(q, 0)} / {_lit(10 ** digits)} + 0.0)"
 
 
-def cents(x: str) -> str:
-    return f"CAST(ROUND(({x}) * 100.0) AS BIGINT)"
+def money_sum(x: str) -> str:
+    """Plain decimal arithmetic: the sum is exact and rounded once."""
+    return f"CAST(ROUND(SUM(CAST({x} AS DECIMAL(28, 6))), 2) AS DOUBLE)"
 
 
-def cents_sum(x: str) -> str:
-    return f"(SUM({cents(x)}) / 100.0)"
-
-
-def cents_avg(x: str) -> str:
-    return ratio(f"SUM({cents(x)})", f"COUNT({x})", 2, 0.01)
+def money_avg(x: str) -> str:
+    # whole cents by integer division, half away from zero: an exact quotient
+    micros = f"CAST(SUM(CAST({x} AS DECIMAL(28, 6))) * 1000000 AS HUGEINT)"
+    n = f"COUNT({x})"
+    return (f"CASE WHEN {n} > 0 THEN SIGN({micros}) * CAST((ABS({micros}) + {n} * 5000) // ({n} * 10000) AS DOUBLE) "
+            f"/ 100.0 END")
 
 
 def big(x: str) -> str:
@@ -73,7 +74,7 @@ CLEANED_CTE = f"cleaned AS (SELECT\n  {_clean_select()}\nFROM merged)"
 CARD_AGG_CTE = f"""card_agg AS (
   SELECT card1,
          COUNT(*) AS card1_tx_count,
-         {cents_avg('TransactionAmt')} AS card1_avg_amt,
+         {money_avg('TransactionAmt')} AS card1_avg_amt,
          {half_away('MAX(TransactionAmt)', 2)} AS card1_max_amt,
          {half_away('STDDEV_SAMP(TransactionAmt)', 2)} AS card1_std_amt,
          {big('SUM(isFraud)')} AS card1_fraud_count

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rounding import cents_avg, cents_sum, half_away, ratio
+from ..functions.rounding import money_avg, money_sum, half_away, ratio
 from ..functions.scalar import safe_divide
 from ..operators import marts as MT
 from ..operators import model as ML
@@ -184,8 +184,8 @@ SELECT card1, card4 AS card_network, card6 AS card_type,
   {O.ratio('SUM(is_fraud)', 'COUNT(is_fraud)')} AS fraud_rate_pct,
   {O.half_away('MIN(transaction_amt)', 2)} AS min_amount,
   {O.half_away('MAX(transaction_amt)', 2)} AS max_amount,
-  {O.cents_avg('transaction_amt')} AS avg_amount,
-  {O.cents_sum('transaction_amt')} AS total_amount,
+  {O.money_avg('transaction_amt')} AS avg_amount,
+  {O.money_sum('transaction_amt')} AS total_amount,
   CAST(SUM(is_night_tx) AS BIGINT) AS night_transactions,
   CAST(SUM(is_weekend) AS BIGINT) AS weekend_transactions,
   CAST(SUM(is_large_tx) AS BIGINT) AS large_transactions,
@@ -199,8 +199,8 @@ SELECT tx_hour, is_night_tx,
   COUNT(*) AS total_transactions,
   CAST(SUM(is_fraud) AS BIGINT) AS fraud_transactions,
   {O.ratio('SUM(is_fraud)', 'COUNT(is_fraud)')} AS fraud_rate_pct,
-  {O.cents_avg('transaction_amt')} AS avg_amount,
-  {O.cents_sum('CASE WHEN is_fraud = 1 THEN transaction_amt ELSE 0.0 END')} AS fraud_total_amount
+  {O.money_avg('transaction_amt')} AS avg_amount,
+  {O.money_sum('CASE WHEN is_fraud = 1 THEN transaction_amt ELSE 0.0 END')} AS fraud_total_amount
 FROM stg_fraud GROUP BY tx_hour, is_night_tx"""
 HOURLY_CTE = f"""fraud_hourly AS (
 SELECT *, {O.ratio('total_transactions', 'SUM(total_transactions) OVER ()')} AS pct_of_daily_volume,
@@ -338,7 +338,7 @@ def q_left_join_card_aggregates(spark, sf):
 @register("tx_summary", O.with_stage("tx", f"""
 SELECT COUNT(*) AS total_rows, COUNT(DISTINCT TransactionID) AS unique_tx,
   {O.half_away('MIN(TransactionAmt)', 2)} AS min_amount, {O.half_away('MAX(TransactionAmt)', 2)} AS max_amount,
-  {O.cents_avg('TransactionAmt')} AS avg_amount, CAST(SUM(isFraud) AS BIGINT) AS fraud_count,
+  {O.money_avg('TransactionAmt')} AS avg_amount, CAST(SUM(isFraud) AS BIGINT) AS fraud_count,
   {O.ratio('SUM(isFraud)', 'COUNT(isFraud)')} AS fraud_rate_pct,
   COUNT(*) - COUNT(TransactionAmt) AS missing_amounts
 FROM tx"""))
@@ -387,7 +387,7 @@ def q_feature_summary(spark, sf):
 SELECT COUNT(*) AS total_rows, CAST(SUM(isFraud) AS BIGINT) AS fraud_count,
   {O.ratio('SUM(isFraud)', 'COUNT(isFraud)')} AS fraud_rate_pct,
   {O.half_away('MIN(TransactionAmt)', 2)} AS min_amount, {O.half_away('MAX(TransactionAmt)', 2)} AS max_amount,
-  {O.cents_avg('TransactionAmt')} AS avg_amount,
+  {O.money_avg('TransactionAmt')} AS avg_amount,
   CAST(COUNT_IF(TransactionAmt = -999) AS BIGINT) AS missing_amounts,
   COUNT(DISTINCT card1) AS unique_cards
 FROM staging"""))
@@ -412,12 +412,12 @@ def q_fraud_hourly(spark, sf):
 
 
 @register("conditional_sum", O.with_stage("stg_fraud", f"""
-SELECT tx_hour, {O.cents_sum('CASE WHEN is_fraud = 1 THEN transaction_amt ELSE 0.0 END')} AS fraud_total_amount
+SELECT tx_hour, {O.money_sum('CASE WHEN is_fraud = 1 THEN transaction_amt ELSE 0.0 END')} AS fraud_total_amount
 FROM stg_fraud GROUP BY tx_hour"""))
 def q_conditional_sum(spark, sf):
     amt = F.col("transaction_amt")
     return stages(spark, sf).stg.groupBy("tx_hour").agg(
-        cents_sum(F.when(F.col("is_fraud") == 1, amt).otherwise(F.lit(0.0))).alias("fraud_total_amount"))
+        money_sum(F.when(F.col("is_fraud") == 1, amt).otherwise(F.lit(0.0))).alias("fraud_total_amount"))
 
 
 @register("conditional_ratio", O.with_stage("stg_fraud", f"""
@@ -448,18 +448,18 @@ def q_flag_sums(spark, sf):
 
 @register("amount_stats", O.with_stage("stg_fraud", f"""
 SELECT card4, {O.half_away('MIN(transaction_amt)', 2)} AS min_amount, {O.half_away('MAX(transaction_amt)', 2)} AS max_amount,
-  {O.cents_avg('transaction_amt')} AS avg_amount, {O.cents_sum('transaction_amt')} AS total_amount
+  {O.money_avg('transaction_amt')} AS avg_amount, {O.money_sum('transaction_amt')} AS total_amount
 FROM stg_fraud GROUP BY card4"""))
 def q_amount_stats(spark, sf):
     amt = F.col("transaction_amt")
     return stages(spark, sf).stg.groupBy("card4").agg(
         half_away(F.min(amt), 2).alias("min_amount"), half_away(F.max(amt), 2).alias("max_amount"),
-        cents_avg(amt).alias("avg_amount"), cents_sum(amt).alias("total_amount"))
+        money_avg(amt).alias("avg_amount"), money_sum(amt).alias("total_amount"))
 
 
 @register("rate_by_division", O.with_stage("tx", f"""
 SELECT COUNT(*) AS total_transactions, CAST(SUM(isFraud) AS BIGINT) AS fraud_count,
-  {O.cents_avg('TransactionAmt')} AS avg_amount, {O.ratio('SUM(isFraud)', 'COUNT(*)', 1)} AS fraud_rate_pct
+  {O.money_avg('TransactionAmt')} AS avg_amount, {O.ratio('SUM(isFraud)', 'COUNT(*)', 1)} AS fraud_rate_pct
 FROM tx"""))
 def q_rate_by_division(spark, sf):
     return PR.rate_by_division(stages(spark, sf).tx, "isFraud", "TransactionAmt")

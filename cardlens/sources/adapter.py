@@ -43,7 +43,8 @@ TX_RULES: list[tuple[str, str]] = [
     ("TransactionID", "event_id"),
     ("isFraud", "CASE WHEN {k} < 4 THEN 1 ELSE 0 END"),
     ("TransactionDT", "{dt}"),
-    ("TransactionAmt", "CASE WHEN event_id % 97 = 0 THEN NULL ELSE value END"),
+    ("TransactionAmt", "CASE WHEN event_id % 97 = 0 THEN NULL "
+                       "ELSE value + (event_id % 10) / 1000.0 END"),  # fractions of a cent
     ("ProductCD", "CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_type = 'purchase' THEN 'W' "
                   "WHEN event_type = 'view' THEN 'H' WHEN event_type = 'click' THEN 'C' "
                   "WHEN event_type = 'signup' THEN 'S' ELSE 'R' END"),

@@ -35,17 +35,37 @@ def test_half_away_matches_sql(spark):
     assert got[vals.index(-0.003)][0] == 0.0 and np.copysign(1, got[vals.index(-0.003)][0]) == 1
 
 
-def test_ratio_and_cents_match_sql(spark):
+def test_ratio_and_money_match_sql(spark):
     rng = np.random.default_rng(11)
-    rows = [(int(g), float(np.round(a, 2)), int(y)) for g, a, y in
+    rows = [(int(g), float(np.round(a, 3)), int(y)) for g, a, y in
             zip(rng.integers(0, 50, 4000), rng.uniform(-50, 500, 4000), rng.integers(0, 2, 4000))]
     sdf = spark.createDataFrame(rows, "g INT, a DOUBLE, y INT")
     got = {r["g"]: tuple(r)[1:] for r in sdf.groupBy("g").agg(
-        R.cents_avg("a").alias("avg"), R.cents_sum("a").alias("sum"),
+        R.money_avg("a").alias("avg"), R.money_sum("a").alias("sum"),
         R.ratio(F.sum("y"), F.count("y")).alias("pct")).collect()}
     con = duckdb.connect()
     con.register("t", pd.DataFrame(rows, columns=["g", "a", "y"]))
     want = {g: (a, s, p) for g, a, s, p in con.execute(
-        f"SELECT g, {O.cents_avg('a')}, {O.cents_sum('a')}, {O.ratio('SUM(y)', 'COUNT(y)')} "
+        f"SELECT g, {O.money_avg('a')}, {O.money_sum('a')}, {O.ratio('SUM(y)', 'COUNT(y)')} "
         "FROM t GROUP BY g").fetchall()}
     assert got == want
+
+
+def test_money_is_rounded_once(spark):
+    """The fraction of a cent of each row counts; NaN and huge amounts pass."""
+    df = spark.createDataFrame([(0.004,)] * 1000 + [(31.937,)] * 1000, "a DOUBLE")
+    r = df.agg(R.money_sum("a").alias("s"), R.money_avg("a").alias("m")).first()
+    assert (r["s"], r["m"]) == (31941.0, 15.97)
+    nan = spark.createDataFrame([(1.0,), (float("nan"),)], "a DOUBLE").agg(
+        R.money_sum("a").alias("s"), R.money_avg("a").alias("m")).first()
+    assert np.isnan(nan["s"]) and np.isnan(nan["m"])
+    big = spark.createDataFrame([(1e30,), (1e30,)], "a DOUBLE").agg(R.money_sum("a").alias("s")).first()
+    assert big["s"] == 2e30
+    none = spark.createDataFrame([(None,)], "a DOUBLE").agg(R.money_sum("a").alias("s"), R.money_avg("a").alias("m")).first()
+    assert none["s"] is None and none["m"] is None
+
+
+def test_half_away_passes_nan_and_large_values(spark):
+    vals = [float("nan"), 1e18, -1e18, float("inf"), None, -2.5]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x DOUBLE").select(R.half_away("x", 0)).collect()]
+    assert np.isnan(got[0]) and got[1:] == [1e18, -1e18, float("inf"), None, -3.0]
