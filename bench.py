@@ -27,7 +27,7 @@ from cardlens.operators import quality as QC  # noqa: E402
 from cardlens.plans.etl import transform  # noqa: E402
 from cardlens.plans.stages import model_frame, split_parts, stages  # noqa: E402
 from cardlens.schemas import RAW_IDENTITY_SCHEMA, RAW_TRANSACTION_SCHEMA  # noqa: E402
-from cardlens.session import build_session, ensure_parallelism, scratch_path  # noqa: E402
+from cardlens.session import build_session, scratch_path  # noqa: E402
 from cardlens.sources import files as FS  # noqa: E402
 from cardlens.sources import sinks as SK  # noqa: E402
 
@@ -50,8 +50,8 @@ def main() -> None:
     s = stages(spark, sf_dir)
     # Untimed: the CSV inputs of the extract stage, derived from events.
     tx_csv, idn_csv = scratch_path(spark, "bench-tx-csv"), scratch_path(spark, "bench-idn-csv")
-    s.tx.write.mode("overwrite").option("header", True).csv(tx_csv)
-    s.idn.write.mode("overwrite").option("header", True).csv(idn_csv)
+    s.tx.repartition(cpus).write.mode("overwrite").option("header", True).csv(tx_csv)
+    s.idn.repartition(cpus).write.mode("overwrite").option("header", True).csv(idn_csv)
     spark.read.parquet(f"{sf_dir}/events.parquet").count()          # JVM / reader warm-up
 
     tx_pq, idn_pq = scratch_path(spark, "bench-raw-tx"), scratch_path(spark, "bench-raw-idn")
@@ -94,7 +94,7 @@ def main() -> None:
     def models():
         df, present = model_frame(s.__class__(**{**s.__dict__, "staging": staged}))
         train, test = split_parts(df)
-        runs = ML.run_experiments(ensure_parallelism(train), test, present)
+        runs = ML.run_experiments(train, test, present, cache=True)
         return {r.run_name: r.metrics for r in runs}
     metrics = timed("model_3_runs", models)
 

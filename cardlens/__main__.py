@@ -9,7 +9,7 @@ import argparse
 import json
 
 from .plans.etl import run_all_stages
-from .session import build_session
+from .session import build_session, size_shuffles
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName("cardlens").getOrCreate()
+    size_shuffles(spark, a.transactions, a.identity)
     result = run_all_stages(spark, a.transactions, a.identity, a.root, a.sample_size, a.buckets,
                           suite_args={"min_rows": a.min_rows, "max_rows": a.max_rows},
                           soft_args={"min_rows": a.min_rows}, train_models=not a.no_models)

@@ -47,7 +47,6 @@ def time_features(dt: str = TIME) -> list:
 
 def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
                       card: str = CARD, amount: str = AMOUNT, dt: str = TIME, key: str = KEY,
-                      broadcast_aggregates: bool = False,
                       hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Cleaned rows + 13 features.
 
@@ -56,8 +55,7 @@ def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
     twice (see ``plans.etl.transform``).  The join back to the rows splits
     cards with more than ``hot_rows`` rows over several tasks
     (``operators.skew``); AQE still turns it into a broadcast when the
-    aggregate is measured small.  ``broadcast_aggregates`` forces a
-    broadcast instead.
+    aggregate is measured small.
     """
     agg = card_aggregates(cleaned, card, amount) if aggregates is None else aggregates
     # Row features first (one projection), then the join on card1.
@@ -68,13 +66,10 @@ def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
         is_night(hour).alias("is_night_tx"), is_weekend(dow).alias("is_weekend"),
         is_large(amount).alias("is_large_tx"), log_amount(amount).alias("log_TransactionAmt"),
     )
-    if broadcast_aggregates:
-        joined = rows.join(F.broadcast(agg), on=card, how="left")
-    else:
-        # The sentinel card is excluded from the statistics: its rows never
-        # match and are spread too.
-        joined = salted_left_join(rows, agg, card, "card1_tx_count", key, hot_rows,
-                                  never_match=[NUMERIC_SENTINEL])
+    # The sentinel card is excluded from the statistics: its rows never
+    # match and are spread too.
+    joined = salted_left_join(rows, agg, card, "card1_tx_count", key, hot_rows,
+                              never_match=[NUMERIC_SENTINEL])
     return joined.select(
         *[F.col(c) for c in rows.columns],
         F.coalesce(F.col("card1_tx_count"), F.lit(0).cast("long")).alias("card1_tx_count"),

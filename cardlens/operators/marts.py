@@ -111,7 +111,7 @@ def fraud_hourly(stg: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def top_k(df: DataFrame, column: str, k: int, descending: bool = True) -> DataFrame:
-    """First ``k`` rows by ``column`` (``TakeOrderedAndProject``: a bounded
-    heap per task, no full sort)."""
+    """First ``k`` rows by ``column``, ties in order of the other columns
+    (``TakeOrderedAndProject``: a bounded heap per task, no full sort)."""
     order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
-    return df.orderBy(order).limit(k)
+    return df.orderBy(order, *[c for c in df.columns if c != column]).limit(k)

@@ -10,7 +10,9 @@ aggregate over the scored test rows.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.rounding import half_away, ratio
 from ..schemas import KEY, LABEL, MODEL_FEATURES, NUMERIC_SENTINEL
-from .ranking import bucket_count, fraction_bucket, running_sum, with_quantile_bucket
+from .ranking import bucket_count, fraction_bucket, running_sum, with_range_bucket
 
 # ---------------------------------------------------------------------------
 # Feature matrix
@@ -57,21 +59,23 @@ def split_hash(key: str = KEY, seed: int = 42) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
+def hash_split(df: DataFrame, key: str = KEY, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
+    """Add ``split`` = 'train' / 'test' by a hash threshold per row: no
+    shuffle, but class proportions hold in expectation only."""
+    return df.withColumn("split", F.when(split_hash(key, seed) < F.lit(test_fraction), "test").otherwise("train"))
+
+
 def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY,
-                     test_fraction: float = 0.2, seed: int = 42, exact: bool = False,
+                     test_fraction: float = 0.2, seed: int = 42,
                      buckets: int | None = None) -> DataFrame:
-    """Add ``split`` = 'train' / 'test', keeping class proportions.
-
-    Default: a hash threshold per row; no shuffle, and proportions hold in
-    expectation.  ``exact=True``: per class, the ``round(test_fraction * n)``
-    rows with the smallest hash go to test.  The rank inside each class is a
-    distributed running count over hash-fraction buckets (``ranking.running_sum``),
-    not a window over the whole class, so the majority class is not funnelled
-    into one task.
+    """Add ``split`` = 'train' / 'test', keeping class proportions exactly.
+
+    Per class, the ``round(test_fraction * n)`` rows with the smallest hash go
+    to test.  The rank inside each class is a distributed running count over
+    hash-fraction buckets (``ranking.running_sum``), not a window over the
+    whole class, so the majority class is not funnelled into one task.
     """
     u = split_hash(key, seed)
-    if not exact:
-        return df.withColumn("split", F.when(u < F.lit(test_fraction), "test").otherwise("train"))
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     quota = counts.select(label, F.floor(F.col("__n") * F.lit(test_fraction) + F.lit(0.5)).alias("__quota"))
     if buckets is None:
@@ -245,28 +249,17 @@ def classification_metrics(scored: DataFrame, label: str = LABEL,
 
 
 def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability",
-            digits: int = 4, buckets: int | None = None, unit_interval: bool = False) -> DataFrame:
+            digits: int = 4, partitions: int | None = None) -> DataFrame:
     """Exact area under the ROC curve, ties counted one half.
 
     Rows are first reduced to one row per distinct score (partial
-    aggregation), then each score needs the number of negatives below it: a
-    distributed running sum over quantile buckets of the score.  No
-    single-task sort.
+    aggregation), stored once in ranges of the score; each score then needs
+    the number of negatives below it: the totals of the lower ranges plus a
+    running sum inside its own.  No single-task sort, no approximation.
     """
     g = scored.groupBy(F.col(score).cast("double").alias("__s")).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) != 1).alias("__neg"))
-    if buckets is None:
-        # About a million distinct scores per bucket (one count of the
-        # grouped scores); never fewer than the shuffle partitions.
-        floor = 4 * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = bucket_count(g.count(), minimum=floor)
-    # Quantile ranges balance the buckets whatever the score's distribution
-    # (model probabilities crowd into a narrow range); ``unit_interval``
-    # uses fixed-width ranges of [0, 1] instead and skips the sketch.
-    if unit_interval:
-        g = g.withColumn("__b", fraction_bucket(F.col("__s"), buckets))
-    else:
-        g = with_quantile_bucket(g, "__s", "__b", buckets)
+    g = with_range_bucket(g, "__s", "__b", partitions)
     below = running_sum(g, ["__s"], "__neg", "__neg_below", bucket="__b", inclusive=False)
     agg = below.agg(
         F.sum(F.col("__pos").cast("double") * (F.col("__neg_below") + F.col("__neg") * F.lit(0.5))).alias("__num"),
@@ -280,6 +273,8 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability",
 # ---------------------------------------------------------------------------
 
 RUNS_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("logged_at", T.TimestampType()),
     T.StructField("run_name", T.StringType()),
     T.StructField("params", T.MapType(T.StringType(), T.StringType())),
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
@@ -319,14 +314,11 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
         train = train.withColumn("__w", weight_expression(values, label))
         weight_col = "__w"
     model = logistic_pipeline(features, stats, C, max_iter, n_train, weight_col, label).fit(train)
-    # Three narrow columns per test row, read by four small jobs (metrics,
-    # quantile sketch, AUC totals and rows): keep them for those jobs only.
+    # Three narrow columns per test row, read by two small jobs (metrics and
+    # score groups): keep them for those jobs only.
     scored = predict(model, test, features, stats, keep=[label]).persist()
     m = classification_metrics(scored, label).first().asDict()
-    n_test = (extra_params or {}).get("test_size")
-    floor = 4 * int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    auc = roc_auc(scored, label, buckets=bucket_count(n_test, minimum=floor) if n_test else None
-                  ).first()["roc_auc"]
+    auc = roc_auc(scored, label).first()["roc_auc"]
     scored.unpersist()
     metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
     metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
@@ -353,38 +345,25 @@ def training_statistics(train: DataFrame, features: list[str], label: str = LABE
     return stats, weights, {"train_size": n, "fraud_rate_train": prior}
 
 
-# Concurrent fits each hold their own cached instance blocks; run them side
-# by side only while those copies are small.
-CONCURRENT_FIT_BUDGET_BYTES = 8 * 1024 ** 3
-
-
 def run_experiments(train: DataFrame, test: DataFrame, features: list[str], configs=None,
-                    parallelism: int | None = None, label: str = LABEL,
+                    parallelism: int | None = None, cache: bool = False, label: str = LABEL,
                     extra_params: dict | None = None) -> list[RunResult]:
     """Fit and evaluate every configuration; results in configuration order.
 
     Spark's logistic regression caches its own blocks of training instances
-    for the iterations, so large training rows are not cached here (that
-    would be a second copy); the scaler, class weights and sizes come from
-    one aggregate pass.  Runs are independent; when the instance blocks of all
-    runs together stay under ``CONCURRENT_FIT_BUDGET_BYTES`` they are
-    submitted at once from driver threads (each run is a chain of small
-    jobs, and concurrent runs keep the executors busy), otherwise one after
-    the other so only one block cache exists at a time.
+    for the iterations; the scaler, class weights and sizes come from one
+    aggregate pass.  Runs are independent, and ``parallelism`` of them
+    (default: all) are submitted at once from driver threads; each holds a
+    block cache of its own, so give 1 where three copies would not fit.
+    ``cache`` also keeps the training rows for the runs, which saves reading
+    the source once per fit where they are small.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     configs = configs or DEFAULT_CONFIGS
     stats, weights, profile = training_statistics(train, features, label)
     extra = {**profile, "test_size": int(test.count()), **(extra_params or {})}
-    block_bytes = extra["train_size"] * (len(features) + 2) * 8
-    small = block_bytes * len(configs) <= CONCURRENT_FIT_BUDGET_BYTES
-    if parallelism is None:
-        parallelism = len(configs) if small else 1
-    # Small training sets are also kept for the runs (the extra copy is
-    # cheap and saves re-reading the source once per fit); large ones are
-    # left to the solver's own block cache.
-    rows = train.persist() if small else train
+    rows = train.persist() if cache else train
 
     def one(item):
         name, cfg = item
@@ -393,10 +372,10 @@ def run_experiments(train: DataFrame, test: DataFrame, features: list[str], conf
                                   weights=weights or None, **cfg)
 
     try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(configs)))) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism or len(configs), len(configs)))) as pool:
             return list(pool.map(one, configs))
     finally:
-        if small:
+        if cache:
             rows.unpersist()
 
 
@@ -410,15 +389,18 @@ def split_profile(train: DataFrame, test: DataFrame, label: str = LABEL) -> dict
 
 
 def runs_frame(spark: SparkSession, runs: list[RunResult]) -> DataFrame:
-    """One row per run: name, params (text map) and metrics (double map)."""
-    rows = [(r.run_name, {k: str(v) for k, v in r.params.items()}, r.metrics) for r in runs]
+    """One row per run: id, time, name, params (text map) and metrics (double
+    map) (M10).  Runs logged together share the id."""
+    run_id, now = uuid.uuid4().hex, datetime.now(timezone.utc)
+    rows = [(run_id, now, r.run_name, {k: str(v) for k, v in r.params.items()}, r.metrics) for r in runs]
     return spark.createDataFrame(rows, RUNS_SCHEMA)
 
 
 def compare_runs(runs: DataFrame, run_names: list[str]) -> DataFrame:
-    """metric x run table."""
-    return (runs.select("run_name", F.explode("metrics").alias("metric", "value"))
-            .groupBy("metric").pivot("run_name", run_names).agg(F.first("value"))
+    """metric x run table (M11); of several runs of a name the one logged last counts."""
+    return (runs.select("run_name", "logged_at", "run_id", F.explode("metrics").alias("metric", "value"))
+            .groupBy("metric").pivot("run_name", run_names)
+            .agg(F.max_by("value", F.struct("logged_at", "run_id")))
             .orderBy("metric"))
 
 

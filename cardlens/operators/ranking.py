@@ -3,7 +3,7 @@
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row to one task.
 Here each row carries a *bucket*: a deterministic column that is
 non-decreasing in the sort order (a hash fraction scaled to the bucket
-count, or the approximate-quantile range of a score).  Each bucket is
+count, or the range of a score that a stored range partitioning put it in).  Each bucket is
 one window partition; the per-bucket totals (one row per bucket and group,
 so bounded by the bucket count, not by the data) give every bucket its
 offset.  The bucket is a pure function of the row, so the two branches of
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 _B = "__bucket"
 
 
@@ -24,26 +26,21 @@ def fraction_bucket(fraction: Column, buckets: int) -> Column:
     return F.greatest(F.least(b, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
-def with_quantile_bucket(df: DataFrame, column: str, out: str, buckets: int,
-                         rel_error: float | None = None) -> DataFrame:
-    """Add ``out``: the bucket of ``column`` among ``buckets`` approximate
-    quantile ranges (``QuantileDiscretizer``: a distributed sketch, only the
-    cut points reach the driver; then a binary search per row).  Equal values
-    always share a bucket, and buckets are non-decreasing in ``column``.
+def with_range_bucket(df: DataFrame, column: str, out: str, partitions: int | None = None) -> DataFrame:
+    """``df`` written once in ranges of ``column``, with ``out``: the range's
+    number.  Equal values share a range, and ranges ascend with ``column``.
+    The stored table fixes the numbers, so a lost executor cannot change them.
     """
-    if buckets <= 1:
-        return df.withColumn(out, F.lit(0))
-    from pyspark.ml.feature import QuantileDiscretizer
-    rel = rel_error if rel_error is not None else min(0.001, 0.1 / buckets)
-    qd = QuantileDiscretizer(numBuckets=buckets, inputCol=column, outputCol=out,
-                             relativeError=rel, handleInvalid="keep")
-    return qd.fit(df).transform(df).withColumn(out, F.col(out).cast("int"))
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ranges")
+    df.repartitionByRange(n, column).withColumn(out, F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def bucket_count(rows: int, rows_per_bucket: int = 1_000_000, minimum: int = 16,
-                 maximum: int = 100_000) -> int:
+def bucket_count(rows: int, rows_per_bucket: int = 1_000_000, minimum: int = 16) -> int:
     """Buckets so that each holds about ``rows_per_bucket`` rows."""
-    return int(min(maximum, max(minimum, -(-rows // rows_per_bucket))))
+    return int(max(minimum, -(-rows // rows_per_bucket)))
 
 
 def running_sum(df: DataFrame, order_cols: list[str], value: str, out: str,
@@ -67,7 +64,7 @@ def running_sum(df: DataFrame, order_cols: list[str], value: str, out: str,
     w_in = Window.partitionBy(*(by + [_B])).orderBy(*order_cols)
     frame = w_in.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     local = rows.withColumn("__local", F.coalesce(F.sum(value).over(frame), F.lit(0)))
-    # ``offsets`` has one row per (group, bucket): a proven-small broadcast.
-    return (local.join(F.broadcast(offsets), on=by + [_B], how="left")
+    # One row per (group, bucket); the optimizer sees its size.
+    return (local.join(offsets, on=by + [_B], how="left")
             .withColumn(out, F.col("__local") + F.col("__offset"))
             .drop("__local", "__offset", _B))

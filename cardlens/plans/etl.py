@@ -14,8 +14,8 @@ from ..operators.clean import clean
 from ..operators.features import card_aggregates, engineer_features
 from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.merge import merge_identity
-from ..schemas import AMOUNT, CARD, KEY, LABEL, NUMERIC_SENTINEL
-from ..session import ensure_parallelism, scratch_path
+from ..schemas import AMOUNT, CARD, DEVICE_COLS, KEY, LABEL, NUMERIC_SENTINEL
+from ..session import path_size, scratch_path
 from ..sources.adapter import load_sources
 
 
@@ -109,11 +109,12 @@ def extract(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
                           limit=sample_size, table="raw_transactions" if buckets else None,
                           buckets=buckets)
     idn, c_id = ingest_csv(spark, identity_csv, f"{root}/raw_identity", RAW_IDENTITY_SCHEMA,
-                           bool_columns=[], limit=sample_size,
+                           bool_columns=[], limit=sample_size, required=[KEY, *DEVICE_COLS],
                            table="raw_identity" if buckets else None, buckets=buckets)
     tx_stats = transaction_summary(tx).first().asDict()
     id_stats = identity_summary(idn).first().asDict()
-    return {"transactions_rows": c_tx["rows"], "transactions_malformed": c_tx["malformed"],
+    return {"transactions_file": c_tx["file"], "identity_file": c_id["file"],
+            "transactions_rows": c_tx["rows"], "transactions_malformed": c_tx["malformed"],
             "identity_rows": c_id["rows"], "fraud_count": tx_stats["fraud_count"],
             "fraud_rate_pct": tx_stats["fraud_rate_pct"], "identity_distinct_ids": id_stats["unique_tx"]}
 
@@ -138,7 +139,8 @@ def run_transform(spark: SparkSession, root: str, partition_by: list[str] | None
     idn = spark.table("raw_identity") if bucketed else spark.read.parquet(raw_id)
     info = write_parquet(transform(tx, idn, identity_unique=identity_unique), f"{root}/staging_fraud",
                          partition_by=partition_by)
-    return {"feature_rows": info["rows"], "parquet_path": info["path"]}
+    return {"feature_rows": info["rows"], "parquet_path": info["path"],
+            "parquet_bytes": path_size(spark, info["path"])}
 
 
 def validate(spark: SparkSession, root: str, **suite_args) -> dict:
@@ -188,7 +190,8 @@ def build_marts(spark: SparkSession, source: DataFrame, root: str) -> dict:
     return {"fraud_summary_rows": s["rows"], "fraud_hourly_rows": h["rows"], "failed_tests": failed}
 
 
-def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool = False) -> dict:
+def experiments(spark: SparkSession, root: str, configs=None, parallelism: int | None = None,
+                cache: bool = False) -> dict:
     """Three logistic-regression runs on the staging table, logged to a runs table."""
     from ..operators import model as ML
     from ..schemas import LABEL, MODEL_FEATURES
@@ -196,11 +199,13 @@ def experiments(spark: SparkSession, root: str, configs=None, exact_split: bool
 
     staged = spark.read.parquet(f"{root}/staging_fraud")
     present, missing = ML.select_features(staged, MODEL_FEATURES)
-    df = ML.stratified_split(ML.fill_features(staged.select("TransactionID", LABEL, *present), present),
-                             exact=exact_split)
-    train = ensure_parallelism(df.where("split = 'train'"))
-    test = df.where("split = 'test'")
-    runs = ML.run_experiments(train, test, present, configs)
+    # The split is read by every run, so it is stored once, by part.
+    path = scratch_path(spark, "split")
+    (ML.stratified_split(ML.fill_features(staged.select("TransactionID", LABEL, *present), present))
+     .write.partitionBy("split").parquet(path))
+    df = spark.read.parquet(path)
+    train, test = df.where("split = 'train'"), df.where("split = 'test'")
+    runs = ML.run_experiments(train, test, present, configs, parallelism, cache)
     for r in runs:
         ML.save_model(r.model, f"{root}/models/{r.run_name}")
         write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{r.run_name}")

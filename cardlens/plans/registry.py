@@ -5,6 +5,8 @@ tables of ``sf_dir``; ``ORACLE[key]`` recomputes the same result in DuckDB
 SQL from the base views.  Keys without an oracle (model fitting, model
 artifacts) get the driver's rows-only check.  Every query reads the whole
 ``events`` table (through the adapter), so its work grows with the data.
+The listing of a table's columns and the check for missing ones read no rows
+and are tested as units instead.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ from ..operators import profiles as PR
 from ..operators import quality as QC
 from ..operators.clean import missing_profile
 from ..operators.features import feature_summary
-from ..operators.merge import join_coverage, schema_listing
+from ..operators.merge import join_coverage
 from ..schemas import (CLEAN_COLUMNS, KEY, M_COLS, MODEL_FEATURES, NUMERIC_FILL,
                        QUALITY_COLUMNS, RAW_TRANSACTION_SCHEMA, STAGING_COLUMNS, STG_RENAMES,
                        STRING_FILL)
-from ..session import ensure_parallelism, scratch_path
+from ..session import scratch_path
 from ..sources import files as FS
 from ..sources import guards as GD
 from ..sources import sinks as SK
@@ -116,18 +118,10 @@ def q_inline_values(spark, sf):
                     F.coalesce("transactions", F.lit(0).cast("long")).alias("transactions")))
 
 
-@register("schema_listing",
-          "SELECT * FROM (VALUES (1, 'id_01'), (2, 'DeviceType'), (3, 'DeviceInfo')) AS t(ordinal, column_name)")
-def q_schema_listing(spark, sf):
-    return spark.createDataFrame(schema_listing(stages(spark, sf).idn), "ordinal INT, column_name STRING")
-
-
 @register("ctas_replace", O.with_stage("cleaned", "SELECT * FROM cleaned"))
 def q_ctas_replace(spark, sf):
     s = stages(spark, sf)
-    path = scratch_path(spark, "cleaned-table")
-    SK.replace_table(s.cleaned, "cleaned_data", path=path)
-    SK.replace_table(s.cleaned, "cleaned_data", path=path)   # rerun is idempotent
+    SK.replace_table(s.cleaned, "cleaned_data", path=scratch_path(spark, "cleaned-table"))
     return spark.table("cleaned_data")
 
 
@@ -478,7 +472,8 @@ def q_sum_of_complement(spark, sf):
 
 
 SPLIT_U = ("(('0x' || substr(md5('42:' || CAST(TransactionID AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)")
-SPLIT_CTE = f"split AS (SELECT *, CASE WHEN {SPLIT_U} < 0.2 THEN 'test' ELSE 'train' END AS split FROM staging)"
+SPLIT_CTE = f"""split AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY isFraud ORDER BY {SPLIT_U}, TransactionID)
+  <= FLOOR(COUNT(*) OVER (PARTITION BY isFraud) * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM staging)"""
 
 
 @register("class_prior", O.with_stage("staging", f"""
@@ -639,7 +634,6 @@ def _pick(kind: str) -> list:
 
 
 _checks_query("check_row_count_between", _pick("row_count_between"))
-_checks_query("check_columns_superset", _pick("columns_superset"))
 _checks_query("check_in_set", _pick("in_set"))
 _checks_query("check_not_null", _pick("not_null"))
 _checks_query("check_mean_between", _pick("mean_between"))
@@ -727,7 +721,13 @@ SELECT TransactionID, isFraud,
 FROM staging"""))
 def q_stratified_split_exact(spark, sf):
     s = stages(spark, sf)
-    return ML.stratified_split(s.staging.select(KEY, "isFraud"), exact=True)
+    return ML.stratified_split(s.staging.select(KEY, "isFraud"))
+
+
+@register("hash_split", O.with_stage("staging", f"""
+SELECT TransactionID, CASE WHEN {SPLIT_U} < 0.2 THEN 'test' ELSE 'train' END AS split FROM staging"""))
+def q_hash_split(spark, sf):
+    return ML.hash_split(stages(spark, sf).staging.select(KEY))
 
 
 _STATS_SQL = ", ".join(f"AVG({c}) AS m_{i}, COALESCE(NULLIF(STDDEV_POP({c}), 0), 1.0) AS s_{i}"
@@ -806,7 +806,7 @@ def _experiments(spark, sf):
     if memo not in _RUNS:
         df, present = model_frame(stages(spark, sf))
         train, test = split_parts(df)
-        runs = ML.run_experiments(ensure_parallelism(train), test, present)
+        runs = ML.run_experiments(train, test, present)
         _RUNS[memo] = (runs, test, present)
     return _RUNS[memo]
 

@@ -23,20 +23,21 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "cardlens", extra: dict | None = None,
                   event_log_dir: str | None = None) -> SparkSession:
-    """A session with ``DEFAULT_CONF``.  ``event_log_dir`` writes Spark's
+    """A session with ``DEFAULT_CONF``.  ``shuffle_partitions`` overrides the
+    cluster's setting (see ``size_shuffles``).  ``event_log_dir`` writes Spark's
     event log there (stage and task times, read offline; no UI is started)."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if event_log_dir:
         conf["spark.eventLog.enabled"] = "true"
         conf["spark.eventLog.dir"] = event_log_dir
@@ -93,22 +94,13 @@ def path_size(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(jpath).getLength())
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Set the session's shuffle partitions from the size of the inputs."""
+    n = shuffle_partitions_for(sum(path_size(spark, p) for p in paths),
+                               minimum=spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    return n
 
 
 __all__ = ["build_session", "checkpoint_root", "scratch_path", "shuffle_partitions_for",
-           "path_size", "local_path", "DEFAULT_CONF"]
-
-
-def ensure_parallelism(df, minimum: int | None = None):
-    """Spread a source over at least ``minimum`` tasks (default: the
-    session's default parallelism).
-
-    A small input stored as one file or row group is read by one task and
-    everything up to the first shuffle would run there.  Large inputs have
-    far more splits than cores, so for them this is a no-op and adds no
-    shuffle.  Checking the split count plans the scan but runs no job.
-    """
-    n = minimum or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+           "size_shuffles", "path_size", "DEFAULT_CONF"]

@@ -1,34 +1,56 @@
 """File sources: CSV ingest with malformed-row handling.
 
-CSV is parsed with an explicit schema in PERMISSIVE mode; a row that does
-not fit the schema lands in the corrupt-record column and is dropped.  The
-ingest writes Parquet right away: the CSV parser prunes columns, so which
+The header line decides which columns a file has and where they stand: a
+known name takes its type from the schema, any other column is kept as text,
+and a file that lacks a required column, names a column twice or whose part
+files have different headers is an error.  Rows are parsed in PERMISSIVE mode;
+a row that does not fit lands in the corrupt-record column and is dropped, and
+an ingest that drops too large a share of the rows fails.
+
+The ingest writes Parquet right away: the CSV parser prunes columns, so which
 rows count as malformed would otherwise depend on the columns a later query
 reads.  Writing every column parses every column, once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CORRUPT_COLUMN, KEY, M_BOOL_COLS, with_corrupt_column
-from ..session import ensure_parallelism
 
 
-def _parse_every_column(spark: SparkSession) -> None:
-    # With parser column pruning on, only the columns a query reads are
-    # parsed, so whether a row is malformed would depend on the query.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+class SourceError(ValueError):
+    """A file source that cannot be loaded as it is."""
+
+
+def header_schema(spark: SparkSession, path: str, schema: T.StructType,
+                  required: Sequence[str] | None = None) -> T.StructType:
+    """The schema of a CSV source in file order, from its header line.
+
+    ``required`` (default: all names of ``schema``) must be present."""
+    first = spark.read.option("header", False).option("inferSchema", False).csv(path).first()
+    names = [(c or "").strip() for c in (first or [])]
+    twice = sorted({c for c in names if names.count(c) > 1})
+    absent = [c for c in (schema.names if required is None else required) if c not in names]
+    if twice or absent or "" in names:
+        raise SourceError(f"{path}: header lacks {absent}, repeats {twice}" + ", has an empty name" * ("" in names))
+    known = {f.name: f for f in schema.fields}
+    return T.StructType([known.get(c, T.StructField(c, T.StringType(), True)) for c in names])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             header: bool = True) -> DataFrame:
-    """CSV with an explicit schema plus the corrupt-record column (lazy)."""
-    _parse_every_column(spark)
-    return (spark.read.schema(with_corrupt_column(schema))
-            .option("header", header)
+             required: Sequence[str] | None = None) -> DataFrame:
+    """CSV with a header, bound by name, plus the corrupt-record column (lazy
+    but for the header line).  ``enforceSchema`` off makes Spark compare the
+    header of every part file with the schema."""
+    return (spark.read.schema(with_corrupt_column(header_schema(spark, path, schema, required)))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("columnPruning", False)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
             .csv(path))
@@ -49,60 +71,116 @@ def drop_malformed(raw: DataFrame) -> DataFrame:
 def ingest_csv(spark: SparkSession, src: str, dest: str, schema: T.StructType,
                bool_columns: list[str] = M_BOOL_COLS, limit: int | None = None,
                order_by: str = KEY, table: str | None = None,
-               buckets: int | None = None) -> tuple[DataFrame, dict]:
+               buckets: int | None = None, required: Sequence[str] | None = None,
+               max_malformed_share: float = 0.5) -> tuple[DataFrame, dict]:
     """CSV -> Parquet at ``dest``; returns (table over ``dest``, counts).
 
-    ``counts`` holds ``rows`` written and ``malformed`` rows dropped, both
-    gathered by an ``Observation`` on the write itself (no second pass).
-    ``limit`` keeps the first ``limit`` rows by ``order_by`` (S2).
+    ``counts`` holds the source's ``file`` name, ``rows`` written and
+    ``malformed`` rows dropped, gathered by an ``Observation`` on the write
+    itself (no second pass); a greater share of malformed rows than
+    ``max_malformed_share`` is an error.  ``limit`` keeps the first ``limit``
+    rows by ``order_by`` (S2).
 
     With ``table`` and ``buckets`` the rows are stored as a catalog table at
-    ``dest`` bucketed (and sorted) by ``order_by``.  Two sources bucketed the
-    same way on the join key are joined later without any shuffle: at scale
-    that removes the exchange of the wide transaction rows from the merge.
+    ``dest`` bucketed (and sorted) by ``order_by``: one file per bucket, since
+    the rows are dealt out by the key first.  Two sources bucketed the same
+    way on the join key are joined later without any shuffle: at scale that
+    removes the exchange of the wide transaction rows from the merge.
     """
-    raw = ensure_parallelism(read_csv(spark, src, schema))
+    raw = read_csv(spark, src, schema, required)
     obs_in = Observation("csv_in")
-    raw = raw.observe(obs_in, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("malformed"))
+    raw = raw.observe(obs_in, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("malformed"),
+                      F.count(F.lit(1)).alias("all"))
     good = to_boolean(drop_malformed(raw), bool_columns)
     if limit is not None:
         good = sample_limit(good, limit, order_by)
     obs_out = Observation("csv_out")
-    w = good.observe(obs_out, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    good = good.observe(obs_out, F.count(F.lit(1)).alias("rows"))
     if table and buckets:
-        w.format("parquet").bucketBy(buckets, order_by).sortBy(order_by) \
-            .option("path", dest).saveAsTable(table)
+        (good.repartition(buckets, order_by).write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, order_by).sortBy(order_by).option("path", dest).saveAsTable(table))
         out = spark.table(table)
     else:
-        w.parquet(dest)
+        good.write.mode("overwrite").parquet(dest)
         out = spark.read.parquet(dest)
-    counts = {"rows": int(obs_out.get["rows"]), "malformed": int(obs_in.get["malformed"])}
+    seen = obs_in.get
+    counts = {"file": file_name(src), "rows": int(obs_out.get["rows"]), "malformed": int(seen["malformed"])}
+    if counts["malformed"] > max_malformed_share * max(int(seen["all"]), 1):
+        raise SourceError(f"{src}: {counts['malformed']} of {seen['all']} rows are malformed")
     return out, counts
 
 
-def sample_limit(df: DataFrame, n: int, order_by: str = KEY) -> DataFrame:
-    """The first ``n`` rows by ``order_by`` (S2).  An unordered ``LIMIT`` is
-    not repeatable; the ordered form plans as a top-k (``TakeOrderedAndProject``)."""
-    return df.orderBy(order_by).limit(n)
+def file_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def source_row_count(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Well-formed and malformed rows of a CSV source, without storing it (S3).
+def cut_key(df: DataFrame, n: int, key: str, bins: int = 1000, exact_rows: int = 100_000):
+    """(value, ties): the n-th smallest non-null ``key`` (a number) and how
+    many rows of that very value belong to the first ``n``; None if there are
+    fewer.  Counts of equal-width bins narrow the range down until few keys
+    are left, so the driver sees ``bins`` counts and ``exact_rows`` keys at most.
+    """
+    keys = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"))
+    if keys.limit(1).count() == 0:
+        return None
+    need = n
+    while True:
+        lo, hi, rows = keys.agg(F.min("k"), F.max("k"), F.count("k")).first()
+        if rows < need:
+            return None
+        if lo == hi:
+            return lo, need
+        if rows <= exact_rows:
+            value = keys.orderBy("k").limit(need).agg(F.max("k")).first()[0]
+            return value, need - keys.where(F.col("k") < F.lit(value)).count()
+        width = (hi - lo) / bins
+        at = F.least(F.floor((F.col("k") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
+        for b, count in sorted(tuple(r) for r in keys.groupBy(at.alias("b")).count().collect()):
+            if need <= count:
+                keys = keys.where(at == F.lit(b))
+                break
+            need -= count
+
+
+def sample_limit(df: DataFrame, n: int, order_by: str = KEY) -> DataFrame:
+    """The first ``n`` rows by the number ``order_by``, nulls last.
+
+    An unordered ``LIMIT`` is not repeatable and an ordered one sends all n
+    rows through one task.  Here the n-th key is found from distributed
+    counts, and the rows are filtered by it where they are; only rows that
+    share the n-th key (or have none) are cut by a plain limit."""
+    if n < 1:
+        return df.limit(0)
+    key = F.col(order_by)
+    cut = cut_key(df, n, order_by)
+    if cut is None:
+        some = df.where(key.isNotNull())
+        return some.unionByName(df.where(key.isNull()).limit(max(0, n - some.count())))
+    value, ties = cut
+    if df.where(key == F.lit(value)).limit(ties + 1).count() == ties:
+        return df.where(key <= F.lit(value))
+    return df.where(key < F.lit(value)).unionByName(df.where(key == F.lit(value)).limit(ties))
+
+
+def source_row_count(spark: SparkSession, path: str, schema: T.StructType,
+                     required: Sequence[str] | None = None) -> DataFrame:
+    """File name, well-formed and malformed rows of a CSV source, without
+    storing it (S3).
 
     A bare ``count()`` would not parse the rows at all (the reader skips
     parsing when no column is needed), so malformed rows would be counted.
     Instead every parsed row goes to the ``noop`` sink, which consumes all
     columns and stores nothing, and an ``Observation`` on that single pass
-    counts both kinds.  The result is a one-row frame of two numbers.
+    counts both kinds.
     """
-    raw = read_csv(spark, path, schema)
+    raw = read_csv(spark, path, schema, required)
     obs = Observation("csv_count")
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     raw.observe(obs, F.count_if(~bad).alias("row_count"), F.count_if(bad).alias("malformed_rows")) \
         .write.format("noop").mode("overwrite").save()
     got = obs.get
-    return spark.createDataFrame([(int(got["row_count"]), int(got["malformed_rows"]))],
-                                 "row_count BIGINT, malformed_rows BIGINT")
+    return spark.createDataFrame([(file_name(path), int(got["row_count"]), int(got["malformed_rows"]))],
+                                 "file_name STRING, row_count BIGINT, malformed_rows BIGINT")
 
 
 def inline_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:

@@ -31,12 +31,12 @@ def test_csv_ingest_drops_malformed_and_reads_flags(spark):
     src = _write_text(spark, lines)
     df, counts = FS.ingest_csv(spark, src, scratch_path(spark, "ingested"), RAW_TRANSACTION_SCHEMA)
     got = {r["TransactionID"]: r for r in df.collect()}
-    assert counts == {"rows": 3, "malformed": 1}
+    assert counts == {"file": src.rsplit("/", 1)[-1], "rows": 3, "malformed": 1}
     assert sorted(got) == [1, 3, 4]
     assert got[1]["M1"] is True and got[3]["M1"] is None and got[4]["M1"] is None
     assert dict(df.dtypes)["M1"] == "boolean" and dict(df.dtypes)["M4"] == "string"
     assert FS.source_row_count(spark, src, RAW_TRANSACTION_SCHEMA).first().asDict() == \
-        {"row_count": 3, "malformed_rows": 1}
+        {"file_name": src.rsplit("/", 1)[-1], "row_count": 3, "malformed_rows": 1}
 
 
 def test_ingest_with_limit_keeps_first_keys(spark):
@@ -92,3 +92,75 @@ def test_bucketed_sources_merge_without_shuffle(spark):
         assert merged.count() == 6
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+SMALL = T.StructType([T.StructField("TransactionID", T.LongType()), T.StructField("C1", T.DoubleType()),
+                      T.StructField("C2", T.DoubleType())])
+
+
+def _ingest(spark, lines, **kw):
+    return FS.ingest_csv(spark, _write_text(spark, lines), scratch_path(spark, "named"), SMALL, bool_columns=[], **kw)
+
+
+def test_columns_bind_by_name_and_extra_ones_stay(spark):
+    df, counts = _ingest(spark, ["V9,C2,TransactionID,C1,note", "x,22,1,11,a", ",2.5,2,,\"b,c\""])
+    assert df.columns == ["V9", "C2", "TransactionID", "C1", "note"]
+    assert sorted((r.TransactionID, r.C1, r.C2, r.V9, r.note) for r in df.collect()) == \
+        [(1, 11.0, 22.0, "x", "a"), (2, None, 2.5, None, "b,c")]
+    assert counts["malformed"] == 0
+
+
+def test_headers_that_cannot_be_bound(spark):
+    with pytest.raises(FS.SourceError, match="C2"):
+        _ingest(spark, ["TransactionID,C1", "1,2"])
+    df, _ = _ingest(spark, ["TransactionID,C1", "1,2"], required=["TransactionID"])
+    assert df.columns == ["TransactionID", "C1"]
+    with pytest.raises(FS.SourceError, match="repeats"):
+        _ingest(spark, ["TransactionID,C1,C2,C1", "1,2,3,4"])
+    with pytest.raises(FS.SourceError, match="lacks"):
+        _ingest(spark, [])
+
+
+def test_mostly_malformed_sources_fail(spark):
+    lines = ["TransactionID,C1,C2", "1,x,1", "2,y,1", "3,1,1"]
+    with pytest.raises(FS.SourceError, match="2 of 3"):
+        _ingest(spark, lines)
+    assert _ingest(spark, lines, max_malformed_share=0.7)[1]["rows"] == 1
+
+
+def test_part_files_with_other_headers_fail(spark):
+    path = scratch_path(spark, "two-headers")
+    for a, b in (("C1", "C2"), ("C2", "C1")):
+        spark.createDataFrame([(f"TransactionID,{a},{b}",), ("1,2,3",)], "value STRING").coalesce(1) \
+            .write.mode("append").text(path)
+    with pytest.raises(Exception, match="(?i)header"):
+        FS.ingest_csv(spark, path, scratch_path(spark, "named"), SMALL, bool_columns=[])
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 1999, 2000, 5000])
+def test_sample_limit_takes_the_smallest_keys(spark, n, monkeypatch):
+    import numpy as np
+    keys = [int(x) for x in np.random.default_rng(1).integers(-10**12, 10**12, 1500)] + [5] * 400 + [None] * 100
+    df = spark.createDataFrame([(k, "x") for k in keys], "k BIGINT, v STRING").repartition(4)
+    monkeypatch.setattr(FS.cut_key, "__defaults__", (1000, 50))
+    got = sorted((r.k for r in FS.sample_limit(df, n, "k").collect()), key=lambda k: (k is None, k))
+    assert got == sorted(keys, key=lambda k: (k is None, k or 0))[:n]
+
+
+def test_limited_ingest_is_not_one_task(spark):
+    src = scratch_path(spark, "limit-src")
+    spark.range(0, 20_000, 1, 8).selectExpr("id AS TransactionID", "1.0 AS C1", "2.0 AS C2") \
+        .write.option("header", True).csv(src)
+    dest = scratch_path(spark, "limit-dest")
+    df, counts = FS.ingest_csv(spark, src, dest, SMALL, bool_columns=[], limit=10_000)
+    assert counts["rows"] == 10_000 and df.agg({"TransactionID": "max"}).first()[0] == 9_999
+    assert len(df.inputFiles()) > 1
+
+
+def test_bucketed_ingest_writes_one_file_per_bucket(spark):
+    src = scratch_path(spark, "bucket-src")
+    spark.range(0, 4_000, 1, 16).selectExpr("id AS TransactionID", "1.0 AS C1", "2.0 AS C2") \
+        .write.option("header", True).csv(src)
+    df, _ = FS.ingest_csv(spark, src, scratch_path(spark, "bucket-dest"), SMALL, bool_columns=[],
+                          table="one_file_per_bucket", buckets=8)
+    assert df.count() == 4_000 and len(df.inputFiles()) == 8
