@@ -9,6 +9,7 @@ from ..functions.rounding import ratio
 from ..schemas import DEVICE_COLS, KEY
 
 _MATCH = "__identity_match"
+_SPREAD = "__spread"
 
 
 def identity_columns(identity: DataFrame, key: str = KEY) -> list[str]:
@@ -28,7 +29,8 @@ def identity_projection(identity: DataFrame, key: str = KEY,
 
 
 def merge_identity(transactions: DataFrame, identity: DataFrame, key: str = KEY,
-                   prefixed: tuple[str, ...] | list[str] = tuple(DEVICE_COLS)) -> DataFrame:
+                   prefixed: tuple[str, ...] | list[str] = tuple(DEVICE_COLS),
+                   null_keys_by: str | None = None) -> DataFrame:
     """Every transaction, with the identity columns of its match.
 
     ``has_identity`` is 1 when a match exists, from a marker column added to
@@ -37,10 +39,17 @@ def merge_identity(transactions: DataFrame, identity: DataFrame, key: str = KEY,
     broadcast when the identity side is measured below the broadcast
     threshold, otherwise a sort-merge join whose skewed partitions AQE splits.
     Duplicate identity ids multiply transaction rows, as in a SQL left join.
+    Transactions without an id match nothing; if there may be many of them,
+    ``null_keys_by`` names a column whose hash spreads them over the tasks.
     """
     right = identity_projection(identity, key, prefixed)
     right_cols = [c for c in right.columns if c not in (key, _MATCH)]
-    merged = transactions.join(right, on=key, how="left")
+    if null_keys_by is None:
+        merged = transactions.join(right, on=key, how="left")
+    else:
+        spread = F.when(F.col(key).isNull(), F.xxhash64(null_keys_by)).otherwise(F.lit(0).cast("long"))
+        merged = (transactions.withColumn(_SPREAD, spread)
+                  .join(right.withColumn(_SPREAD, F.lit(0).cast("long")), on=[key, _SPREAD], how="left"))
     return merged.select(
         *[F.col(c) for c in transactions.columns],
         *[F.col(c) for c in right_cols],

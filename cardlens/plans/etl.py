@@ -158,13 +158,21 @@ def validate(spark: SparkSession, root: str, **suite_args) -> dict:
 
 
 def load(spark: SparkSession, root: str, table: str = "staging_fraud",
-         table_path: str | None = None, fmt: str = "parquet", **soft_args) -> dict:
-    """Staging Parquet -> catalog table, read-back profile and soft checks."""
+         table_path: str | None = None, fmt: str = "parquet",
+         object_store: str | None = None, **soft_args) -> dict:
+    """Staging Parquet -> catalog table, read-back profile and soft checks.
+
+    ``object_store``: also copy the staging table to that URI first and load
+    the table from the copy (S11)."""
     from ..operators.profiles import load_readback
     from ..operators.quality import run_checks, soft_load_checks
-    from ..sources.sinks import warehouse_load
+    from ..sources.sinks import warehouse_load, write_parquet
 
-    loaded = warehouse_load(spark, f"{root}/staging_fraud", table, path=table_path, fmt=fmt).first()
+    source = f"{root}/staging_fraud"
+    if object_store:
+        write_parquet(spark.read.parquet(source), object_store)
+        source = object_store
+    loaded = warehouse_load(spark, source, table, path=table_path, fmt=fmt).first()
     t = spark.table(table)
     readback = load_readback(t).first().asDict()
     warnings = [r.asDict() for r in run_checks(t, soft_load_checks(**soft_args))

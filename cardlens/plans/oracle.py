@@ -147,9 +147,12 @@ def check_sql(i: int, chk, table: str, table_columns: list[str]) -> str:
                 f"CAST(COUNT(*) AS DOUBLE) AS observed, ({' AND '.join(conds)}) AS success"
                 + tail + f" FROM {table}")
     if chk.kind == "mean_between":
+        mean, low, high = f"AVG({c})", a["min"], a["max"]
+        if a.get("percent_digits") is not None:
+            mean, low, high = half_away(f"AVG({c}) * 100.0", a["percent_digits"]), a["min"] * 100, a["max"] * 100
         return (head + f"COUNT({c}) AS evaluated, CAST(NULL AS BIGINT) AS unexpected, "
                 f"{half_away(f'AVG({c})', 6)} AS observed, "
-                f"COALESCE(AVG({c}) >= {a['min']} AND AVG({c}) <= {a['max']}, FALSE) AS success"
+                f"COALESCE({mean} >= {low} AND {mean} <= {high}, FALSE) AS success"
                 + tail + f" FROM {table}")
     if chk.kind == "unique":
         return (head + "CAST(COALESCE(SUM(n), 0) AS BIGINT) AS evaluated, "

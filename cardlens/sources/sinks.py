@@ -19,6 +19,9 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     ``file:``, ``hdfs://``, ``s3a://``, ``gs://`` ... the connector decides)
     and return ``{"path", "rows", "columns"}`` (S8, S11, A20)."""
     obs = Observation(f"write_{fmt}")
+    if partition_by:
+        # rows of a folder go to few files; AQE splits folders that are too large
+        df = df.hint("rebalance", *partition_by)
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if compression and fmt in ("parquet", "orc", "csv", "json"):
         w = w.option("compression", compression)
@@ -49,6 +52,8 @@ def replace_table(df: DataFrame, table: str, path: str | None = None, fmt: str =
     so later joins or aggregations on ``col`` need no shuffle.
     """
     obs = Observation(f"table_{table}")
+    if bucket_by:
+        df = df.repartition(*bucket_by)  # one file per bucket
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if path:
         w = w.option("path", path)
@@ -68,7 +73,7 @@ def warehouse_load(spark: SparkSession, parquet_path: str, table: str,
     src = spark.read.parquet(parquet_path)
     info = replace_table(src, table, path=path, fmt=fmt)
     return spark.table(table).agg(F.count(F.lit(1)).alias("rows")) \
-        .select("rows", F.lit(info["columns"]).alias("columns"))
+        .select("rows", F.lit(info["columns"]).alias("columns"))  # counted from the table, as a check
 
 
 def stage_counts(spark: SparkSession, counts: list[tuple[str, int]]) -> DataFrame:
