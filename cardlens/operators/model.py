@@ -162,7 +162,8 @@ def scale_columns(df: DataFrame, stats: ScalerStats) -> DataFrame:
 
 
 def logistic_pipeline(features: list[str], stats: ScalerStats, C: float, max_iter: int,
-                      n_train: int, weight_col: str | None = None, label: str = LABEL) -> Pipeline:
+                      n_train: int, weight_col: str | None = None, label: str = LABEL,
+                      tol: float = 1e-6) -> Pipeline:
     """scale -> assemble -> L2 logistic regression.
 
     ``C`` is the inverse penalty of ``C * sum_i w_i loss_i + ||b||^2 / 2``.
@@ -174,23 +175,38 @@ def logistic_pipeline(features: list[str], stats: ScalerStats, C: float, max_ite
     lr = LogisticRegression(featuresCol="features", labelCol=label,
                             regParam=1.0 / (C * n_train), elasticNetParam=0.0,
                             standardization=False, fitIntercept=True, maxIter=max_iter,
-                            tol=1e-6, family="binomial")
+                            tol=tol, family="binomial")
     if weight_col:
         lr.setWeightCol(weight_col)
     return Pipeline(stages=[scaler_transformer(stats), assembler(scaled), lr])
 
 
-def linear_margin(model: PipelineModel, features: list[str], stats: ScalerStats) -> Column:
-    """``intercept + sum_i w_i * (x_i - mean_i) / std_i`` as one column expression."""
+@dataclass
+class Coefficients:
+    """A logistic model as numbers: an intercept and one weight per scaled feature."""
+
+    intercept: float
+    weights: list
+
+
+def model_coefficients(model: PipelineModel | Coefficients) -> Coefficients:
+    if isinstance(model, Coefficients):
+        return model
     lr = model.stages[-1]
-    margin = F.lit(float(lr.intercept))
-    for c, w in zip(features, lr.coefficients.toArray()):
+    return Coefficients(float(lr.intercept), [float(x) for x in lr.coefficients.toArray()])
+
+
+def linear_margin(model: PipelineModel | Coefficients, features: list[str], stats: ScalerStats) -> Column:
+    """``intercept + sum_i w_i * (x_i - mean_i) / std_i`` as one column expression."""
+    known = model_coefficients(model)
+    margin = F.lit(known.intercept)
+    for c, w in zip(features, known.weights):
         scaled = (F.col(c) - F.lit(float(stats.mean[c] or 0.0))) / F.lit(float(stats.std[c] or 1.0))
         margin = margin + F.lit(float(w)) * scaled
     return margin
 
 
-def predict(model: PipelineModel, df: DataFrame, features: list[str], stats: ScalerStats,
+def predict(model: PipelineModel | Coefficients, df: DataFrame, features: list[str], stats: ScalerStats,
             keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """Class and probability of class 1 per row (M6).
 
@@ -212,8 +228,7 @@ def predict_with_pipeline(model: PipelineModel, df: DataFrame, keep: list[str] |
 
 
 def coefficients(model: PipelineModel, features: list[str]) -> list[tuple[str, float]]:
-    lr = model.stages[-1]
-    return list(zip(features, [float(x) for x in lr.coefficients.toArray()]))
+    return list(zip(features, model_coefficients(model).weights))
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
@@ -298,6 +313,15 @@ class RunResult:
     stats: ScalerStats | None = None
 
 
+def evaluate(scored: DataFrame, label: str = LABEL) -> dict:
+    """The metrics logged with a run: accuracy, precision, recall, F1, AUC."""
+    m = classification_metrics(scored, label).first().asDict()
+    auc = roc_auc(scored, label).first()["roc_auc"]
+    metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
+    metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
+    return metrics
+
+
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], run_name: str,
                        C: float, max_iter: int, class_weight: str | None = None,
                        n_train: int | None = None, stats: ScalerStats | None = None,
@@ -317,11 +341,8 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
     # Three narrow columns per test row, read by two small jobs (metrics and
     # score groups): keep them for those jobs only.
     scored = predict(model, test, features, stats, keep=[label]).persist()
-    m = classification_metrics(scored, label).first().asDict()
-    auc = roc_auc(scored, label).first()["roc_auc"]
+    metrics = evaluate(scored, label)
     scored.unpersist()
-    metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
-    metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
     params = {"model": "LogisticRegression", "C": C, "max_iter": max_iter,
               "class_weight": class_weight, "features_count": len(features), "train_size": n_train,
               **(extra_params or {})}

@@ -807,71 +807,154 @@ def q_feature_vector(spark, sf):
             .withColumn("value", half_away("value", 6)))
 
 
-# Fitted experiments are kept per (application, folder) so that several keys
-# reuse the same three fits in one session.
-_RUNS: dict = {}
-
-
-def _experiments(spark, sf):
-    memo = (spark.sparkContext.applicationId, sf)
-    if memo not in _RUNS:
-        df, present = model_frame(stages(spark, sf))
-        train, test = split_parts(df)
-        runs = ML.run_experiments(train, test, present)
-        _RUNS[memo] = (runs, test, present)
-    return _RUNS[memo]
-
-
-@register("logistic_fit")
+# A model of two features, small enough for SQL to repeat: fitting is checked
+# against an unrolled Newton solve, scoring with fixed coefficients.  The fit
+# of all 22 features is a unit test.
+_PAIR = ["TransactionAmt", "card1_tx_count"]
+_FIXED = {"baseline_C1.0": ML.Coefficients(-0.3, [0.8, -0.6]), "balanced_C1.0": ML.Coefficients(0.2, [-0.5, 0.4]),
+          "balanced_C0.1": ML.Coefficients(-1.0, [0.3, 0.9])}
+_STANDARD_CTE = """standard AS MATERIALIZED (
+  SELECT TransactionID, isFraud, split, (TransactionAmt - mean_a) / std_a AS a, (card1_tx_count - mean_b) / std_b AS b
+  FROM split, (SELECT AVG(TransactionAmt) AS mean_a, STDDEV_POP(TransactionAmt) AS std_a,
+                      AVG(card1_tx_count) AS mean_b, STDDEV_POP(card1_tx_count) AS std_b FROM split WHERE split = 'train'))"""
+
+
+def _newton_cte(k: int) -> str:
+    """One Newton step of sum(loss) + |b|^2 / 2 (C = 1), the 3 x 3 system by Cramer's rule."""
+    return f"""n{k} AS MATERIALIZED (SELECT
+  b0 - (g0 * (h11 * h22 - h12 * h12) - g1 * (h01 * h22 - h02 * h12) + g2 * (h01 * h12 - h02 * h11)) / det AS b0,
+  b1 - (-g0 * (h01 * h22 - h12 * h02) + g1 * (h00 * h22 - h02 * h02) - g2 * (h00 * h12 - h01 * h02)) / det AS b1,
+  b2 - (g0 * (h01 * h12 - h11 * h02) - g1 * (h00 * h12 - h02 * h01) + g2 * (h00 * h11 - h01 * h01)) / det AS b2
+FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det
+  FROM (SELECT ANY_VALUE(b0) AS b0, ANY_VALUE(b1) AS b1, ANY_VALUE(b2) AS b2,
+    SUM(p - y) AS g0, SUM((p - y) * a) + ANY_VALUE(b1) AS g1, SUM((p - y) * b) + ANY_VALUE(b2) AS g2,
+    SUM(w) AS h00, SUM(w * a) AS h01, SUM(w * b) AS h02,
+    SUM(w * a * a) + 1 AS h11, SUM(w * a * b) AS h12, SUM(w * b * b) + 1 AS h22
+    FROM (SELECT *, p * (1 - p) AS w FROM (
+      SELECT a, b, isFraud AS y, b0, b1, b2, 1 / (1 + EXP(-(b0 + b1 * a + b2 * b))) AS p
+      FROM standard, n{k - 1} WHERE split = 'train')))))"""
+
+
+_NEWTON = [SPLIT_CTE, _STANDARD_CTE, "n0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)",
+           *(_newton_cte(k) for k in range(1, 10))]
+_COEF_SQL = "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, {O.half_away(x, 4)} AS coefficient FROM n9"
+                                 for c, x in (("intercept", "b0"), (_PAIR[0], "b1"), (_PAIR[1], "b2")))
+_IMPORTANCE_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, {O.half_away(f'ABS({x})', 4)} AS importance FROM n9"
+                                     for c, x in zip(_PAIR, ("b1", "b2")))
+
+
+def _pair_split(spark, sf):
+    """(train, test) rows of the two features, stored once for the passes of the fit."""
+    path = scratch_path(spark, "pair-split")
+    df = ML.stratified_split(stages(spark, sf).staging.select(KEY, "isFraud", *_PAIR))
+    df.write.partitionBy("split").parquet(path)
+    return split_parts(spark.read.parquet(path))
+
+
+def _pair_fit(spark, sf):
+    train, _test = _pair_split(spark, sf)
+    stats, _weights, profile = ML.training_statistics(train, _PAIR)
+    return ML.logistic_pipeline(_PAIR, stats, 1.0, 200, profile["train_size"], tol=1e-12).fit(train)
+
+
+def _coefficient_rows(spark, model):
+    rows = [("intercept", ML.model_coefficients(model).intercept), *ML.coefficients(model, _PAIR)]
+    return (spark.createDataFrame(rows, "feature STRING, coefficient DOUBLE")
+            .withColumn("coefficient", half_away("coefficient", 4)))
+
+
+def _importance(spark, sf):
+    return (ML.feature_importance(spark, _pair_fit(spark, sf), _PAIR)
+            .withColumn("importance", half_away("importance", 4)))
+
+
+@register("logistic_fit", O.with_stage("staging", _COEF_SQL, _NEWTON))
 def q_logistic_fit(spark, sf):
-    runs, _test, present = _experiments(spark, sf)
-    return spark.createDataFrame(ML.coefficients(runs[0].model, present), "feature STRING, coefficient DOUBLE")
-
-
-@register("predict")
-def q_predict(spark, sf):
-    runs, test, present = _experiments(spark, sf)
-    return ML.predict(runs[1].model, test, present, runs[1].stats, keep=[KEY, "isFraud"])
+    return _coefficient_rows(spark, _pair_fit(spark, sf))
 
 
-@register("feature_importance")
+@register("feature_importance", O.with_stage("staging", _IMPORTANCE_SQL, _NEWTON))
 def q_feature_importance(spark, sf):
-    runs, _t, present = _experiments(spark, sf)
-    return ML.feature_importance(spark, runs[0].model, present)
+    return _importance(spark, sf)
 
 
-@register("top_k_importance")
+@register("top_k_importance", O.with_stage(
+    "staging", f"SELECT * FROM ({_IMPORTANCE_SQL}) ORDER BY importance DESC, feature LIMIT 1", _NEWTON))
 def q_top_k_importance(spark, sf):
-    return MT.top_k(q_feature_importance(spark, sf), "importance", 5)
+    return MT.top_k(_importance(spark, sf), "importance", 1)
 
 
-@register("importance_export")
+@register("importance_export", O.with_stage("staging", _IMPORTANCE_SQL, _NEWTON))
 def q_importance_export(spark, sf):
     path = scratch_path(spark, "feature-importance-csv")
-    SK.write_csv(q_feature_importance(spark, sf), path)
+    SK.write_csv(_importance(spark, sf), path)
     return spark.read.option("header", True).schema("feature STRING, importance DOUBLE").csv(path)
 
 
-@register("experiment_runs")
-def q_experiment_runs(spark, sf):
-    runs, _t, _p = _experiments(spark, sf)
+@register("model_artifact", O.with_stage("staging", _COEF_SQL, _NEWTON))
+def q_model_artifact(spark, sf):
+    path = ML.save_model(_pair_fit(spark, sf), scratch_path(spark, "model-pair"))
+    return _coefficient_rows(spark, ML.load_model(path))
+
+
+def _score_sql(model: ML.Coefficients) -> str:
+    w1, w2 = model.weights
+    return O.half_away(f"1 / (1 + EXP(-({model.intercept} + {w1} * a + {w2} * b)))", 6)
+
+
+def _scored(train, test, model):
+    stats, _weights, _profile = ML.training_statistics(train, _PAIR)
+    out = ML.predict(model, test, _PAIR, stats, keep=[KEY, "isFraud"])
+    p = half_away("probability", 6)
+    return out.select(KEY, "isFraud", p.alias("probability"), (p > 0.5).cast("int").alias("prediction"))
+
+
+@register("predict", O.with_stage("staging", f"""
+SELECT TransactionID, isFraud, probability, CAST(probability > 0.5 AS INTEGER) AS prediction
+FROM (SELECT *, {_score_sql(_FIXED['baseline_C1.0'])} AS probability FROM standard WHERE split = 'test')""",
+                                 [SPLIT_CTE, _STANDARD_CTE]))
+def q_predict(spark, sf):
+    return _scored(*_pair_split(spark, sf), _FIXED["baseline_C1.0"])
+
+
+_SCORED_CTE = "scored AS MATERIALIZED (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS run_name, isFraud AS y, {_score_sql(m)} AS s FROM standard WHERE split = 'test'"
+    for name, m in _FIXED.items()) + ")"
+_METRICS_CTE = f"""metrics AS (
+SELECT run_name, UNNEST(['accuracy', 'precision', 'recall', 'f1', 'roc_auc']) AS metric,
+  UNNEST([COALESCE({O.ratio('tp + tn', 'tp + fp + fn + tn', 4, 1.0)}, 0.0), COALESCE({O.ratio('tp', 'tp + fp', 4, 1.0)}, 0.0),
+    COALESCE({O.ratio('tp', 'tp + fn', 4, 1.0)}, 0.0), COALESCE({O.ratio('tp * 2', 'tp * 2 + fp + fn', 4, 1.0)}, 0.0),
+    roc_auc]) AS value
+FROM (SELECT run_name, COUNT_IF(y = 1 AND s > 0.5) AS tp, COUNT_IF(y <> 1 AND s > 0.5) AS fp,
+        COUNT_IF(y = 1 AND NOT s > 0.5) AS fn, COUNT_IF(y <> 1 AND NOT s > 0.5) AS tn FROM scored GROUP BY run_name)
+JOIN (SELECT run_name, {O.half_away('SUM(CAST(pos AS DOUBLE) * (nb + neg * 0.5)) / (CAST(SUM(pos) AS DOUBLE) * SUM(neg))', 4)} AS roc_auc
+      FROM (SELECT run_name, pos, neg, COALESCE(SUM(neg) OVER (PARTITION BY run_name ORDER BY s
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+            FROM (SELECT run_name, s, COUNT_IF(y = 1) AS pos, COUNT_IF(y <> 1) AS neg FROM scored GROUP BY run_name, s))
+      GROUP BY run_name) USING (run_name))"""
+_RUN_CTES = [SPLIT_CTE, _STANDARD_CTE, _SCORED_CTE, _METRICS_CTE]
+
+
+def _logged_runs(spark, sf):
+    """Three runs with fixed coefficients, evaluated and logged to a runs table."""
+    train, test = _pair_split(spark, sf)
+    runs = [ML.RunResult(name, {"weights": m.weights}, ML.evaluate(_scored(train, test, m)), None, _PAIR)
+            for name, m in _FIXED.items()]
     path = scratch_path(spark, "runs")
     SK.write_parquet(ML.runs_frame(spark, runs), path, mode="append")
     return spark.read.parquet(path)
 
 
-@register("experiment_compare")
-def q_experiment_compare(spark, sf):
-    runs, _t, _p = _experiments(spark, sf)
-    return ML.compare_runs(ML.runs_frame(spark, runs), [r.run_name for r in runs])
+@register("experiment_runs", O.with_stage("staging", "SELECT * FROM metrics", _RUN_CTES))
+def q_experiment_runs(spark, sf):
+    return _logged_runs(spark, sf).select("run_name", F.explode("metrics").alias("metric", "value"))
 
 
-@register("model_artifact")
-def q_model_artifact(spark, sf):
-    runs, _t, present = _experiments(spark, sf)
-    path = ML.save_model(runs[2].model, scratch_path(spark, "model-balanced_C0.1"))
-    loaded = ML.load_model(path)
-    return spark.createDataFrame(ML.coefficients(loaded, present), "feature STRING, coefficient DOUBLE")
+@register("experiment_compare", O.with_stage("staging", "SELECT metric, " + ", ".join(
+    f"MAX(CASE WHEN run_name = '{n}' THEN value END) AS \"{n}\"" for n in _FIXED) + " FROM metrics GROUP BY metric",
+                                            _RUN_CTES))
+def q_experiment_compare(spark, sf):
+    return ML.compare_runs(_logged_runs(spark, sf), list(_FIXED))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
