@@ -24,16 +24,19 @@ def spark():
     s.stop()
 
 
-# Six transactions and three identity rows: the unit fixture of the
-# transform tests.  Columns not listed take the filler values below.
+# Seven transactions and four identity rows: the unit fixture of the transform
+# tests.  They cover a missing amount, card, product, address and e-mail, fractions
+# of a cent, both borders of the night, a weekend and an identity row without a
+# transaction.  Columns not listed take the filler values below.
 BASE_ROWS = [
     # TransactionID, isFraud, TransactionDT, TransactionAmt, ProductCD, card1, card4, card6, addr1, P_emaildomain
-    (1, 0, 86400, 100.0, "W", 1001, "visa", "credit", 100.0, "gmail.com"),
-    (2, 1, 90000, 999.0, "H", 1001, "visa", "credit", 100.0, "yahoo.com"),
-    (3, 0, 7200, 50.0, "W", 1002, "mastercard", "debit", 200.0, "gmail.com"),
-    (4, 1, 3600, 2500.0, "C", 1003, "visa", "credit", None, None),
-    (5, 0, 172800, 15.99, "W", 1002, "mastercard", "debit", 200.0, "gmail.com"),
-    (6, 0, 43200, 200.0, "H", 1004, "amex", "credit", 300.0, "hotmail.com"),
+    (11, 0, 10 * 3600 + 15, 12.345, "C", 70, "amex", "debit", 31.0, "outlook.com"),
+    (12, 0, 23 * 3600, 151.005, "W", 70, "amex", "debit", 31.0, None),
+    (13, 1, 5 * 86400 + 4 * 3600, 87.5, "H", 70, "amex", "debit", None, "gmail.com"),
+    (14, 0, 2 * 86400 + 22 * 3600 - 1, None, "R", 81, "visa", "credit", 44.0, "yahoo.com"),
+    (15, 1, 9 * 86400 + 6 * 3600, 3000.25, None, 81, "visa", "credit", 44.0, "gmail.com"),
+    (16, 0, 6 * 86400, 0.004, "S", None, "discover", None, 7.0, "hotmail.com"),
+    (17, 0, 13 * 86400 + 22 * 3600, 49.99, "W", 92, "mastercard", "credit", 58.0, "gmail.com"),
 ]
 BASE_COLS = ["TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "ProductCD", "card1",
              "card4", "card6", "addr1", "P_emaildomain"]
@@ -50,10 +53,9 @@ def tx_ddl() -> str:
 
 def make_tx(spark, rows, overrides: dict | None = None):
     """Rows of the 10 base columns, widened to the full transaction schema."""
-    filler = {"card2": -999.0, "card3": -999.0, "card5": -999.0, "addr2": -999.0, "dist1": -999.0,
-              "dist2": -999.0, "R_emaildomain": "unknown"}
-    filler.update({c: -999.0 for c in C_COLS + D_COLS})
-    filler.update({m: None for m in M_COLS})
+    filler = {"card2": 3.0, "card3": None, "card5": 8.5, "addr2": None, "dist1": None, "dist2": 0.0}
+    filler.update({c: float(k) for k, c in enumerate(C_COLS)})
+    filler.update({c: None for c in D_COLS[1:]})
     filler.update(overrides or {})
     full = []
     for r in rows:
@@ -63,8 +65,8 @@ def make_tx(spark, rows, overrides: dict | None = None):
 
 
 def make_identity(spark, rows=None):
-    rows = rows if rows is not None else [(1, "desktop", "Windows"), (2, "mobile", "iOS"),
-                                          (3, "desktop", "MacOS")]
+    rows = rows if rows is not None else [(12, "mobile", "iOS"), (15, "desktop", None), (17, None, "Windows"),
+                                          (99, "desktop", "Linux")]
     return spark.createDataFrame(rows, "TransactionID BIGINT, DeviceType STRING, DeviceInfo STRING")
 
 

@@ -89,7 +89,7 @@ def test_bucketed_sources_merge_without_shuffle(spark):
         merged = merge_identity(tx, idn)
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
-        assert merged.count() == 6
+        assert merged.count() == 7
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
