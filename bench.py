@@ -98,7 +98,7 @@ def main() -> None:
     timed("features_from_events_noop", features)
 
     def models():
-        df, present = model_frame(s.__class__(**{**s.__dict__, "staging": staged}))
+        df, present = model_frame(staged)
         train, test = split_parts(df)
         runs = ML.run_experiments(train, test, present, cache=True)
         return {r.run_name: r.metrics for r in runs}

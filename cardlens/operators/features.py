@@ -39,10 +39,16 @@ def card_aggregates(cleaned: DataFrame, card: str = CARD, amount: str = AMOUNT,
                  F.sum(label).cast("long").alias("card1_fraud_count")))
 
 
-def time_features(dt: str = TIME) -> list:
-    """tx_hour, tx_day_of_week, tx_day."""
-    return [tx_hour(dt).alias("tx_hour"), tx_day_of_week(dt).alias("tx_day_of_week"),
-            tx_day(dt).alias("tx_day")]
+def row_features(cleaned: DataFrame, amount: str = AMOUNT, dt: str = TIME) -> DataFrame:
+    """Cleaned rows + the seven features of the row itself (F1-F7): one
+    projection, for consumers that need no per-card statistics."""
+    hour, dow = tx_hour(dt), tx_day_of_week(dt)
+    return cleaned.select(
+        "*",
+        hour.alias("tx_hour"), dow.alias("tx_day_of_week"), tx_day(dt).alias("tx_day"),
+        is_night(hour).alias("is_night_tx"), is_weekend(dow).alias("is_weekend"),
+        is_large(amount).alias("is_large_tx"), log_amount(amount).alias("log_TransactionAmt"),
+    )
 
 
 def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
@@ -59,13 +65,7 @@ def engineer_features(cleaned: DataFrame, aggregates: DataFrame | None = None,
     """
     agg = card_aggregates(cleaned, card, amount) if aggregates is None else aggregates
     # Row features first (one projection), then the join on card1.
-    hour, dow = tx_hour(dt), tx_day_of_week(dt)
-    rows = cleaned.select(
-        "*",
-        hour.alias("tx_hour"), dow.alias("tx_day_of_week"), tx_day(dt).alias("tx_day"),
-        is_night(hour).alias("is_night_tx"), is_weekend(dow).alias("is_weekend"),
-        is_large(amount).alias("is_large_tx"), log_amount(amount).alias("log_TransactionAmt"),
-    )
+    rows = row_features(cleaned, amount, dt)
     # The sentinel card is excluded from the statistics: its rows never
     # match and are spread too.
     joined = salted_left_join(rows, agg, card, "card1_tx_count", key, hot_rows,

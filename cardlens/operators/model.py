@@ -104,11 +104,6 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return counts.select(label, "n", (total.cast("double") / (k * F.col("n"))).alias("weight"))
 
 
-def add_weights(df: DataFrame, weights: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
-    """Attach the per-class weight (a broadcast of one row per class)."""
-    return df.join(F.broadcast(weights.select(label, F.col("weight").alias(out))), on=label, how="left")
-
-
 def weight_values(weights: DataFrame, label: str = LABEL) -> dict:
     """{class: weight}; one row per class reaches the driver."""
     return {r[label]: float(r["weight"]) for r in weights.collect()}
@@ -400,15 +395,6 @@ def run_experiments(train: DataFrame, test: DataFrame, features: list[str], conf
             rows.unpersist()
 
 
-def split_profile(train: DataFrame, test: DataFrame, label: str = LABEL) -> dict:
-    """Training size, test size and training class prior (4 dp): one
-    aggregate per part (A19)."""
-    tr = train.agg(F.count(F.lit(1)).alias("n"),
-                   ratio(F.sum(label), F.count(label), digits=4, scale=1.0).alias("prior")).first()
-    return {"train_size": int(tr["n"]), "test_size": int(test.count()),
-            "fraud_rate_train": float(tr["prior"]) if tr["prior"] is not None else None}
-
-
 def runs_frame(spark: SparkSession, runs: list[RunResult]) -> DataFrame:
     """One row per run: id, time, name, params (text map) and metrics (double
     map) (M10).  Runs logged together share the id."""

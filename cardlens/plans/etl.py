@@ -16,7 +16,6 @@ from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.merge import merge_identity
 from ..schemas import AMOUNT, CARD, DEVICE_COLS, KEY, LABEL, NUMERIC_SENTINEL
 from ..session import path_size, scratch_path
-from ..sources.adapter import load_sources
 
 
 def identity_ids_unique(identity: DataFrame, key: str = KEY) -> bool:
@@ -80,12 +79,6 @@ def transform(transactions: DataFrame, identity: DataFrame,
     return engineer_features(cleaned, stats, hot_rows=hot_rows)
 
 
-def staging_from_events(spark: SparkSession, sf_dir: str,
-                        identity_unique: bool | None = None) -> DataFrame:
-    tx, idn = load_sources(spark, sf_dir)
-    return transform(tx, idn, identity_unique=identity_unique)
-
-
 # ---------------------------------------------------------------------------
 # Whole stages, as the reference's jobs run them.  Each writes its output
 # below ``root`` (a shared folder) and returns a small metrics dict.

@@ -26,8 +26,7 @@ from ..operators import quality as QC
 from ..operators.clean import missing_profile
 from ..operators.features import feature_summary
 from ..operators.merge import join_coverage
-from ..schemas import (CLEAN_COLUMNS, KEY, M_COLS, MODEL_FEATURES, NUMERIC_FILL,
-                       QUALITY_COLUMNS, RAW_TRANSACTION_SCHEMA, STAGING_COLUMNS, STG_RENAMES,
+from ..schemas import (KEY, M_COLS, MODEL_FEATURES, NUMERIC_FILL, QUALITY_COLUMNS, RAW_TRANSACTION_SCHEMA,
                        STRING_FILL)
 from ..session import scratch_path
 from ..sources import files as FS
@@ -136,7 +135,7 @@ def q_parquet_sink(spark, sf):
     return round6(spark.read.parquet(_staging_parquet(spark, sf)), "log_TransactionAmt")
 
 
-_FEATURE_LIST = ", ".join(c for c in MODEL_FEATURES if c != "log_TransactionAmt")
+_FEATURE_LIST = ", ".join(c for c in O.MODEL if c != "log_TransactionAmt")
 
 
 @register("parquet_scan", O.with_stage("staging", f"SELECT TransactionID, isFraud, {_FEATURE_LIST}, {LOG6} FROM staging"))
@@ -145,7 +144,7 @@ def q_parquet_scan(spark, sf):
     return round6(df, "log_TransactionAmt")
 
 
-_QUALITY_LIST = ", ".join(c for c in QUALITY_COLUMNS if c != "log_TransactionAmt")
+_QUALITY_LIST = ", ".join(c for c in O.QUALITY if c != "log_TransactionAmt")
 
 
 @register("staging_projection", O.with_stage("staging", f"SELECT {_QUALITY_LIST}, {LOG6} FROM staging"))
@@ -203,11 +202,11 @@ FROM ({HOURLY_AGG}))"""
 
 
 def _summary(spark, sf, ordered=True):
-    return MT.fraud_summary(stages(spark, sf).stg, ordered=ordered)
+    return MT.fraud_summary(stages(spark, sf).narrow, ordered=ordered)
 
 
 def _hourly(spark, sf, ordered=True):
-    return MT.fraud_hourly(stages(spark, sf).stg, ordered=ordered)
+    return MT.fraud_hourly(stages(spark, sf).narrow, ordered=ordered)
 
 
 @register("mart_materialise", O.with_stage("stg_fraud", "SELECT * FROM fraud_summary", [SUMMARY_CTE]))
@@ -232,17 +231,17 @@ def q_match_flag(spark, sf):
     return stages(spark, sf).merged.select(KEY, "has_identity")
 
 
-@register("fill_numeric", O.with_stage("cleaned", f"SELECT TransactionID, {', '.join(NUMERIC_FILL)} FROM cleaned"))
+@register("fill_numeric", O.with_stage("cleaned", f"SELECT TransactionID, {', '.join(O.NUMERIC)} FROM cleaned"))
 def q_fill_numeric(spark, sf):
     return stages(spark, sf).cleaned.select(KEY, *NUMERIC_FILL)
 
 
-@register("fill_string", O.with_stage("cleaned", f"SELECT TransactionID, {', '.join(STRING_FILL)} FROM cleaned"))
+@register("fill_string", O.with_stage("cleaned", f"SELECT TransactionID, {', '.join(O.TEXT)} FROM cleaned"))
 def q_fill_string(spark, sf):
     return stages(spark, sf).cleaned.select(KEY, *STRING_FILL)
 
 
-@register("bool_passthrough", O.with_stage("cleaned", f"SELECT TransactionID, {', '.join(M_COLS)} FROM cleaned"))
+@register("bool_passthrough", O.with_stage("cleaned", f"SELECT TransactionID, {', '.join(O.MATCHES)} FROM cleaned"))
 def q_bool_passthrough(spark, sf):
     return stages(spark, sf).cleaned.select(KEY, *M_COLS)
 
@@ -297,7 +296,7 @@ def q_feature_select(spark, sf):
     return round6(s.staging.select(KEY, *present), "log_TransactionAmt")
 
 
-_RAW_FEATURES = [c for c in MODEL_FEATURES if c in CLEAN_COLUMNS]
+_RAW_FEATURES = [c for c in O.MODEL if c in O.CLEAN]
 
 
 @register("fill_features", O.with_stage("merged", "SELECT TransactionID, " + ", ".join(
@@ -410,7 +409,7 @@ SELECT tx_hour, {O.money_sum('CASE WHEN is_fraud = 1 THEN transaction_amt ELSE 0
 FROM stg_fraud GROUP BY tx_hour"""))
 def q_conditional_sum(spark, sf):
     amt = F.col("transaction_amt")
-    return stages(spark, sf).stg.groupBy("tx_hour").agg(
+    return stages(spark, sf).narrow.groupBy("tx_hour").agg(
         money_sum(F.when(F.col("is_fraud") == 1, amt).otherwise(F.lit(0.0))).alias("fraud_total_amount"))
 
 
@@ -420,14 +419,14 @@ SELECT card1, card4, card6,
 FROM stg_fraud GROUP BY card1, card4, card6"""))
 def q_conditional_ratio(spark, sf):
     night_fraud = MT.conditional_sum((F.col("is_fraud") == 1) & (F.col("is_night_tx") == 1), F.lit(1))
-    return stages(spark, sf).stg.groupBy("card1", "card4", "card6").agg(
+    return stages(spark, sf).narrow.groupBy("card1", "card4", "card6").agg(
         ratio(night_fraud, F.sum("is_fraud")).alias("fraud_night_pct"))
 
 
 @register("fraud_rate", O.with_stage("stg_fraud", f"""
 SELECT product_cd, {O.ratio('SUM(is_fraud)', 'COUNT(is_fraud)')} AS fraud_rate_pct FROM stg_fraud GROUP BY product_cd"""))
 def q_fraud_rate(spark, sf):
-    return stages(spark, sf).stg.groupBy("product_cd").agg(MT.fraud_rate_pct().alias("fraud_rate_pct"))
+    return stages(spark, sf).narrow.groupBy("product_cd").agg(MT.fraud_rate_pct().alias("fraud_rate_pct"))
 
 
 _FLAGS = ["is_night_tx", "is_weekend", "is_large_tx", "has_identity"]
@@ -437,7 +436,7 @@ _FLAG_NAMES = ["night_transactions", "weekend_transactions", "large_transactions
 @register("flag_sums", O.with_stage("stg_fraud", "SELECT card6, " + ", ".join(
     f"CAST(SUM({f}) AS BIGINT) AS {n}" for f, n in zip(_FLAGS, _FLAG_NAMES)) + " FROM stg_fraud GROUP BY card6"))
 def q_flag_sums(spark, sf):
-    return stages(spark, sf).stg.groupBy("card6").agg(*MT.flag_sums(_FLAGS, _FLAG_NAMES))
+    return stages(spark, sf).narrow.groupBy("card6").agg(*MT.flag_sums(_FLAGS, _FLAG_NAMES))
 
 
 @register("amount_stats", O.with_stage("stg_fraud", f"""
@@ -446,7 +445,7 @@ SELECT card4, {O.half_away('MIN(transaction_amt)', 2)} AS min_amount, {O.half_aw
 FROM stg_fraud GROUP BY card4"""))
 def q_amount_stats(spark, sf):
     amt = F.col("transaction_amt")
-    return stages(spark, sf).stg.groupBy("card4").agg(
+    return stages(spark, sf).narrow.groupBy("card4").agg(
         half_away(F.min(amt), 2).alias("min_amount"), half_away(F.max(amt), 2).alias("max_amount"),
         money_avg(amt).alias("avg_amount"), money_sum(amt).alias("total_amount"))
 
@@ -481,7 +480,7 @@ SELECT split AS part, {O.ratio('SUM(isFraud)', 'COUNT(isFraud)', 4, 1.0)} AS lab
 UNION ALL
 SELECT 'all' AS part, {O.ratio('SUM(isFraud)', 'COUNT(isFraud)', 4, 1.0)} AS label_mean FROM staging""", [SPLIT_CTE]))
 def q_class_prior(spark, sf):
-    df, _ = model_frame(stages(spark, sf))
+    df, _ = model_frame(stages(spark, sf).staging)
     per = PR.class_prior(df, by="split").withColumnRenamed("split", "part")
     return per.unionByName(PR.class_prior(df).select(F.lit("all").alias("part"), "label_mean"))
 
@@ -621,24 +620,23 @@ def q_fn_round_metric(spark, sf):
 SUITE = QC.staging_suite()
 
 
-def _checks_query(key: str, checks: list):
-    @register(key, O.with_stage("staging", O.checks_sql(checks, "staging", STAGING_COLUMNS)))
+def _checks_query(key: str, kind: str | None = None):
+    def picked(checks):
+        return [c for c in checks if kind in (None, c.kind)]
+
+    @register(key, O.with_stage("staging", O.checks_sql(picked(O.SUITE), "staging")))
     def q(spark, sf):
-        return QC.run_checks(stages(spark, sf).staging, checks)
+        return QC.run_checks(stages(spark, sf).staging, picked(SUITE))
     q.__name__ = f"q_{key}"
     return q
 
 
-def _pick(kind: str) -> list:
-    return [c for c in SUITE if c.kind == kind]
-
-
-_checks_query("check_row_count_between", _pick("row_count_between"))
-_checks_query("check_in_set", _pick("in_set"))
-_checks_query("check_not_null", _pick("not_null"))
-_checks_query("check_mean_between", _pick("mean_between"))
-_checks_query("check_between", _pick("between"))
-_checks_query("quality_report", SUITE)
+_checks_query("check_row_count_between", "row_count_between")
+_checks_query("check_in_set", "in_set")
+_checks_query("check_not_null", "not_null")
+_checks_query("check_mean_between", "mean_between")
+_checks_query("check_between", "between")
+_checks_query("quality_report")
 
 
 @register("quality_suite", O.with_stage("staging", f"""
@@ -646,33 +644,24 @@ SELECT COUNT(*) AS total_expectations, CAST(COUNT_IF(success) AS BIGINT) AS succ
   CAST(COUNT_IF(NOT success) AS BIGINT) AS failed_expectations,
   {O.half_away('COUNT_IF(success) * 100.0 / COUNT(*)', 2)} AS success_percent,
   COUNT_IF(NOT success) = 0 AS validation_success
-FROM ({O.checks_sql(SUITE, 'staging', STAGING_COLUMNS)})"""))
+FROM ({O.checks_sql(O.SUITE, 'staging')})"""))
 def q_quality_suite(spark, sf):
     return QC.summarize(QC.run_checks(stages(spark, sf).staging, SUITE))
 
 
 @register("quality_gate", O.with_stage("staging", f"""
-SELECT * FROM ({O.checks_sql(SUITE, 'staging', STAGING_COLUMNS)}) WHERE NOT success AND severity = 'error'"""))
+SELECT * FROM ({O.checks_sql(O.SUITE, 'staging')}) WHERE NOT success AND severity = 'error'"""))
 def q_quality_gate(spark, sf):
     return QC.failed_checks(QC.run_checks(stages(spark, sf).staging, SUITE))
 
 
-@register("soft_check_load", O.with_stage("staging", O.checks_sql(QC.soft_load_checks(), "staging", STAGING_COLUMNS)))
+@register("soft_check_load", O.with_stage("staging", O.checks_sql(O.SOFT, "staging")))
 def q_soft_check_load(spark, sf):
     return QC.run_checks(spark.read.parquet(_staging_parquet(spark, sf)), QC.soft_load_checks())
 
 
-_STG_COLS = [b for _a, b in STG_RENAMES]
-_SUMMARY_COLS = ["card1", "card_network", "card_type", "total_transactions", "fraud_transactions",
-                 "fraud_rate_pct", "min_amount", "max_amount", "avg_amount", "total_amount",
-                 "night_transactions", "weekend_transactions", "large_transactions",
-                 "transactions_with_identity", "fraud_night_pct"]
-_HOURLY_COLS = ["tx_hour", "is_night_tx", "total_transactions", "fraud_transactions", "fraud_rate_pct",
-                "avg_amount", "fraud_total_amount", "pct_of_daily_volume", "pct_of_daily_fraud"]
-_MODELS = [("staging_fraud", "staging", QC.SOURCE_TESTS, STAGING_COLUMNS),
-           ("stg_fraud", "stg_fraud", QC.STG_TESTS, _STG_COLS),
-           ("fraud_summary", "fraud_summary", QC.SUMMARY_TESTS, _SUMMARY_COLS),
-           ("fraud_hourly", "fraud_hourly", QC.HOURLY_TESTS, _HOURLY_COLS)]
+_TESTS = {"staging_fraud": QC.SOURCE_TESTS, "stg_fraud": QC.STG_TESTS, "fraud_summary": QC.SUMMARY_TESTS,
+          "fraud_hourly": QC.HOURLY_TESTS}
 
 
 def _schema_tests(spark, sf, keep):
@@ -691,7 +680,7 @@ def _schema_tests(spark, sf, keep):
     if any(keep(t) for t in QC.HOURLY_TESTS):
         frames["fraud_hourly"] = stored(MT.fraud_hourly(stg, ordered=False), "mart-hourly")
     models = {}
-    for name, _cte, tests, _cols in _MODELS:
+    for name, tests in _TESTS.items():
         picked = [t for t in tests if keep(t)]
         if picked:
             models[name] = (frames[name], picked)
@@ -700,10 +689,10 @@ def _schema_tests(spark, sf, keep):
 
 def _schema_tests_sql(keep) -> str:
     parts = []
-    for name, cte, tests, cols in _MODELS:
+    for name, cte, tests in O.MODELS:
         picked = [t for t in tests if keep(t)]
         if picked:
-            parts.append(O.checks_sql(picked, cte, cols, extra=f", '{name}' AS model"))
+            parts.append(O.checks_sql(picked, cte, extra=f", '{name}' AS model"))
     return O.with_stage("stg_fraud", "\nUNION ALL\n".join(parts), [SUMMARY_CTE, HOURLY_CTE])
 
 
@@ -721,7 +710,7 @@ for _key, _keep in [("test_unique", lambda t: t.kind == "unique"),
 # ===========================================================================
 @register("stratified_split", O.with_stage("staging", "SELECT TransactionID, isFraud, split FROM split", [SPLIT_CTE]))
 def q_stratified_split(spark, sf):
-    df, _ = model_frame(stages(spark, sf))
+    df, _ = model_frame(stages(spark, sf).staging)
     return df.select(KEY, "isFraud", "split")
 
 
@@ -742,15 +731,15 @@ def q_hash_split(spark, sf):
 
 
 _STATS_SQL = ", ".join(f"AVG({c}) AS m_{i}, COALESCE(NULLIF(STDDEV_POP({c}), 0), 1.0) AS s_{i}"
-                       for i, c in enumerate(MODEL_FEATURES))
-_SCALED_SQL = ", ".join(O.round6(f"(f.{c} - st.m_{i}) / st.s_{i}", c) for i, c in enumerate(MODEL_FEATURES))
+                       for i, c in enumerate(O.MODEL))
+_SCALED_SQL = ", ".join(O.round6(f"(f.{c} - st.m_{i}) / st.s_{i}", c) for i, c in enumerate(O.MODEL))
 
 
 @register("standard_scale", O.with_stage("staging", f"""
 SELECT f.TransactionID, {_SCALED_SQL}
 FROM staging f, (SELECT {_STATS_SQL} FROM split WHERE split = 'train') st""", [SPLIT_CTE]))
 def q_standard_scale(spark, sf):
-    df, present = model_frame(stages(spark, sf))
+    df, present = model_frame(stages(spark, sf).staging)
     train, _ = split_parts(df)
     scaled = ML.scale_columns(df.select(KEY, *present), ML.fit_scaler(train, present))
     return round6(scaled, *present)
@@ -760,7 +749,7 @@ def q_standard_scale(spark, sf):
 SELECT isFraud, n, CAST(SUM(n) OVER () AS DOUBLE) / (COUNT(*) OVER () * n) AS weight
 FROM (SELECT isFraud, COUNT(*) AS n FROM split WHERE split = 'train' GROUP BY isFraud)""", [SPLIT_CTE]))
 def q_class_weights(spark, sf):
-    df, _ = model_frame(stages(spark, sf))
+    df, _ = model_frame(stages(spark, sf).staging)
     train, _ = split_parts(df)
     return ML.class_weights(train)
 
@@ -795,13 +784,13 @@ def q_roc_auc(spark, sf):
 
 _VECTOR_SQL = "\nUNION ALL\n".join(
     f"SELECT TransactionID, {i} AS position, {O.half_away(f'CAST({c} AS DOUBLE)', 6)} AS value FROM staging"
-    for i, c in enumerate(MODEL_FEATURES))
+    for i, c in enumerate(O.MODEL))
 
 
 @register("feature_vector", O.with_stage("staging", _VECTOR_SQL))
 def q_feature_vector(spark, sf):
     # The assembled matrix in coordinate form: one row per (transaction, position).
-    df, present = model_frame(stages(spark, sf))
+    df, present = model_frame(stages(spark, sf).staging)
     vec = ML.assembler(present).transform(df)
     return (vec.select(KEY, F.posexplode(vector_to_array("features")).alias("position", "value"))
             .withColumn("value", half_away("value", 6)))

@@ -8,6 +8,8 @@ when the session runs in local mode and nothing is configured, as in tests.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -65,6 +67,7 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at shared storage "
                 "(for example an hdfs:// or s3a:// folder) before running this job")
         root = tempfile.mkdtemp(prefix="cardlens-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

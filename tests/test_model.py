@@ -40,7 +40,7 @@ def test_logistic_matches_newton_solve(spark):
         w = np.ones(len(y))
         wc = None
         if balanced:
-            train = ML.add_weights(df, ML.class_weights(df), out="__w")
+            train = df.withColumn("__w", ML.weight_expression(ML.weight_values(ML.class_weights(df))))
             wc = "__w"
             w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
         model = ML.logistic_pipeline(feats, stats, C, 200, df.count(), wc).fit(train)
@@ -123,14 +123,6 @@ def test_expression_scoring_equals_pipeline_transform(spark, tmp_path):
     assert max(abs(a[k]["probability"] - b[k]["probability"]) for k in a) < 1e-12
 
 
-def test_split_profile(spark):
-    df, _X, y = _data(spark)
-    s = ML.stratified_split(df)
-    prof = ML.split_profile(s.where("split = 'train'"), s.where("split = 'test'"))
-    assert prof["train_size"] + prof["test_size"] == len(y)
-    assert 0 < prof["fraud_rate_train"] < 1
-
-
 def test_rare_class_gets_its_share_of_the_test_part(spark):
     df = spark.range(4000).selectExpr("id AS TransactionID", "IF(id % 100 = 7, 1, 0) AS isFraud")
     got = {tuple(r) for r in ML.stratified_split(df).groupBy("isFraud", "split").count().collect()}
