@@ -17,9 +17,8 @@ sys.path.insert(0, str(ROOT))
 
 from cardlens.operators import marts as MT  # noqa: E402
 from cardlens.operators import quality as QC  # noqa: E402
-from cardlens.plans.etl import transform  # noqa: E402
+from cardlens.plans.stages import stages  # noqa: E402
 from cardlens.session import build_session  # noqa: E402
-from cardlens.sources.adapter import load_sources  # noqa: E402
 
 BROADCAST_KEYS = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
 
@@ -45,14 +44,12 @@ def main() -> None:
                 spark.conf.set(k, "-1")
             else:
                 spark.conf.unset(k)
-        tx, idn = load_sources(spark, sf)
-        staging = transform(tx, idn)
-        stg = MT.stg_fraud(staging)
+        s = stages(spark, sf)
         cases = {
-            "features (merge -> clean -> per-card statistics -> salted join back)": staging,
-            "fraud_summary (mart, unordered)": MT.fraud_summary(stg, ordered=False),
-            "fraud_hourly (mart with shares)": MT.fraud_hourly(stg),
-            "quality suite (16 checks, one aggregate)": QC.run_checks(staging, QC.staging_suite()),
+            "features (merge -> clean -> per-card statistics -> salted join back)": s.staging,
+            "fraud_summary (mart, unordered)": MT.fraud_summary(s.narrow, ordered=False),
+            "fraud_hourly (mart with shares)": MT.fraud_hourly(s.narrow),
+            "quality suite (16 checks, one aggregate)": QC.run_checks(s.staging, QC.staging_suite()),
         }
         out += [f"## {label}", ""]
         for name, df in cases.items():
