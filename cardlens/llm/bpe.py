@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, IntTable, arrow_map, slices, split_words
+from .common import AT_END, SLICE_BYTES, IntTable, arrow_map, materialize, slices, split_words
 from .tokens import ChunkEncoder, byte_alphabet, load
 
 class Merges:
@@ -195,8 +195,8 @@ class Lexicon:
 class LexiconEncoder(ChunkEncoder):
     """Chunks to ids by the lexicon, unseen words by exact merging."""
 
-    def __init__(self, path: str, lexicon: Lexicon):
-        super().__init__(path)
+    def __init__(self, path: str, lexicon: Lexicon, limit: int = 150_000):
+        super().__init__(path, limit)
         self.lexicon, self.merges = lexicon, merges(path)
         self.bytes_of = {c: b for b, c in enumerate(byte_alphabet())}
         special = self.tokenizer.get_added_tokens_decoder()
@@ -241,10 +241,11 @@ def lexicon_encoder(path: str, lexicon) -> LexiconEncoder:
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = LexiconEncoder(path, Lexicon.mapped(lexicon.value))
+        AT_END.append(_ENCODERS[key].clear)
     return _ENCODERS[key]
 
 
-def word_counts(docs: DataFrame, tokenizer: str, text: str = "text", flush: int = 400_000) -> DataFrame:
+def word_counts(docs: DataFrame, tokenizer: str, text: str = "text", flush: int = 150_000) -> DataFrame:
     """(word, n): how often each word of the tokenizer's pre-tokenisation
     occurs in all texts.  Tasks add up what they read before the shuffle."""
 
@@ -271,11 +272,22 @@ def word_counts(docs: DataFrame, tokenizer: str, text: str = "text", flush: int
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def build_lexicon(docs: DataFrame, tokenizer: str, size: int = 65_536, text: str = "text") -> bytes:
-    """The ``size`` most frequent words of ``docs`` with their ids, compiled.
-    ``size`` bounds the lexicon, not the result: other words are merged."""
-    top = (word_counts(docs, tokenizer, text).where(F.length("word") < 64)
-           .orderBy(F.desc("n"), "word").limit(size).collect())
+def build_lexicon(docs: DataFrame, tokenizer: str, size: int = 65_536, min_count: int = 2,
+                  text: str = "text") -> bytes:
+    """The most frequent words of ``docs`` with their ids, compiled: all words
+    above the smallest count that leaves at most ``size`` of them.  ``size``
+    bounds the lexicon and what reaches the driver, not the result: other
+    words are merged."""
+    counted = materialize(word_counts(docs, tokenizer, text)
+                          .where((F.length("word") < 64) & (F.col("n") >= min_count)), "word-counts")
+    # counts are few: k different ones need k * (k + 1) / 2 words
+    held, least = 0, None
+    for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        held += r.words
+        if held > size:
+            break
+        least = r.n
+    top = counted.where(F.col("n") >= least).collect() if least else []
     words = sorted(r.word.encode("utf-8") for r in top)
     return compile_lexicon(words, merges(tokenizer).merge(words))
 
