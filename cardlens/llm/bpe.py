@@ -253,7 +253,7 @@ def word_counts(docs: DataFrame, tokenizer: str, text: str = "text", flush: int
         encoder, counts = ChunkEncoder(tokenizer), Counter()
 
         def rows():
-            got = {"word": list(counts), "n": pa.array(counts.values(), pa.int64())}
+            got = {"word": pa.array(counts, pa.string()), "n": pa.array(counts.values(), pa.int64())}
             counts.clear()
             return pa.RecordBatch.from_pydict(got)
 

@@ -169,3 +169,9 @@ def test_batches(spark, odd_docs, library):
     assert max(short.values()) <= 1  # only the last batch of a bucket
     found = {(r.doc_id, r.n_tokens) for r in packing.op1(odd_docs, PATH).collect()}
     assert found == {(r.doc_id, len(ids_of(library, r.text))) for r in odd_docs.collect()}
+
+
+def test_word_counts_add_up_over_flushes(spark, odd_docs):
+    whole = {tuple(r) for r in bpe.word_counts(odd_docs, PATH).collect()}
+    assert {tuple(r) for r in bpe.word_counts(odd_docs, PATH, flush=0).collect()} == whole
+    assert dict(whole)["cat"] == 8000
