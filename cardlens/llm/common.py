@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import os
 import tempfile
@@ -24,12 +26,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package (``addPyFile`` of a zip, once per
-    application), so that Python workers import it wherever they start."""
+    application), so that Python workers import it wherever they start, and
+    bound the batches that travel between the JVM and Python by their bytes
+    (documents may be long; this changes no result)."""
     sc = spark.sparkContext
+    if sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_BYTES)) > 8 << 20:
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
     if sc.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
@@ -91,6 +98,22 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(a, b - a)
 
 
+#: Called when a task of an ``arrow_*`` operator ends, in its Python worker.
+AT_END: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Give memory back at the end of a task: Spark keeps idle Python workers,
+    which would otherwise hold what their largest task has used."""
+    for free in AT_END:
+        free()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str,
               column: str | None = None) -> DataFrame:
     """``mapInArrow`` with ``fn`` from batch to batch (or dict of arrays);
@@ -107,6 +130,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dic
                     got = pa.RecordBatch.from_arrays(
                         [pa.array(got[f.name], type=f.type) for f in out], schema=out)
                 yield got
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -129,10 +153,23 @@ def arrow_extend(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], extra: str
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *(pa.array(got[f.name], type=f.type) for f in types)],
                     [*part.schema.names, *types.names])
+        release()
 
     return kept.mapInArrow(run, schema)
 
 
+def arrow_filter(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], column: str) -> DataFrame:
+    """The rows of ``df`` that ``keep`` marks, all columns as they are."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, column):
+                yield part.filter(pa.array(keep(part), pa.bool_()))
+        release()
+
+    return df.mapInArrow(run, df.schema)
+
+
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Indices ``starts[0]..+lens[0], starts[1]..+lens[1], ...`` in one array."""
     total = int(lens.sum())
@@ -255,6 +292,6 @@ class IntTable:
         return out
 
 
-__all__ = ["IntTable", "ship_package", "read_table", "materialize", "discard", "tasks_for", "input_bytes", "binary_list", "slices",
-           "arrow_map", "arrow_extend", "ragged", "mix64", "split_words", "word_hashes",
+__all__ = ["AT_END", "BATCH_BYTES", "release", "IntTable", "ship_package", "read_table", "materialize", "discard", "tasks_for", "input_bytes", "binary_list", "slices",
+           "arrow_map", "arrow_extend", "arrow_filter", "ragged", "mix64", "split_words", "word_hashes",
            "shingle_hashes", "shingle_sets"]

@@ -33,7 +33,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_extend, arrow_map, materialize, split_words
+from .common import arrow_extend, arrow_filter, arrow_map, materialize, split_words
 
 VIEWS = ("text", "meta")
 WORD = re.compile(r"\w+")
@@ -261,28 +261,32 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, max_labelled: int
     return model
 
 
+def probabilities(batch: pa.RecordBatch, m: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Calibrated probabilities of the text view, the metadata view and both."""
+    n = batch.num_rows
+    if m is None:
+        return (np.full(n, 0.5),) * 3
+    logits = [getattr(m, v).logit(getattr(m, v).raw(*features_of(v, batch), n)) for v in VIEWS]
+    both = m.stack[0] + m.stack[1] * logits[0] + m.stack[2] * logits[1]
+    return sigmoid(logits[0]), sigmoid(logits[1]), sigmoid(both)
+
+
 def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
     """``docs`` (text, lang, source) with the calibrated probabilities of both
     views, the combined one, and ``accepted``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
-        m, n = shared.value, batch.num_rows
-        if m is None:
-            half = np.full(n, 0.5)
-            return {"text_score": half, "meta_score": half, "quality_score": half, "accepted": np.ones(n, bool)}
-        logits = [getattr(m, v).logit(getattr(m, v).raw(*features_of(v, batch), n)) for v in VIEWS]
-        both = sigmoid(m.stack[0] + m.stack[1] * logits[0] + m.stack[2] * logits[1])
-        return {"text_score": sigmoid(logits[0]), "meta_score": sigmoid(logits[1]), "quality_score": both,
-                "accepted": both >= threshold}
+        text, meta, both = probabilities(batch, shared.value)
+        return {"text_score": text, "meta_score": meta, "quality_score": both, "accepted": both >= threshold}
 
     return arrow_extend(docs, run, "text_score double, meta_score double, quality_score double, accepted boolean", "text")
 
 
-def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts."""
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", "lang", "source")
-    return score(own, train(docs, labels)).where("accepted").select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    return arrow_filter(docs, lambda batch: probabilities(batch, shared.value)[2] >= threshold, "text")
 
 
 def op3(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IntTable, arrow_extend, arrow_map, materialize, split_words
+from .common import IntTable, arrow_extend, arrow_filter, arrow_map, materialize, split_words
 
 LETTERS = regex.compile(r"\p{L}+")
 START = "▁"
@@ -241,32 +241,39 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
     return Model(langs, np.log(prior / prior.sum()), p)
 
 
+def judge(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the most probable language or -1, its posterior) by text."""
+    counts, number, words, flat, per_chunk = doc_words(column)
+    if not m.langs or not words:
+        return np.full(len(counts), -1), np.zeros(len(counts))
+    has_letter = sums((per_chunk[number] > 0).astype(float)[:, None], counts)[:, 0] > 0
+    chunk = sums(log_likelihood(words, path, m.pieces)[flat], per_chunk)
+    total = sums(chunk[number], counts) + m.prior
+    score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+    return np.where(has_letter, total.argmax(axis=1), -1), np.where(has_letter, score, 0.0)
+
+
 def predict(docs: DataFrame, model: Model, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``: the most probable language
     and its posterior probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
-        m = shared.value
-        counts, number, words, flat, per_chunk = doc_words(batch.column(text))
-        if not m.langs or not words:
-            return {"lang_pred": ["und"] * len(counts), "score": [0.0] * len(counts)}
-        has_letter = sums((per_chunk[number] > 0).astype(float)[:, None], counts)[:, 0] > 0
-        chunk = sums(log_likelihood(words, path, m.pieces)[flat], per_chunk)
-        total = sums(chunk[number], counts) + m.prior
-        best = total.argmax(axis=1)
-        score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-        return {"lang_pred": [m.langs[k] if ok else "und" for k, ok in zip(best, has_letter)],
-                "score": np.where(has_letter, score, 0.0)}
+        best, score = judge(batch.column(text), shared.value, path)
+        return {"lang_pred": ["und" if k < 0 else shared.value.langs[k] for k in best], "score": score}
 
     return arrow_extend(docs, run, "lang_pred string, score double", text)
 
 
 def identified(docs: DataFrame, path: str, min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is told with at least ``min_score``."""
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    told = (F.col("lang_pred") != "und") & (F.col("score") >= min_score)
-    return predict(own, train(docs, path), path).where(told).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, path))
+
+    def keep(batch: pa.RecordBatch) -> np.ndarray:
+        best, score = judge(batch.column("text"), shared.value, path)
+        return (best >= 0) & (score >= min_score)
+
+    return arrow_filter(docs, keep, "text")
 
 
 def is_held_out():

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from .common import ragged, split_words
+from .common import AT_END, ragged, split_words
 
 #: Characters for which lower-casing and NFC are plain in every Unicode
 #: version: printable ASCII, Latin-1, Latin Extended A and B (without the
@@ -172,8 +172,10 @@ def row_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def chunk_encoder(path: str) -> ChunkEncoder:
-    """The encoder of this Python worker (its memory of chunks outlives a task)."""
-    return ChunkEncoder(path)
+    """The encoder of this Python worker; its memory of chunks lasts for a task."""
+    encoder = ChunkEncoder(path)
+    AT_END.append(encoder.clear)
+    return encoder
 
 
 def vocabulary_size(path: str) -> int:
