@@ -312,28 +312,35 @@ def rare_tokens(sets: DataFrame, threshold: Fraction, parts: int) -> DataFrame:
 
 
 def plan_units(rare: DataFrame, block_docs: int, block_tokens: int) -> DataFrame:
-    """(unit, side, doc_id): branches, and pairs of blocks of large branches.
-
-    A branch of at most ``block_docs`` documents and ``block_tokens`` tokens is
-    one unit.  A larger one is cut into blocks of one size class each (sizes in
-    [(4/3)^c, (4/3)^(c+1)): linked sets lie in the same or adjoining classes),
-    and every pair of blocks that can hold a link is a unit."""
+    """(unit, side, doc_id): branches, and pairs of blocks of large branches."""
     low = rare.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     edges = rare.join(low, "token").where("doc_id != low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
     branch = components(edges)
     docs = rare.groupBy("doc_id").agg(F.max("n").alias("n"))
     docs = materialize(docs.join(branch, F.col("node") == F.col("doc_id")).select("doc_id", "n", "component"), "branches")
+    return block_units(docs, block_docs, block_tokens)
+
+
+def block_units(docs: DataFrame, block_docs: int, block_tokens: int, member: str = "doc_id",
+                threshold: Fraction = THRESHOLD) -> DataFrame:
+    """(unit, side, member) of rows (member, n, component).
+
+    A component of at most ``block_docs`` documents and ``block_tokens`` tokens
+    is one unit.  A larger one is cut into blocks of one size class each (sizes
+    in [r^c, r^(c+1)) with r the inverse of ``threshold``, 4/3 at least: linked
+    sets lie in the same or adjoining classes), and every pair of blocks that can hold a link is a unit."""
+    ratio = max(4 / 3, float(1 / threshold))
     size = docs.groupBy("component").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens"))
     big = size.where((F.col("docs") > block_docs) | (F.col("tokens") > block_tokens)).select("component")
     small = (docs.join(big, "component", "left_anti")
-             .select(F.xxhash64("component").alias("unit"), F.lit(0).alias("side"), "doc_id"))
-    large = docs.join(big, "component").withColumn("class", F.floor(F.log("n") / math.log(4 / 3) + 1e-9).cast("int"))
+             .select(F.xxhash64("component").alias("unit"), F.lit(0).alias("side"), member))
+    large = docs.join(big, "component").withColumn("class", F.floor(F.log("n") / math.log(ratio) + 1e-9).cast("int"))
     per_class = (large.groupBy("component", "class").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens"))
                  .select("component", "class", F.greatest(F.ceil(F.col("docs") / block_docs),
                                                           F.ceil(F.col("tokens") / block_tokens)).alias("blocks")))
     placed = (large.join(per_class, ["component", "class"])
-              .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-              .select("component", "class", "block", "doc_id"))
+              .withColumn("block", F.pmod(F.xxhash64(member), F.col("blocks")))
+              .select("component", "class", "block", member))
     blocks = per_class.select("component", "class", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     other = blocks.select("component", F.col("class").alias("class2"), F.col("block").alias("block2"))
     pairs = (blocks.join(other, "component")
@@ -344,7 +351,7 @@ def plan_units(rare: DataFrame, block_docs: int, block_tokens: int) -> DataFrame
     left = pairs.select("unit", F.lit(0).alias("side"), "component", "class", "block")
     right = pairs.where(~same).select("unit", F.lit(1).alias("side"), "component", F.col("class2").alias("class"),
                                       F.col("block2").alias("block"))
-    paired = left.unionByName(right).join(placed, ["component", "class", "block"]).select("unit", "side", "doc_id")
+    paired = left.unionByName(right).join(placed, ["component", "class", "block"]).select("unit", "side", member)
     return small.unionByName(paired)
 
 

@@ -20,6 +20,7 @@ sent there too, so no task sees more than its range.
 from __future__ import annotations
 
 import hashlib
+from fractions import Fraction
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from .bitpack import range_cuts
 from .common import (arrow_map, input_bytes, materialize, mix64, shingle_hashes, shingle_sets, slices,
                      tasks_for)
+from .jaccard import block_units, linked_pairs, to_list
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -159,54 +161,91 @@ def compare_edited(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, rows_per_band: int = 4,
-                    text: str = "text") -> DataFrame:
+                    text: str = "text", block_docs: int = 1024, block_tokens: int = 4 << 20) -> DataFrame:
     """(doc_id, other_id, jaccard): links that hold groups of near copies
     together.
 
-    Texts with equal shingle sets are represented by their smallest id.  Each
-    band of the signature that representatives share links them to the
-    smallest id in the band (stars, never all pairs of a band), and a link
-    stays if the Jaccard similarity of the shingle sets is high enough."""
+    Texts with equal shingle sets are represented by their smallest id.  The
+    representatives that share a band of the signature form a bucket (buckets
+    of the same members count once).  A bucket is searched like a branch of
+    operator 10: large ones in pairs of blocks, and every pair that can reach
+    ``threshold`` is verified on the shingle sets unless earlier links of the
+    unit connect it already.  So all documents that links within buckets
+    connect are connected, whatever else a bucket holds; two documents that
+    share no band are not compared."""
     bands = PERMUTATIONS // rows_per_band
+    least = Fraction(str(threshold))
+    parts = tasks_for(docs.sparkSession, 4 * input_bytes(docs))
+
+    def keys_of(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        ends = np.cumsum(sizes)
+        return [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(ends - sizes, ends)]
 
     def sign(batch: pa.RecordBatch) -> dict:
         column = batch.column("text")
         sigs = text_signatures(column)
         sets, sizes = shingle_sets(column, SHINGLE)
-        ends = np.cumsum(sizes)
         keys = np.zeros((len(sigs), bands), np.uint64)
         for j in range(rows_per_band):
             keys = mix64(keys ^ sigs[:, j:bands * rows_per_band:rows_per_band].astype(np.uint64))
-        return {"doc_id": batch.column("doc_id"), "n": sizes,
-                "set_key": [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest()
-                            for a, b in zip(ends - sizes, ends)],
+        return {"doc_id": batch.column("doc_id"), "n": sizes, "set_key": keys_of(sets, sizes),
                 "bands": list(keys.view(np.int64))}
 
+    def expand(batch: pa.RecordBatch) -> dict:
+        sets, sizes = shingle_sets(batch.column("text"), SHINGLE)
+        return {"doc_id": batch.column("doc_id"), "set_key": keys_of(sets, sizes), "set": to_list(sets, sizes)}
+
+    def search(batches):
+        held, sides = None, ([], [])
+
+        def done():
+            entries = sides[0] + sides[1]
+            numbered = [(k, s) for k, (_, s) in enumerate(entries)]
+            cut = len(sides[0])
+            if not cut or len(entries) < 2:
+                return
+            found = linked_pairs(numbered[:cut], numbered[cut:] or None, least)
+            out: dict = {"doc_id": [], "other_id": [], "jaccard": []}
+            for a, b in found:
+                (i, x), (j, y) = entries[a], entries[b]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                for column, value in zip(out.values(), (max(i, j), min(i, j), both / (len(x) + len(y) - both))):
+                    column.append(value)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
+                [("doc_id", pa.int64()), ("other_id", pa.int64()), ("jaccard", pa.float64())]))
+
+        for batch in batches:
+            for unit, side, doc, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if held is not None and unit != held:
+                    yield from done()
+                    sides = ([], [])
+                held = unit
+                sides[side].append((doc, np.frombuffer(data, "<u8")))
+        yield from done()
+
     rows = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).where("doc_id is not null")
     signed = materialize(arrow_map(rows, sign, "doc_id long, n long, set_key binary, bands array<long>", "text")
                          .where("n > 0"), "signatures")
-    first = signed.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    same = signed.join(first, "set_key").where("doc_id != rep").select("doc_id", F.col("rep").alias("other_id"),
-                                                                      F.lit(1.0).alias("jaccard"))
-    reps = signed.join(first, (signed.set_key == first.set_key) & (signed.doc_id == first.rep), "left_semi")
-    banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    star = banded.groupBy("band", "key").agg(F.min("doc_id").alias("other_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = (banded.join(star, ["band", "key"]).where("doc_id != other_id")
-             .select("doc_id", "other_id").distinct())
-    near = (pairs.join(rows, "doc_id").withColumnRenamed("text", "text_a")
-            .join(rows.select(F.col("doc_id").alias("other_id"), F.col("text").alias("text_b")), "other_id"))
-
-    def verify(batch: pa.RecordBatch) -> dict:
-        sets = [np.split(v, np.cumsum(n)[:-1]) for v, n in
-                (shingle_sets(batch.column(c), SHINGLE) for c in ("text_a", "text_b"))]
-        out = []
-        for x, y in zip(*sets):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both / (len(x) + len(y) - both))
-        return {"doc_id": batch.column("doc_id"), "other_id": batch.column("other_id"), "jaccard": out}
-
-    linked = arrow_map(near.select("doc_id", "other_id", "text_a", "text_b"), verify,
-                       "doc_id long, other_id long, jaccard double", "text_a").where(F.col("jaccard") >= threshold)
+    reps = materialize(signed.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
+                                                     F.first("bands").alias("bands")), "representatives")
+    same = signed.join(reps.select("set_key", "rep"), "set_key").where("doc_id != rep").select(
+        "doc_id", F.col("rep").alias("other_id"), F.lit(1.0).alias("jaccard"))
+    banded = reps.select("set_key", "n", F.posexplode("bands").alias("band", "key"))
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), "set_key").cast("decimal(38,0)"))
+    members = (banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m"), total(1).alias("s1"), total(2).alias("s2"))
+               .where("m > 1"))
+    buckets = (members.groupBy("m", "s1", "s2").agg(F.min(F.struct("band", "key")).alias("first"))
+               .select("first.band", "first.key"))
+    held = banded.join(buckets, ["band", "key"]).select("set_key", "n", F.xxhash64("band", "key").alias("component"))
+    units = materialize(block_units(materialize(held, "buckets"), block_docs, block_tokens, "set_key", least),
+                        "bucket-units")
+    own = reps.join(units, "set_key", "left_semi").select("set_key", F.col("rep").alias("doc_id"))
+    sets = (arrow_map(rows.join(own.select("doc_id"), "doc_id", "left_semi"), expand,
+                      "doc_id long, set_key binary, set binary", "text")
+            .join(own, ["set_key", "doc_id"], "left_semi").dropDuplicates(["set_key"]))
+    linked = (units.join(materialize(sets, "bucket-sets"), "set_key").select("unit", "side", "doc_id", "set")
+              .repartition(parts, "unit").sortWithinPartitions("unit", "side", "doc_id")
+              .mapInArrow(search, "doc_id long, other_id long, jaccard double").where("doc_id != other_id").distinct())
     return linked.unionByName(same)
 
 

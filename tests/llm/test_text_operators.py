@@ -168,6 +168,50 @@ def test_near_duplicates_link_groups(spark, odd_docs):
     assert {find(i) for i, _ in rows} == {10 * g for g in range(6)}
 
 
+def template_group(seed, pairs=60, slots=30, length=400):
+    """Fillings of one template, about 0.6 alike, whose slots take one of three
+    words; all but the first come in pairs that differ in six slots only."""
+    rng = np.random.default_rng(seed)
+    at = 6 + np.arange(slots) * 13
+    fills = [rng.integers(0, 3, slots)]
+    for _ in range(pairs):
+        own = rng.integers(0, 3, slots)
+        other = own.copy()
+        other[rng.choice(slots, 6, replace=False)] += 1
+        fills += [own, other % 3]
+    rows = []
+    for i, fill in enumerate(fills):
+        words = [f"w{k}" for k in range(length)]
+        for k, v in zip(at.tolist(), fill.tolist()):
+            words[k] = f"slot{k}is{v}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def groups(ids, links):
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("block_docs", [1024, 16])
+def test_near_duplicates_compares_whole_buckets(spark, odd_docs, block_docs):
+    rows = template_group(11)
+    sets = {i: shingles(t) for i, t in rows}
+    want = groups(sets, [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.75])
+    assert list(want.values()).count(0) == 1 and len(set(want.values())) < 62  # the first links to nobody
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block_docs=block_docs).collect()
+    assert groups(sets, [(r.doc_id, r.other_id) for r in got]) == want
+    assert all(r.jaccard == jaccard(sets[r.doc_id], sets[r.other_id]) >= 0.75 for r in got)
+
+
 # --- 7: line rules -----------------------------------------------------------
 
 def base_rules(t):
