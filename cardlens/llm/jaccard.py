@@ -341,7 +341,8 @@ def block_units(docs: DataFrame, block_docs: int, block_tokens: int, member: str
     placed = (large.join(per_class, ["component", "class"])
               .withColumn("block", F.pmod(F.xxhash64(member), F.col("blocks")))
               .select("component", "class", "block", member))
-    blocks = per_class.select("component", "class", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    # a hash may leave blocks of few long documents empty: those make no unit
+    blocks = placed.select("component", "class", "block").distinct()
     other = blocks.select("component", F.col("class").alias("class2"), F.col("block").alias("block2"))
     pairs = (blocks.join(other, "component")
              .where((F.col("class2") == F.col("class")) & (F.col("block") <= F.col("block2"))
@@ -497,7 +498,7 @@ def verified_links(units: DataFrame, sets: DataFrame, threshold: Fraction, parts
 
         def done():
             left, right = sides
-            if right or len(left) > 1:
+            if left and (right or len(left) > 1):
                 found = linked_pairs(left, right or None, threshold)
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])

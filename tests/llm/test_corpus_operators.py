@@ -71,6 +71,20 @@ def test_components_equal_all_pairs(spark, odd_docs, seed, block):
     assert got == brute_components(rows)
 
 
+def test_blocks_without_documents(spark, odd_docs):
+    """Few long documents in more blocks than documents: some blocks are empty."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for g in range(4):
+        text = [f"g{g}w{k}" for k in range(int(rng.integers(150, 200)))]
+        for c in range(3):
+            text = [*text[:-2], f"e{c}", f"f{c}"]
+            rows.append((10 * g + c, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_components(docs, block_tokens=40).collect()}
+    assert got == brute_components(rows)
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     got = sorted(tuple(r) for r in jaccard.op10(odd_docs).collect())
     assert got == sorted((i, *v) for i, v in brute_components(
