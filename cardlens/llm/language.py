@@ -7,8 +7,10 @@ text is the product over its words and the language's prior.  The piece
 probabilities are learned by expectation-maximisation over all segmentations
 (forward-backward) of the words of training documents.
 
-Words are lower-cased runs of letters, marked at their start.  A character
-that is no piece counts as the unknown piece.  A text without a letter (null
+Words are lower-cased runs of letters and the combining marks after them,
+marked at their start; they may be in any script and of any length.  All pieces
+of letters and marks that lower-casing keeps are used.  A character that is no
+piece counts as the unknown piece.  A text without a letter (null
 and empty ones too) is ``und`` with score 0; repeated rows get equal results;
 without any labelled training row all texts with letters are ``und`` too.
 
@@ -29,7 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import IntTable, arrow_extend, arrow_filter, arrow_map, materialize, split_words
 
-LETTERS = regex.compile(r"\p{L}+")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: Pieces that lower-cased words can hold: of lower-case letters, and in any script.
+LOWER = r"▁?\p{Ll}*"
+ANY_SCRIPT = r"▁?(?:(?![\p{Lu}\p{Lt}])[\p{L}\p{M}])*"
 START = "▁"
 CODES = 0x110000
 #: Positions between two rescalings of the forward values.
@@ -79,14 +84,14 @@ class Trie:
         return out
 
 
-@lru_cache(maxsize=1)
-def trie(path: str) -> Trie:
-    """Pieces of letters (with or without the word mark) of a sentencepiece file."""
+@lru_cache(maxsize=2)
+def trie(path: str, letters: str = LOWER) -> Trie:
+    """Pieces of ``letters`` (with or without the word mark) of a sentencepiece file."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())
               if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-    return Trie([p for p in pieces if regex.fullmatch(r"▁?\p{Ll}*", p) and p])
+    return Trie([p for p in pieces if regex.fullmatch(letters, p) and p])
 
 
 def by_length(words: list[str], limit: int = 1 << 19):
@@ -104,52 +109,60 @@ def by_length(words: list[str], limit: int = 1 << 19):
 
 
 def forward(edges: list, n: int, rows: int, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(forward values by position, log scale) for each row and language."""
+    """(forward values by position, log scale by block of ``RESCALE`` positions)
+    for each row and language.  The last position has the last block's scale."""
     langs = p.shape[1]
-    alpha, scale = np.zeros((n + 1, rows, langs)), np.zeros((rows, langs))
+    alpha, scale = np.zeros((n + 1, rows, langs)), np.zeros(((n - 1) // RESCALE + 1, rows, langs))
     alpha[0] = 1.0
+    far = 0  # the positions after it are zero
     for i, here in enumerate(edges):
         if i and i % RESCALE == 0:  # the recurrence is linear: all values of a row share a factor
-            top = alpha[i:].max(axis=0)
+            top = alpha[i:far + 1].max(axis=0)
             top[top == 0] = 1.0
-            alpha[i:] /= top
-            scale += np.log(top)
+            alpha[i:far + 1] /= top
+            scale[i // RESCALE] = scale[i // RESCALE - 1] + np.log(top)
         for r, j, piece in here:
             alpha[j, r] += alpha[i, r] * p[piece]
+            far = max(far, j)
     return alpha, scale
 
 
-def log_likelihood(words: list[str], path: str, p: np.ndarray) -> np.ndarray:
+def log_likelihood(words: list[str], path: str, p: np.ndarray, letters: str = LOWER) -> np.ndarray:
     """log of the summed probability of all segmentations, by word and language."""
     out = np.zeros((len(words), p.shape[1]))
     for rows, x in by_length(words):
-        alpha, scale = forward(trie(path).edges(x), x.shape[1], len(rows), p)
-        out[rows] = np.log(alpha[-1]) + scale
+        alpha, scale = forward(trie(path, letters).edges(x), x.shape[1], len(rows), p)
+        out[rows] = np.log(alpha[-1]) + scale[-1]
     return out
 
 
-def expected_counts(words: list[str], counts: np.ndarray, path: str, p: np.ndarray) -> np.ndarray:
+def expected_counts(words: list[str], counts: np.ndarray, path: str, p: np.ndarray,
+                    letters: str = LOWER) -> np.ndarray:
     """Expected uses of each piece by language over all segmentations of the
-    words, each weighted by its count in the language.  Words over 64 letters
-    are left out of training."""
+    words, each weighted by its count in the language.
+
+    Goes back from the end of a word: ``share`` is the probability that a
+    segmentation cuts at a position, which its last piece passes on to the
+    piece's start.  Only quotients of forward values occur, so words may be
+    long."""
     total = np.zeros(p.shape)
-    short = [k for k, w in enumerate(words) if len(w) <= 64]
-    for rows, x in by_length([words[k] for k in short], 1 << 18):
-        edges, n, langs = trie(path).edges(x), x.shape[1], p.shape[1]
-        alpha = np.zeros((n + 1, len(rows), langs))
-        beta = np.zeros_like(alpha)
-        alpha[0], beta[n] = 1.0, 1.0
-        for i, here in enumerate(edges):
-            for r, j, piece in here:
-                alpha[j, r] += alpha[i, r] * p[piece]
-        weight = counts[np.array(short)[rows]] / np.maximum(alpha[n], 1e-300)
+    for rows, x in by_length(words, 1 << 18):
+        edges, n, langs = trie(path, letters).edges(x), x.shape[1], p.shape[1]
+        alpha, scale = forward(edges, n, len(rows), p)
+        share = np.zeros_like(alpha)
+        share[n] = counts[rows]
+        share[n] /= np.maximum(alpha[n], 1e-300)
         for i in reversed(range(n)):
             for r, j, piece in edges[i]:
-                use = p[piece] * beta[j, r]
-                beta[i, r] += use
-                use *= alpha[i, r] * weight[r]
+                use = p[piece] * share[j, r]
+                use *= alpha[i, r]
+                block, end = i // RESCALE, min(j, n - 1) // RESCALE
+                if block != end:
+                    use *= np.exp(scale[block, r] - scale[end, r])
+                share[i, r] += use
                 for k in range(langs):
                     total[:, k] += np.bincount(piece, use[:, k], len(p))
+            share[i] /= np.maximum(alpha[i], 1e-300)
     return total
 
 
@@ -191,7 +204,7 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
     sizes = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return Model([], np.zeros(0), np.zeros((trie(path).unknown + 1, 0)))
+        return Model([], np.zeros(0), np.zeros((trie(path, ANY_SCRIPT).unknown + 1, 0)))
     share = F.shiftrightunsigned(F.xxhash64(F.lit(8), "doc_id"), 33) / F.lit(float(2**31))
     limit = F.lit(0.0)
     for name in langs:
@@ -213,7 +226,7 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
     sample = rows.where(share < limit).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     words = materialize(arrow_map(sample, count, "lang string, word string, n double", "text")
                         .groupBy("word", "lang").agg(F.sum("n").alias("n")), "language-words")
-    pieces = trie(path).unknown + 1
+    pieces = trie(path, ANY_SCRIPT).unknown + 1
     p = np.full((pieces, len(langs)), 1.0 / pieces)
     for _ in range(rounds):
         shared = p
@@ -227,7 +240,7 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
                 counts = np.zeros((len(index), len(langs)))
                 for w, l, c in zip(text, name, n):
                     counts[index[w], langs.index(l)] += c
-                total += expected_counts(list(index), counts, path, shared)
+                total += expected_counts(list(index), counts, path, shared, ANY_SCRIPT)
             piece, at = np.nonzero(total)
             yield pa.RecordBatch.from_pydict({"piece": pa.array(piece, pa.int32()), "at": pa.array(at, pa.int32()),
                                               "n": pa.array(total[piece, at], pa.float64())})
@@ -247,7 +260,7 @@ def judge(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray
     if not m.langs or not words:
         return np.full(len(counts), -1), np.zeros(len(counts))
     has_letter = sums((per_chunk[number] > 0).astype(float)[:, None], counts)[:, 0] > 0
-    chunk = sums(log_likelihood(words, path, m.pieces)[flat], per_chunk)
+    chunk = sums(log_likelihood(words, path, m.pieces, ANY_SCRIPT)[flat], per_chunk)
     total = sums(chunk[number], counts) + m.prior
     score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
     return np.where(has_letter, total.argmax(axis=1), -1), np.where(has_letter, score, 0.0)

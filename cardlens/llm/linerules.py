@@ -3,11 +3,13 @@
 Every line of a text is judged on its own; lines that fail are removed, and a
 document that loses too much of its words is rejected.  Line rules:
 
-* ``caps``: three words or more and no lower-case letter (shouting);
+* ``caps``: three words or more, no lower-case letter, and more upper-case
+  letters than letters without case (shouting);
 * ``symbols``: more than 0.2 symbols ``#*$%&|<>`` or exclamation marks a word;
 * ``navigation``: two separators ``| » › · •`` or more with at most five words
   between two of them on average;
-* ``punctuation``: the line doesn't end in a sentence mark;
+* ``punctuation``: the line doesn't end in a sentence mark (of Latin, Arabic,
+  Indic, Chinese, Japanese, Armenian or Ethiopic script);
 * ``boilerplate``: cookie, copyright, licence, script and login phrases;
 * ``repeat``: equal to an earlier line of the text;
 * ``stutter``: more than half of the words of a line of ten words or more
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, ragged, split_words
 
 SYMBOLS = r"[#*$%&|<>]"
-SENTENCE_END = r"""[.!?…:;]["'”’»)\]]*[\x20\x09-\x0D]*$"""
+SENTENCE_END = r"""[.!?…:;؟؛۔।॥。！？：；｡։።]["'”’»)\]」』）】》]*[\x20\x09-\x0D]*$"""
 SEPARATORS = r"[|»›·•]"
 BOILERPLATE = (r"(?i)\b(cookies? (policy|settings|preferences)|accept (all )?cookies|all rights reserved|terms of (use|service)"
                r"|privacy policy|enable javascript|lorem ipsum|copyright (©|\(c\)|\d{4})|spdx-license-identifier"
@@ -90,13 +92,15 @@ def judge(column: pa.Array) -> tuple[dict, pa.Array, np.ndarray, np.ndarray]:
     marks = numpy(count(lines, r"[#*$%&|<>!]"))
     bars = numpy(count(lines, SEPARATORS))
     lower = numpy(find(lines, r"\p{Ll}"))
-    letters = numpy(find(lines, r"\p{L}"))
+    shouting = (line_words >= 3) & ~lower
+    rest = lines.filter(pa.array(shouting))
+    shouting[shouting] = numpy(count(rest, r"[\p{Lu}\p{Lt}]")) > numpy(count(rest, r"\p{Lo}"))
     stutter = np.zeros(len(line_number), bool)
     stutter[1:] = line_number[1:] == line_number[:-1]
     first = (np.cumsum(line_words) - line_words)[line_words > 0]
     stutter[first] = False
     bad = earlier | numpy(find(lines, BOILERPLATE))
-    bad |= (line_words >= 3) & letters & ~lower
+    bad |= shouting
     bad |= marks > 0.2 * line_words
     bad |= (bars >= 2) & (line_words - bars <= 5 * (bars + 1))
     bad |= (line_words > 0) & ~ends

@@ -258,6 +258,17 @@ def test_clean_documents_are_kept(spark, small_docs):
     assert np.mean(good) > 0.99 and np.mean(junk) < 0.05
 
 
+def test_scripts_without_case_are_not_shouting(spark, odd_docs):
+    kept = ["هذا سطر كامل من النص العربي.", "هل هذا سطر كامل من النص؟", "यह हिन्दी का एक पूरा वाक्य है।", "זהו משפט שלם בעברית.",
+            "我们 使用 API 服务。"]
+    text = "\n".join([*kept, "THIS IS SHOUTING.", "ЭТО ОЧЕНЬ ГРОМКО.", "BUY 日 NOW NOW."])
+    docs = spark.createDataFrame([(1, text), (2, "\n".join(f"{kept[0][:-1]} {k} {kept[3]}" for k in range(20)))],
+                                 "doc_id long, text string")
+    cleaned = {r.doc_id: r.text for r in linerules.clean(docs).collect()}
+    assert cleaned[1] == "\n".join(kept)
+    assert {r.doc_id: r.kept for r in linerules.assess(docs, max_repeat=100).collect()}[2]
+
+
 # --- 8: language -------------------------------------------------------------
 
 def segmentations(word, pieces):
@@ -316,3 +327,53 @@ def test_languages(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in nothing} == {"und"}
     kept = language.identified(odd_docs, PIECE_FILE)
     assert kept.columns == odd_docs.columns and {0, 1, 2}.isdisjoint({r.doc_id for r in kept.collect()})
+
+
+def test_every_script_keeps_its_pieces():
+    trie = language.trie(PIECE_FILE, language.ANY_SCRIPT)
+    uniform = np.full((trie.unknown + 1, 1), 0.5 / trie.unknown)
+    uniform[trie.unknown] = 1e-12
+    known = language.log_likelihood(["的", "ال", "数据"], PIECE_FILE, uniform, language.ANY_SCRIPT)
+    assert (known > 2.5 * np.log(1e-12)).all() and trie.unknown > language.trie(PIECE_FILE).unknown
+    assert language.doc_words(pa.array(["हिन्दी e\u0301t\u0301 \u0301"]))[2] == ["हिन्दी", "e\u0301t\u0301"]
+
+
+def plain_counts(word, trie, p):
+    """Expected piece uses of one word by forward and backward sums in logs."""
+    x = np.array([[ord(c) for c in language.START + word]], np.int64)
+    edges, n = trie.edges(x), x.shape[1]
+    steps = [(i, j, int(k[0])) for i, here in enumerate(edges) for r, j, k in here if len(r)]
+    a, b = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+    a[0] = b[n] = 0.0
+    for i, j, k in sorted(steps):
+        a[j] = np.logaddexp(a[j], a[i] + np.log(p[k]))
+    for i, j, k in sorted(steps, reverse=True):
+        b[i] = np.logaddexp(b[i], b[j] + np.log(p[k]))
+    out = np.zeros(len(p))
+    for i, j, k in steps:
+        out[k] += np.exp(a[i] + np.log(p[k]) + b[j] - a[n])
+    return out
+
+
+@pytest.mark.parametrize("letters", [language.LOWER, language.ANY_SCRIPT])
+def test_long_words_are_trained_on(letters):
+    trie = language.trie(PIECE_FILE, letters)
+    p = np.random.default_rng(8).dirichlet(np.full(trie.unknown + 1, 0.3), 2).T
+    p = np.maximum(p, 1e-9)
+    words = ["hat", "straßenbahn" * 3, "international" * 50, "数据获取的" * 40, "ab" * 8, "xy" * 16]
+    for w in words:
+        got = language.expected_counts([w], np.array([[1.0, 3.0]]), PIECE_FILE, p, letters)
+        for k, times in enumerate((1.0, 3.0)):
+            assert np.allclose(got[:, k], times * plain_counts(w, trie, p[:, k]), rtol=1e-6, atol=1e-9)
+
+
+def test_languages_without_case(spark, odd_docs):
+    """Two scripts without case, in words of one length over 64 letters."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for name, letters in (("ar", "المرنوتديبهس"), ("zh", "的数据获取一个用不中有为时在件")):
+        for _ in range(60):
+            rows.append((len(rows), " ".join("".join(rng.choice(list(letters), 70)) for _ in range(3)), name))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.op8(docs, PIECE_FILE).collect()}
+    assert all(got[i] == name for i, _, name in rows)
