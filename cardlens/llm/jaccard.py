@@ -311,14 +311,14 @@ def rare_tokens(sets: DataFrame, threshold: Fraction, parts: int) -> DataFrame:
             .mapInArrow(choose, "token long, doc_id long, n long"))
 
 
-def plan_units(rare: DataFrame, block_docs: int, block_tokens: int) -> DataFrame:
+def plan_units(rare: DataFrame, block_docs: int, block_tokens: int, threshold: Fraction = THRESHOLD) -> DataFrame:
     """(unit, side, doc_id): branches, and pairs of blocks of large branches."""
     low = rare.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     edges = rare.join(low, "token").where("doc_id != low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
     branch = components(edges)
     docs = rare.groupBy("doc_id").agg(F.max("n").alias("n"))
     docs = materialize(docs.join(branch, F.col("node") == F.col("doc_id")).select("doc_id", "n", "component"), "branches")
-    return block_units(docs, block_docs, block_tokens)
+    return block_units(docs, block_docs, block_tokens, threshold=threshold)
 
 
 def block_units(docs: DataFrame, block_docs: int, block_tokens: int, member: str = "doc_id",
@@ -532,7 +532,7 @@ def join_components(docs: DataFrame, threshold: Fraction = THRESHOLD, block_docs
     ids = materialize(first.where(F.col("possible") >= need).select(F.col("rep").alias("doc_id")), "candidates")
     sets = survivor_sets(rows, ids)
     rare = materialize(rare_tokens(sets, threshold, parts), "rare-tokens")
-    units = materialize(plan_units(rare, block_docs, block_tokens), "units")
+    units = materialize(plan_units(rare, block_docs, block_tokens, threshold), "units")
     links = verified_links(units, sets, threshold, parts)
     same = all_docs.where("n_shingles > 0").join(first, key).where("doc_id != rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))

@@ -85,6 +85,27 @@ def test_blocks_without_documents(spark, odd_docs):
     assert got == brute_components(rows)
 
 
+def test_low_threshold_links_distant_sizes(spark, odd_docs):
+    """Texts and extensions of them to nearly twice their size, in small blocks."""
+    rows = []
+    for g in range(10):
+        words = [f"g{g}w{k}" for k in range(60 + 5 * g)]
+        rows += [(10 * g, " ".join(words[:40 + 3 * g])), (10 * g + 1, " ".join(words[:24 + 2 * g])), (10 * g + 2, " ".join(words))]
+    passage = " ".join(f"p{k}" for k in range(6))
+    rows = [(i, f"{t} {passage}") for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: token_set(t) for i, t in rows}
+    parent = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and 2 * both >= len(sets[a]) + len(sets[b]) - both:
+                low, high = sorted((parent[a], parent[b]))
+                parent = {i: low if c == high else c for i, c in parent.items()}
+    got = {r.doc_id: r.component_id for r in jaccard.join_components(docs, Fraction(1, 2), block_docs=1).collect()}
+    assert got == parent and len(set(parent.values())) < len(rows)
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     got = sorted(tuple(r) for r in jaccard.op10(odd_docs).collect())
     assert got == sorted((i, *v) for i, v in brute_components(
