@@ -18,6 +18,7 @@ def vocabulary(name: str) -> str:
 WORD_BPE = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,16 @@ def op10_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10(read_table(spark, sf_dir, "documents"))
 
 
+def op11_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .align import op11
+    return op11(read_table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECES))
+
+
+def op12_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import op12
+    return op12(read_table(spark, sf_dir, "documents"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -79,7 +90,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op3_cotraining, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees)
+    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op3_cotraining, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees, op11_identity_alignment, op12_merkle_versions)
 }
 
 ORACLE_SQL: dict[str, str] = {}
