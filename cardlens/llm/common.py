@@ -60,10 +60,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table made by ``materialize`` that nothing reads any more."""
-    spark = df.sparkSession
     for f in {os.path.dirname(p) for p in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(df.sparkSession, f)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of scratch data (Hadoop file system)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def tasks_for(spark: SparkSession, bytes_: int, target: int = 64 << 20) -> int:
@@ -292,6 +296,6 @@ class IntTable:
         return out
 
 
-__all__ = ["AT_END", "BATCH_BYTES", "release", "IntTable", "ship_package", "read_table", "materialize", "discard", "tasks_for", "input_bytes", "binary_list", "slices",
+__all__ = ["AT_END", "BATCH_BYTES", "release", "IntTable", "ship_package", "read_table", "materialize", "discard", "delete_path", "tasks_for", "input_bytes", "binary_list", "slices",
            "arrow_map", "arrow_extend", "arrow_filter", "ragged", "mix64", "split_words", "word_hashes",
            "shingle_hashes", "shingle_sets"]

@@ -82,6 +82,11 @@ def op12_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12(read_table(spark, sf_dir, "documents"))
 
 
+def op13_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .doubling import op13
+    return op13(spark, read_table(spark, sf_dir, "documents"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -90,7 +95,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op3_cotraining, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees, op11_identity_alignment, op12_merkle_versions)
+    f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op3_cotraining, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees, op11_identity_alignment, op12_merkle_versions, op13_window_doubling)
 }
 
 ORACLE_SQL: dict[str, str] = {}
