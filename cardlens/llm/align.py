@@ -28,17 +28,23 @@ import hashlib
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import AT_END, arrow_map, materialize, ragged, release
-from .tokens import byte_alphabet, row_sums
+from .tokens import PLAIN, byte_alphabet, row_sums
 
 #: A space after something that is no white space.
 CUT = re.compile(r"(?<=\S)(?= )")
+# The pre-tokenizer of byte-level BPE files.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Chunks of characters that are the same in every Unicode version.
+PLAIN_CHUNK = re.compile(f"(?:{PLAIN.pattern}|[ \n\r\t])+")
 BLOCK_SCHEMA = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
                 "groups_sha256 array<string>, same binary, same_n binary, same_docs binary, "
                 "pairs binary, pairs_n binary, pairs_docs binary")
@@ -84,46 +90,50 @@ def same_ids(spelled_a: list[bytes], spelled_b: list[bytes], byte_ids: set[int]
     return np.array([found.get(s, -1) if s else -1 for s in spelled_a], np.int32)
 
 
-def groups(a: list[int], b: list[int], spelled_a: list[bytes], spelled_b: list[bytes]):
-    """The runs (of A, of B) between the offsets where both have a token's end."""
-    first_a = first_b = j = at_a = at_b = 0
-    for i, k in enumerate(a, 1):
-        at_a += len(spelled_a[k])
-        while at_b < at_a:
-            at_b += len(spelled_b[b[j]])
-            j += 1
-        if at_a == at_b:
-            yield a[first_a:i], b[first_b:j]
-            first_a, first_b = i, j
-
-
 class Aligner:
     """Texts -> their tokens' numbers, groups and links.
 
-    ``limit`` chunks or ``limit_chars`` characters of chunks are remembered."""
+    A plain chunk is cut by the pre-tokenizer's pattern and its words, each
+    distinct one once, go to the library's model; any other chunk goes to the
+    whole tokenizer.  ``limit`` chunks or ``limit_chars`` characters of chunks are remembered."""
 
-    def __init__(self, path_a: str, path_b: str, limit: int = 300_000, limit_chars: int = 32 << 20):
+    def __init__(self, path_a: str, path_b: str, limit: int = 500_000, limit_chars: int = 32 << 20):
         self.tokenizer, self.spelled_a = load_a(path_a)
         self.model, self.spelled_b = load_b(path_b)
+        self.size_a, self.size_b = list(map(len, self.spelled_a)), list(map(len, self.spelled_b))
         self.same = same_ids(self.spelled_a, self.spelled_b,
                              {k for k in range(len(self.spelled_b)) if self.model.is_byte(k)})
         self.known = self.same.tolist()
         self.width = len(self.spelled_b)
         self.space = self.model.piece_to_id("▁")
+        self.alphabet = dict(enumerate(byte_alphabet()))
+        self.pattern = regex.compile(WORDS)
         self.limit, self.limit_chars = limit, limit_chars
         self.clear()
 
     def clear(self) -> None:
         self.chunks: dict[str, int] = {}
+        self.words: dict[str, list[int]] = {}
         self.chars = 0
+        self.unspelled = False  # is there a chunk that its tokens do not spell?
         self.text: list[bytes | None] = []  # groups of each chunk as text, None where it is not spelled
         self.a, self.b, self.groups = array("i"), array("i"), array("i")
         self.same_n, self.pairs_n = array("i"), array("i")
         self.same_ids, self.pairs = array("i"), array("q")
 
-    def ids(self, chunk: str) -> tuple[list[int], list[int]]:
-        b = [self.space] if chunk == " " else self.model.encode(chunk[1:])
-        return self.tokenizer.encode(chunk, add_special_tokens=False).ids, b
+    def word(self, word: str) -> list[int]:
+        """A ids of a word of the pre-tokenizer."""
+        ids = self.words.get(word)
+        if ids is None:
+            spelled = word.encode().decode("latin-1").translate(self.alphabet)
+            ids = self.words[word] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return ids
+
+    def ids_a(self, chunk: str) -> list[int]:
+        if not PLAIN_CHUNK.fullmatch(chunk):
+            return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        words = self.pattern.findall(chunk)
+        return self.word(words[0]) if len(words) == 1 else [k for w in words for k in self.word(w)]
 
     def spelled(self, chunk: str, a: list[int], b: list[int]) -> bool:
         data = chunk.encode()
@@ -131,51 +141,72 @@ class Aligner:
                 and b"".join(map(self.spelled_b.__getitem__, b)) == data)
 
     def add(self, chunk: str, a: list[int], b: list[int]) -> int:
-        """A new entry; its number."""
-        if not self.spelled(chunk, a, b):
-            a, b, text = [], [], None
-        parts, same, pairs = [], 0, 0
-        for x, y in groups(a, b, self.spelled_a, self.spelled_b):
-            parts.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            if len(x) == 1 and len(y) == 1 and self.known[x[0]] == y[0]:
-                self.same_ids.append(x[0])
-                same += 1
-            else:
-                self.pairs.append(x[-1] * self.width + y[-1])
-                pairs += 1
+        """A new entry: the runs of A and of B between the offsets where both
+        have a token's end.  Returns its number."""
+        # both vocabularies spell printable ASCII as it is
+        if not (chunk.isascii() and chunk.isprintable()) and not self.spelled(chunk, a, b):
+            a, b, self.unspelled = [], [], True
+        size_a, size_b, known = self.size_a, self.size_b, self.known
+        parts, same = [], 0
+        first_a = first_b = j = at_a = at_b = 0
+        for i, k in enumerate(a, 1):
+            at_a += size_a[k]
+            while at_b < at_a:
+                at_b += size_b[b[j]]
+                j += 1
+            if at_a == at_b:
+                if i - first_a == 1 == j - first_b:
+                    y = b[first_b]
+                    parts.append(f"{k}|{y}")
+                    if known[k] == y:
+                        self.same_ids.append(k)
+                        same += 1
+                        first_a, first_b = i, j
+                        continue
+                else:
+                    parts.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
+                self.pairs.append(k * self.width + b[j - 1])
+                first_a, first_b = i, j
         self.text.append(";".join(parts).encode() if a else None)
-        for column, n in ((self.a, len(a)), (self.b, len(b)), (self.groups, len(parts)),
-                          (self.same_n, same), (self.pairs_n, pairs)):
-            column.append(n)
+        self.a.append(len(a))
+        self.b.append(len(b))
+        self.groups.append(len(parts))
+        self.same_n.append(same)
+        self.pairs_n.append(len(parts) - same)
         self.chars += len(chunk)
         return len(self.text) - 1
 
-    def entries(self, text: str) -> list[int]:
-        """Numbers of the chunks of space + text."""
+    def learn(self, chunks: list[str]) -> None:
+        """Entries of new chunks."""
+        wanted = self.model.encode([c[1:] for c in chunks], num_threads=1) if chunks else []
+        for chunk, b in zip(chunks, wanted):
+            self.chunks[chunk] = self.add(chunk, self.ids_a(chunk), [self.space] if chunk == " " else b)
+
+    def whole(self, text: str) -> list[int]:
+        """The entry of a text that holds a chunk which its tokens do not spell."""
+        chunk = " " + text
+        return [self.add(chunk, self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.model.encode(text))]
+
+    def picks(self, texts: list[str | None]) -> list[list[int]]:
+        """Numbers of the chunks of space + text, by text."""
+        cut = [CUT.split(" " + t) if t else [] for t in texts]
         found = self.chunks
-        out = []
-        for chunk in CUT.split(" " + text):
-            k = found.get(chunk)
-            if k is None:
-                k = found[chunk] = self.add(chunk, *self.ids(chunk))
-            out.append(k)
-        spelled = self.text
-        if any(spelled[k] is None for k in out):
-            whole = " " + text
-            out = [self.add(whole, self.tokenizer.encode(whole, add_special_tokens=False).ids,
-                            self.model.encode(text))]
+        self.learn(list({c for chunks in cut for c in chunks if c not in found}))
+        out = [[found[c] for c in chunks] for chunks in cut]
+        if self.unspelled:
+            out = [self.whole(t) if any(self.text[k] is None for k in p) else p for t, p in zip(texts, out)]
         return out
 
     def block(self, texts: list[str | None]) -> dict:
         """The columns of a block of documents, but for its number and ids."""
         if len(self.chunks) > self.limit or self.chars > self.limit_chars:
             self.clear()
-        picks = [self.entries(t) if t else [] for t in texts]
+        picks = self.picks(texts)
         counts = np.array([len(p) for p in picks], np.int64)
-        pick = np.array([k for p in picks for k in p], np.int64)
+        pick = np.fromiter(chain.from_iterable(picks), np.int64, int(counts.sum()))
         digests = []
         for p in picks:
-            whole = b";".join([self.text[k] or b"" for k in p])
+            whole = b";".join([self.text[k] or b"" for k in p])  # None: a whole text that is not spelled
             digests.append(hashlib.sha256(whole).hexdigest() if whole else "")
         out = {"groups_sha256": digests}
         for name, column in (("n_a", self.a), ("n_b", self.b), ("n_groups", self.groups)):

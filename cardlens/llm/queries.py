@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table, ship_package
+from .oracle import SQL
 
 
 def vocabulary(name: str) -> str:
@@ -98,4 +99,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: shipped(f) for f in (op1_length_buckets, op2_chat_tokens, op3_cotraining, op4_transducer_bpe, op5_warc_dictionary, op6_minhash, op7_line_rules, op8_segment_language, op9_bit_packing, op10_signature_trees, op11_identity_alignment, op12_merkle_versions, op13_window_doubling)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = SQL
