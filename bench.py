@@ -21,11 +21,10 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from cardlens.operators import marts as MT  # noqa: E402
-from cardlens.operators import model as ML  # noqa: E402
 from cardlens.operators import profiles as PR  # noqa: E402
 from cardlens.operators import quality as QC  # noqa: E402
-from cardlens.plans.etl import transform  # noqa: E402
-from cardlens.plans.stages import model_frame, split_parts, stages  # noqa: E402
+from cardlens.plans.etl import experiments, mart_tests, transform  # noqa: E402
+from cardlens.plans.stages import stages  # noqa: E402
 from cardlens.schemas import RAW_IDENTITY_SCHEMA, RAW_TRANSACTION_SCHEMA  # noqa: E402
 from cardlens.session import build_session, scratch_path  # noqa: E402
 from cardlens.sources import files as FS  # noqa: E402
@@ -65,7 +64,8 @@ def main() -> None:
         return tx, idn
     tx, idn = timed("extract_csv_to_parquet", extract)
 
-    staging_pq = scratch_path(spark, "bench-staging")
+    root = scratch_path(spark, "bench")
+    staging_pq = f"{root}/staging_fraud"
     timed("transform_features_to_parquet",
           lambda: SK.write_parquet(transform(tx, idn), staging_pq))
     staged = spark.read.parquet(staging_pq)
@@ -86,10 +86,7 @@ def main() -> None:
 
     def schema_tests():
         stg = MT.stg_fraud(staged)
-        QC.schema_tests({
-            "staging_fraud": (staged, QC.SOURCE_TESTS), "stg_fraud": (stg, QC.STG_TESTS),
-            "fraud_summary": (MT.fraud_summary(stg, ordered=False), QC.SUMMARY_TESTS),
-            "fraud_hourly": (MT.fraud_hourly(stg, ordered=False), QC.HOURLY_TESTS)}).collect()
+        mart_tests(staged, MT.fraud_summary(stg, ordered=False), MT.fraud_hourly(stg, ordered=False)).collect()
     timed("schema_tests_17", schema_tests)
 
     def features():  # statistics job included
@@ -98,10 +95,7 @@ def main() -> None:
     timed("features_from_events_noop", features)
 
     def models():
-        df, present = model_frame(staged)
-        train, test = split_parts(df)
-        runs = ML.run_experiments(train, test, present, cache=True)
-        return {r.run_name: r.metrics for r in runs}
+        return experiments(spark, root, cache=True)["runs"]
     metrics = timed("model_3_runs", models)
 
     total = round(sum(times.values()), 3)

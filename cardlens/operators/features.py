@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rounding import money_avg, half_away, ratio
+from ..functions.rounding import half_away, money_avg, money_std, ratio
 from ..functions.scalar import (is_large, is_night, is_weekend, log_amount, tx_day,
                                 tx_day_of_week, tx_hour, zscore)
 from ..schemas import AMOUNT, CARD, KEY, LABEL, NUMERIC_SENTINEL, TIME
@@ -35,7 +35,7 @@ def card_aggregates(cleaned: DataFrame, card: str = CARD, amount: str = AMOUNT,
             .agg(F.count(F.lit(1)).alias("card1_tx_count"),
                  money_avg(amount).alias("card1_avg_amt"),
                  half_away(F.max(amount), 2).alias("card1_max_amt"),
-                 half_away(F.stddev_samp(amount), 2).alias("card1_std_amt"),
+                 money_std(amount).alias("card1_std_amt"),
                  F.sum(label).cast("long").alias("card1_fraud_count")))
 
 

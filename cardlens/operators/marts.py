@@ -20,9 +20,13 @@ def rename_projection(df: DataFrame, renames=STG_RENAMES) -> DataFrame:
     return df.select(*[F.col(a).alias(b) for a, b in renames])
 
 
+def has_value(column: str, sentinel=NUMERIC_SENTINEL) -> F.Column:
+    return F.col(column) != F.lit(sentinel)
+
+
 def drop_sentinel(df: DataFrame, column: str, sentinel=NUMERIC_SENTINEL) -> DataFrame:
     """``WHERE column != sentinel``; NULLs are dropped too."""
-    return df.where(F.col(column) != F.lit(sentinel))
+    return df.where(has_value(column, sentinel))
 
 
 def stg_fraud(staging: DataFrame) -> DataFrame:

@@ -18,12 +18,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rounding import half_away, ratio
 from ..schemas import KEY, LABEL, MODEL_FEATURES, NUMERIC_SENTINEL
+from ..session import list_folder, put_if_absent
 from .ranking import bucket_count, fraction_bucket, running_sum, with_range_bucket
 
 # ---------------------------------------------------------------------------
@@ -201,6 +202,11 @@ def linear_margin(model: PipelineModel | Coefficients, features: list[str], stat
     return margin
 
 
+def probability(model: PipelineModel | Coefficients, features: list[str], stats: ScalerStats) -> Column:
+    """Probability of class 1 as one column expression."""
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-linear_margin(model, features, stats)))
+
+
 def predict(model: PipelineModel | Coefficients, df: DataFrame, features: list[str], stats: ScalerStats,
             keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """Class and probability of class 1 per row (M6).
@@ -210,7 +216,7 @@ def predict(model: PipelineModel | Coefficients, df: DataFrame, features: list[s
     1 above the threshold).  The expression stays in whole-stage codegen and
     ships no model object to the executors.
     """
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-linear_margin(model, features, stats)))
+    p = probability(model, features, stats)
     return df.select(*(keep or []), (p > F.lit(threshold)).cast("int").alias("prediction"),
                      p.alias("probability"))
 
@@ -278,6 +284,48 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability",
     return agg.select("n_pos", "n_neg", half_away(auc, digits).alias("roc_auc"))
 
 
+def evaluate_runs(test: DataFrame, scores: dict[str, Column], label: str = LABEL, threshold: float = 0.5,
+                  partitions: int | None = None) -> dict[str, dict]:
+    """Accuracy, precision, recall, F1 and exact AUC of several score columns,
+    and the number of rows, from one pass over ``test``.
+
+    Every row gives one (run, score) pair per run; the pairs are counted by
+    class map-side and stored once in ranges of (run, score).  All metrics
+    follow from those counts: the confusion counts by the threshold, the AUC
+    from running sums per run.  One row per run reaches the driver."""
+    each = F.array(*[F.struct(F.lit(name).alias("run_name"), s.cast("double").alias("__s"))
+                     for name, s in scores.items()])
+    groups = (test.select(F.col(label).alias("__y"), F.explode(each).alias("__r"))
+              .groupBy("__r.run_name", "__r.__s")
+              .agg(F.count_if(F.col("__y") == 1).alias("__pos"), F.count_if(F.col("__y") != 1).alias("__neg")))
+    groups = with_range_bucket(groups, ["run_name", "__s"], "__b", partitions)
+    below = running_sum(groups, ["__s"], "__neg", "__neg_below", bucket="__b", by=["run_name"], inclusive=False)
+    above, pos, neg = F.col("__s") > F.lit(threshold), F.col("__pos"), F.col("__neg")
+
+    def total(counted, cond=None):
+        return F.coalesce(F.sum(counted if cond is None else F.when(cond, counted)), F.lit(0)).cast("long")
+
+    counts = below.groupBy("run_name").agg(
+        total(pos, above).alias("tp"), total(neg, above).alias("fp"), total(pos).alias("n_pos"),
+        total(neg).alias("n_neg"),
+        F.sum(pos.cast("double") * (F.col("__neg_below") + neg * F.lit(0.5))).alias("__num"))
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("n_pos") - F.col("tp")
+    right = tp + F.col("n_neg") - fp
+
+    def rate(num, den):
+        return F.coalesce(ratio(num, den, digits=4, scale=1.0), F.lit(0.0))
+
+    auc = F.col("__num") / F.nullif(F.col("n_pos").cast("double") * F.col("n_neg"), F.lit(0.0))
+    rows = counts.select("run_name", (F.col("n_pos") + F.col("n_neg")).alias("n"),
+                         rate(right, F.col("n_pos") + F.col("n_neg")).alias("accuracy"),
+                         rate(tp, tp + fp).alias("precision"), rate(tp, tp + fn).alias("recall"),
+                         rate(tp * 2, tp * 2 + fp + fn).alias("f1"), half_away(auc, 4).alias("roc_auc")).collect()
+    found = {r["run_name"]: r for r in rows}
+    empty = {"accuracy": 0.0, "precision": 0.0, "recall": 0.0, "f1": 0.0, "roc_auc": None}
+    return {name: {k: float("nan") if (v := found[name][k] if name in found else empty[k]) is None else float(v)
+                   for k in empty} for name in scores}
+
+
 # ---------------------------------------------------------------------------
 # Experiments
 # ---------------------------------------------------------------------------
@@ -288,6 +336,8 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("run_name", T.StringType()),
     T.StructField("params", T.MapType(T.StringType(), T.StringType())),
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("model_version", T.IntegerType()),
+    T.StructField("model_path", T.StringType()),
 ])
 
 # The three configurations compared by the experiment.
@@ -306,25 +356,15 @@ class RunResult:
     model: PipelineModel
     features: list
     stats: ScalerStats | None = None
+    version: int | None = None
+    model_path: str | None = None
 
 
-def evaluate(scored: DataFrame, label: str = LABEL) -> dict:
-    """The metrics logged with a run: accuracy, precision, recall, F1, AUC."""
-    m = classification_metrics(scored, label).first().asDict()
-    auc = roc_auc(scored, label).first()["roc_auc"]
-    metrics = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
-    metrics["roc_auc"] = float(auc) if auc is not None else float("nan")
-    return metrics
-
-
-def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], run_name: str,
-                       C: float, max_iter: int, class_weight: str | None = None,
-                       n_train: int | None = None, stats: ScalerStats | None = None,
-                       label: str = LABEL, extra_params: dict | None = None,
-                       weights: dict | None = None) -> RunResult:
-    """Fit on ``train``, score ``test``, return metrics and the model (M5-M8).
-
-    ``extra_params`` (sizes, class prior) are logged with the run."""
+def train_model(train: DataFrame, features: list[str], C: float, max_iter: int, class_weight: str | None = None,
+                n_train: int | None = None, stats: ScalerStats | None = None, label: str = LABEL,
+                weights: dict | None = None) -> PipelineModel:
+    """Fit one configuration on ``train`` (M5); ``weights`` are used by
+    ``class_weight="balanced"``."""
     n_train = n_train if n_train is not None else train.count()
     stats = stats or fit_scaler(train, features)
     weight_col = None
@@ -332,16 +372,7 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: list[str], r
         values = weights or weight_values(class_weights(train, label), label)
         train = train.withColumn("__w", weight_expression(values, label))
         weight_col = "__w"
-    model = logistic_pipeline(features, stats, C, max_iter, n_train, weight_col, label).fit(train)
-    # Three narrow columns per test row, read by two small jobs (metrics and
-    # score groups): keep them for those jobs only.
-    scored = predict(model, test, features, stats, keep=[label]).persist()
-    metrics = evaluate(scored, label)
-    scored.unpersist()
-    params = {"model": "LogisticRegression", "C": C, "max_iter": max_iter,
-              "class_weight": class_weight, "features_count": len(features), "train_size": n_train,
-              **(extra_params or {})}
-    return RunResult(run_name, params, metrics, model, features, stats)
+    return logistic_pipeline(features, stats, C, max_iter, n_train, weight_col, label).fit(train)
 
 
 def training_statistics(train: DataFrame, features: list[str], label: str = LABEL
@@ -364,42 +395,47 @@ def training_statistics(train: DataFrame, features: list[str], label: str = LABE
 def run_experiments(train: DataFrame, test: DataFrame, features: list[str], configs=None,
                     parallelism: int | None = None, cache: bool = False, label: str = LABEL,
                     extra_params: dict | None = None) -> list[RunResult]:
-    """Fit and evaluate every configuration; results in configuration order.
+    """Fit every configuration, then evaluate all of them in one pass over the
+    test rows; results in configuration order.
 
     Spark's logistic regression caches its own blocks of training instances
     for the iterations; the scaler, class weights and sizes come from one
-    aggregate pass.  Runs are independent, and ``parallelism`` of them
+    aggregate pass.  Fits are independent, and ``parallelism`` of them
     (default: all) are submitted at once from driver threads; each holds a
     block cache of its own, so give 1 where three copies would not fit.
-    ``cache`` also keeps the training rows for the runs, which saves reading
+    ``cache`` also keeps the training rows for the fits, which saves reading
     the source once per fit where they are small.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     configs = configs or DEFAULT_CONFIGS
     stats, weights, profile = training_statistics(train, features, label)
-    extra = {**profile, "test_size": int(test.count()), **(extra_params or {})}
     rows = train.persist() if cache else train
 
-    def one(item):
-        name, cfg = item
-        return train_and_evaluate(rows, test, features, name, n_train=extra["train_size"],
-                                  stats=stats, label=label, extra_params=extra,
-                                  weights=weights or None, **cfg)
+    def fit(item):
+        return train_model(rows, features, n_train=profile["train_size"], stats=stats, label=label,
+                           weights=weights or None, **item[1])
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism or len(configs), len(configs)))) as pool:
-            return list(pool.map(one, configs))
+            models = list(pool.map(fit, configs))
     finally:
         if cache:
             rows.unpersist()
+    size = Observation("test")
+    metrics = evaluate_runs(test.observe(size, F.count(F.lit(1)).alias("n")),
+                            {name: probability(m, features, stats) for (name, _), m in zip(configs, models)}, label)
+    extra = {**profile, "test_size": int(size.get["n"]), **(extra_params or {})}
+    return [RunResult(name, {"model": "LogisticRegression", **cfg, "features_count": len(features), **extra},
+                      metrics[name], model, features, stats) for (name, cfg), model in zip(configs, models)]
 
 
 def runs_frame(spark: SparkSession, runs: list[RunResult]) -> DataFrame:
-    """One row per run: id, time, name, params (text map) and metrics (double
-    map) (M10).  Runs logged together share the id."""
+    """One row per run: id, time, name, params (text map), metrics (double map)
+    and the registered model (M10).  Runs logged together share the id."""
     run_id, now = uuid.uuid4().hex, datetime.now(timezone.utc)
-    rows = [(run_id, now, r.run_name, {k: str(v) for k, v in r.params.items()}, r.metrics) for r in runs]
+    rows = [(run_id, now, r.run_name, {k: str(v) for k, v in r.params.items()}, r.metrics, r.version,
+             r.model_path) for r in runs]
     return spark.createDataFrame(rows, RUNS_SCHEMA)
 
 
@@ -419,3 +455,36 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def register_model(model: PipelineModel, root: str, name: str) -> tuple[int, str]:
+    """Save ``model`` as the next version of ``name`` below ``root``; returns
+    (version, path) (M12).
+
+    A number is claimed by creating its file where none is (one winner, also
+    among jobs that start together), so no version is ever overwritten.  A
+    version counts from the moment its mark is written, after the model; the
+    number of a save that failed stays unused."""
+    spark = SparkSession.active()
+    folder = f"{root.rstrip('/')}/{name}"
+    version = 1 + max((int(n) for n, _ in list_folder(spark, f"{folder}/claims") if n.isdigit()), default=0)
+    while not put_if_absent(spark, f"{folder}/claims/{version}"):
+        version += 1
+    path = save_model(model, f"{folder}/versions/{version}")
+    put_if_absent(spark, f"{folder}/complete/{version}")
+    return version, path
+
+
+def model_versions(spark: SparkSession, root: str, name: str) -> dict[int, str]:
+    """{version: path} of the complete versions of ``name``."""
+    folder = f"{root.rstrip('/')}/{name}"
+    found = sorted(int(n) for n, _ in list_folder(spark, f"{folder}/complete") if n.isdigit())
+    return {v: f"{folder}/versions/{v}" for v in found}
+
+
+def load_registered(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
+    """A version of a registered model, by default the latest complete one."""
+    known = model_versions(spark, root, name)
+    if not known or (version is not None and version not in known):
+        raise LookupError(f"{name}: version {version or 'any'} is not registered below {root}")
+    return load_model(known[version if version is not None else max(known)])

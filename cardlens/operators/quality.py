@@ -3,9 +3,11 @@
 A suite is a list of ``Check`` values.  ``run_checks`` turns every row-level
 and table-level check into aggregate expressions of **one** ``agg`` (one scan,
 partial aggregates per task), then unpivots that single wide row into the
-report with ``stack``.  Uniqueness needs a grouping, so each ``unique`` check
-adds one aggregation over its column only.  The report is a small DataFrame;
-only a gate collects it (at most one row per check).
+report.  Uniqueness needs a grouping: all ``unique`` checks of a table share
+one, over (column, value) with a count for each check.  A ``View`` shows some
+rows of a table under other names; its checks run in the passes over that
+table.  The report is a small DataFrame; only a gate collects it (at most one
+row per check).
 
 Report columns: check_id, check, column, evaluated, unexpected, observed,
 success, severity.
@@ -33,6 +35,15 @@ class Check:
     severity: str = "error"        # "error" fails a gate, "warn" only reports
 
 
+@dataclass(frozen=True)
+class View:
+    """A model that shows the rows ``where`` of the model ``of``; ``columns``
+    gives the column of ``of`` behind each of its names."""
+    of: str
+    where: Column
+    columns: dict
+
+
 KINDS = ("row_count_between", "columns_superset", "in_set", "not_in_set", "not_null",
          "mean_between", "between", "unique")
 
@@ -63,12 +74,19 @@ def _row(i: int, chk: Check, evaluated: Column, unexpected: Column, observed: Co
                     success.alias("success"), F.lit(chk.severity).alias("severity"))
 
 
-def _compile(i: int, chk: Check, df_columns: list[str]):
+def _compile(i: int, chk: Check, df_columns: list[str], view: View | None = None, prefix: str = "q"):
     """(aggregate expressions, report-row expression over those aggregates)."""
-    a, p = chk.args, f"__q{i}_"
+    a, p = chk.args, f"__{prefix}{i}_"
     null_l, null_d = F.lit(None).cast("long"), F.lit(None).cast("double")
+
+    def shown(x: Column) -> Column:
+        return x if view is None else F.when(view.where, x)
+
+    def count_of(cond: Column) -> Column:
+        return F.count_if(cond if view is None else cond & view.where)
+
     if chk.kind == "columns_superset":
-        missing = [c for c in a["columns"] if c not in df_columns]
+        missing = [c for c in a["columns"] if c not in (df_columns if view is None else view.columns)]
         return [], _row(i, chk, F.lit(len(a["columns"])), F.lit(len(missing)), null_d,
                         F.lit(not missing))
     if chk.kind == "row_count_between":
@@ -78,8 +96,8 @@ def _compile(i: int, chk: Check, df_columns: list[str]):
             ok = ok & (n >= a["min"])
         if a.get("max") is not None:
             ok = ok & (n <= a["max"])
-        return [F.count(F.lit(1)).alias(p + "n")], _row(i, chk, n, null_l, n, ok)
-    c = F.col(chk.column)
+        return [F.count(shown(F.lit(1))).alias(p + "n")], _row(i, chk, n, null_l, n, ok)
+    c = F.col(_base_column(chk, view))
     if chk.kind == "mean_between":
         m = F.col(p + "m")
         if a.get("percent_digits") is not None:  # compare the rounded percentage
@@ -87,53 +105,82 @@ def _compile(i: int, chk: Check, df_columns: list[str]):
             ok = (pct >= a["min"] * 100) & (pct <= a["max"] * 100)
         else:
             ok = (m >= a["min"]) & (m <= a["max"])
-        return ([F.count(c).alias(p + "e"), F.avg(c).alias(p + "m")],
+        return ([F.count(shown(c)).alias(p + "e"), F.avg(shown(c)).alias(p + "m")],
                 _row(i, chk, F.col(p + "e"), null_l, half_away(m, 6), F.coalesce(ok, F.lit(False))))
     if chk.kind == "not_null":
-        aggs = [F.count(F.lit(1)).alias(p + "e"), F.count_if(c.isNull()).alias(p + "u")]
+        aggs = [F.count(shown(F.lit(1))).alias(p + "e"), count_of(c.isNull()).alias(p + "u")]
     elif chk.kind == "in_set":
-        aggs = [F.count(c).alias(p + "e"), F.count_if(~c.isin(*a["values"])).alias(p + "u")]
+        aggs = [F.count(shown(c)).alias(p + "e"), count_of(~c.isin(*a["values"])).alias(p + "u")]
     elif chk.kind == "not_in_set":
-        aggs = [F.count(c).alias(p + "e"), F.count_if(c.isin(*a["values"])).alias(p + "u")]
+        aggs = [F.count(shown(c)).alias(p + "e"), count_of(c.isin(*a["values"])).alias(p + "u")]
     elif chk.kind == "between":
         bad = _outside(c, a.get("min"), a.get("max"), a.get("strict_min", False),
                        a.get("strict_max", False))
-        aggs = [F.count(c).alias(p + "e"), F.count_if(c.isNotNull() & bad).alias(p + "u")]
+        aggs = [F.count(shown(c)).alias(p + "e"), count_of(c.isNotNull() & bad).alias(p + "u")]
     else:
         raise ValueError(f"unknown check kind {chk.kind!r}")
     u = F.col(p + "u")
     return aggs, _row(i, chk, F.col(p + "e"), u, null_d, u == 0)
 
 
-def _unique_report(df: DataFrame, i: int, chk: Check) -> DataFrame:
-    """Distinct non-null values that occur more than once (NULLs ignored)."""
-    c = chk.column
-    counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-    agg = counts.agg(F.sum("n").alias("e"), F.count_if(F.col("n") > 1).alias("u"))
-    row = _row(i, chk, F.coalesce(F.col("e"), F.lit(0)), F.col("u"), F.lit(None).cast("double"),
-               F.col("u") == 0)
-    return agg.select(row.alias("r")).select("r.*")
+def _base_column(chk: Check, view: View | None) -> str:
+    return chk.column if view is None else view.columns[chk.column]
 
 
-def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Evaluate ``checks`` on ``df``; returns the report (one row per check)."""
+def _unique_report(df: DataFrame, tests: list[tuple[str, int, Check, View | None]]) -> DataFrame:
+    """Distinct non-null values that occur more than once (NULLs ignored).
+
+    One shuffle for all tests: rows are counted by (column, value), combined
+    map-side, with one counter for each test of that column; tests of the same
+    column share its rows."""
+    columns = sorted({_base_column(chk, view) for _, _, chk, view in tests})
+    shown = [F.lit(True) if view is None else F.coalesce(view.where, F.lit(False)) for _, _, _, view in tests]
+    flags = [flag.alias(f"s{k}") for k, flag in enumerate(shown)]
+    if len(columns) == 1:
+        pairs = df.select(F.lit(0).alias("c"), F.col(columns[0]).alias("v"), *flags)
+    else:
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(j).alias("c"), F.col(c).cast("string").alias("v"))
+                                              for j, c in enumerate(columns)])).alias("p"), *flags)
+        pairs = pairs.select("p.c", "p.v", *[f"s{k}" for k in range(len(tests))])
+    counts = pairs.where(F.col("v").isNotNull()).groupBy("c", "v").agg(*[
+        F.count_if((F.col("c") == columns.index(_base_column(chk, view))) & F.col(f"s{k}")).alias(f"n{k}")
+        for k, (_, _, chk, view) in enumerate(tests)])
+    agg = counts.agg(*[F.sum(f"n{k}").alias(f"e{k}") for k in range(len(tests))],
+                     *[F.count_if(F.col(f"n{k}") > 1).alias(f"u{k}") for k in range(len(tests))])
+    rows = [_named(model, _row(i, chk, F.coalesce(F.col(f"e{k}"), F.lit(0)), F.col(f"u{k}"),
+                               F.lit(None).cast("double"), F.col(f"u{k}") == 0))
+            for k, (model, i, chk, _) in enumerate(tests)]
+    return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.row.*", "r.model")
+
+
+def _named(model: str, row: Column) -> Column:
+    return F.struct(row.alias("row"), F.lit(model).alias("model"))
+
+
+def _report(df: DataFrame, models: list[tuple[str, View | None, list[Check]]]) -> DataFrame:
+    """The report of all ``models`` over the rows of ``df``: one aggregate for
+    the row and table checks, one grouping for the uniqueness checks."""
     aggs, rows, uniques = [], [], []
-    for i, chk in enumerate(checks, start=1):
-        if chk.kind == "unique":
-            uniques.append(_unique_report(df, i, chk))
-            continue
-        a, r = _compile(i, chk, df.columns)
-        aggs += a
-        rows.append(r)
+    for m, (model, view, checks) in enumerate(models):
+        for i, chk in enumerate(checks, start=1):
+            if chk.kind == "unique":
+                uniques.append((model, i, chk, view))
+                continue
+            a, r = _compile(i, chk, df.columns, view, f"q{m}_")
+            aggs += a
+            rows.append(_named(model, r))
     parts = []
     if rows:
         base = df.agg(*aggs) if aggs else df.sparkSession.range(1)
-        parts.append(base.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
-    parts += uniques
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(base.select(F.explode(F.array(*rows)).alias("r")).select("r.row.*", "r.model"))
+    if uniques:
+        parts.append(_unique_report(df, uniques))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Evaluate ``checks`` on ``df``; returns the report (one row per check)."""
+    return _report(df, [("", None, checks)]).drop("model")
 
 
 def summarize(report: DataFrame) -> DataFrame:
@@ -175,6 +222,7 @@ def gate(report: DataFrame) -> DataFrame:
 def staging_suite(min_rows: int = 500_000, max_rows: int = 700_000,
                   min_fraud_mean: float = 0.01, max_fraud_mean: float = 0.10) -> list[Check]:
     """The 16 checks of the validation stage (Q1-Q7)."""
+    # Columns and bounds of the stage's checks.
     return [
         Check("row_count_between", None, {"min": min_rows, "max": max_rows}),
         Check("columns_superset", None, {"columns": list(QUALITY_COLUMNS)}),
@@ -183,7 +231,7 @@ def staging_suite(min_rows: int = 500_000, max_rows: int = 700_000,
         Check("mean_between", "isFraud", {"min": min_fraud_mean, "max": max_fraud_mean}),
         Check("not_null", "TransactionAmt"),
         Check("not_null", "log_TransactionAmt"),
-        Check("between", "log_TransactionAmt", {"min": 0, "strict_min": False}),
+        Check("between", "log_TransactionAmt", {"min": 0}),
         Check("in_set", "ProductCD", {"values": list(PRODUCT_CODES)}),
         Check("not_null", "P_emaildomain"),
         Check("between", "tx_hour", {"min": 0, "max": 23}),
@@ -191,7 +239,7 @@ def staging_suite(min_rows: int = 500_000, max_rows: int = 700_000,
         Check("in_set", "is_night_tx", {"values": [0, 1]}),
         Check("in_set", "is_large_tx", {"values": [0, 1]}),
         Check("in_set", "has_identity", {"values": [0, 1]}),
-        Check("between", "card1_tx_count", {"min": 0, "strict_min": False}),
+        Check("between", "card1_tx_count", {"min": 0}),
     ]
 
 
@@ -205,7 +253,7 @@ def soft_load_checks(min_rows: int = 500_000, min_rate: float = 0.03,
     ]
 
 
-# Schema tests per model (Q9-Q12): (model name, checks).
+# Schema tests per model (Q9-Q12).
 SOURCE_TESTS = [
     Check("unique", "TransactionID"), Check("not_null", "TransactionID"),
     Check("not_null", "isFraud"), Check("in_set", "isFraud", {"values": [0, 1]}),
@@ -221,13 +269,18 @@ SUMMARY_TESTS = [Check("not_null", "card1"), Check("not_null", "fraud_rate_pct")
 HOURLY_TESTS = [Check("unique", "tx_hour"), Check("not_null", "tx_hour")]
 
 
-def schema_tests(models: dict[str, tuple[DataFrame, list[Check]]]) -> DataFrame:
+def schema_tests(models: dict[str, tuple[DataFrame | View, list[Check]]]) -> DataFrame:
     """Run each model's tests and stack the reports with a ``model`` column (Q12).
 
-    Per model one aggregate covers all tests but uniqueness, which needs a
-    shuffle of its own; give stored tables, as every part reads its model."""
+    A table and the views of it are tested together: one pass for the row and
+    table tests of all of them, one shuffle for their uniqueness tests."""
     out = None
     for name, (df, checks) in models.items():
-        rep = run_checks(df, checks).withColumn("model", F.lit(name))
+        if isinstance(df, View) and df.of in models:
+            continue  # with its table
+        if isinstance(df, View):
+            raise ValueError(f"{name} is a view of {df.of}, which is not among the models")
+        views = [(n, v, c) for n, (v, c) in models.items() if isinstance(v, View) and v.of == name]
+        rep = _report(df, [(name, None, checks), *views])
         out = rep if out is None else out.unionByName(rep)
     return out

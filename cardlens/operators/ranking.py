@@ -26,15 +26,16 @@ def fraction_bucket(fraction: Column, buckets: int) -> Column:
     return F.greatest(F.least(b, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
-def with_range_bucket(df: DataFrame, column: str, out: str, partitions: int | None = None) -> DataFrame:
-    """``df`` written once in ranges of ``column``, with ``out``: the range's
-    number.  Equal values share a range, and ranges ascend with ``column``.
+def with_range_bucket(df: DataFrame, column: str | list[str], out: str, partitions: int | None = None) -> DataFrame:
+    """``df`` written once in ranges of ``column`` (or columns), with ``out``:
+    the range's number.  Equal values share a range, and ranges ascend with
+    ``column``.
     The stored table fixes the numbers, so a lost executor cannot change them.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "ranges")
-    df.repartitionByRange(n, column).withColumn(out, F.spark_partition_id()).write.parquet(path)
+    df.repartitionByRange(n, *([column] if isinstance(column, str) else column)).withColumn(out, F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -141,7 +141,9 @@ def validate(spark: SparkSession, root: str, **suite_args) -> dict:
     from ..operators.quality import gate, run_checks, staging_suite, summarize
     from ..schemas import QUALITY_COLUMNS
     from ..sources.files import read_parquet
+    from ..sources.guards import require_paths
 
+    require_paths(spark, {"staging": f"{root}/staging_fraud"}, "validate")
     staged = read_parquet(spark, f"{root}/staging_fraud", QUALITY_COLUMNS)
     report = run_checks(staged, staging_suite(**suite_args)).persist()
     summary = summarize(report).first().asDict()
@@ -159,9 +161,11 @@ def load(spark: SparkSession, root: str, table: str = "staging_fraud",
     the table from the copy (S11)."""
     from ..operators.profiles import load_readback
     from ..operators.quality import run_checks, soft_load_checks
+    from ..sources.guards import require_paths
     from ..sources.sinks import warehouse_load, write_parquet
 
     source = f"{root}/staging_fraud"
+    require_paths(spark, {"staging": source}, "load")
     if object_store:
         write_parquet(spark.read.parquet(source), object_store)
         source = object_store
@@ -173,31 +177,49 @@ def load(spark: SparkSession, root: str, table: str = "staging_fraud",
     return {"rows": loaded["rows"], "columns": loaded["columns"], **readback, "warnings": warnings}
 
 
-def build_marts(spark: SparkSession, source: DataFrame, root: str) -> dict:
-    """stg_fraud view + fraud_summary / fraud_hourly tables + 17 schema tests."""
+def build_marts(spark: SparkSession, source: DataFrame | None, root: str) -> dict:
+    """stg_fraud view + fraud_summary / fraud_hourly tables + 17 schema tests.
+
+    ``source`` is the staging table (None: the one below ``root``)."""
     from ..operators import marts as MT
-    from ..operators import quality as QC
+    from ..sources.guards import require_paths
     from ..sources.sinks import replace_table
 
+    if source is None:
+        require_paths(spark, {"staging": f"{root}/staging_fraud"}, "build_marts")
+        source = spark.read.parquet(f"{root}/staging_fraud")
     stg = MT.stg_fraud(source)
     stg.createOrReplaceTempView("stg_fraud")
     s = replace_table(MT.fraud_summary(stg, ordered=False), "fraud_summary", path=f"{root}/fraud_summary")
     h = replace_table(MT.fraud_hourly(stg, ordered=False), "fraud_hourly", path=f"{root}/fraud_hourly")
-    tests = QC.schema_tests({
-        "staging_fraud": (source, QC.SOURCE_TESTS), "stg_fraud": (stg, QC.STG_TESTS),
-        "fraud_summary": (spark.table("fraud_summary"), QC.SUMMARY_TESTS),
-        "fraud_hourly": (spark.table("fraud_hourly"), QC.HOURLY_TESTS)})
+    tests = mart_tests(source, spark.table("fraud_summary"), spark.table("fraud_hourly"))
     failed = [r.asDict() for r in tests.where("NOT success").collect()]
     return {"fraud_summary_rows": s["rows"], "fraud_hourly_rows": h["rows"], "failed_tests": failed}
 
 
+def mart_tests(source: DataFrame, summary: DataFrame, hourly: DataFrame) -> DataFrame:
+    """The 17 schema tests; those of ``stg_fraud`` are tests of the rows and
+    columns of ``source`` that the view shows."""
+    from ..operators import marts as MT
+    from ..operators import quality as QC
+    from ..schemas import AMOUNT, STG_RENAMES
+
+    view = QC.View("staging_fraud", MT.has_value(AMOUNT), {b: a for a, b in STG_RENAMES})
+    return QC.schema_tests({"staging_fraud": (source, QC.SOURCE_TESTS), "stg_fraud": (view, QC.STG_TESTS),
+                            "fraud_summary": (summary, QC.SUMMARY_TESTS), "fraud_hourly": (hourly, QC.HOURLY_TESTS)})
+
+
 def experiments(spark: SparkSession, root: str, configs=None, parallelism: int | None = None,
-                cache: bool = False) -> dict:
-    """Three logistic-regression runs on the staging table, logged to a runs table."""
+                cache: bool = False, registered_name: str = "fraud_model") -> dict:
+    """Three logistic-regression runs on the staging table, logged to a runs
+    table (M1-M12).  Each run's model becomes the next version of
+    ``registered_name`` below ``root/models``."""
     from ..operators import model as ML
     from ..schemas import LABEL, MODEL_FEATURES
+    from ..sources.guards import require_paths
     from ..sources.sinks import write_csv, write_parquet
 
+    require_paths(spark, {"staging": f"{root}/staging_fraud"}, "experiments")
     staged = spark.read.parquet(f"{root}/staging_fraud")
     present, missing = ML.select_features(staged, MODEL_FEATURES)
     # The split is read by every run, so it is stored once, by part.
@@ -208,10 +230,11 @@ def experiments(spark: SparkSession, root: str, configs=None, parallelism: int |
     train, test = df.where("split = 'train'"), df.where("split = 'test'")
     runs = ML.run_experiments(train, test, present, configs, parallelism, cache)
     for r in runs:
-        ML.save_model(r.model, f"{root}/models/{r.run_name}")
+        r.version, r.model_path = ML.register_model(r.model, f"{root}/models", registered_name)
         write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{r.run_name}")
     write_parquet(ML.runs_frame(spark, runs), f"{root}/runs", mode="append")
-    return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs}}
+    return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs},
+            "versions": {r.run_name: r.version for r in runs}}
 
 
 def run_all_stages(spark: SparkSession, tx_csv: str, identity_csv: str, root: str,
@@ -232,7 +255,7 @@ def run_all_stages(spark: SparkSession, tx_csv: str, identity_csv: str, root: st
                                      identity_unique=ex["identity_rows"] == ex["identity_distinct_ids"])
     out["validate"] = validate(spark, root, **(suite_args or {}))
     out["load"] = load(spark, root, table_path=f"{root}/warehouse/staging_fraud", **(soft_args or {}))
-    out["marts"] = build_marts(spark, spark.read.parquet(f"{root}/staging_fraud"), root)
+    out["marts"] = build_marts(spark, None, root)
     if train_models:
         out["experiments"] = experiments(spark, root)
     return out

@@ -70,6 +70,14 @@ def money_avg(x: str) -> str:
             f"/ 100.0 END")
 
 
+def money_std(x: str) -> str:
+    """Sample deviation from exact sums of millionths and of their squares."""
+    m = f"CAST(CAST({x} AS DECIMAL(28, 6)) * 1000000 AS HUGEINT)"
+    spread = f"COUNT({x}) * SUM({m} * {m}) - SUM({m}) * SUM({m})"
+    std = f"SQRT(CAST(CAST({spread} AS DECIMAL(38, 0)) AS DOUBLE) / (CAST(COUNT({x}) AS DOUBLE) * (COUNT({x}) - 1.0))) / 1000000.0"
+    return f"CASE WHEN COUNT({x}) > 1 THEN {half_away(std, 2)} END"
+
+
 def big(x: str) -> str:
     return f"CAST({x} AS BIGINT)"
 
@@ -94,7 +102,7 @@ CARD_AGG_CTE = f"""card_agg AS (
          COUNT(*) AS card1_tx_count,
          {money_avg('TransactionAmt')} AS card1_avg_amt,
          {half_away('MAX(TransactionAmt)', 2)} AS card1_max_amt,
-         {half_away('STDDEV_SAMP(TransactionAmt)', 2)} AS card1_std_amt,
+         {money_std('TransactionAmt')} AS card1_std_amt,
          {big('SUM(isFraud)')} AS card1_fraud_count
   FROM cleaned WHERE card1 <> -999 GROUP BY card1)"""
 # Days and hours count from an unknown start: whole hours first, the rest from them.

@@ -97,6 +97,46 @@ def path_size(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(jpath).getLength())
 
 
+def put_if_absent(spark: SparkSession, path: str) -> bool:
+    """Create the empty file ``path``; False if it exists already.  Of several
+    callers at once one wins, wherever the file system creates files without
+    overwriting in one step (local disks, HDFS, object stores with conditional
+    writes)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(jpath.getParent())
+    if fs.getScheme() == "file":  # Hadoop's local file system looks first and creates then
+        return bool(jvm.java.io.File(fs.makeQualified(jpath).toUri().getPath()).createNewFile())
+    try:
+        fs.create(jpath, False).close()
+        return True
+    except Exception:
+        if fs.exists(jpath):
+            return False
+        raise
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time in ms) of the entries of ``path``; none if it is absent."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return []
+    return [(s.getPath().getName(), int(s.getModificationTime())) for s in fs.listStatus(jpath)]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def size_shuffles(spark: SparkSession, *paths: str) -> int:
     """Set the session's shuffle partitions from the size of the inputs."""
     n = shuffle_partitions_for(sum(path_size(spark, p) for p in paths),
@@ -106,4 +146,4 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
 
 
 __all__ = ["build_session", "checkpoint_root", "scratch_path", "shuffle_partitions_for",
-           "size_shuffles", "path_size", "DEFAULT_CONF"]
+           "size_shuffles", "path_size", "path_exists", "list_folder", "delete_path", "put_if_absent", "DEFAULT_CONF"]

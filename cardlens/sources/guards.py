@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 
 class MissingInputError(FileNotFoundError):
     pass
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
-
-
 def require_paths(spark: SparkSession, paths: dict[str, str], stage: str) -> None:
     """Raise naming ``stage`` and every absent input (metadata calls only)."""
     missing = [f"{name} ({p})" for name, p in paths.items() if not path_exists(spark, p)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from cardlens.operators import model as ML
 
 
@@ -127,3 +128,74 @@ def test_rare_class_gets_its_share_of_the_test_part(spark):
     df = spark.range(4000).selectExpr("id AS TransactionID", "IF(id % 100 = 7, 1, 0) AS isFraud")
     got = {tuple(r) for r in ML.stratified_split(df).groupBy("isFraud", "split").count().collect()}
     assert got == {(0, "train", 3168), (0, "test", 792), (1, "train", 32), (1, "test", 8)}
+
+
+# --- runs evaluated together, versions of a registered model -----------------------
+
+def test_runs_evaluated_together_equal_single_evaluations(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.random() < 0.3), float(round(rng.random(), 2)), float(round(rng.random() ** 2, 1))) for _ in range(600)]
+    df = spark.createDataFrame(rows, "isFraud INT, a DOUBLE, b DOUBLE").repartition(5)
+    got = ML.evaluate_runs(df, {"a": F.col("a"), "b": F.col("b"), "const": F.lit(0.5)}, partitions=4)
+    for name in ("a", "b"):
+        scored = df.select("isFraud", (F.col(name) > 0.5).cast("int").alias("prediction"), F.col(name).alias("probability"))
+        m = ML.classification_metrics(scored).first()
+        assert got[name] == {**{k: m[k] for k in ("accuracy", "precision", "recall", "f1")},
+                             "roc_auc": ML.roc_auc(scored).first()["roc_auc"]}
+    assert got["const"]["roc_auc"] == 0.5 and got["const"]["precision"] == 0.0
+    empty = ML.evaluate_runs(df.where("false"), {"a": F.col("a")})["a"]
+    assert empty["accuracy"] == 0.0 and empty["roc_auc"] != empty["roc_auc"]
+
+
+def test_runs_scan_the_test_rows_once(spark):
+    from pyspark.sql import functions as F
+    from cardlens.session import scratch_path
+    path = scratch_path(spark, "scan-once")
+    spark.range(0, 1000, 1, 3).selectExpr("CAST(id % 2 AS INT) AS isFraud", "id / 1000 AS s").write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(s):
+        reads.add(1)
+        return s
+
+    test = spark.read.parquet(path).select("isFraud", counted.asNondeterministic()("s").alias("s"))
+    metrics = ML.evaluate_runs(test, {f"run{k}": F.col("s") * F.lit(1.0 - k / 10) for k in range(3)})
+    # range partitioning samples its input, which is the stored shuffle of the groups
+    assert reads.value == 1000 and len(metrics) == 3
+
+
+def _small_model(spark):
+    df = spark.createDataFrame([(k % 2, float(k), float(k * k % 7)) for k in range(40)], "isFraud INT, a DOUBLE, b DOUBLE")
+    return ML.train_model(df, ["a", "b"], C=1.0, max_iter=20)
+
+
+def test_registered_models_get_versions(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from cardlens.session import scratch_path
+    root, model = scratch_path(spark, "registry"), _small_model(spark)
+    with pytest.raises(LookupError):
+        ML.load_registered(spark, root, "m")
+    assert ML.register_model(model, root, "m")[0] == 1 and ML.register_model(model, root, "m")[0] == 2
+    with ThreadPoolExecutor(4) as pool:  # started together
+        more = list(pool.map(lambda _: ML.register_model(model, root, "m")[0], range(4)))
+    assert sorted(more) == [3, 4, 5, 6]
+    want = ML.model_coefficients(model)
+    for v, path in ML.model_versions(spark, root, "m").items():
+        assert path.endswith(f"/{v}") and ML.model_coefficients(ML.load_registered(spark, root, "m", v)) == want
+    assert ML.register_model(model, root, "other")[0] == 1
+    with pytest.raises(LookupError):
+        ML.load_registered(spark, root, "m", 9)
+
+
+def test_failed_save_leaves_no_version(spark, monkeypatch):
+    from cardlens.session import scratch_path
+    root, model = scratch_path(spark, "registry"), _small_model(spark)
+    with monkeypatch.context() as m:
+        m.setattr(ML, "save_model", lambda *a: (_ for _ in ()).throw(OSError("disk")))
+        with pytest.raises(OSError):
+            ML.register_model(model, root, "m")
+    assert ML.model_versions(spark, root, "m") == {}
+    assert ML.register_model(model, root, "m")[0] == 2 and list(ML.model_versions(spark, root, "m")) == [2]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import pytest
 
+from cardlens.operators import quality as QC
+
 from cardlens.operators.quality import (Check, QualityGateError, gate, run_checks, staging_suite,
                                         summarize)
 from cardlens.plans.etl import transform
@@ -58,3 +60,28 @@ def test_row_checks_share_one_aggregate(raw_tx, raw_identity):
     plan = rep._jdf.queryExecution().optimizedPlan().toString()
     # one Aggregate over the data (the staging plan has its own per-card aggregate)
     assert plan.count("Aggregate [") <= 3
+
+
+def test_uniqueness_tests_of_a_table_share_one_shuffle(spark):
+    from pyspark.sql import functions as F
+    from cardlens.session import scratch_path
+    path = scratch_path(spark, "unique")
+    rows = [(k, k // 2, "x" if k < 3 else str(k), -999.0 if k % 5 == 0 else 1.0) for k in range(20)] + [(None, 1, None, 1.0), (7, 50, "y", -999.0)]
+    spark.createDataFrame(rows, "k BIGINT, h INT, s STRING, amt DOUBLE").write.parquet(path)
+    df = spark.read.parquet(path)
+    view = QC.View("t", F.col("amt") != -999, {"id": "k", "half": "h", "v": "amt"})
+    models = {"t": (df, [QC.Check("unique", "k"), QC.Check("unique", "h"), QC.Check("not_null", "k"), QC.Check("unique", "s")]),
+              "v": (view, [QC.Check("unique", "id"), QC.Check("unique", "half"), QC.Check("not_null", "id"),
+                           QC.Check("in_set", "v", {"values": [1]}), QC.Check("row_count_between", None, {"min": 17, "max": 17}),
+                           QC.Check("columns_superset", None, {"columns": ["id", "amt"]})])}
+    rep = QC.schema_tests(models)
+    shown = df.where(view.where).selectExpr("k AS id", "h AS half", "amt AS v")
+    apart = QC.run_checks(df, models["t"][1]).selectExpr("*", "'t' AS model").unionByName(
+        QC.run_checks(shown, models["v"][1]).selectExpr("*", "'v' AS model"))
+    key = lambda r: (r.model, r.check_id)
+    assert sorted(rep.collect(), key=key) == sorted(apart.collect(), key=key)
+    uniques = QC.schema_tests({m: (d, [c for c in checks if c.kind == "unique"]) for m, (d, checks) in models.items()})
+    plan = uniques._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and plan.count("FileScan") == 1
+    with pytest.raises(ValueError, match="nowhere"):
+        QC.schema_tests({"v": (QC.View("nowhere", F.lit(True), {}), [])})

@@ -4,6 +4,7 @@ oracle, including decimal ties where the engines' own ROUND functions differ."""
 from __future__ import annotations
 
 import duckdb
+import pytest
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -69,3 +70,32 @@ def test_half_away_passes_nan_and_large_values(spark):
     vals = [float("nan"), 1e18, -1e18, float("inf"), None, -2.5]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x DOUBLE").select(R.half_away("x", 0)).collect()]
     assert np.isnan(got[0]) and got[1:] == [1e18, -1e18, float("inf"), None, -3.0]
+
+
+@pytest.mark.parametrize("amounts", [
+    [0.0, 0.01], [1.0, 1.01, 1.02, 1.005] * 5, [999.999999, 1000.0] * 40, [1e9 + 0.005 * k for k in range(50)],
+    [-3.25, 7.75, 1.125], [1e10, -1e10, 0.000001], [5.0], [2.5, 2.5, 2.5]])
+def test_std_does_not_depend_on_the_partitions(spark, amounts):
+    from fractions import Fraction
+    from math import floor, isqrt
+
+    from cardlens.functions.rounding import money_std
+    micros = [round(Fraction(a).limit_denominator(10**6) * 10**6) for a in amounts]
+    n, spread = len(micros), len(micros) * sum(m * m for m in micros) - sum(micros) ** 2
+    want = None
+    if n > 1:  # half away from zero at the second decimal, in whole numbers
+        want = (isqrt(spread * 4 // (n * (n - 1)) // 10**8) + 1) // 2 / 100.0
+    got = set()
+    for parts in (1, 7, 64):
+        df = spark.createDataFrame([(a,) for a in amounts], "a DOUBLE").repartition(parts)
+        got.add(df.agg(money_std("a").alias("s")).first().s)
+    assert got == {want}
+
+
+def test_std_of_unusual_amounts(spark):
+    from cardlens.functions.rounding import money_std
+    rows = [("nan", 1.0), ("nan", float("nan")), ("big", 1e30), ("big", 3e30), ("null", None), ("null", 4.0),
+            ("nulls", None), ("pair", 1.0), ("pair", None), ("pair", 2.0)]
+    got = {r.g: r.s for r in spark.createDataFrame(rows, "g STRING, a DOUBLE").groupBy("g").agg(money_std("a").alias("s")).collect()}
+    assert got["nan"] != got["nan"] and got["big"] == pytest.approx(2**0.5 * 1e30)
+    assert got["null"] is None and got["nulls"] is None and got["pair"] == 0.71
