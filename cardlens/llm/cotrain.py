@@ -1,22 +1,34 @@
 """Quality classifier by co-training two views (operator 3).
 
 The *text* view sees the words of a document, their shapes and how varied they
-are; the *metadata* view sees lang, source, length and layout.  Each view is a
-logistic regression over the presence of features whose shares in the classes
-differ significantly (counted and fitted in Spark).  Every round both views
-are calibrated on a fold of labelled rows that training never sees, score a
-pool of unlabelled documents, and what one view is confident about becomes a
-pseudo-label for the other.  At the end the calibrated views are combined
-(logistic stacking on the same fold) and score all documents.
+are; the *metadata* view sees lang, source, length and layout.  Each view
+starts as a logistic regression over the presence of features whose shares in
+the classes differ significantly, fitted on labelled rows, and is calibrated
+on a fold of them that training never sees.
+
+In every further round both views score all documents that are not in the
+labelled sample, and each hands the other the documents of the classes it is
+sure of: per view and class the threshold is the lowest one at which the fold
+shows ``precision`` (with ``support`` rows at least), so a view that cannot
+tell a class hands over none of it; where both are sure and disagree, none
+does.  What is handed over enters as counts of the features that tell the
+classes apart (summed in Spark, weighed by the measured precision), and the
+receiving view adds the log odds of these counts to its score.  A round is
+kept only if the combined score's loss on the fold falls (cross-validated).
+At the end the calibrated views are combined (logistic stacking on the same
+fold) and score all documents.
 
 A labelled row is acceptable if its quality is 1 and it isn't toxic; rows with
 a null doc_id or quality are ignored, a null toxic counts as 0, and a document
 with several labels must be acceptable in all.  Null or empty texts have the
-features of an empty text; repeated rows get equal scores.  Without labels of
-both classes every document has the score 0.5 and is accepted.
-
-``max_labelled`` and ``pool`` bound the documents that the models are fitted
-on (chosen by a hash); scoring covers all documents.
+features of an empty text; texts of any length are read whole; repeated rows
+get equal scores.  Without labels of both classes every document has the score
+0.5 and is accepted; where all documents are in the labelled sample there is
+nothing to hand over.  An empty table gives no rows.  Columns of the names of
+the results are replaced, others kept.
+
+``max_labelled`` bounds the labelled documents that the models are fitted on
+(chosen by a hash); exchange and scoring cover all documents.
 """
 
 from __future__ import annotations
@@ -33,11 +45,14 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_extend, arrow_filter, arrow_map, materialize, split_words
+from .common import arrow_extend, arrow_filter, arrow_map, materialize, release, slices, split_words
 
 VIEWS = ("text", "meta")
 WORD = re.compile(r"\w+")
 RUNS = re.compile(r"(\W)\1+")
+WORD_EDGES = re.compile(r"^\W+|\W+$")
+#: Letters of a word's beginning (inflected and compound words share theirs).
+BEGINNING = 4
 
 
 def shape(word: str) -> str:
@@ -47,13 +62,16 @@ def shape(word: str) -> str:
 
 
 def text_features(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(features, document numbers, feature numbers): words, shapes, shapes of
-    a fifth of the words or more, and the variety of the words."""
+    """(features, document numbers, feature numbers): words without the marks
+    around them, their beginnings, shapes, shapes of a fifth of the words or
+    more, and the variety of the words."""
     counts, number, distinct = split_words(column)
     names: dict[str, int] = {}
     add = lambda f: names.setdefault(f, len(names))
     words = [w.decode("utf-8") for w in distinct]
-    of_word = np.array([add("w:" + w.lower()) for w in words], np.int64)
+    cores = [WORD_EDGES.sub("", w).lower() for w in words]
+    of_word = np.array([add("w:" + c) for c in cores], np.int64)
+    of_start = np.array([add("p:" + c[:BEGINNING]) if len(c) > BEGINNING else -1 for c in cores], np.int64)
     shapes: dict[str, int] = {}
     of_shape = np.array([shapes.setdefault(shape(w), len(shapes)) for w in words], np.int64)
     present = np.array([add("s:" + s) for s in shapes], np.int64)
@@ -61,6 +79,9 @@ def text_features(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(counts)), counts)
     docs, features = [doc], [of_word[number] if len(number) else number.astype(np.int64)]
     if len(number):
+        starts = of_start[number]
+        docs.append(doc[starts >= 0])
+        features.append(starts[starts >= 0])
         pair, n = np.unique(doc * len(shapes) + of_shape[number], return_counts=True)
         at, s = pair // len(shapes), pair % len(shapes)
         docs += [at, at[5 * n >= counts[at]]]
@@ -105,21 +126,27 @@ def features_of(view: str, batch: pa.RecordBatch):
 
 @dataclass
 class View:
-    """Weights of features and the calibration of their sum."""
+    """Weights of features, fitted and counted, and the calibration of their sums."""
 
     weights: dict[str, float] = field(default_factory=dict)
-    a: float = 0.0
-    b: float = 1.0
+    counted: dict[str, float] = field(default_factory=dict)
+    beta: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0, 0.0]))  # intercept, fitted, counted
 
     def raw(self, names: list[str], docs: np.ndarray, features: np.ndarray, n: int) -> np.ndarray:
-        get = self.weights.get
-        w = np.array([get(f, 0.0) for f in names])
-        used = w[features] != 0 if len(features) else np.zeros(0, bool)
-        pair = np.unique(docs[used] * max(1, len(names)) + features[used])
-        return np.bincount(pair // max(1, len(names)), w[pair % max(1, len(names))] if len(w) else None, n)
+        """Sums of the fitted and of the counted weights by document."""
+        out = np.zeros((n, 2))
+        size = max(1, len(names))
+        for k, weights in enumerate((self.weights, self.counted)):
+            if not weights or not len(features):
+                continue
+            w = np.array([weights.get(f, 0.0) for f in names])
+            used = w[features] != 0
+            pair = np.unique(docs[used] * size + features[used])
+            out[:, k] = np.bincount(pair // size, w[pair % size], n)
+        return out
 
     def logit(self, raw: np.ndarray) -> np.ndarray:
-        return self.a + self.b * raw
+        return self.beta[0] + raw @ self.beta[1:]
 
 
 @dataclass
@@ -158,17 +185,11 @@ def labelled_rows(labels: DataFrame) -> DataFrame:
             .agg(F.min(ok.cast("int")).alias("y")))
 
 
-def training_table(docs: DataFrame, labels: DataFrame, max_labelled: int, pool: int) -> DataFrame:
-    """(doc_id, y, text, meta): features of the sampled labelled rows (y) and
-    of the unlabelled pool (y null)."""
+def training_table(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFrame:
+    """(doc_id, y, text, meta): features of the sampled labelled rows."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", "lang", "source").where("doc_id is not null")
     known = labelled_rows(labels)
-    n_known, n_docs = known.count(), rows.count()
-    sample = known.where(hash_share(3) < max_labelled / max(n_known, 1))
-    # the sample's size is bounded, so its side is broadcast
-    own = rows.join(F.broadcast(sample), "doc_id")
-    free = (rows.where(hash_share(33) < pool / max(n_docs, 1)).join(known.select("doc_id"), "doc_id", "left_anti")
-            .withColumn("y", F.lit(None).cast("int")))
+    sample = known.where(hash_share(3) < max_labelled / max(known.count(), 1))
 
     def run(batch: pa.RecordBatch) -> dict:
         out = {"doc_id": batch.column("doc_id"), "y": batch.column("y")}
@@ -180,13 +201,16 @@ def training_table(docs: DataFrame, labels: DataFrame, max_labelled: int, pool:
             out[view] = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), flat)
         return out
 
-    table = own.unionByName(free).select("doc_id", "y", "text", "lang", "source")
-    return materialize(arrow_map(table, run, "doc_id long, y int, text array<string>, meta array<string>", "text"),
+    # the sample's size is bounded, so its side is broadcast
+    own = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text", "lang", "source")
+    return materialize(arrow_map(own, run, "doc_id long, y int, text array<string>, meta array<string>", "text"),
                        "cotrain-features")
 
 
-def select_features(table: DataFrame, view: str, total: dict[int, int], min_z: float, size: int) -> list[str]:
-    """The features whose share differs most between the classes."""
+def telling_features(table: DataFrame, view: str, total: dict[int, int], min_z: float, size: int
+                     ) -> dict[str, tuple[int, int, float]]:
+    """The features whose share differs most between the classes: rows of
+    class 0 and 1 that have them, and the z of the difference."""
 
     def run(batches):
         n: tuple = (Counter(), Counter())
@@ -205,19 +229,11 @@ def select_features(table: DataFrame, view: str, total: dict[int, int], min_z: f
            .groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
            .where(n0 + n1 < rows).withColumn("z", F.abs(z)).where(F.col("z") >= min_z)
            .orderBy(F.desc("z"), "feature").limit(size).collect())
-    return [r.feature for r in top]
+    return {r.feature: (r.n0, r.n1, r.z) for r in top}
 
 
-def fit_view(table: DataFrame, view: str, given: dict[int, int], min_z: float, size: int, ridge: float) -> View:
-    """Logistic regression over the presence of the selected features, on the
-    rows whose ids are in ``given`` (id -> class; as many as the bounds allow)."""
-    spark = table.sparkSession
-    total = Counter(given.values())
-    if len(total) < 2:
-        return View()
-    known = spark.createDataFrame([(i, float(y)) for i, y in given.items()], "doc_id long, label double")
-    rows = table.select("doc_id", view).join(F.broadcast(known), "doc_id")
-    names = select_features(rows, view, total, min_z, size)
+def fit_view(rows: DataFrame, view: str, names: list[str], ridge: float) -> View:
+    """Logistic regression over the presence of ``names`` on (label, view)."""
     if not names:
         return View()
     vectors = CountVectorizerModel.from_vocabulary(names, inputCol=view, outputCol="features").setBinary(True)
@@ -226,38 +242,146 @@ def fit_view(table: DataFrame, view: str, given: dict[int, int], min_z: float, s
     return View(dict(zip(names, fitted.coefficients.toArray().tolist())))
 
 
-def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, max_labelled: int = 12_000, pool: int = 8_000,
-          confidence: float = 0.98, min_z: float = 4.0, size: int = 4_000, ridge: float = 1e-4) -> Model | None:
-    table = training_table(docs, labels, max_labelled, pool)
-    known = {r.doc_id: r.y for r in table.where("y is not null").select("doc_id", "y").collect()}
+def fold_loss(x: np.ndarray, y: np.ndarray, parts: int = 5) -> float:
+    """Cross-validated log loss of a logistic fit on the fold."""
+    part, loss = np.arange(len(y)) % parts, 0.0
+    for k in range(parts):
+        p = sigmoid(x[part == k] @ fit_logistic(x[part != k], y[part != k]))
+        loss -= np.log(np.clip(np.where(y[part == k] == 1, p, 1 - p), 1e-6, 1)).sum()
+    return loss / max(1, len(y))
+
+
+def with_one(x: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(x)), x])
+
+
+def calibrate(model: Model, raw: dict[str, np.ndarray], y: np.ndarray) -> float:
+    """Fit the views' and the stack's coefficients on the fold; returns the
+    combined score's cross-validated loss."""
+    for v in VIEWS:
+        view = getattr(model, v)
+        used = [k for k in (0, 1) if raw[v][:, k].any()]
+        beta = fit_logistic(with_one(raw[v][:, used]), y)
+        view.beta = np.zeros(3)
+        view.beta[[0, *(k + 1 for k in used)]] = beta
+    logits = with_one(np.column_stack([getattr(model, v).logit(raw[v]) for v in VIEWS]))
+    model.stack = fit_logistic(logits, y)
+    return fold_loss(logits, y)
+
+
+def sure_from(p: np.ndarray, right: np.ndarray, precision: float, support: int) -> tuple[float, float] | None:
+    """The lowest probability from which on at least ``precision`` of the
+    fold's rows (``support`` at least) are right, and that share."""
+    order = np.argsort(-p, kind="stable")
+    share = np.cumsum(right[order]) / np.arange(1, len(p) + 1)
+    last = np.append(p[order][1:] != p[order][:-1], True) if len(p) else np.zeros(0, bool)
+    ok = np.flatnonzero((share >= precision) & last & (np.arange(1, len(p) + 1) >= support))
+    return (float(p[order][ok[-1]]), float(share[ok[-1]])) if len(ok) else None
+
+
+def handed_counts(docs: DataFrame, model: Model, sure: dict, sample: set[int], wanted: dict[str, list[str]]
+                  ) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """By receiving view: how many of the documents handed to it have each of
+    its ``wanted`` features, by class, and how many there are.  All documents
+    outside the labelled sample are scored."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, sure, sample, wanted))
+
+    def run(batches):
+        model, sure, sample, wanted = shared.value
+        place = {v: {f: k for k, f in enumerate(wanted[v])} for v in VIEWS}
+        total = {v: np.zeros((len(wanted[v]) + 1, 2), np.int64) for v in VIEWS}
+        for batch in (part for b in batches for part in slices(b, "text")):
+            n = batch.num_rows
+            own = {v: features_of(v, batch) for v in VIEWS}
+            free = np.array([i is not None and i not in sample for i in batch.column("doc_id").to_pylist()], bool)
+            told = {}
+            for v in VIEWS:
+                p = sigmoid(getattr(model, v).logit(getattr(model, v).raw(*own[v], n)))
+                told[v] = np.full(n, -1)
+                for c, q in ((0, 1 - p), (1, p)):
+                    if sure[v, c] is not None:
+                        told[v][q >= sure[v, c][0]] = c
+            clash = (told["text"] >= 0) & (told["meta"] >= 0) & (told["text"] != told["meta"])
+            for v, giver in (VIEWS, VIEWS[::-1]):
+                names, doc, feature = own[v]
+                index = np.array([place[v].get(f, -1) for f in names], np.int64)
+                label = np.where(free & ~clash, told[giver], -1)
+                total[v][-1] += np.bincount(label[label >= 0], minlength=2)
+                if len(feature):
+                    at = index[feature]
+                    use = (at >= 0) & (label[doc] >= 0)
+                    pair = np.unique(doc[use] * len(index) + feature[use])
+                    np.add.at(total[v], (index[pair % len(index)], label[pair // len(index)]), 1)
+        for v in VIEWS:
+            at, c = np.nonzero(total[v])
+            yield pa.RecordBatch.from_pydict({"view": [v] * len(at), "at": pa.array(at, pa.int32()),
+                                              "label": pa.array(c, pa.int32()), "n": pa.array(total[v][at, c])})
+        release()
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
+    out = {v: np.zeros((len(wanted[v]) + 1, 2)) for v in VIEWS}
+    for r in (rows.mapInArrow(run, "view string, at int, label int, n long")
+              .groupBy("view", "at", "label").agg(F.sum("n").alias("n")).collect()):  # bounded by ``wanted``
+        out[r.view][r["at"], r.label] = r.n
+    return {v: (out[v][:-1], out[v][-1]) for v in VIEWS}
+
+
+def log_odds(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    share = (counts + 0.5) / (total + 1.0)
+    return np.log(share[:, 1]) - np.log(share[:, 0])
+
+
+def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, max_labelled: int = 12_000,
+          precision: float = 0.97, support: int = 30, min_z: float = 4.0, size: int = 4_000,
+          ridge: float = 1e-4, counted_z: float = 2.0, counted_size: int = 20_000) -> Model | None:
+    table = training_table(docs, labels, max_labelled)
+    known = {r.doc_id: r.y for r in table.select("doc_id", "y").collect()}
     fold = {i for i in known if (i * 2654435761) % 2**32 % 3 == 0}  # calibration rows
-    if len({y for i, y in known.items() if i in fold}) < 2 or len({y for i, y in known.items() if i not in fold}) < 2:
+    if len({known[i] for i in fold}) < 2 or len({known[i] for i in known if i not in fold}) < 2:
         return None
-    given = {v: {i: y for i, y in known.items() if i not in fold} for v in VIEWS}
-    for step in range(rounds):
-        model = Model(*(fit_view(table, v, given[v], min_z, size, ridge) for v in VIEWS), np.zeros(3))
-        shared = table.sparkSession.sparkContext.broadcast(model)
-
-        def run(batch: pa.RecordBatch) -> dict:
-            get = {v: getattr(shared.value, v).weights.get for v in VIEWS}
-            return {"doc_id": batch.column("doc_id"), "y": batch.column("y"),
-                    **{v: [sum(get[v](f, 0.0) for f in x) for x in batch.column(v).to_pylist()] for v in VIEWS}}
-
-        scores = arrow_map(table, run, "doc_id long, y int, text double, meta double").toPandas()
-        held = scores[scores.doc_id.isin(fold) & scores.y.notna()]
-        y = held.y.to_numpy(float)
+
+    def marked(ids: set[int]) -> tuple[DataFrame, Counter]:
+        """(doc_id, text, meta, label) of labelled rows, and rows by class; as many as the sample's bound allows."""
+        mark = table.sparkSession.createDataFrame([(i, float(known[i])) for i in ids], "doc_id long, label double")
+        return table.select("doc_id", *VIEWS).join(F.broadcast(mark), "doc_id"), Counter(known[i] for i in ids)
+
+    rows, total = marked(set(known) - fold)
+    telling = {v: telling_features(rows, v, total, counted_z, counted_size) for v in VIEWS}
+    model = Model(*(fit_view(rows, v, [f for f, t in telling[v].items() if t[2] >= min_z][:size], ridge)
+                    for v in VIEWS), np.zeros(3))
+    held = table.toPandas()  # the sample's bound
+    held = held[held.doc_id.isin(fold)].drop_duplicates("doc_id").sort_values("doc_id")
+    y = held.y.to_numpy(float)
+
+    def raw_of(view: View, v: str) -> np.ndarray:
+        return np.array([[sum(w.get(f, 0.0) for f in set(x)) for w in (view.weights, view.counted)] for x in held[v]])
+
+    loss = calibrate(model, {v: raw_of(getattr(model, v), v) for v in VIEWS}, y)
+    for _ in range(rounds - 1):
+        sure = {}
         for v in VIEWS:
-            view = getattr(model, v)
-            view.a, view.b = fit_logistic(np.column_stack([np.ones(len(held)), held[v]]), y)
-        logits = np.column_stack([np.ones(len(held)), *(getattr(model, v).logit(held[v].to_numpy()) for v in VIEWS)])
-        model.stack = fit_logistic(logits, y)
-        if step < rounds - 1:
-            free = scores[scores.y.isna()]
-            for v, other in (VIEWS, VIEWS[::-1]):
-                p = sigmoid(getattr(model, v).logit(free[v].to_numpy()))
-                for i, q in zip(free.doc_id, p):
-                    if q >= confidence or q <= 1 - confidence:
-                        given[other][int(i)] = int(q >= confidence)
+            p = sigmoid(getattr(model, v).logit(raw_of(getattr(model, v), v)))
+            sure[v, 0] = sure_from(1 - p, y == 0, precision, support)
+            sure[v, 1] = sure_from(p, y == 1, precision, support)
+        if not any(sure.values()):
+            break
+        handed = handed_counts(docs, model, sure, set(known), {v: list(telling[v]) for v in VIEWS})
+        after = Model(*(View(dict(getattr(model, v).weights)) for v in VIEWS), np.zeros(3))
+        for v, giver in (VIEWS, VIEWS[::-1]):
+            weight = np.array([sure[giver, c][1] if sure[giver, c] else 0.0 for c in (0, 1)])
+            counts = np.array([t[:2] for t in telling[v].values()], float).reshape(-1, 2) + weight * handed[v][0]
+            odds = log_odds(counts, np.array([total[0], total[1]]) + weight * handed[v][1])
+            fitted = getattr(after, v).weights  # what the fit has already is not counted twice
+            getattr(after, v).counted = {f: o for f, o in zip(telling[v], odds.tolist()) if not fitted.get(f)}
+        new_loss = calibrate(after, {v: raw_of(getattr(after, v), v) for v in VIEWS}, y)
+        if new_loss >= loss:
+            break
+        model, loss = after, new_loss
+    # the calibration stands; the fitted weights are taken from all labelled rows
+    rows, total = marked(set(known))
+    for v in VIEWS:
+        names = list(telling_features(rows, v, total, min_z, size))
+        getattr(model, v).weights = fit_view(rows, v, names, ridge).weights
     return model
 
 

@@ -16,6 +16,8 @@ without any labelled training row all texts with letters are ``und`` too.
 
 Training takes at most about ``max_docs`` documents per language (a documented
 bound of the classifier's sample, chosen by a hash); prediction covers all.
+Very long texts are read whole, an empty table gives no rows, and columns of
+the names of the results are replaced.
 """
 
 from __future__ import annotations
@@ -196,19 +198,27 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.diff(ends[np.concatenate(([0], np.cumsum(counts)))], axis=0)
 
 
+def training_sample(labelled: DataFrame, max_docs: int, lang: str = "lang", text: str = "text"
+                    ) -> tuple[DataFrame, dict[str, int]]:
+    """(lang, text) of about ``max_docs`` rows of each language, chosen by a
+    hash, and the number of rows by language."""
+    rows = labelled.where(F.col(lang).isNotNull())
+    sizes = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.shiftrightunsigned(F.xxhash64(F.lit(8), "doc_id"), 33) / F.lit(float(2**31))
+    limit = F.lit(0.0)
+    for name in sorted(sizes):
+        limit = F.when(F.col(lang) == name, F.lit(max_docs / sizes[name])).otherwise(limit)
+    return rows.where(share < limit).select(F.col(lang).alias("lang"), F.col(text).alias("text")), sizes
+
+
 def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3, smoothing: float = 0.05,
           lang: str = "lang", text: str = "text") -> Model:
     """Fit on rows with a language (null ones are ignored).  The driver holds
     piece counts by language, bounded by the vocabulary."""
-    rows = labelled.where(F.col(lang).isNotNull())
-    sizes = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sample, sizes = training_sample(labelled, max_docs, lang, text)
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros(0), np.zeros((trie(path, ANY_SCRIPT).unknown + 1, 0)))
-    share = F.shiftrightunsigned(F.xxhash64(F.lit(8), "doc_id"), 33) / F.lit(float(2**31))
-    limit = F.lit(0.0)
-    for name in langs:
-        limit = F.when(F.col(lang) == name, F.lit(max_docs / sizes[name])).otherwise(limit)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         names, texts = batch.column("lang"), batch.column("text")
@@ -223,7 +233,6 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
             out["n"] += n.tolist()
         return out
 
-    sample = rows.where(share < limit).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     words = materialize(arrow_map(sample, count, "lang string, word string, n double", "text")
                         .groupBy("word", "lang").agg(F.sum("n").alias("n")), "language-words")
     pieces = trie(path, ANY_SCRIPT).unknown + 1
@@ -254,16 +263,55 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
     return Model(langs, np.log(prior / prior.sum()), p)
 
 
-def judge(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the most probable language or -1, its posterior) by text."""
+def likelihoods(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(log likelihood by text and language, letters by text)."""
     counts, number, words, flat, per_chunk = doc_words(column)
     if not m.langs or not words:
-        return np.full(len(counts), -1), np.zeros(len(counts))
-    has_letter = sums((per_chunk[number] > 0).astype(float)[:, None], counts)[:, 0] > 0
-    chunk = sums(log_likelihood(words, path, m.pieces, ANY_SCRIPT)[flat], per_chunk)
-    total = sums(chunk[number], counts) + m.prior
-    score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-    return np.where(has_letter, total.argmax(axis=1), -1), np.where(has_letter, score, 0.0)
+        return np.zeros((len(counts), len(m.langs))), np.zeros(len(counts))
+    own = np.column_stack([log_likelihood(words, path, m.pieces, ANY_SCRIPT),
+                           np.fromiter(map(len, words), float, len(words))])
+    total = sums(sums(own[flat], per_chunk)[number], counts)
+    return total[:, :-1], total[:, -1]
+
+
+def judge(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the most probable language or -1, its posterior) by text."""
+    best, score, _ = weigh(column, m, path)
+    return best, score
+
+
+def weigh(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``judge``, and the mean log likelihood of a letter in that language."""
+    total, letters = likelihoods(column, m, path)
+    if not m.langs:
+        return np.full(len(letters), -1), np.zeros(len(letters)), np.zeros(len(letters))
+    joint = total + m.prior
+    best = joint.argmax(axis=1)
+    score = 1.0 / np.exp(joint - joint.max(axis=1, keepdims=True)).sum(axis=1)
+    density = total[np.arange(len(best)), best] / np.maximum(letters, 1)
+    return np.where(letters > 0, best, -1), np.where(letters > 0, score, 0.0), density
+
+
+def density_floors(docs: DataFrame, model: Model, path: str, max_docs: int = 1000, share: float = 0.01,
+                   slack: float = 1.5) -> np.ndarray:
+    """By language, the least mean log likelihood of a letter that a text of
+    the language may have: what all but ``share`` of the training documents
+    reach, less ``slack`` (natural logarithms).  Other languages and noise lie
+    several units lower, as most of their pieces were hardly seen in training."""
+    sample, _ = training_sample(docs, max_docs)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        m = shared.value
+        total, letters = likelihoods(batch.column("text"), m, path)
+        at = np.array([m.langs.index(x) for x in batch.column("lang").to_pylist()], np.int64)
+        used = np.flatnonzero(letters)
+        return {"lang": [m.langs[k] for k in at[used]], "density": total[used, at[used]] / letters[used]}
+
+    found = (arrow_map(sample, run, "lang string, density double", "text").groupBy("lang")
+             .agg(F.expr(f"percentile(density, {share})").alias("low")).collect())
+    low = {r.lang: r.low - slack for r in found}
+    return np.array([low.get(x, -np.inf) for x in model.langs])
 
 
 def predict(docs: DataFrame, model: Model, path: str, text: str = "text") -> DataFrame:
@@ -279,12 +327,16 @@ def predict(docs: DataFrame, model: Model, path: str, text: str = "text") -> Dat
 
 
 def identified(docs: DataFrame, path: str, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is told with at least ``min_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, path))
+    """The rows of ``docs`` whose language is told with at least ``min_score``
+    and whose text is as likely in it as its texts are (``density_floors``):
+    texts of other languages and noise go."""
+    model = train(docs, path)
+    shared = docs.sparkSession.sparkContext.broadcast((model, density_floors(docs, model, path)))
 
     def keep(batch: pa.RecordBatch) -> np.ndarray:
-        best, score = judge(batch.column("text"), shared.value, path)
-        return (best >= 0) & (score >= min_score)
+        model, floors = shared.value
+        best, score, density = weigh(batch.column("text"), model, path)
+        return (best >= 0) & (score >= min_score) & (density >= np.append(floors, np.inf)[best])
 
     return arrow_filter(docs, keep, "text")
 
