@@ -314,7 +314,7 @@ def handed_counts(docs: DataFrame, model: Model, sure: dict, sample: set[int], w
                     np.add.at(total[v], (index[pair % len(index)], label[pair // len(index)]), 1)
         for v in VIEWS:
             at, c = np.nonzero(total[v])
-            yield pa.RecordBatch.from_pydict({"view": [v] * len(at), "at": pa.array(at, pa.int32()),
+            yield pa.RecordBatch.from_pydict({"view": pa.array([v] * len(at), pa.string()), "at": pa.array(at, pa.int32()),
                                               "label": pa.array(c, pa.int32()), "n": pa.array(total[v][at, c])})
         release()
 

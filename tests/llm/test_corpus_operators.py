@@ -215,18 +215,93 @@ def test_labels_of_one_document(spark):
     assert {tuple(r) for r in cotrain.labelled_rows(labels).collect()} == {(1, 0), (2, 0), (3, 1)}
 
 
+def accuracy(docs, labels, held, rounds):
+    """(share of held-out labels met, share of held-out toxic documents accepted)."""
+    model = cotrain.train(docs, labels.where(f"NOT ({held})"), rounds=rounds)
+    got = cotrain.score(docs.select("doc_id", "text", "lang", "source"), model).select("doc_id", "accepted")
+    rows = got.join(labels.where(held), "doc_id").collect()
+    return (np.mean([r.accepted == (r.quality == 1 and r.toxic == 0) for r in rows]),
+            np.mean([r.accepted for r in rows if r.toxic == 1]))
+
+
+def test_exchange_does_not_harm(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2"
+    one, _ = accuracy(docs, labels, held, 1)
+    three, toxic = accuracy(docs, labels, held, 3)
+    assert three >= one > 0.98 and toxic < 0.05
+
+
+def test_documents_of_classes_that_a_view_is_sure_of_are_handed_over(spark, labelled):
+    docs, _ = labelled
+    rows = docs.select("doc_id", "text", "lang", "source").where("doc_id < 300")
+    views = cotrain.View({"s:x%": -3.0, "f:x.": 1.0}), cotrain.View({"lang=de": 2.0, "lang=fr": -2.0})
+    model = cotrain.Model(*views, np.zeros(3))
+    sure = {("text", 0): (0.9, 0.98), ("text", 1): None, ("meta", 0): (0.8, 0.97), ("meta", 1): (0.85, 0.99)}
+    wanted = {"text": ["w:de", "s:x,", "absent"], "meta": ["lang=en", "source=src1"]}
+    sample = set(range(0, 300, 7))
+    got = cotrain.handed_counts(rows.repartition(3), model, sure, sample, wanted)
+    want = {v: (np.zeros((len(wanted[v]), 2)), np.zeros(2)) for v in wanted}
+    import pyarrow as pa
+    for r in rows.collect():
+        if r.doc_id in sample:
+            continue
+        batch = pa.RecordBatch.from_pylist([r.asDict()])
+        have = {v: {names[k] for k in f} for v in cotrain.VIEWS for names, _, f in [cotrain.features_of(v, batch)]}
+        p = {v: 1 / (1 + np.exp(-sum(w for f, w in getattr(model, v).weights.items() if f in have[v]))) for v in have}
+        told = {v: 1 if sure[v, 1] and p[v] >= sure[v, 1][0] else 0 if sure[v, 0] and 1 - p[v] >= sure[v, 0][0] else None
+                for v in have}
+        if None not in told.values() and told["text"] != told["meta"]:
+            continue
+        for v, giver in (("text", "meta"), ("meta", "text")):
+            if told[giver] is not None:
+                want[v][1][told[giver]] += 1
+                for k, f in enumerate(wanted[v]):
+                    want[v][0][k, told[giver]] += f in have[v]
+    for v in want:
+        assert (got[v][0] == want[v][0]).all() and (got[v][1] == want[v][1]).all()
+    assert want["text"][1].sum() > 20
+
+
+def test_thresholds_follow_measured_precision():
+    p, right = np.array([0.9, 0.8, 0.8, 0.7, 0.6]), np.array([True, True, False, True, True])
+    assert cotrain.sure_from(p, right, 0.8, 3) == (0.6, 0.8)  # whole ties only
+    assert cotrain.sure_from(p, right, 0.9, 1) == (0.9, 1.0)
+    assert cotrain.sure_from(p, right, 0.9, 2) is None and cotrain.sure_from(p[:0], right[:0], 0.5, 0) is None
+
+
+def test_a_fully_labelled_table_has_nothing_to_hand_over(spark, labelled):
+    docs, _ = labelled
+    rows = docs.where("doc_id < 400")
+    labels = rows.selectExpr("doc_id", "cast(source <> 'src1' as int) as quality", "0 as toxic")
+    model = cotrain.train(rows, labels, rounds=3)
+    assert model is not None and cotrain.score(rows, model).count() == rows.count()
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.01"
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_copies", "packing"]
+    import random
+
     from cardlens.llm.common import materialize
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(rng.choice([8, 30, 200])))
+             for _ in range(30)]
+    noise += ["Быстрая коричневая лиса прыгает через ленивую собаку и бежит дальше в лес " * k for k in range(1, 11)]
     docs = before = spark.read.parquet(f"{sf}/documents.parquet")
+    clean = docs.count()
+    planted = [(10**6 + k, t, None, None, len(t)) for k, t in enumerate(noise)]
+    docs = docs.unionByName(spark.createDataFrame(planted, docs.schema))
     sizes = [docs.count()]
     for name, stage in corpus_pipeline.STAGES:
         docs, before = materialize(stage(spark, docs, sf), f"test-{name}"), docs
         sizes.append(docs.count())
         if name != "packing":
             assert docs.columns == before.columns
+        if name == "language":
+            assert docs.where("doc_id >= 1000000").count() == 0 and docs.count() >= 0.99 * clean
         if name == "near_copies":
             found = brute_components([(r.doc_id, r.text) for r in before.collect()])
             assert {r.doc_id for r in docs.collect()} == {i for i, (_, c) in found.items() if i == c}
-    assert sizes[0] >= sizes[1] > sizes[2] > sizes[3] == sizes[4]
+    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] == sizes[4]
