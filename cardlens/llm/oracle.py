@@ -93,4 +93,46 @@ SELECT t.doc_id, len(t.words)::BIGINT AS n_words, (len(t.words) - coalesce(k.n,
 FROM texts t LEFT JOIN kept k USING (doc_id) LEFT JOIN longest l USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op12_merkle_versions": MERKLE, "op13_window_doubling": WINDOWS}
+#: Base32 of the SHA-1: five hexadecimal digits are four letters.
+ARCHIVE = """
+WITH hashed AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
+fives AS (
+    SELECT *, list_transform(range(8), lambda k: list_reduce(
+        list_concat([0::BIGINT], list_transform(string_split(substr(digest, 5 * k + 1, 5), ''),
+                                                lambda c: strpos('0123456789abcdef', c)::BIGINT - 1)),
+        lambda v, d: 16 * v + d)) AS parts FROM hashed),
+first AS (SELECT digest, min(page_id) AS first_id FROM hashed GROUP BY digest)
+SELECT f.page_id, strlen(f.payload)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(f.parts, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+           lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((v >> s) & 31) + 1)::INT, 1)), '')), '') AS payload_digest,
+       CASE WHEN f.page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.page_id <> first_id THEN first_id END AS refers_to
+FROM fives f JOIN first USING (digest)
+"""
+
+#: All pairs that share a shingle, then everything that links reach.
+LINKED = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s
+        FROM texts)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM texts
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT t.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM texts t JOIN reached r USING (doc_id) LEFT JOIN sizes z USING (doc_id) GROUP BY t.doc_id
+"""
+
+SQL: dict[str, str] = {"op5_warc_dictionary": ARCHIVE, "op10_signature_trees": LINKED,
+                       "op12_merkle_versions": MERKLE, "op13_window_doubling": WINDOWS}
