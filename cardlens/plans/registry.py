@@ -113,6 +113,13 @@ def q_sample_limit(spark, sf):
     return FS.sample_limit(stages(spark, sf).tx, 1000)
 
 
+@register("sample_limit_text", O.with_stage("tx", """
+SELECT TransactionID, MD5(CAST(TransactionID AS VARCHAR)) AS key FROM tx ORDER BY key LIMIT 1000"""))
+def q_sample_limit_text(spark, sf):
+    keyed = stages(spark, sf).tx.select(KEY, F.md5(F.col(KEY).cast("string").cast("binary")).alias("key"))
+    return FS.sample_limit(keyed, 1000, "key")
+
+
 @register("source_row_count", O.with_stage("tx", """
 SELECT 'transactions.csv' AS file_name, COUNT(*) AS row_count,
        COUNT(*) FILTER (TransactionID % 250 = 3) AS malformed_rows FROM tx"""))
@@ -234,6 +241,24 @@ def _hourly(spark, sf, ordered=True):
     return MT.fraud_hourly(stages(spark, sf).narrow, ordered=ordered)
 
 
+@register("warehouse_reload", O.with_stage("cleaned", """
+SELECT TransactionID, ProductCD, TransactionAmt FROM cleaned WHERE TransactionID % 2 = 0"""))
+def q_warehouse_reload(spark, sf):
+    """Loaded twice, then by a load that fails: the second load's rows stay."""
+    rows = stages(spark, sf).cleaned.select(KEY, "ProductCD", "TransactionAmt")
+    path, table = scratch_path(spark, "reloaded"), "reloaded_fraud"
+    SK.replace_table(rows, table, path=path)
+    SK.replace_table(rows.where(F.col(KEY) % 2 == 0), table, path=path)
+    broken = rows.withColumn(KEY, F.when(F.col(KEY) % 500 == 1, F.raise_error(F.lit("broken row")).cast("long"))
+                             .otherwise(F.col(KEY)))
+    try:
+        SK.replace_table(broken, table, path=path)
+    except Exception as e:  # the load's failure is part of the query
+        if "broken row" not in str(e):
+            raise
+    return spark.table(table)
+
+
 @register("mart_materialise", O.with_stage("stg_fraud", "SELECT * FROM fraud_summary", [SUMMARY_CTE]))
 def q_mart_materialise(spark, sf):
     s = stages(spark, sf)
