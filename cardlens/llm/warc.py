@@ -131,26 +131,36 @@ def plan_revisits(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
             .select("page_id", "url", "payload", "refers_to"))
 
 
+def dictionary_sample(pages: DataFrame, n: int, sample_records: int, sample_bytes: int, record_bytes: int,
+                      date: str) -> list[bytes]:
+    """Records of the pages with the smallest hashes, wherever they are stored;
+    of a long one its first ``record_bytes`` count, so that none displaces the
+    others."""
+    share = F.shiftrightunsigned(F.xxhash64("page_id", "url"), 33) / F.lit(float(2**31))
+    picked = (pages.select("page_id", "url", F.substring("html", 1, record_bytes).alias("html"), share.alias("share"))
+              .where(F.col("share") < 4.0 * sample_records / n).orderBy("share", "page_id", "url", "html")
+              .limit(sample_records))
+    sample, held = [], 0
+    for r in picked.toLocalIterator():
+        record = page_record(r.page_id, r.url, (r.html or "").encode()[:record_bytes], None, date)
+        held += len(record)
+        if held > sample_bytes:
+            break
+        sample.append(record)
+    return sample
+
+
 def write_archives(pages: DataFrame, folder: str, min_revisit: int = 0, sample_records: int = 2000,
-                   sample_bytes: int = 8 << 20, file_bytes: int = 512 << 20, level: int = 3,
+                   sample_bytes: int = 8 << 20, record_bytes: int = 16 << 10, file_bytes: int = 512 << 20, level: int = 3,
                    date: str = "2026-01-01T00:00:00Z") -> DataFrame:
     """Write one record per row; returns (path, records) of the files.
 
-    ``sample_records`` and ``sample_bytes`` bound what the dictionary is built
-    from; a file is closed at ``file_bytes`` compressed bytes."""
+    ``sample_records``, ``sample_bytes`` and ``record_bytes`` bound what the
+    dictionary is built from; a file is closed at ``file_bytes`` compressed bytes."""
     n = pages.count()
     if n == 0:
         return pages.sparkSession.createDataFrame([], "path string, records long")
-    share = F.shiftrightunsigned(F.xxhash64("page_id", "url"), 33) / F.lit(float(2**31))
-    sample, held = [], 0
-    for r in (pages.where(share < sample_records / n).select("page_id", "url", F.encode("html", "UTF-8").alias("p"))
-              .limit(2 * sample_records).toLocalIterator()):
-        record = page_record(r.page_id, r.url, bytes(r.p or b""), None, date)
-        held += len(record)
-        if held > sample_bytes:
-            break
-        sample.append(record)
-    dictionary = train_dictionary(sample)
+    dictionary = train_dictionary(dictionary_sample(pages, n, sample_records, sample_bytes, record_bytes, date))
 
     def save(batches):
         own = zstandard.ZstdCompressionDict(dictionary) if dictionary else None

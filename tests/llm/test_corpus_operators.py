@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from cardlens.llm import cotrain, jaccard
+from cardlens.llm.common import ship_package
 from cardlens.llm.graph import components
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -305,3 +306,20 @@ def test_pipeline(spark):
             found = brute_components([(r.doc_id, r.text) for r in before.collect()])
             assert {r.doc_id for r in docs.collect()} == {i for i, (_, c) in found.items() if i == c}
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] == sizes[4]
+
+
+def test_dictionary_survives_long_pages(spark):
+    from cardlens.llm import warc
+    from cardlens.session import scratch_path
+    ship_package(spark)
+    body = "<html><head><title>{0}</title></head><body><p class='entry'>common words of page {0}</p></body></html>"
+    rows = [(k, f"http://host/{k}", body.format(k)) for k in range(400)]
+    rows += [(1000 + k, f"http://long/{k}", "z" * (9 << 20)) for k in range(3)] + [(2000, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    sample = warc.dictionary_sample(pages, len(rows), 2000, 8 << 20, 16 << 10, "2026-01-01T00:00:00Z")
+    assert len(sample) == len(rows) and max(map(len, sample)) < 17 << 10
+    assert sample == warc.dictionary_sample(pages.repartition(7), len(rows), 2000, 8 << 20, 16 << 10, "2026-01-01T00:00:00Z")
+    assert len(warc.train_dictionary(sample)) > 1000
+    files = warc.write_archives(pages, scratch_path(spark, "archives"))
+    got = {r.page_id: (r.payload_bytes, r.record_type) for r in warc.read_archives(spark, files).collect()}
+    assert got[2000] == (0, "response") and got[1002] == (9 << 20, "revisit") and len(got) == len(rows)
