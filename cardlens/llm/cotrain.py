@@ -331,6 +331,27 @@ def log_odds(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.log(share[:, 1]) - np.log(share[:, 0])
 
 
+def fold_scores(table: DataFrame, model: Model, fold: set[int]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Sums of the weights by view and the classes of the fold's documents, in
+    order of doc_id; a few numbers a document reach the driver."""
+    shared = table.sparkSession.sparkContext.broadcast((model, fold))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        model, fold = shared.value
+        part = batch.filter(pa.array([i in fold for i in batch.column("doc_id").to_pylist()], pa.bool_()))
+        out = {"doc_id": part.column("doc_id"), "y": part.column("y")}
+        for v in VIEWS:
+            rows = part.column(v).to_pylist()
+            for k, w in enumerate((getattr(model, v).weights, getattr(model, v).counted)):
+                out[f"{v}{k}"] = [sum(w.get(f, 0.0) for f in set(x)) for x in rows]
+        return out
+
+    names = [f"{v}{k}" for v in VIEWS for k in (0, 1)]
+    held = arrow_map(table, run, "doc_id long, y int, " + ", ".join(f"{c} double" for c in names)).toPandas()
+    held = held.drop_duplicates("doc_id").sort_values("doc_id")
+    return {v: held[[f"{v}0", f"{v}1"]].to_numpy(float) for v in VIEWS}, held.y.to_numpy(float)
+
+
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, max_labelled: int = 12_000,
           precision: float = 0.97, support: int = 30, min_z: float = 4.0, size: int = 4_000,
           ridge: float = 1e-4, counted_z: float = 2.0, counted_size: int = 20_000) -> Model | None:
@@ -349,18 +370,12 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, max_labelled: int
     telling = {v: telling_features(rows, v, total, counted_z, counted_size) for v in VIEWS}
     model = Model(*(fit_view(rows, v, [f for f, t in telling[v].items() if t[2] >= min_z][:size], ridge)
                     for v in VIEWS), np.zeros(3))
-    held = table.toPandas()  # the sample's bound
-    held = held[held.doc_id.isin(fold)].drop_duplicates("doc_id").sort_values("doc_id")
-    y = held.y.to_numpy(float)
-
-    def raw_of(view: View, v: str) -> np.ndarray:
-        return np.array([[sum(w.get(f, 0.0) for f in set(x)) for w in (view.weights, view.counted)] for x in held[v]])
-
-    loss = calibrate(model, {v: raw_of(getattr(model, v), v) for v in VIEWS}, y)
+    raw, y = fold_scores(table, model, fold)
+    loss = calibrate(model, raw, y)
     for _ in range(rounds - 1):
         sure = {}
         for v in VIEWS:
-            p = sigmoid(getattr(model, v).logit(raw_of(getattr(model, v), v)))
+            p = sigmoid(getattr(model, v).logit(raw[v]))
             sure[v, 0] = sure_from(1 - p, y == 0, precision, support)
             sure[v, 1] = sure_from(p, y == 1, precision, support)
         if not any(sure.values()):
@@ -373,10 +388,11 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, max_labelled: int
             odds = log_odds(counts, np.array([total[0], total[1]]) + weight * handed[v][1])
             fitted = getattr(after, v).weights  # what the fit has already is not counted twice
             getattr(after, v).counted = {f: o for f, o in zip(telling[v], odds.tolist()) if not fitted.get(f)}
-        new_loss = calibrate(after, {v: raw_of(getattr(after, v), v) for v in VIEWS}, y)
+        new_raw, _ = fold_scores(table, after, fold)
+        new_loss = calibrate(after, new_raw, y)
         if new_loss >= loss:
             break
-        model, loss = after, new_loss
+        model, loss, raw = after, new_loss, new_raw
     # the calibration stands; the fitted weights are taken from all labelled rows
     rows, total = marked(set(known))
     for v in VIEWS:
