@@ -16,6 +16,7 @@ rows give repeated results; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import os
 import tempfile
@@ -31,6 +32,10 @@ from pyspark.sql import functions as F
 from .common import AT_END, SLICE_BYTES, IntTable, arrow_map, materialize, slices, split_words
 from .tokens import ChunkEncoder, byte_alphabet, load
 
+#: Longer words (in bytes) are merged one at a time, in n log n steps.
+LONG_WORD = 256
+
+
 class Merges:
     """The merge rules of a tokenizers JSON file, applied to many words at once."""
 
@@ -47,6 +52,13 @@ class Merges:
         keys = np.array([vocab[a] * self.size + vocab[b] for a, b in pairs], np.int64)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.ranks = IntTable(keys, np.arange(len(keys)))
+        self.parts = [(vocab[a], vocab[b]) for a, b in pairs]
+        self.rank_of: dict[int, int] = {}
+        born: dict[int, int] = {}  # token -> the first rule that makes it
+        for r, (key, made) in enumerate(zip(keys.tolist(), self.made.tolist())):
+            self.rank_of.setdefault(key, r)
+            born.setdefault(made, r)
+        self.ordered = all(born.get(t, -1) < r for r, p in enumerate(self.parts) for t in p)
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each (non-empty) word: the pair of lowest rank, leftmost
@@ -60,6 +72,10 @@ class Merges:
             rows = order[start:end]
             start = end
             size = int(lens[rows[0]])
+            if size > LONG_WORD and self.ordered:
+                for i in rows.tolist():
+                    out[i] = self.run_long(words[i])
+                continue
             step = max(1, (1 << 20) // size)
             for k in range(0, len(rows), step):
                 part = rows[k:k + step]
@@ -69,6 +85,44 @@ class Merges:
                 self.run(x, part, out)
         return out
 
+    def run_long(self, word: bytes) -> np.ndarray:
+        """One long word: rules are applied in order of rank, each at all its
+        places from left to right, over a linked list of what is left.
+
+        A rule's product takes part in later rules only (``ordered``), so no
+        place of an earlier rule turns up once its turn is over."""
+        x = self.inner[np.frombuffer(word, np.uint8)]
+        x[-1] = self.final[word[-1]]
+        ranks = self.ranks.get(x[:-1] * self.size + x[1:])
+        order = np.argsort(ranks, kind="stable")
+        found, first = np.unique(ranks[order], return_index=True)
+        places = {r: at.tolist() for r, at in zip(found.tolist(), np.split(order, first[1:]))}
+        places.pop(int(IntTable.MISSING), None)
+        n, size, rank_of, x = len(x), self.size, self.rank_of, x.tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue = list(places)
+        heapq.heapify(queue)
+        while queue:
+            r = heapq.heappop(queue)
+            a, b, new = *self.parts[r], int(self.made[r])
+            for i in sorted(places.pop(r)):
+                j = after[i]
+                if x[i] != a or j >= n or x[j] != b:
+                    continue  # one of the two is part of another token by now
+                x[i], x[j] = new, -1
+                after[i] = k = after[j]
+                h = before[i]
+                if k < n:
+                    before[k] = i
+                for at, key in ((h, x[h] * size + new if h >= 0 else -1), (i, new * size + x[k] if k < n else -1)):
+                    q = rank_of.get(key)
+                    if q is not None:
+                        if q not in places:
+                            places[q] = []
+                            heapq.heappush(queue, q)
+                        places[q].append(at)
+        return np.array([t for t in x if t >= 0], np.int64)
+
     def run(self, x: np.ndarray, rows: np.ndarray, out: list) -> None:
         while len(rows):
             if x.shape[1] > 1:

@@ -175,3 +175,20 @@ def test_word_counts_add_up_over_flushes(spark, odd_docs):
     whole = {tuple(r) for r in bpe.word_counts(odd_docs, PATH).collect()}
     assert {tuple(r) for r in bpe.word_counts(odd_docs, PATH, flush=0).collect()} == whole
     assert dict(whole)["cat"] == 8000
+
+
+def test_long_words_merge_like_the_library():
+    import random
+    import time
+
+    from cardlens.llm.bpe import LONG_WORD, Merges
+    from tokenizers import Tokenizer
+    library, own = Tokenizer.from_file(PATH), Merges(PATH)
+    rng = random.Random(0)
+    words = ["a" * 300, "the" * 200, "ab" * 400 + "a"]
+    words += ["".join(rng.choice("etaoinshr") for _ in range(n)) for n in (LONG_WORD, LONG_WORD + 1, 900, 4000)]
+    for word, ids in zip(words, own.merge([w.encode() for w in words])):
+        assert ids.tolist() == library.encode(word, add_special_tokens=False).ids
+    began = time.process_time()
+    assert len(own.merge([b"a" * 1_000_000])[0]) == 125_001
+    assert time.process_time() - began < 15  # one pass over the word per merge would take many minutes
