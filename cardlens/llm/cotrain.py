@@ -55,25 +55,29 @@ WORD_EDGES = re.compile(r"^\W+|\W+$")
 BEGINNING = 4
 
 
-def shape(word: str) -> str:
-    """``Hello,`` -> ``x,``; ``THE!!`` -> ``X!``; ``de%%%`` -> ``x%``."""
-    out = RUNS.sub(r"\1", WORD.sub("x", word))
-    return out.upper() if len(word) > 1 and word.isupper() else out
-
-
-def text_features(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def core_and_shape(word: str) -> tuple[str, str]:
+    """``Hello,`` -> hello, ``x,``; ``THE!!`` -> the, ``X!``; ``de%%%`` -> de, ``x%``."""
+    if word.isalnum():
+        core, out = word, "x"
+    elif word[-1] in ".,:;!?" and word[:-1].isalnum():
+        core, out = word[:-1], "x" + word[-1]
+    else:
+        core, out = WORD_EDGES.sub("", word), RUNS.sub(r"\1", WORD.sub("x", word))
+    return core.lower(), out.upper() if len(word) > 1 and word.isupper() else out
+
+
+def text_features(split: tuple) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(features, document numbers, feature numbers): words without the marks
     around them, their beginnings, shapes, shapes of a fifth of the words or
     more, and the variety of the words."""
-    counts, number, distinct = split_words(column)
+    counts, number, distinct = split
     names: dict[str, int] = {}
     add = lambda f: names.setdefault(f, len(names))
-    words = [w.decode("utf-8") for w in distinct]
-    cores = [WORD_EDGES.sub("", w).lower() for w in words]
-    of_word = np.array([add("w:" + c) for c in cores], np.int64)
-    of_start = np.array([add("p:" + c[:BEGINNING]) if len(c) > BEGINNING else -1 for c in cores], np.int64)
+    words = [core_and_shape(w.decode("utf-8")) for w in distinct]
+    of_word = np.array([add("w:" + c) for c, _ in words], np.int64)
+    of_start = np.array([add("p:" + c[:BEGINNING]) if len(c) > BEGINNING else -1 for c, _ in words], np.int64)
     shapes: dict[str, int] = {}
-    of_shape = np.array([shapes.setdefault(shape(w), len(shapes)) for w in words], np.int64)
+    of_shape = np.array([shapes.setdefault(s, len(shapes)) for _, s in words], np.int64)
     present = np.array([add("s:" + s) for s in shapes], np.int64)
     frequent = np.array([add("f:" + s) for s in shapes], np.int64)
     doc = np.repeat(np.arange(len(counts)), counts)
@@ -98,7 +102,7 @@ def log_bin(x: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(np.maximum(x, 1e-6))).astype(int)
 
 
-def meta_features(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
+def meta_features(batch: pa.RecordBatch, split: tuple) -> tuple[list[str], np.ndarray, np.ndarray]:
     """lang, source, length, lines, words a line, characters a word, share of
     capitals, of symbols and of digits, in bins."""
     text = pc.fill_null(batch.column("text").cast(pa.string()), "")
@@ -106,7 +110,7 @@ def meta_features(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndar
     number = lambda a: a.to_numpy(zero_copy_only=False).astype(float)
     chars = number(pc.utf8_length(text))
     lines = number(pc.count_substring(text, "\n")) + 1
-    words = np.maximum(split_words(text)[0], 1).astype(float)
+    words = np.maximum(split[0], 1).astype(float)
     count = lambda p: number(pc.count_substring_regex(text, p)) / np.maximum(chars, 1)
     columns = [
         [f"lang={x}" for x in batch.column("lang").to_pylist()],
@@ -120,8 +124,10 @@ def meta_features(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndar
     return list(names), np.tile(np.arange(n), len(columns)), features
 
 
-def features_of(view: str, batch: pa.RecordBatch):
-    return text_features(batch.column("text")) if view == "text" else meta_features(batch)
+def features_of(batch: pa.RecordBatch) -> dict[str, tuple[list[str], np.ndarray, np.ndarray]]:
+    """The features of both views; the texts are cut into words once."""
+    split = split_words(batch.column("text"))
+    return {"text": text_features(split), "meta": meta_features(batch, split)}
 
 
 @dataclass
@@ -193,8 +199,7 @@ def training_table(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Dat
 
     def run(batch: pa.RecordBatch) -> dict:
         out = {"doc_id": batch.column("doc_id"), "y": batch.column("y")}
-        for view in VIEWS:
-            names, doc, feature = features_of(view, batch)
+        for view, (names, doc, feature) in features_of(batch).items():
             pair = np.unique(doc * max(1, len(names)) + feature)
             cut = np.searchsorted(pair // max(1, len(names)), np.arange(batch.num_rows + 1))
             flat = pa.array(names, pa.string()).take(pa.array(pair % max(1, len(names))))
@@ -292,7 +297,7 @@ def handed_counts(docs: DataFrame, model: Model, sure: dict, sample: set[int], w
         total = {v: np.zeros((len(wanted[v]) + 1, 2), np.int64) for v in VIEWS}
         for batch in (part for b in batches for part in slices(b, "text")):
             n = batch.num_rows
-            own = {v: features_of(v, batch) for v in VIEWS}
+            own = features_of(batch)
             free = np.array([i is not None and i not in sample for i in batch.column("doc_id").to_pylist()], bool)
             told = {}
             for v in VIEWS:
@@ -406,7 +411,8 @@ def probabilities(batch: pa.RecordBatch, m: Model | None) -> tuple[np.ndarray, n
     n = batch.num_rows
     if m is None:
         return (np.full(n, 0.5),) * 3
-    logits = [getattr(m, v).logit(getattr(m, v).raw(*features_of(v, batch), n)) for v in VIEWS]
+    own = features_of(batch)
+    logits = [getattr(m, v).logit(getattr(m, v).raw(*own[v], n)) for v in VIEWS]
     both = m.stack[0] + m.stack[1] * logits[0] + m.stack[2] * logits[1]
     return sigmoid(logits[0]), sigmoid(logits[1]), sigmoid(both)
 

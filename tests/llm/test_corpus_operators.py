@@ -248,7 +248,7 @@ def test_documents_of_classes_that_a_view_is_sure_of_are_handed_over(spark, labe
         if r.doc_id in sample:
             continue
         batch = pa.RecordBatch.from_pylist([r.asDict()])
-        have = {v: {names[k] for k in f} for v in cotrain.VIEWS for names, _, f in [cotrain.features_of(v, batch)]}
+        have = {v: {names[k] for k in f} for v, (names, _, f) in cotrain.features_of(batch).items()}
         p = {v: 1 / (1 + np.exp(-sum(w for f, w in getattr(model, v).weights.items() if f in have[v]))) for v in have}
         told = {v: 1 if sure[v, 1] and p[v] >= sure[v, 1][0] else 0 if sure[v, 0] and 1 - p[v] >= sure[v, 0][0] else None
                 for v in have}
