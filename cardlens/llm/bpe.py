@@ -10,7 +10,11 @@ words of the slice.
 Encoding equals the ``tokenizers`` library on the same file (no added special
 tokens, no truncation or padding), decoding its ``decode`` without skipping
 special tokens.  Null or empty texts give no ids and decode to ''; repeated
-rows give repeated results; other columns are ignored.
+rows give repeated results; an empty table gives no rows; other columns are
+ignored, whatever their names.  Texts and words of any length are encoded
+whole; words of more than ``LONG_WORD`` bytes are merged one at a time.  The
+lexicon holds words of plain characters (``tokens.PLAIN``) of fewer than 64
+bytes; all others are merged when they are met, with equal ids.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ Turns of a conversation are in order of (turn, role, text), nulls first;
 repeated rows stay.  A null text or role is empty, rows without conv_id form
 one conversation, an empty table gives no row.  Conversations are stored in
 parts of whole turns of at most about ``part_tokens`` ids, so that a very long
-one needs no more memory than a short one.
+one needs no more memory than a short one.  Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -24,6 +24,8 @@ No pair is dropped by anything but a bound, so no link is lost.  Tokens are
 64-bit hashes of the shingles.  Null and empty texts, and texts of white space
 only, have no tokens and link with nothing; a row without doc_id is left out;
 rows with one doc_id count as one document with the union of their links.
+Texts of any length are joined whole; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ document that loses too much of its words is rejected.  Line rules:
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D.  A null text has no
 words; it and an empty text fail the base rules and clean to ''.  Repeated
-rows are judged one by one; only doc_id and text are read.
+rows are judged one by one; very long texts are judged whole; an empty table
+gives no rows; only doc_id and text are read, whatever other columns are called.
 """
 
 from __future__ import annotations

@@ -172,7 +172,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, rows_per_band: int
     ``threshold`` is verified on the shingle sets unless earlier links of the
     unit connect it already.  So all documents that links within buckets
     connect are connected, whatever else a bucket holds; two documents that
-    share no band are not compared."""
+    share no band are not compared.  Rows without doc_id and texts without
+    words are left out; an empty table gives no rows."""
     bands = PERMUTATIONS // rows_per_band
     least = Fraction(str(threshold))
     parts = tasks_for(docs.sparkSession, 4 * input_bytes(docs))

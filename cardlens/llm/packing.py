@@ -9,7 +9,8 @@ drawn from a hash of the id, so only the last batch of a bucket is short.
 
 Documents without tokens (null or blank text) need no batch: bucket 0, null
 batch.  A document longer than the budget is a batch of its own.  Repeated
-rows are packed one by one; an empty table gives an empty result.  The driver
+rows are packed one by one, rows without doc_id like others of one id; an
+empty table gives an empty result; other columns are ignored.  The driver
 holds one row per distinct length, at most the longest length.
 """
 

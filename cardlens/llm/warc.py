@@ -13,7 +13,8 @@ payloads are always responses.  A null html is an empty payload, a null url an
 empty URI.  Rows that repeat the smallest page_id with the same payload are
 responses too.  A row without page_id never is the one referred to: it is a
 revisit if a row with an id has the same payload, a response otherwise.  An
-empty table gives no file and no row.
+empty table gives no file and no row.  Payloads of any length are written
+whole (only the dictionary's sample cuts them); other columns are ignored.
 """
 
 from __future__ import annotations
