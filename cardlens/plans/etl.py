@@ -14,7 +14,7 @@ from ..operators.clean import clean
 from ..operators.features import card_aggregates, engineer_features
 from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.merge import merge_identity
-from ..schemas import AMOUNT, CARD, DEVICE_COLS, KEY, LABEL, NUMERIC_SENTINEL
+from ..schemas import AMOUNT, CARD, DEVICE_COLS, KEY, LABEL, NUMERIC_SENTINEL, TIME
 from ..session import path_size, scratch_path
 
 
@@ -67,14 +67,15 @@ def card_statistics(transactions: DataFrame, cleaned: DataFrame, identity: DataF
 
 def transform(transactions: DataFrame, identity: DataFrame,
               identity_unique: bool | None = None, materialize_statistics: bool = True,
-              hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+              hot_rows: int = DEFAULT_HOT_ROWS, null_keys_by: str | None = None) -> DataFrame:
     """merge -> clean -> features: the 71-column staging table.
 
     Lazy apart from the per-card statistics (see ``card_statistics``).
     Cards with more than ``hot_rows`` rows are spread over several tasks in
-    the join back to the rows.
+    the join back to the rows, rows without an id by ``null_keys_by`` (see
+    ``merge_identity``).
     """
-    cleaned = clean(merge_identity(transactions, identity))
+    cleaned = clean(merge_identity(transactions, identity, null_keys_by=null_keys_by))
     stats = card_statistics(transactions, cleaned, identity, identity_unique, materialize_statistics)
     return engineer_features(cleaned, stats, hot_rows=hot_rows)
 
@@ -130,8 +131,9 @@ def run_transform(spark: SparkSession, root: str, partition_by: list[str] | None
     require_paths(spark, {"raw_transactions": raw_tx, "raw_identity": raw_id}, "transform")
     tx = spark.table("raw_transactions") if bucketed else spark.read.parquet(raw_tx)
     idn = spark.table("raw_identity") if bucketed else spark.read.parquet(raw_id)
-    info = write_parquet(transform(tx, idn, identity_unique=identity_unique), f"{root}/staging_fraud",
-                         partition_by=partition_by)
+    # buckets fix where a row without an id is joined; without them such rows are spread
+    features = transform(tx, idn, identity_unique=identity_unique, null_keys_by=None if bucketed else TIME)
+    info = write_parquet(features, f"{root}/staging_fraud", partition_by=partition_by)
     return {"feature_rows": info["rows"], "parquet_path": info["path"],
             "parquet_bytes": path_size(spark, info["path"])}
 

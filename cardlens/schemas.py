@@ -57,7 +57,7 @@ FEATURE_COLUMNS = ["tx_hour", "tx_day_of_week", "tx_day", "is_night_tx", "is_wee
                    "amt_deviation_from_card_mean"]
 STAGING_COLUMNS = CLEAN_COLUMNS + FEATURE_COLUMNS
 
-# Model inputs (22 columns) and target.
+# Model inputs (22 columns).
 MODEL_FEATURES = [
     "TransactionAmt", "log_TransactionAmt", "card1", "card2", "card5", "addr1", "dist1",
     "C1", "C2", "C6", "C11", "D1", "D10", "D15",
@@ -65,7 +65,7 @@ MODEL_FEATURES = [
     "has_identity", "card1_tx_count", "card1_avg_amt",
 ]
 
-# Staging model: source column -> published name (27 columns, in order).
+# Staging model, source column -> published name (27 columns, in order).
 STG_RENAMES = [
     ("TransactionID", "transaction_id"), ("isFraud", "is_fraud"),
     ("TransactionDT", "transaction_dt"), ("tx_hour", "tx_hour"),
@@ -82,13 +82,14 @@ STG_RENAMES = [
     ("amt_deviation_from_card_mean", "amt_deviation_from_card_mean"),
 ]
 
-# Columns read by the data-quality stage (17).
+# Columns read by the data-quality stage (17).
 QUALITY_COLUMNS = [
     "TransactionID", "isFraud", "TransactionAmt", "ProductCD", "card1", "card4", "card6",
     "P_emaildomain", "has_identity", "tx_hour", "tx_day_of_week", "is_night_tx",
     "is_weekend", "is_large_tx", "log_TransactionAmt", "card1_tx_count", "card1_avg_amt",
 ]
 
+# Known product codes.
 PRODUCT_CODES = ["W", "H", "C", "S", "R", "unknown"]
 
 # ---------------------------------------------------------------------------
