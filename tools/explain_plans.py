@@ -18,6 +18,7 @@ sys.path.insert(0, str(ROOT))
 from cardlens.operators import marts as MT  # noqa: E402
 from cardlens.operators import quality as QC  # noqa: E402
 from cardlens.plans.stages import stages  # noqa: E402
+from cardlens.schemas import AMOUNT, KEY  # noqa: E402
 from cardlens.session import build_session  # noqa: E402
 
 BROADCAST_KEYS = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
@@ -50,6 +51,10 @@ def main() -> None:
             "fraud_summary (mart, unordered)": MT.fraud_summary(s.narrow, ordered=False),
             "fraud_hourly (mart with shares)": MT.fraud_hourly(s.narrow),
             "quality suite (16 checks, one aggregate)": QC.run_checks(s.staging, QC.staging_suite()),
+            "uniqueness tests of the staging table and its view (one shuffle)": QC.schema_tests({
+                "staging_fraud": (s.staging.select(KEY, AMOUNT), [QC.Check("unique", KEY)]),
+                "stg_fraud": (QC.View("staging_fraud", MT.has_value(AMOUNT), {"transaction_id": KEY}),
+                              [QC.Check("unique", "transaction_id")])}),
         }
         out += [f"## {label}", ""]
         for name, df in cases.items():
