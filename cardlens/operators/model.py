@@ -457,19 +457,28 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def register_model(model: PipelineModel, root: str, name: str) -> tuple[int, str]:
-    """Save ``model`` as the next version of ``name`` below ``root``; returns
-    (version, path) (M12).
-
-    A number is claimed by creating its file where none is (one winner, also
-    among jobs that start together), so no version is ever overwritten.  A
-    version counts from the moment its mark is written, after the model; the
-    number of a save that failed stays unused."""
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next version number of ``name`` below ``root``, for the caller alone.
+
+    It is claimed by creating its file where none is: one winner, also among
+    jobs that start together."""
+    folder = f"{root.rstrip('/')}/{name}/claims"
+    version = 1 + max((int(n) for n, _ in list_folder(spark, folder) if n.isdigit()), default=0)
+    while not put_if_absent(spark, f"{folder}/{version}"):
+        version += 1
+    return version
+
+
+def register_model(model: PipelineModel, root: str, name: str, version: int | None = None) -> tuple[int, str]:
+    """Save ``model`` as a version of ``name`` below ``root`` (default: the next
+    one); returns (version, path) (M12).
+
+    Numbers are claimed, so no version is ever overwritten.  A version counts
+    from the moment its mark is written, after the model; the number of a save
+    that failed stays unused."""
     spark = SparkSession.active()
+    version = version or claim_version(spark, root, name)
     folder = f"{root.rstrip('/')}/{name}"
-    version = 1 + max((int(n) for n, _ in list_folder(spark, f"{folder}/claims") if n.isdigit()), default=0)
-    while not put_if_absent(spark, f"{folder}/claims/{version}"):
-        version += 1
     path = save_model(model, f"{folder}/versions/{version}")
     put_if_absent(spark, f"{folder}/complete/{version}")
     return version, path

@@ -7,6 +7,8 @@ reach the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -232,8 +234,14 @@ def experiments(spark: SparkSession, root: str, configs=None, parallelism: int |
     train, test = df.where("split = 'train'"), df.where("split = 'test'")
     runs = ML.run_experiments(train, test, present, configs, parallelism, cache)
     for r in runs:
-        r.version, r.model_path = ML.register_model(r.model, f"{root}/models", registered_name)
+        r.version = ML.claim_version(spark, f"{root}/models", registered_name)
+
+    def store(r):  # small jobs, submitted together
+        _, r.model_path = ML.register_model(r.model, f"{root}/models", registered_name, r.version)
         write_csv(ML.feature_importance(spark, r.model, present), f"{root}/feature_analysis/{r.run_name}")
+
+    with ThreadPoolExecutor(max(1, len(runs))) as pool:
+        list(pool.map(store, runs))
     write_parquet(ML.runs_frame(spark, runs), f"{root}/runs", mode="append")
     return {"missing_features": missing, "runs": {r.run_name: r.metrics for r in runs},
             "versions": {r.run_name: r.version for r in runs}}
