@@ -48,6 +48,8 @@ def test_stages_end_to_end(spark, csv_inputs):
     assert set(xp["runs"]) == {"baseline_C1.0", "balanced_C1.0", "balanced_C0.1"}
     runs = spark.read.parquet(f"{root}/runs")
     assert runs.count() == 3
+    assert xp["versions"] == {"baseline_C1.0": 1, "balanced_C1.0": 2, "balanced_C0.1": 3}
+    assert {r.model_version: r.model_path.rsplit("/", 1)[-1] for r in runs.collect()} == {1: "1", 2: "2", 3: "3"}
     assert spark.read.option("header", True).csv(f"{root}/feature_analysis/baseline_C1.0").count() == 22
 
 
