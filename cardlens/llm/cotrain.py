@@ -59,7 +59,7 @@ def core_and_shape(word: str) -> tuple[str, str]:
     """``Hello,`` -> hello, ``x,``; ``THE!!`` -> the, ``X!``; ``de%%%`` -> de, ``x%``."""
     if word.isalnum():
         core, out = word, "x"
-    elif word[-1] in ".,:;!?" and word[:-1].isalnum():
+    elif word[-1:] in ".,:;!?" and word[:-1].isalnum():
         core, out = word[:-1], "x" + word[-1]
     else:
         core, out = WORD_EDGES.sub("", word), RUNS.sub(r"\1", WORD.sub("x", word))
