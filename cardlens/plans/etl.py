@@ -17,7 +17,7 @@ from ..operators.features import card_aggregates, engineer_features
 from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.merge import merge_identity
 from ..schemas import AMOUNT, CARD, DEVICE_COLS, KEY, LABEL, NUMERIC_SENTINEL, TIME
-from ..session import path_size, scratch_path
+from ..session import compile_wide_rows, path_size, scratch_path
 
 
 def identity_ids_unique(identity: DataFrame, key: str = KEY) -> bool:
@@ -129,6 +129,7 @@ def run_transform(spark: SparkSession, root: str, partition_by: list[str] | None
     from ..sources.guards import require_paths
     from ..sources.sinks import write_parquet
 
+    compile_wide_rows(spark)
     raw_tx, raw_id = f"{root}/raw_transactions", f"{root}/raw_identity"
     require_paths(spark, {"raw_transactions": raw_tx, "raw_identity": raw_id}, "transform")
     tx = spark.table("raw_transactions") if bucketed else spark.read.parquet(raw_tx)

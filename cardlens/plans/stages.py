@@ -14,6 +14,7 @@ from ..operators.marts import drop_sentinel, rename_projection, stg_fraud
 from ..operators.merge import merge_identity
 from ..operators.model import fill_features, select_features, stratified_split
 from ..schemas import AMOUNT, LABEL, MODEL_FEATURES, STG_RENAMES
+from ..session import compile_wide_rows
 from ..sources.adapter import load_sources
 from .etl import card_statistics, identity_ids_unique
 
@@ -25,6 +26,7 @@ class Stages:
     on it store the per-card statistics once for this object."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        compile_wide_rows(spark)
         self.spark, self.sf_dir = spark, sf_dir
         self.tx, self.idn = load_sources(spark, sf_dir)
 

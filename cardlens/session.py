@@ -15,8 +15,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: HotSpot never compiles methods of more bytes of code than this.  A stage over
+#: the 57 to 71 columns of a transaction makes longer ones, which would run
+#: interpreted; above this limit Spark takes shorter methods, one per operator.
+HUGE_METHOD, HUGE_METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 8000
+
 # Session settings shared by tests, the bench and the examples.
 DEFAULT_CONF = {
+    HUGE_METHOD: str(HUGE_METHOD_BYTES),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -51,6 +57,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
     return spark
 
 
+def compile_wide_rows(spark: SparkSession) -> None:
+    """Have stages over wide rows compiled (see ``HUGE_METHOD``) in a session
+    that was built elsewhere; a lower limit is left.  This changes no result."""
+    if int(spark.conf.get(HUGE_METHOD)) > HUGE_METHOD_BYTES:
+        spark.conf.set(HUGE_METHOD, str(HUGE_METHOD_BYTES))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
@@ -146,4 +159,4 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
 
 
 __all__ = ["build_session", "checkpoint_root", "scratch_path", "shuffle_partitions_for",
-           "size_shuffles", "path_size", "path_exists", "list_folder", "delete_path", "put_if_absent", "DEFAULT_CONF"]
+           "size_shuffles", "path_size", "path_exists", "compile_wide_rows", "list_folder", "delete_path", "put_if_absent", "DEFAULT_CONF"]

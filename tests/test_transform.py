@@ -161,3 +161,15 @@ def test_missing_ids_can_be_spread(spark, raw_identity):
     plain, spread = (merge_identity(tx, raw_identity, null_keys_by=c) for c in (None, "card1"))
     assert plain.columns == spread.columns
     assert sorted(plain.collect(), key=str) == sorted(spread.collect(), key=str)
+
+
+def test_wide_rows_are_compiled(spark):
+    from cardlens.plans.stages import stages
+    from cardlens.session import HUGE_METHOD, HUGE_METHOD_BYTES
+    spark.conf.set(HUGE_METHOD, "65535")  # Spark's default, as in a session built elsewhere
+    stages(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get(HUGE_METHOD)) == HUGE_METHOD_BYTES
+    spark.conf.set(HUGE_METHOD, "4000")  # a lower limit is left
+    stages(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(HUGE_METHOD) == "4000"
+    spark.conf.set(HUGE_METHOD, str(HUGE_METHOD_BYTES))
