@@ -14,14 +14,14 @@ piece counts as the unknown piece.  A text without a letter (null
 and empty ones too) is ``und`` with score 0; repeated rows get equal results;
 without any labelled training row all texts with letters are ``und`` too.
 
-Training takes at most about ``max_docs`` documents per language (a documented
-bound of the classifier's sample, chosen by a hash); prediction covers all.
-Very long texts are read whole, an empty table gives no rows, and columns of
+Training covers all labelled documents: their words are counted once, and the
+rounds run over the distinct words by language.  Very long texts are read whole, an empty table gives no rows, and columns of
 the names of the results are replaced.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IntTable, arrow_extend, arrow_filter, arrow_map, materialize, split_words
+from .common import IntTable, arrow_extend, arrow_map, materialize, split_words
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Pieces that lower-cased words can hold: of lower-case letters, and in any script.
@@ -198,24 +198,12 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.diff(ends[np.concatenate(([0], np.cumsum(counts)))], axis=0)
 
 
-def training_sample(labelled: DataFrame, max_docs: int, lang: str = "lang", text: str = "text"
-                    ) -> tuple[DataFrame, dict[str, int]]:
-    """(lang, text) of about ``max_docs`` rows of each language, chosen by a
-    hash, and the number of rows by language."""
-    rows = labelled.where(F.col(lang).isNotNull())
-    sizes = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.shiftrightunsigned(F.xxhash64(F.lit(8), "doc_id"), 33) / F.lit(float(2**31))
-    limit = F.lit(0.0)
-    for name in sorted(sizes):
-        limit = F.when(F.col(lang) == name, F.lit(max_docs / sizes[name])).otherwise(limit)
-    return rows.where(share < limit).select(F.col(lang).alias("lang"), F.col(text).alias("text")), sizes
-
-
-def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3, smoothing: float = 0.05,
+def train(labelled: DataFrame, path: str, rounds: int = 3, smoothing: float = 0.05,
           lang: str = "lang", text: str = "text") -> Model:
-    """Fit on rows with a language (null ones are ignored).  The driver holds
-    piece counts by language, bounded by the vocabulary."""
-    sample, sizes = training_sample(labelled, max_docs, lang, text)
+    """Fit on all rows with a language (null ones are ignored).  The driver
+    holds piece counts by language, bounded by the vocabulary."""
+    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros(0), np.zeros((trie(path, ANY_SCRIPT).unknown + 1, 0)))
@@ -233,7 +221,7 @@ def train(labelled: DataFrame, path: str, max_docs: int = 1000, rounds: int = 3,
             out["n"] += n.tolist()
         return out
 
-    words = materialize(arrow_map(sample, count, "lang string, word string, n double", "text")
+    words = materialize(arrow_map(rows, count, "lang string, word string, n double", "text")
                         .groupBy("word", "lang").agg(F.sum("n").alias("n")), "language-words")
     pieces = trie(path, ANY_SCRIPT).unknown + 1
     p = np.full((pieces, len(langs)), 1.0 / pieces)
@@ -282,7 +270,11 @@ def judge(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray
 
 def weigh(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Like ``judge``, and the mean log likelihood of a letter in that language."""
-    total, letters = likelihoods(column, m, path)
+    return best_of(*likelihoods(column, m, path), m)
+
+
+def best_of(total: np.ndarray, letters: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``weigh`` from the ``likelihoods`` of the texts."""
     if not m.langs:
         return np.full(len(letters), -1), np.zeros(len(letters)), np.zeros(len(letters))
     joint = total + m.prior
@@ -292,26 +284,60 @@ def weigh(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray
     return np.where(letters > 0, best, -1), np.where(letters > 0, score, 0.0), density
 
 
-def density_floors(docs: DataFrame, model: Model, path: str, max_docs: int = 1000, share: float = 0.01,
-                   slack: float = 1.5) -> np.ndarray:
-    """By language, the least mean log likelihood of a letter that a text of
-    the language may have: what all but ``share`` of the training documents
-    reach, less ``slack`` (natural logarithms).  Other languages and noise lie
-    several units lower, as most of their pieces were hardly seen in training."""
-    sample, _ = training_sample(docs, max_docs)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def order_code(x: np.ndarray) -> np.ndarray:
+    """Doubles as longs in the same order; ``order_value`` is its inverse."""
+    bits = (np.asarray(x, float) + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits)
+
+
+def order_value(code: int) -> float:
+    bits = np.array([code], np.int64)
+    return float(np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits).view(float)[0])
+
+
+def low_values(codes: DataFrame, share: float) -> dict[str, float]:
+    """By language, the exact ``share`` percentile (linear between two ranks) of
+    (lang, code) with ``order_code`` as code; null ones are ignored.
+
+    A radix search for all languages at once: counts of the next 16 bits narrow
+    the codes down, four times; the driver sees at most 2^16 counts a rank."""
+    rows = codes.where("lang is not null and code is not null")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranks = {(x, r(share * (n - 1))) for x, n in sizes.items() for r in (math.floor, math.ceil)}
+    found = {key: (None, key[1]) for key in ranks}  # leading bits and rank among the codes that have them
+    for shift in (48, 32, 16, 0):
+        tops = sorted({(x, top) for (x, _), (top, _) in found.items()}, key=str)
+        inside = rows
+        if shift < 48 and tops:
+            inside = rows.withColumn("top", F.shiftright("code", shift + 16)).join(
+                F.broadcast(codes.sparkSession.createDataFrame(tops, "lang string, top long")), ["lang", "top"])
+        counts: dict = {}
+        for r in inside.groupBy("lang", F.shiftright("code", shift).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault((r["lang"], None if shift == 48 else r["part"] >> 16), []).append((r["part"], r["n"]))
+        for key, (top, rank) in found.items():
+            for part, n in sorted(counts[key[0], top]):
+                if rank < n:
+                    found[key] = (part, rank)
+                    break
+                rank -= n
+    out = {}
+    for x, n in sizes.items():
+        at = share * (n - 1)
+        low, high = (order_value(found[x, r(at)][0]) for r in (math.floor, math.ceil))
+        out[x] = low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high
+    return out
 
-    def run(batch: pa.RecordBatch) -> dict:
-        m = shared.value
-        total, letters = likelihoods(batch.column("text"), m, path)
-        at = np.array([m.langs.index(x) for x in batch.column("lang").to_pylist()], np.int64)
-        used = np.flatnonzero(letters)
-        return {"lang": [m.langs[k] for k in at[used]], "density": total[used, at[used]] / letters[used]}
 
-    found = (arrow_map(sample, run, "lang string, density double", "text").groupBy("lang")
-             .agg(F.expr(f"percentile(density, {share})").alias("low")).collect())
-    low = {r.lang: r.low - slack for r in found}
-    return np.array([low.get(x, -np.inf) for x in model.langs])
+def density_floors(told: DataFrame, langs: list[str], share: float = 0.01, slack: float = 1.5) -> np.ndarray:
+    """By language, the least mean log likelihood of a letter that a text of
+    the language may have: what all but ``share`` of its documents reach, less
+    ``slack`` (natural logarithms).  Other languages and noise lie several
+    units lower, as most of their pieces were hardly seen in training.
+
+    ``told`` has the language and the mean (as ``own``, an ``order_code``) of
+    all documents; null ones have no language or no letters."""
+    low = low_values(told.select("lang", F.col(OWN).alias("code")), share)
+    return np.array([low[x] - slack if x in low else -np.inf for x in langs])
 
 
 def predict(docs: DataFrame, model: Model, path: str, text: str = "text") -> DataFrame:
@@ -326,19 +352,36 @@ def predict(docs: DataFrame, model: Model, path: str, text: str = "text") -> Dat
     return arrow_extend(docs, run, "lang_pred string, score double", text)
 
 
+#: Columns of ``identified`` while it runs.
+BEST, SCORE, DENSITY, OWN = "__best", "__score", "__density", "__own"
+
+
 def identified(docs: DataFrame, path: str, min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is told with at least ``min_score``
     and whose text is as likely in it as its texts are (``density_floors``):
-    texts of other languages and noise go."""
-    model = train(docs, path)
-    shared = docs.sparkSession.sparkContext.broadcast((model, density_floors(docs, model, path)))
+    texts of other languages and noise go.
 
-    def keep(batch: pa.RecordBatch) -> np.ndarray:
-        model, floors = shared.value
-        best, score, density = weigh(batch.column("text"), model, path)
-        return (best >= 0) & (score >= min_score) & (density >= np.append(floors, np.inf)[best])
+    Every text is weighed once: the rows are stored with what is known of them,
+    the floors follow from all of them, and the stored rows are filtered."""
+    model = train(docs, path)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    return arrow_filter(docs, keep, "text")
+    def run(batch: pa.RecordBatch) -> dict:
+        m = shared.value
+        total, letters = likelihoods(batch.column("text"), m, path)
+        best, score, density = best_of(total, letters, m)
+        number = {x: k for k, x in enumerate(m.langs)}
+        at = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
+        used = np.flatnonzero((letters > 0) & (at >= 0))
+        own, known = np.zeros(len(at), np.int64), np.zeros(len(at), bool)
+        own[used], known[used] = order_code(total[used, at[used]] / letters[used]), True
+        return {BEST: best, SCORE: score, DENSITY: density, OWN: pa.array(own, mask=~known)}
+
+    told = materialize(arrow_extend(docs, run, f"{BEST} int, {SCORE} double, {DENSITY} double, {OWN} long", "text"),
+                       "language-told")
+    floors = F.array(*[F.lit(float(x)) for x in density_floors(told, model.langs)]).cast("array<double>")
+    return told.where((F.col(BEST) >= 0) & (F.col(SCORE) >= min_score)
+                      & (F.col(DENSITY) >= F.get(floors, F.col(BEST)))).drop(BEST, SCORE, DENSITY, OWN)
 
 
 def is_held_out():

@@ -367,6 +367,40 @@ def test_long_words_are_trained_on(letters):
             assert np.allclose(got[:, k], times * plain_counts(w, trie, p[:, k]), rtol=1e-6, atol=1e-9)
 
 
+def test_floors_and_models_come_from_all_documents(spark):
+    common, rare = "the cat sat on the mat", "zq xj kv wq"
+    rows = [(k, common if k % 50 else rare, "en") for k in range(3000)] + [(5000, common, None), (5001, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = language.train(docs, PIECE_FILE)
+    total, letters = language.likelihoods(pa.array([common, rare]), model, PIECE_FILE)
+    at = model.langs.index("en")
+    assert np.exp(model.prior[at]) == pytest.approx(3000 / 3001)
+    # the expected uses of all pieces add up to all words, so that those of a
+    # sample of the rows would be smaller
+    unseen = model.pieces[:, at].min()
+    assert 0.05 / unseen > 6 * 2940 + 4 * 60
+    density = [t / n for t, n in zip(total[:, at], letters)]
+    values = np.array([density[0] if k % 50 else density[1] for k in range(3000)])
+    codes = spark.createDataFrame([("en", int(c)) for c in language.order_code(values)] + [(None, 3), ("de", None)],
+                                  "lang string, code long")
+    assert language.low_values(codes, 0.01) == {"en": pytest.approx(density[1], rel=1e-12)}
+    kept = language.identified(docs, PIECE_FILE, 0.0)
+    assert kept.columns == docs.columns and kept.count() == 3001
+
+
+def test_low_values_are_exact(spark):
+    rng = np.random.default_rng(5)
+    values = {"a": rng.normal(-3, 1, 2501), "b": np.repeat([-2.0, -1.5, 0.0, 7.5], 101), "c": np.array([-4.25])}
+    rows = [(x, int(c)) for x, v in values.items() for c in language.order_code(v)]
+    codes = spark.createDataFrame(rows + [(None, 1), ("d", None)], "lang string, code long").repartition(3)
+    for share in (0.0, 0.01, 0.25, 0.5, 1.0):
+        got = language.low_values(codes, share)
+        assert got.keys() == values.keys()
+        for x, v in values.items():
+            assert got[x] == pytest.approx(np.quantile(v, share), rel=1e-12, abs=1e-12)
+    assert language.low_values(codes.where("false"), 0.01) == {}
+
+
 def test_languages_without_case(spark, odd_docs):
     """Two scripts without case, in words of one length over 64 letters."""
     rng = np.random.default_rng(2)
