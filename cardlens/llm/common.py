@@ -119,16 +119,16 @@ def release() -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str,
-              column: str | None = None) -> DataFrame:
+              column: str | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` with ``fn`` from batch to batch (or dict of arrays);
-    with ``column`` batches are cut by that column's bytes first."""
+    with ``column`` batches are cut by that column's bytes (``limit``) first."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
         for batch in batches:
-            for part in (slices(batch, column) if column else [batch]):
+            for part in (slices(batch, column, limit) if column else [batch]):
                 got = fn(part)
                 if isinstance(got, dict):
                     got = pa.RecordBatch.from_arrays(
@@ -139,7 +139,8 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dic
     return df.mapInArrow(run, schema)
 
 
-def arrow_extend(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], extra: str, column: str) -> DataFrame:
+def arrow_extend(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], extra: str, column: str,
+                 limit: int = SLICE_BYTES) -> DataFrame:
     """All columns of ``df`` and those that ``fn`` makes of each batch; names
     of ``extra`` replace columns that have them already."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -152,7 +153,7 @@ def arrow_extend(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], extra: str
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 got = fn(part)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *(pa.array(got[f.name], type=f.type) for f in types)],
@@ -162,12 +163,13 @@ def arrow_extend(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], extra: str
     return kept.mapInArrow(run, schema)
 
 
-def arrow_filter(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], column: str) -> DataFrame:
+def arrow_filter(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], column: str,
+                 limit: int = SLICE_BYTES) -> DataFrame:
     """The rows of ``df`` that ``keep`` marks, all columns as they are."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 yield part.filter(pa.array(keep(part), pa.bool_()))
         release()
 
@@ -181,6 +183,15 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lens), lens)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; unlike ``np.unique``, which hashes whole
+    numbers, this takes no memory but that of a sorted copy."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of the splitmix generator: a bijection on 64-bit values."""
     x = x.astype(np.uint64, copy=True)
@@ -297,5 +308,5 @@ class IntTable:
 
 
 __all__ = ["AT_END", "BATCH_BYTES", "release", "IntTable", "ship_package", "read_table", "materialize", "discard", "delete_path", "tasks_for", "input_bytes", "binary_list", "slices",
-           "arrow_map", "arrow_extend", "arrow_filter", "ragged", "mix64", "split_words", "word_hashes",
+           "arrow_map", "arrow_extend", "arrow_filter", "ragged", "distinct", "mix64", "split_words", "word_hashes",
            "shingle_hashes", "shingle_sets"]

@@ -22,16 +22,18 @@ the names of the results are replaced.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IntTable, arrow_extend, arrow_map, materialize, split_words
+from .common import IntTable, arrow_extend, arrow_map, materialize, release, split_words
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Pieces that lower-cased words can hold: of lower-case letters, and in any script.
@@ -96,7 +98,7 @@ def trie(path: str, letters: str = LOWER) -> Trie:
     return Trie([p for p in pieces if regex.fullmatch(letters, p) and p])
 
 
-def by_length(words: list[str], limit: int = 1 << 19):
+def by_length(words: list[str], limit: int):
     """(rows, code points of marked words) for words of equal length."""
     lens = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(lens, kind="stable")
@@ -112,9 +114,10 @@ def by_length(words: list[str], limit: int = 1 << 19):
 
 def forward(edges: list, n: int, rows: int, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(forward values by position, log scale by block of ``RESCALE`` positions)
-    for each row and language.  The last position has the last block's scale."""
-    langs = p.shape[1]
-    alpha, scale = np.zeros((n + 1, rows, langs)), np.zeros(((n - 1) // RESCALE + 1, rows, langs))
+    for each row and, if ``p`` has them, language.  The last position has the
+    last block's scale."""
+    alpha = np.zeros((n + 1, rows, *p.shape[1:]))
+    scale = np.zeros(((n - 1) // RESCALE + 1, rows, *p.shape[1:]))
     alpha[0] = 1.0
     far = 0  # the positions after it are zero
     for i, here in enumerate(edges):
@@ -132,7 +135,7 @@ def forward(edges: list, n: int, rows: int, p: np.ndarray) -> tuple[np.ndarray,
 def log_likelihood(words: list[str], path: str, p: np.ndarray, letters: str = LOWER) -> np.ndarray:
     """log of the summed probability of all segmentations, by word and language."""
     out = np.zeros((len(words), p.shape[1]))
-    for rows, x in by_length(words):
+    for rows, x in by_length(words, 1 << 17):
         alpha, scale = forward(trie(path, letters).edges(x), x.shape[1], len(rows), p)
         out[rows] = np.log(alpha[-1]) + scale[-1]
     return out
@@ -141,31 +144,42 @@ def log_likelihood(words: list[str], path: str, p: np.ndarray, letters: str = LO
 def expected_counts(words: list[str], counts: np.ndarray, path: str, p: np.ndarray,
                     letters: str = LOWER) -> np.ndarray:
     """Expected uses of each piece by language over all segmentations of the
-    words, each weighted by its count in the language.
+    words, each weighted by its count in the language."""
+    at, lang = np.nonzero(counts)
+    return pair_counts([words[i] for i in at.tolist()], lang, counts[at, lang], path, p, letters)
+
+
+def pair_counts(words: list[str], lang: np.ndarray, counts: np.ndarray, path: str, p: np.ndarray,
+                letters: str = LOWER) -> np.ndarray:
+    """``expected_counts`` of words that each count in one language, ``lang``.
 
     Goes back from the end of a word: ``share`` is the probability that a
     segmentation cuts at a position, which its last piece passes on to the
     piece's start.  Only quotients of forward values occur, so words may be
     long."""
-    total = np.zeros(p.shape)
+    flat, langs = p.ravel(), p.shape[1]
+    total = np.zeros(p.size)
     for rows, x in by_length(words, 1 << 18):
-        edges, n, langs = trie(path, letters).edges(x), x.shape[1], p.shape[1]
-        alpha, scale = forward(edges, n, len(rows), p)
-        share = np.zeros_like(alpha)
+        own, n = lang[rows], x.shape[1]
+        edges = [[(r, j, piece * langs + own[r]) for r, j, piece in here] for here in trie(path, letters).edges(x)]
+        alpha, scale = forward(edges, n, len(rows), flat)
+        share, places, uses = np.zeros_like(alpha), [], []
         share[n] = counts[rows]
         share[n] /= np.maximum(alpha[n], 1e-300)
         for i in reversed(range(n)):
-            for r, j, piece in edges[i]:
-                use = p[piece] * share[j, r]
+            for r, j, place in edges[i]:
+                use = flat[place] * share[j, r]
                 use *= alpha[i, r]
                 block, end = i // RESCALE, min(j, n - 1) // RESCALE
                 if block != end:
                     use *= np.exp(scale[block, r] - scale[end, r])
                 share[i, r] += use
-                for k in range(langs):
-                    total[:, k] += np.bincount(piece, use[:, k], len(p))
+                places.append(place)
+                uses.append(use)
             share[i] /= np.maximum(alpha[i], 1e-300)
-    return total
+        # once for all positions: a count by place is as long as the vocabulary times the languages
+        total += np.bincount(np.concatenate(places), np.concatenate(uses), p.size)
+    return total.reshape(p.shape)
 
 
 @dataclass
@@ -193,9 +207,21 @@ def doc_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.n
 
 
 def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sums of runs of rows of ``values``, ``counts`` rows each."""
-    ends = np.concatenate((np.zeros((1, values.shape[1])), np.cumsum(values, axis=0)))
-    return np.diff(ends[np.concatenate(([0], np.cumsum(counts)))], axis=0)
+    """Sums of runs of ``values``, ``counts`` values each."""
+    return np.bincount(np.repeat(np.arange(len(counts)), counts), values, len(counts))
+
+
+def joined(batches: Iterator[pa.RecordBatch], rows: int = 40_000, limit: int = 1 << 20) -> Iterator[pa.Table]:
+    """Runs of whole batches, each as one table: the last batch of a run is the
+    one that reaches ``rows`` rows or ``limit`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= limit:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def train(labelled: DataFrame, path: str, rounds: int = 3, smoothing: float = 0.05,
@@ -231,16 +257,14 @@ def train(labelled: DataFrame, path: str, rounds: int = 3, smoothing: float = 0.
         def expect(batches):
             import pyarrow as pa
             total = np.zeros(shared.shape)
-            for batch in batches:
-                text, name, n = (batch.column(c).to_pylist() for c in ("word", "lang", "n"))
-                index = {w: k for k, w in enumerate(dict.fromkeys(text))}
-                counts = np.zeros((len(index), len(langs)))
-                for w, l, c in zip(text, name, n):
-                    counts[index[w], langs.index(l)] += c
-                total += expected_counts(list(index), counts, path, shared, ANY_SCRIPT)
+            for part in joined(batches):
+                lang = pc.index_in(part.column("lang"), pa.array(langs, part.schema.field("lang").type))
+                total += pair_counts(part.column("word").to_pylist(), lang.to_numpy().astype(np.int64),
+                                     part.column("n").to_numpy(), path, shared, ANY_SCRIPT)
             piece, at = np.nonzero(total)
             yield pa.RecordBatch.from_pydict({"piece": pa.array(piece, pa.int32()), "at": pa.array(at, pa.int32()),
                                               "n": pa.array(total[piece, at], pa.float64())})
+            release()
 
         got = (words.mapInArrow(expect, "piece int, at int, n double").groupBy("piece", "at")
                .agg(F.sum("n").alias("n")).toPandas())
@@ -256,10 +280,11 @@ def likelihoods(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.n
     counts, number, words, flat, per_chunk = doc_words(column)
     if not m.langs or not words:
         return np.zeros((len(counts), len(m.langs))), np.zeros(len(counts))
-    own = np.column_stack([log_likelihood(words, path, m.pieces, ANY_SCRIPT),
-                           np.fromiter(map(len, words), float, len(words))])
-    total = sums(sums(own[flat], per_chunk)[number], counts)
-    return total[:, :-1], total[:, -1]
+    # a column at a time: there is a value for every word of the texts
+    text = lambda own: sums(sums(own[flat], per_chunk)[number], counts)
+    own = log_likelihood(words, path, m.pieces, ANY_SCRIPT)
+    return (np.column_stack([text(own[:, k]) for k in range(own.shape[1])]),
+            text(np.fromiter(map(len, words), float, len(words))))
 
 
 def judge(column: pa.Array, m: Model, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -307,10 +332,11 @@ def low_values(codes: DataFrame, share: float) -> dict[str, float]:
     found = {key: (None, key[1]) for key in ranks}  # leading bits and rank among the codes that have them
     for shift in (48, 32, 16, 0):
         tops = sorted({(x, top) for (x, _), (top, _) in found.items()}, key=str)
+        listed = pa.table({"lang": pa.array([x for x, _ in tops], pa.string()), "top": pa.array([t for _, t in tops], pa.int64())})
         inside = rows
         if shift < 48 and tops:
             inside = rows.withColumn("top", F.shiftright("code", shift + 16)).join(
-                F.broadcast(codes.sparkSession.createDataFrame(tops, "lang string, top long")), ["lang", "top"])
+                F.broadcast(codes.sparkSession.createDataFrame(listed)), ["lang", "top"])
         counts: dict = {}
         for r in inside.groupBy("lang", F.shiftright("code", shift).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect():
             counts.setdefault((r["lang"], None if shift == 48 else r["part"] >> 16), []).append((r["part"], r["n"]))

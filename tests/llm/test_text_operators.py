@@ -367,6 +367,52 @@ def test_long_words_are_trained_on(letters):
             assert np.allclose(got[:, k], times * plain_counts(w, trie, p[:, k]), rtol=1e-6, atol=1e-9)
 
 
+def test_counts_by_word_and_language(monkeypatch):
+    """Words of several languages at once add up to the words alone, and a
+    vector of the vocabulary's length is made by block of words only."""
+    trie = language.trie(PIECE_FILE, language.ANY_SCRIPT)
+    p = np.maximum(np.random.default_rng(9).dirichlet(np.full(trie.unknown + 1, 0.3), 3).T, 1e-9)
+    pairs = [("hat", 0, 2.0), ("hat", 2, 5.0), ("tah", 1, 1.0), ("straßenbahn" * 3, 1, 3.0), ("数据获取的", 2, 4.0)]
+    words, lang, n = (list(x) for x in zip(*pairs))
+    made = []
+    count = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **b: made.append(len(x)) or count(x, *a, **b))
+    got = language.pair_counts(words, np.array(lang), np.array(n), PIECE_FILE, p, language.ANY_SCRIPT)
+    assert len(made) == len({len(w) for w in words})
+    monkeypatch.undo()
+    want = np.zeros(p.shape)
+    for w, k, times in pairs:
+        want[:, k] += times * plain_counts(w, trie, p[:, k])
+    assert np.allclose(got, want, rtol=1e-6, atol=1e-9)
+    table = np.array([[2.0, 0, 5], [0, 1, 0], [0, 3, 0], [0, 0, 4]])
+    once = language.expected_counts(list(dict.fromkeys(words)), table, PIECE_FILE, p, language.ANY_SCRIPT)
+    assert np.allclose(once, got, rtol=1e-12)
+    assert not language.pair_counts([], np.zeros(0, int), np.zeros(0), PIECE_FILE, p).any()
+
+
+def test_batches_of_words_are_joined():
+    batches = [pa.RecordBatch.from_pydict({"n": list(range(k, k + 3))}) for k in range(0, 15, 3)]
+    got = [t.column("n").to_pylist() for t in language.joined(iter(batches), rows=6)]
+    assert got == [list(range(6)), list(range(6, 12)), [12, 13, 14]]
+    assert len(list(language.joined(iter(batches), limit=1))) == 5 and list(language.joined(iter([]))) == []
+
+
+def test_likelihoods_hold_one_column_of_words_at_a_time():
+    """Memory per word of the texts does not follow the number of languages,
+    and equal texts get equal results wherever they stand."""
+    import tracemalloc
+    langs, words = 24, 100_000
+    pieces = np.random.default_rng(3).random((language.trie(PIECE_FILE, language.ANY_SCRIPT).unknown + 1, langs))
+    model = language.Model([str(k) for k in range(langs)], np.zeros(langs), pieces / pieces.sum(axis=0))
+    texts = pa.array(["ab cde fghi " * (words // 30), "xyz ab", None, "", *["xyz ab", "cde " * (words // 10)] * 9])
+    tracemalloc.start()
+    total, letters = language.likelihoods(texts, model, PIECE_FILE)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * words * langs  # one value a word and language would be more
+    assert (total[1] == total[4::2]).all() and not total[2:4].any() and letters[:4].tolist() == [words // 30 * 9, 5, 0, 0]
+
+
 def test_floors_and_models_come_from_all_documents(spark):
     common, rare = "the cat sat on the mat", "zq xj kv wq"
     rows = [(k, common if k % 50 else rare, "en") for k in range(3000)] + [(5000, common, None), (5001, None, "de")]
