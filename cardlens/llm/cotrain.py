@@ -45,12 +45,14 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_extend, arrow_filter, arrow_map, materialize, release, slices, split_words
+from .common import arrow_extend, arrow_filter, arrow_map, distinct, materialize, release, slices, split_words
 
 VIEWS = ("text", "meta")
 WORD = re.compile(r"\w+")
 RUNS = re.compile(r"(\W)\1+")
 WORD_EDGES = re.compile(r"^\W+|\W+$")
+#: Bytes of text whose features a task has at a time: there are several numbers a word.
+SLICE = 2 << 20
 #: Letters of a word's beginning (inflected and compound words share theirs).
 BEGINNING = 4
 
@@ -70,10 +72,10 @@ def text_features(split: tuple) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(features, document numbers, feature numbers): words without the marks
     around them, their beginnings, shapes, shapes of a fifth of the words or
     more, and the variety of the words."""
-    counts, number, distinct = split
+    counts, number, chunks = split
     names: dict[str, int] = {}
     add = lambda f: names.setdefault(f, len(names))
-    words = [core_and_shape(w.decode("utf-8")) for w in distinct]
+    words = [core_and_shape(w.decode("utf-8")) for w in chunks]
     of_word = np.array([add("w:" + c) for c, _ in words], np.int64)
     of_start = np.array([add("p:" + c[:BEGINNING]) if len(c) > BEGINNING else -1 for c, _ in words], np.int64)
     shapes: dict[str, int] = {}
@@ -90,7 +92,7 @@ def text_features(split: tuple) -> tuple[list[str], np.ndarray, np.ndarray]:
         at, s = pair // len(shapes), pair % len(shapes)
         docs += [at, at[5 * n >= counts[at]]]
         features += [present[s], frequent[s[5 * n >= counts[at]]]]
-        unique = np.bincount(np.unique(doc * len(words) + number) // len(words), minlength=len(counts))
+        unique = np.bincount(distinct(doc * len(words) + number) // len(words), minlength=len(counts))
         long = np.flatnonzero(counts >= 20)
         share = np.floor(8 * unique[long] / counts[long]).astype(int)
         docs.append(long)
@@ -147,7 +149,7 @@ class View:
                 continue
             w = np.array([weights.get(f, 0.0) for f in names])
             used = w[features] != 0
-            pair = np.unique(docs[used] * size + features[used])
+            pair = distinct(docs[used] * size + features[used])
             out[:, k] = np.bincount(pair // size, w[pair % size], n)
         return out
 
@@ -200,7 +202,7 @@ def training_table(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Dat
     def run(batch: pa.RecordBatch) -> dict:
         out = {"doc_id": batch.column("doc_id"), "y": batch.column("y")}
         for view, (names, doc, feature) in features_of(batch).items():
-            pair = np.unique(doc * max(1, len(names)) + feature)
+            pair = distinct(doc * max(1, len(names)) + feature)
             cut = np.searchsorted(pair // max(1, len(names)), np.arange(batch.num_rows + 1))
             flat = pa.array(names, pa.string()).take(pa.array(pair % max(1, len(names))))
             out[view] = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), flat)
@@ -208,7 +210,7 @@ def training_table(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Dat
 
     # the sample's size is bounded, so its side is broadcast
     own = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text", "lang", "source")
-    return materialize(arrow_map(own, run, "doc_id long, y int, text array<string>, meta array<string>", "text"),
+    return materialize(arrow_map(own, run, "doc_id long, y int, text array<string>, meta array<string>", "text", SLICE),
                        "cotrain-features")
 
 
@@ -226,6 +228,7 @@ def telling_features(table: DataFrame, view: str, total: dict[int, int], min_z:
         yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()),
                                           "n0": pa.array([n[0][f] for f in names], pa.int64()),
                                           "n1": pa.array([n[1][f] for f in names], pa.int64())})
+        release()
 
     n0, n1, rows = F.col("n0"), F.col("n1"), float(total[0] + total[1])
     p = (n0 + n1) / F.lit(rows)
@@ -295,7 +298,7 @@ def handed_counts(docs: DataFrame, model: Model, sure: dict, sample: set[int], w
         model, sure, sample, wanted = shared.value
         place = {v: {f: k for k, f in enumerate(wanted[v])} for v in VIEWS}
         total = {v: np.zeros((len(wanted[v]) + 1, 2), np.int64) for v in VIEWS}
-        for batch in (part for b in batches for part in slices(b, "text")):
+        for batch in (part for b in batches for part in slices(b, "text", SLICE)):
             n = batch.num_rows
             own = features_of(batch)
             free = np.array([i is not None and i not in sample for i in batch.column("doc_id").to_pylist()], bool)
@@ -315,7 +318,7 @@ def handed_counts(docs: DataFrame, model: Model, sure: dict, sample: set[int], w
                 if len(feature):
                     at = index[feature]
                     use = (at >= 0) & (label[doc] >= 0)
-                    pair = np.unique(doc[use] * len(index) + feature[use])
+                    pair = distinct(doc[use] * len(index) + feature[use])
                     np.add.at(total[v], (index[pair % len(index)], label[pair // len(index)]), 1)
         for v in VIEWS:
             at, c = np.nonzero(total[v])
@@ -368,7 +371,8 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, max_labelled: int
 
     def marked(ids: set[int]) -> tuple[DataFrame, Counter]:
         """(doc_id, text, meta, label) of labelled rows, and rows by class; as many as the sample's bound allows."""
-        mark = table.sparkSession.createDataFrame([(i, float(known[i])) for i in ids], "doc_id long, label double")
+        mark = table.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(ids, pa.int64()),
+                                                            "label": pa.array([known[i] for i in ids], pa.float64())}))
         return table.select("doc_id", *VIEWS).join(F.broadcast(mark), "doc_id"), Counter(known[i] for i in ids)
 
     rows, total = marked(set(known) - fold)
@@ -426,13 +430,14 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataF
         text, meta, both = probabilities(batch, shared.value)
         return {"text_score": text, "meta_score": meta, "quality_score": both, "accepted": both >= threshold}
 
-    return arrow_extend(docs, run, "text_score double, meta_score double, quality_score double, accepted boolean", "text")
+    return arrow_extend(docs, run, "text_score double, meta_score double, quality_score double, accepted boolean", "text",
+                        SLICE)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
-    return arrow_filter(docs, lambda batch: probabilities(batch, shared.value)[2] >= threshold, "text")
+    return arrow_filter(docs, lambda batch: probabilities(batch, shared.value)[2] >= threshold, "text", SLICE)
 
 
 def op3(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -279,6 +280,31 @@ def test_a_fully_labelled_table_has_nothing_to_hand_over(spark, labelled):
     assert model is not None and cotrain.score(rows, model).count() == rows.count()
 
 
+def test_memory_of_the_quality_stage(spark, labelled, monkeypatch):
+    """Driver lists reach the executors without Python workers of their own,
+    and a task has the features of a bounded part of the texts at a time."""
+    from pyspark.sql import SparkSession
+    from cardlens.llm import common, language
+    docs, labels = labelled
+    given = []
+    create = SparkSession.createDataFrame
+    monkeypatch.setattr(SparkSession, "createDataFrame", lambda self, data, *a, **b: given.append(type(data)) or create(self, data, *a, **b))
+    assert cotrain.train(docs, labels) is not None
+    codes = docs.selectExpr("lang", "crc32(cast(text as binary)) as code")
+    assert language.low_values(codes, 0.01)
+    assert given and set(given) == {pa.Table}
+    monkeypatch.undo()
+    texts = pa.RecordBatch.from_pydict({"text": ["some words " * 20_000] * 30})
+    sizes = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: list(run(iter([texts]))))
+    monkeypatch.setattr(cotrain, "probabilities", lambda batch, m: sizes.append(batch.nbytes) or [np.ones(batch.num_rows)] * 3)
+    monkeypatch.setattr(cotrain, "train", lambda *_: None)
+    out = cotrain.accepted(spark.range(1).selectExpr("'x' as text"), None)
+    assert sum(b.num_rows for b in out) == 30 and max(sizes) < 3 << 20
+    x = np.random.default_rng(1).integers(-50, 50, 999)
+    assert common.distinct(x).tolist() == np.unique(x).tolist() and not len(common.distinct(x[:0]))
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.01"
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_copies", "packing"]
