@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from .common import arrow_map, materialize
 from .tokens import chunk_encoder
 
+#: Bytes of text whose tokens a task counts at a time: the encoder's table of
+#: chunks lasts for the task, so that short slices cost no time.
+SLICE = 1 << 20
+
 
 def token_lengths(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """(doc_id, n_tokens) of whole texts."""
@@ -31,7 +35,7 @@ def token_lengths(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFr
     def run(batch: pa.RecordBatch) -> dict:
         return {"doc_id": batch.column("doc_id"), "n_tokens": chunk_encoder(tokenizer).counts(batch.column(text))}
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), text), run, "doc_id long, n_tokens long", text)
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), text), run, "doc_id long, n_tokens long", text, SLICE)
 
 
 def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:

@@ -192,3 +192,19 @@ def test_long_words_merge_like_the_library():
     began = time.process_time()
     assert len(own.merge([b"a" * 1_000_000])[0]) == 125_001
     assert time.process_time() - began < 15  # one pass over the word per merge would take many minutes
+
+
+def test_tokens_are_counted_by_slices(spark, monkeypatch):
+    texts = pa.RecordBatch.from_pydict({"doc_id": list(range(30)), "text": ["some words " * 20_000] * 30})
+    sizes = []
+
+    class Counter:
+        def counts(self, column):
+            sizes.append(column.nbytes)
+            return np.full(len(column), 7)
+
+    docs = spark.range(1).selectExpr("id as doc_id", "'x' as text")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: list(run(iter([texts]))))
+    monkeypatch.setattr(packing, "chunk_encoder", lambda path: Counter())
+    out = packing.token_lengths(docs, "")
+    assert [i for b in out for i in b.column("doc_id").to_pylist()] == list(range(30)) and max(sizes) < 2 << 20
