@@ -29,14 +29,14 @@ _SHIPPED: set[str] = set()
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession, batch_bytes: int = 8 << 20) -> None:
     """Give the executors this package (``addPyFile`` of a zip, once per
     application), so that Python workers import it wherever they start, and
     bound the batches that travel between the JVM and Python by their bytes
     (documents may be long; this changes no result)."""
     sc = spark.sparkContext
-    if sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_BYTES)) > 8 << 20:
-        spark.conf.set(BATCH_BYTES, str(8 << 20))
+    if sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_BYTES)) > batch_bytes:
+        spark.conf.set(BATCH_BYTES, str(batch_bytes))
     if sc.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
@@ -118,6 +118,16 @@ def release() -> None:
         trim(0)
 
 
+def released(run: Callable) -> Callable:
+    """``run`` from batches to batches for ``mapInArrow``, then ``release``."""
+
+    def whole(batches):
+        yield from run(batches)
+        release()
+
+    return whole
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str,
               column: str | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` with ``fn`` from batch to batch (or dict of arrays);
@@ -307,6 +317,6 @@ class IntTable:
         return out
 
 
-__all__ = ["AT_END", "BATCH_BYTES", "release", "IntTable", "ship_package", "read_table", "materialize", "discard", "delete_path", "tasks_for", "input_bytes", "binary_list", "slices",
+__all__ = ["AT_END", "BATCH_BYTES", "release", "released", "IntTable", "ship_package", "read_table", "materialize", "discard", "delete_path", "tasks_for", "input_bytes", "binary_list", "slices",
            "arrow_map", "arrow_extend", "arrow_filter", "ragged", "distinct", "mix64", "split_words", "word_hashes",
            "shingle_hashes", "shingle_sets"]

@@ -40,13 +40,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import input_bytes, materialize, mix64, ragged, shingle_sets, slices
+from .common import distinct, input_bytes, materialize, mix64, ragged, released, shingle_sets, slices
 from .graph import components
 
 SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
 #: Text per chunk: the unit in which a task sends tokens to the slices.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+#: Text that is cut into shingles at a time.
+SLICE = 1 << 20
 MANY = 0xFFFF
 
 
@@ -68,6 +70,13 @@ def expand(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+def chunk_sets(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of a chunk's texts.  Cutting texts takes several times
+    the memory of the sets, so it is done by ``SLICE`` bytes."""
+    parts = [shingle_sets(part.column("text"), SHINGLE) for part in slices(rows, "text", SLICE)]
+    return np.concatenate([v for v, _ in parts]), np.concatenate([n for _, n in parts])
+
+
 def set_keys(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit sums over each set: equal for equal sets."""
     out = []
@@ -111,25 +120,29 @@ def root_candidates(docs: DataFrame, threshold: Fraction) -> DataFrame:
                     k += 1
 
     def one_chunk(rows, chunk):
-        values, n = shingle_sets(rows.column("text"), SHINGLE)
+        values, n = chunk_sets(rows)
         k1, k2 = set_keys(values, n)
         own = np.rec.fromarrays([k1, k2, n])
         _, first, back = np.unique(own, return_index=True, return_inverse=True)
         first = np.where(n > 0, first[back.ravel()], -1)  # the first equal set of the chunk
-        keep = np.repeat(first == np.arange(len(n)), n)
-        doc = np.repeat(np.arange(len(n)), n)[keep].astype(np.uint64)
+        own = first == np.arange(len(n))
+        doc = np.repeat(np.flatnonzero(own).astype("<u2"), n[own])  # less than MANY rows
         # equal tokens adjoin
-        key = values[keep] >> shift
+        key = values[np.repeat(own, n)]
+        del values
+        key >>= shift
         order = np.argsort(key)
         key, doc = key[order], doc[order]
+        del order
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
         many = np.zeros(len(key), bool)
         many[:-1] |= ~new[1:]
         many |= ~new
-        local = np.bincount(doc[many].astype(np.int64), minlength=len(n)).astype("<u4")
+        local = np.bincount(doc[many], minlength=len(n)).astype("<u4")
         token = key[new]
         who = np.where(many[new], MANY, doc[new]).astype("<u2")
+        del key, doc, new, many
         out: dict = {c: [] for c in "at chunk a b c d".split()}
 
         def row(at, *blobs):
@@ -165,16 +178,25 @@ def root_candidates(docs: DataFrame, threshold: Fraction) -> DataFrame:
         if not tokens:
             return
         source = np.repeat(np.arange(len(chunks), dtype=np.int32), [len(t) for t in tokens])
-        token, who = np.concatenate(tokens), np.concatenate(whos)
-        del tokens, whos
+        token = np.concatenate(tokens)
+        del tokens
+        who = np.concatenate(whos)
+        del whos
         order = np.argsort(token)
-        token, who, source = token[order], who[order], source[order]
+        token = token[order]
         same = token[1:] == token[:-1]
         shared = np.zeros(len(token), bool)
         shared[1:] |= same
         shared[:-1] |= same
-        shared &= who != MANY  # those were counted in their chunk
-        pair, n = np.unique(source[shared].astype(np.int64) * (MANY + 1) + who[shared], return_counts=True)
+        del token, same
+        order = order[shared]
+        pair = source[order].astype(np.int64) * (MANY + 1)
+        who = who[order]
+        pair = (pair + who)[who != MANY]  # those were counted in their chunk
+        del source, who, order, shared
+        pair.sort()
+        start = np.flatnonzero(np.diff(pair, prepend=-1))
+        pair, n = pair[start], np.diff(start, append=len(pair))
         at = pair // (MANY + 1)
         for k in range(0, len(chunks), 256):
             a, b = np.searchsorted(at, (k, k + 256))
@@ -210,10 +232,10 @@ def root_candidates(docs: DataFrame, threshold: Fraction) -> DataFrame:
         if rows:
             yield done()
 
-    sent = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(send, ROOT)
-    met = sent.repartitionById(parts, F.col("at")).mapInArrow(meet, "chunk long, b binary, c binary, d binary")
+    sent = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(released(send), ROOT)
+    met = sent.repartitionById(parts, F.col("at")).mapInArrow(released(meet), "chunk long, b binary, c binary, d binary")
     return (met.repartition(parts, "chunk").sortWithinPartitions("chunk")
-            .mapInArrow(total, "doc_id long, n_shingles long, k1 long, k2 long, possible long"))
+            .mapInArrow(released(total), "doc_id long, n_shingles long, k1 long, k2 long, possible long"))
 
 
 # --- branches --------------------------------------------------------------
@@ -225,7 +247,7 @@ def survivor_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
         k = 0
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
-                values, n = shingle_sets(part.column("text"), SHINGLE)
+                values, n = chunk_sets(part)
                 yield pa.RecordBatch.from_pydict({
                     "chunk": pa.array([chunk_id(k)], pa.int64()),
                     "docs": [part.column("doc_id").to_numpy().astype("<i8").tobytes()],
@@ -234,7 +256,7 @@ def survivor_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     # Spark broadcasts the ids if they are few and merges both sides if not
     kept = docs.select(F.col("doc_id").cast("long"), "text").join(ids.select("doc_id"), "doc_id", "left_semi")
-    return materialize(kept.mapInArrow(run, "chunk long, docs binary, sizes binary, tokens binary"), "sets")
+    return materialize(kept.mapInArrow(released(run), "chunk long, docs binary, sizes binary, tokens binary"), "sets")
 
 
 def rare_tokens(sets: DataFrame, threshold: Fraction, parts: int) -> DataFrame:
@@ -246,8 +268,10 @@ def rare_tokens(sets: DataFrame, threshold: Fraction, parts: int) -> DataFrame:
 
     def send(batches):
         for batch in batches:
-            for chunk, tokens in zip(batch.column("chunk").to_pylist(), batch.column("tokens").to_pylist()):
-                values, n = np.unique(np.frombuffer(tokens, "<u8"), return_counts=True)
+            for chunk, tokens in zip(batch.column("chunk").to_pylist(), batch.column("tokens")):
+                values = np.sort(np.frombuffer(tokens.as_buffer(), "<u8"))
+                start = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))[:len(values)])
+                values, n = values[start], np.diff(start, append=len(values))
                 lane = slice_of(values, parts).astype(np.int64)
                 cuts = np.flatnonzero(np.diff(lane, prepend=-1, append=parts))
                 spans = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
@@ -267,9 +291,20 @@ def rare_tokens(sets: DataFrame, threshold: Fraction, parts: int) -> DataFrame:
                 counts.append(np.frombuffer(n, "<u4"))
         if not chunks:
             return
-        token, back = np.unique(np.concatenate(tokens), return_inverse=True)
-        total = np.bincount(back, np.concatenate(counts), len(token)).astype("<u4")[back]
-        for chunk, at, n in zip(chunks, ats, to_list(total, np.array([len(t) for t in tokens]))):
+        lens = np.array([len(t) for t in tokens])
+        token = np.concatenate(tokens)
+        del tokens
+        order = np.argsort(token)
+        token = token[order]
+        start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))[:len(token)])
+        times = np.diff(start, append=len(token))
+        del token
+        total = np.concatenate(counts)
+        del counts
+        if len(start):
+            total[order] = np.repeat(np.add.reduceat(total[order], start, dtype="<u4"), times)
+        del order
+        for chunk, at, n in zip(chunks, ats, to_list(total, lens)):
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "at": pa.array([at], pa.int32()),
                                               "docs": [n], "sizes": [b""], "tokens": [b""]})
 
@@ -279,11 +314,11 @@ def rare_tokens(sets: DataFrame, threshold: Fraction, parts: int) -> DataFrame:
         def done():
             own = next(r for r in rows if r[0] < 0)
             docs, sizes, tokens = (np.frombuffer(x, t) for x, t in zip(own[1:], ("<i8", "<i8", "<u8")))
-            distinct = np.unique(tokens)
+            values = distinct(tokens)
             # the slices ascend, so their counts line up with the distinct tokens
             count = np.concatenate([np.frombuffer(r[1], "<u4") for r in sorted(r for r in rows if r[0] >= 0)]
                                    or [np.empty(0, "<u4")])
-            df = count[np.searchsorted(distinct, tokens)].astype(np.int64)
+            df = count[np.searchsorted(values, tokens)].astype(np.int64)
             doc = np.repeat(np.arange(len(docs)), sizes)
             order = np.lexsort((tokens, df, doc))
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -305,12 +340,12 @@ def rare_tokens(sets: DataFrame, threshold: Fraction, parts: int) -> DataFrame:
         if rows:
             yield done()
 
-    sent = sets.select("chunk", "tokens").mapInArrow(send, "at int, chunk long, tokens binary, n binary")
+    sent = sets.select("chunk", "tokens").mapInArrow(released(send), "at int, chunk long, tokens binary, n binary")
     layout = "chunk long, at int, docs binary, sizes binary, tokens binary"
-    back = sent.repartitionById(parts, F.col("at")).mapInArrow(add, layout)
+    back = sent.repartitionById(parts, F.col("at")).mapInArrow(released(add), layout)
     both = back.unionByName(sets.select("chunk", F.lit(-1).alias("at"), "docs", "sizes", "tokens"))
     return (both.repartition(parts, "chunk").sortWithinPartitions("chunk", "at")
-            .mapInArrow(choose, "token long, doc_id long, n long"))
+            .mapInArrow(released(choose), "token long, doc_id long, n long"))
 
 
 def plan_units(rare: DataFrame, block_docs: int, block_tokens: int, threshold: Fraction = THRESHOLD) -> DataFrame:
@@ -514,9 +549,9 @@ def verified_links(units: DataFrame, sets: DataFrame, threshold: Fraction, parts
                 sides[side].append((doc, np.frombuffer(data, "<u8")))
         yield from done()
 
-    members = units.join(sets.mapInArrow(rows, "doc_id long, set binary"), "doc_id").select("unit", "side", "doc_id", "set")
+    members = units.join(sets.mapInArrow(released(rows), "doc_id long, set binary"), "doc_id").select("unit", "side", "doc_id", "set")
     return (members.repartition(parts, "unit").sortWithinPartitions("unit", "side", "doc_id")
-            .mapInArrow(search, "a long, b long"))
+            .mapInArrow(released(search), "a long, b long"))
 
 
 def join_components(docs: DataFrame, threshold: Fraction = THRESHOLD, block_docs: int = 1024,

@@ -12,17 +12,21 @@ from cardlens.llm import cotrain, jaccard, language, packing
 from cardlens.llm.common import materialize, read_table, ship_package
 from cardlens.llm.queries import PIECES, WORD_BPE, vocabulary
 
+#: Bytes of a batch between the JVM and Python: an executor's JVM and workers
+#: hold several at a time, besides what four stages have left in them.
+BATCH = 4 << 20
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters, of no clear
     language, or unlikely in it (other languages, noise) go."""
-    ship_package(spark)
+    ship_package(spark, BATCH)
     return language.identified(docs, vocabulary(PIECES))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier accepts."""
-    ship_package(spark)
+    ship_package(spark, BATCH)
     return cotrain.accepted(docs, read_table(spark, sf_dir, "labels"))
 
 
@@ -30,14 +34,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The document with the smallest id of each group of linked documents;
     rows without id link with nothing and stay.  Rows that share an id are one
     document here: they link by any of their texts and stay or go together."""
-    ship_package(spark)
+    ship_package(spark, BATCH)
     found = jaccard.op10(docs).where("doc_id != component_id").select("doc_id")
     return docs.join(materialize(found, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Length buckets and batches of what is left."""
-    ship_package(spark)
+    ship_package(spark, BATCH)
     return packing.op1(docs, vocabulary(WORD_BPE))
 
 

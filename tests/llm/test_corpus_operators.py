@@ -305,6 +305,31 @@ def test_memory_of_the_quality_stage(spark, labelled, monkeypatch):
     assert common.distinct(x).tolist() == np.unique(x).tolist() and not len(common.distinct(x[:0]))
 
 
+def test_memory_of_the_near_copies_stage(spark, monkeypatch):
+    """A task of the join takes a bounded multiple of its text, and gives its
+    memory back at the end."""
+    import tracemalloc
+
+    from cardlens.llm import common
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(10**5, size=3000)) for _ in range(350)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(350), pa.int64()), "text": texts})
+    runs, ended, peaks = [], [], []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow",
+                        lambda self, run, schema: runs.append(run) or spark.createDataFrame([], schema))
+    monkeypatch.setattr(jaccard, "chunk_id", lambda k: k)
+    monkeypatch.setattr(common, "release", lambda: ended.append(1))
+    jaccard.root_candidates(spark.createDataFrame([], "doc_id long, text string"), Fraction(3, 4))
+    for run, given in ((runs[0], [batch]), (runs[1], None)):
+        given = given or [b.select(["chunk", "a", "b", "c", "d"]) for b in out]
+        tracemalloc.start()
+        out = list(run(iter(given)))
+        peaks.append(tracemalloc.get_traced_memory()[1] / 2**20)
+        tracemalloc.stop()
+    assert peaks[0] < 30 and peaks[1] < 40, peaks
+    assert sum(b.num_rows for b in out) > 0 and len(ended) == 2
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.01"
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_copies", "packing"]
